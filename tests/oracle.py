@@ -1,0 +1,69 @@
+"""Compare queries with their SQL twins: ``python tests/oracle.py [sf_dir] [query ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).parent.parent))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def rows_by_name(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def differences(df, con, sql: str) -> list[str]:
+    mine = df.collect()
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    theirs = result.fetchall()
+    problems = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} and {sorted(names)}"]
+    if len(mine) != len(theirs):
+        problems.append(f"{len(mine)} rows and {len(theirs)} rows")
+    a, b = rows_by_name(df.columns, mine), rows_by_name(names, theirs)
+    if a != b:
+        problems.append(f"only here {list((a - b).items())[:2]}; only in SQL {list((b - a).items())[:2]}")
+    return problems
+
+
+def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
+    import __spark_entry__ as driver
+    from conftest import new_session
+
+    spark, con, failed = new_session(), connect(sf_dir), 0
+    sqls = driver.oracle_sql()
+    for name, fn in driver.queries().items():
+        if names and name not in names:
+            continue
+        start = time.perf_counter()
+        try:
+            problems = differences(fn(spark, sf_dir), con, sqls[name]) if name in sqls else []
+        except Exception as error:  # noqa: BLE001 - report every query
+            problems = [f"{type(error).__name__}: {str(error)[:900]}"]
+        failed += bool(problems)
+        print(f"{'FAIL' if problems else 'ok  '} {name} {time.perf_counter() - start:.1f}s", *problems, flush=True)
+    print(f"{failed} failed")
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main(*sys.argv[1:]))
