@@ -155,20 +155,25 @@ def plain_string(value: Column) -> Column:
 
 
 def java_string(value: Column, scale: int) -> Column:
-    """Like the plain string, but with an exponent when it would be below -6."""
+    """Like the plain string, but with an exponent where that would be below -6.
+
+    That is: numbers under 0.000001 (zero included) of a scale above 6. All their
+    digits stand in the fraction.
+    """
     plain = plain_string(value)
-    digits = F.ltrim(F.regexp_replace(plain, r"[-.]", ""), F.lit("0"))
+    if scale <= 6:
+        return plain
+    digits = F.ltrim(F.substring_index(plain, ".", -1), F.lit("0"))
     digits = F.when(digits == "", "0").otherwise(digits)
-    exponent = F.length(digits) - 1 - F.lit(scale)
     rest = F.substr(digits, F.lit(2))
     scientific = F.concat(
         F.when(plain.startswith("-"), "-").otherwise(""),
         F.left(digits, F.lit(1)),
         F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)),
         F.lit("E"),
-        exponent.cast("string"),
+        (F.length(digits) - 1 - F.lit(scale)).cast("string"),
     )
-    return F.when(exponent >= -6, plain).otherwise(scientific)
+    return F.when(F.abs(value) < F.lit(Decimal("0.000001")), scientific).otherwise(plain)
 
 
 def decimal_to_plain_string(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -26,13 +26,9 @@ def drop_delims(
         names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     else:
         names = [resolve(df, c) for c in columns]
-    if len(replacement) > 1:
-        pattern = "[" + "".join(escape(c) for c in chars) + "]"
-        return df.withColumns(
-            {c: F.regexp_replace(quoted(c), F.lit(pattern), F.lit(replacement)) for c in names}
-        )
-    # one map lookup per character, cheaper than a pattern
-    return df.withColumns({c: F.translate(quoted(c), chars, replacement * len(chars)) for c in names})
+    pattern = F.lit("[" + "".join(escape(c) for c in chars) + "]")
+    literal = F.lit(replacement.replace("\\", "\\\\").replace("$", "\\$"))
+    return df.withColumns({c: F.regexp_replace(quoted(c), pattern, literal) for c in names})
 
 
 def _reference(df: DataFrame, key: str, col: str, label: str) -> Column:

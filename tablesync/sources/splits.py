@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tablesync.operators.columns import resolve
+from tablesync.operators.columns import quoted, resolve
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.scan import Source, parquet_scan, scan_table
 
@@ -29,30 +29,29 @@ def _width(lo: Column, hi: Column, n: int, split_limit: int | None) -> Column:
     return width if split_limit is None else F.least(width, F.lit(split_limit).cast("bigint"))
 
 
-def _layout(df: DataFrame, col: str, n: int, split_limit: int | None) -> DataFrame:
-    """One row ``(lo, hi, width)``."""
+def _layout(df: DataFrame, col: str, n: int, split_limit: int | None) -> Column:
+    """``struct(lo, hi, width)`` as a scalar subquery over the split column alone.
+
+    However often a plan uses it, Spark runs it once.
+    """
     if n < 1:
         raise ValueError("the number of splits must be at least 1")
     if split_limit is not None and split_limit < 1:
         raise ValueError("split_limit must be at least 1")
     if not isinstance(df.schema[col].dataType, IntegralType):
         raise ValueError(f"split column {col!r} must be an integer column")
-    big = df.select(F.col(col).cast("bigint").alias(col))
+    bounds = split_bounds(df.select(quoted(col).cast("bigint").alias("key")), "key")
     # decimal(20,0) keeps the division exact over the whole bigint range
     lo, hi = F.col("lo").cast("decimal(20,0)"), F.col("hi").cast("decimal(20,0)")
-    return split_bounds(big, col).select("lo", "hi", _width(lo, hi, n, split_limit).cast("bigint").alias("width"))
+    width = _width(lo, hi, n, split_limit).cast("bigint").alias("width")
+    return bounds.select(F.struct("lo", "hi", width)).scalar()
 
 
 def with_split_id(df: DataFrame, col: str, n: int, split_limit: int | None = None) -> DataFrame:
-    """Add ``split_id`` to every row.
-
-    Two narrow passes: the bounds are a one-row scalar subquery over the split
-    column alone, the id is arithmetic on each row. Nothing is shuffled.
-    """
+    """Add ``split_id`` to every row: arithmetic on the bounds, nothing is shuffled."""
     col = resolve(df, col)
-    layout = _layout(df, col, n, split_limit).select(F.struct("lo", "width").alias("layout")).scalar()
-    value = F.col(col).cast("bigint")
-    split = F.call_function("div", value - layout["lo"], layout["width"])
+    layout = _layout(df, col, n, split_limit)
+    split = F.call_function("div", quoted(col).cast("bigint") - layout["lo"], layout["width"])
     return df.withColumn("split_id", F.coalesce(split, F.lit(0)).cast("int"))
 
 
@@ -63,18 +62,20 @@ def split_plan(df: DataFrame, col: str, n: int, split_limit: int | None = None)
     more than the others. Empty splits are listed with 0 rows.
     """
     col = resolve(df, col)
+    low = F.col("lo") + F.col("id") * F.col("width")
     last_split = F.call_function("div", F.col("hi") - F.col("lo"), F.col("width"))
-    low = F.col("lo") + F.col("split_id") * F.col("width")
     ranges = (
-        _layout(df, col, n, split_limit)
-        .select("lo", "hi", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), last_split)).alias("split_id"))
+        df.sparkSession.range(1)
+        .select(_layout(df, col, n, split_limit).alias("layout"))
+        .select("layout.*")
+        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_split)).alias("id"))
         .select(
-            F.col("split_id").cast("int").alias("split_id"),
+            F.col("id").cast("int").alias("split_id"),
             low.alias("low"),
             F.least(low + F.col("width") - 1, F.col("hi")).alias("high"),
         )
     )
-    counts = with_split_id(df.select(col), col, n, split_limit).groupBy("split_id").agg(F.count("*").alias("rows"))
+    counts = with_split_id(df.select(quoted(col)), col, n, split_limit).groupBy("split_id").agg(F.count("*").alias("rows"))
     return ranges.join(counts, "split_id", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))
 
 
