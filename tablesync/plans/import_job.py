@@ -29,7 +29,7 @@ from tablesync.sinks.tables import append_table, write_table
 from tablesync.sources.jdbc import CONDITIONS, JdbcSource
 from tablesync.sources.scan import Source, scan_query, scan_table
 from tablesync.sources.splits import split_scan
-from tablesync.storage import exists, has_data, shared_dir
+from tablesync.storage import delete, exists, has_data, shared_dir
 
 
 @dataclass(frozen=True)
@@ -266,19 +266,22 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
     elif job.merge_key is not None and exists(spark, job.target):
         # written out first: the merge reads the batch twice, the source only once
         batch_path = shared_dir(spark, "batch")
-        write_files(rows, batch_path, job.layout, job.codec)
-        merge_paths(
-            spark,
-            job.target,
-            batch_path,
-            job.merge_key,
-            job.layout,
-            schema=rows.schema,
-            codec=job.codec,
-            tie_break=job.tie_break,
-            key_as_text=job.merge_key_as_text,
-            old_is_unique=job.old_is_unique,
-        )
+        try:
+            write_files(rows, batch_path, job.layout, job.codec)
+            merge_paths(
+                spark,
+                job.target,
+                batch_path,
+                job.merge_key,
+                job.layout,
+                schema=rows.schema,
+                codec=job.codec,
+                tie_break=job.tie_break,
+                key_as_text=job.merge_key_as_text,
+                old_is_unique=job.old_is_unique,
+            )
+        finally:
+            delete(spark, batch_path)
     else:
         write_files(rows, job.target, job.layout, job.codec)
 

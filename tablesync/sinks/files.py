@@ -74,11 +74,10 @@ def write_text(
 
 
 def _text_options(sep: str, null_text: str) -> dict[str, str]:
-    # a doubled quote inside a quoted field, and no guessing at empty text
+    # a quote inside a quoted field is doubled; empty text is written as two quotes
     return {
         "sep": sep,
         "nullValue": null_text,
-        "emptyValue": "",
         "escape": '"',
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
