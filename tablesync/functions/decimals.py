@@ -33,7 +33,7 @@ def _check(precision: int | None, scale: int | None) -> None:
         raise ValueError(f"decimal({precision},{scale}) is wider than {MAX_PRECISION} digits")
 
 
-def _require_ansi(df: DataFrame) -> None:
+def require_ansi(df: DataFrame) -> None:
     if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("exact decimals need spark.sql.ansi.enabled=true")
 
@@ -64,7 +64,7 @@ def decimal_typed(
     digits, or a float that is not the nearest float of its decimal. A type wider
     than 38 digits is an error too, unless ``as_string`` keeps the column as text.
     """
-    _require_ansi(df)
+    require_ansi(df)
     typed = {}
     for name, (precision, scale) in types.items():
         col = resolve(df, name)
@@ -72,11 +72,12 @@ def decimal_typed(
             typed[col] = quoted(col).cast("string")
             continue
         _check(precision, scale)
-        typed[col] = _typed_column(df, col, precision, scale)
+        typed[col] = exact_decimal(df, col, precision, scale)
     return df.withColumns(typed)
 
 
-def _typed_column(df: DataFrame, col: str, precision: int, scale: int) -> Column:
+def exact_decimal(df: DataFrame, col: str, precision: int, scale: int) -> Column:
+    """The column as ``decimal(p,s)``; a value that would lose digits fails the job."""
     source, target = df.schema[col].dataType, f"decimal({precision},{scale})"
     value = quoted(col)
     if isinstance(source, DecimalType):
@@ -106,7 +107,7 @@ def decimal_rescale_exact(df: DataFrame, types: Mapping[str, tuple[int, int]]) -
 
     A plain cast would round 1.239 to 1.24 in silence.
     """
-    _require_ansi(df)
+    require_ansi(df)
     scaled = {}
     for name, (precision, scale) in types.items():
         _check(precision, scale)
@@ -178,13 +179,13 @@ def java_string(value: Column, scale: int) -> Column:
 
 def decimal_to_plain_string(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns as plain text; all of them by default."""
-    _require_ansi(df)
+    require_ansi(df)
     return df.withColumns({c: plain_string(quoted(c)) for c in _decimal_columns(df, columns)})
 
 
 def decimal_to_java_string(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns as text that is scientific for tiny values."""
-    _require_ansi(df)
+    require_ansi(df)
     return df.withColumns(
         {c: java_string(quoted(c), df.schema[c].dataType.scale) for c in _decimal_columns(df, columns)}
     )
@@ -216,7 +217,7 @@ def from_fixed(value: Column, precision: int, scale: int) -> Column:
 
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns (up to 18 digits) as their storage bytes."""
-    _require_ansi(df)
+    require_ansi(df)
     out = {}
     for c in _decimal_columns(df, columns):
         kind = df.schema[c].dataType
@@ -226,7 +227,7 @@ def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
 
 def fixed_to_decimal(df: DataFrame, types: Mapping[str, tuple[int, int]]) -> DataFrame:
     """Storage bytes back to decimals; null stays null."""
-    _require_ansi(df)
+    require_ansi(df)
     out = {}
     for name, (precision, scale) in types.items():
         _check(precision, scale)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablesync.functions.casts import lossless
 from tablesync.operators.checks import guard_keys, key_columns, merge_schema_check
 from tablesync.operators.columns import quoted, resolve
 from tablesync.storage import qualified
@@ -27,7 +28,8 @@ def merge_to_old_schema(new: DataFrame, old_schema: StructType) -> DataFrame:
     """The batch under the existing schema.
 
     Columns are matched without regard to case; columns only in the batch are
-    dropped, columns missing from it are null.
+    dropped, columns missing from it are null. A value that its new type cannot
+    hold exactly fails the job.
     """
     by_name = {}
     for c in new.columns:
@@ -35,9 +37,9 @@ def merge_to_old_schema(new: DataFrame, old_schema: StructType) -> DataFrame:
             raise ValueError(f"columns {by_name[c.lower()]!r} and {c!r} differ only in case")
     return new.select(
         [
-            (quoted(by_name[f.name.lower()]) if f.name.lower() in by_name else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
+            lossless(new, by_name[f.name.lower()], f.dataType).alias(f.name)
+            if f.name.lower() in by_name
+            else F.lit(None).cast(f.dataType).alias(f.name)
             for f in old_schema.fields
         ]
     )
@@ -169,7 +171,8 @@ def upsert_rows(
     unknown = [c for c in batch.columns if c.lower() not in known]
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")
-    batch = batch.select([quoted(c).cast(target.schema[known[c.lower()]].dataType).alias(known[c.lower()]) for c in batch.columns])
+    names = {c: known[c.lower()] for c in batch.columns}
+    batch = batch.select([lossless(batch, c, target.schema[n].dataType).alias(n) for c, n in names.items()])
     missing = [k for k in keys if k not in batch.columns]
     if missing:
         raise ValueError(f"the batch lacks key columns {missing}")

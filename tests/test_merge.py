@@ -98,6 +98,37 @@ def test_to_old_schema(spark):
         ts.merge_to_old_schema(spark.createDataFrame([(1, 2)], "a int, A int"), old.schema)
 
 
+@pytest.mark.parametrize(
+    ("source", "value", "target", "ok"),
+    [
+        ("int", 5, "bigint", True),
+        ("bigint", 5, "int", True),
+        ("bigint", 2**40, "int", False),
+        ("decimal(10,3)", Decimal("1.230"), "decimal(10,2)", True),
+        ("decimal(10,3)", Decimal("1.239"), "decimal(10,2)", False),
+        ("double", 1.25, "decimal(10,2)", True),
+        ("double", 1.239, "decimal(10,2)", False),
+        ("float", 1.5, "double", True),
+        ("int", 7, "string", True),
+    ],
+)
+def test_values_fit_or_fail(spark, source, value, target, ok):
+    new = spark.createDataFrame([(value,)], f"x {source}")
+    fitted = ts.merge_to_old_schema(new, schema(spark, f"x {target}"))
+    if ok:
+        assert fitted.schema["x"].dataType.simpleString() == target
+        assert str(fitted.first()[0]).rstrip("0") == str(value).rstrip("0")
+    else:
+        with pytest.raises(PySparkException):
+            fitted.collect()
+
+
+@pytest.mark.parametrize(("source", "target"), [("double", "int"), ("timestamp", "date"), ("double", "float"), ("bigint", "double")])
+def test_lossy_types_are_refused(spark, source, target):
+    with pytest.raises(ValueError, match="cast it first"):
+        ts.merge_to_old_schema(spark.createDataFrame([], f"x {source}"), schema(spark, f"x {target}"))
+
+
 def schema(spark, text):
     return spark.createDataFrame([], text).schema
 
