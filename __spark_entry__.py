@@ -517,18 +517,47 @@ def append_rows(spark, sf_dir):
     return ts.append_rows(_orders(spark, sf_dir), _orders_batch(spark, sf_dir))
 
 
-@_query("""
+_UPSERT_SQL = """
 WITH t AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal FROM customer),
 b AS (SELECT c_custkey * 2 AS c_custkey, CAST(c_acctbal + 1 AS DECIMAL(12,2)) AS c_acctbal FROM t)
 SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, t.c_name,
        CASE WHEN b.c_custkey IS NOT NULL THEN b.c_acctbal ELSE t.c_acctbal END AS c_acctbal
-FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey""")
-def upsert_rows(spark, sf_dir):
+FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey"""
+
+
+def _upsert_sides(spark, sf_dir):
     target = ts.decimal_typed(_table(spark, sf_dir, "customer"), {"c_acctbal": MONEY}).select(
         "c_custkey", "c_name", "c_acctbal"
     )
-    batch = _raised(target, "c_acctbal").select((F.col("c_custkey") * 2).alias("c_custkey"), "c_acctbal")
-    return ts.upsert_rows(target, batch, "c_custkey")
+    return target, _raised(target, "c_acctbal").select((F.col("c_custkey") * 2).alias("c_custkey"), "c_acctbal")
+
+
+@_query(_UPSERT_SQL)
+def upsert_rows(spark, sf_dir):
+    return ts.upsert_rows(*_upsert_sides(spark, sf_dir), "c_custkey")
+
+
+@_query(_UPSERT_SQL)
+def upsert_rows_small_batch(spark, sf_dir):
+    return ts.upsert_rows(*_upsert_sides(spark, sf_dir), "c_custkey", small_batch=True)
+
+
+# the batch repeats keys (line items per order) and has other columns than the target
+@_query(f"""
+WITH t AS ({ORDERS_SQL}),
+r AS (SELECT l_orderkey * 2 AS k, {PRICE} AS price, l_shipdate AS shipped,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, {PRICE} DESC) AS rn FROM lineitem),
+b AS (SELECT * FROM r WHERE rn = 1)
+SELECT coalesce(o_orderkey, k) AS o_orderkey, o_custkey, o_orderstatus, coalesce(price, o_totalprice) AS o_totalprice,
+       coalesce(shipped, o_orderdate) AS o_orderdate, o_orderpriority
+FROM t FULL OUTER JOIN b ON o_orderkey = k""")
+def upsert_rows_duplicates(spark, sf_dir):
+    batch = _lineitem(spark, sf_dir).select(
+        (F.col("l_orderkey") * 2).alias("o_orderkey"),
+        F.col("l_extendedprice").alias("o_totalprice"),
+        F.col("l_shipdate").alias("o_orderdate"),
+    )
+    return ts.upsert_rows(_orders(spark, sf_dir), batch, "o_orderkey", "o_orderdate")
 
 
 # --- sinks ---------------------------------------------------------------------------------

@@ -197,8 +197,12 @@ def to_fixed(value: Column, precision: int, scale: int) -> Column:
         raise ValueError(f"only decimals up to {MAX_FIXED_PRECISION} digits have a fixed length")
     length = fixed_length(precision)
     unscaled = (value * F.lit(Decimal(10**scale)).cast(f"decimal({scale + 1},0)")).cast("bigint")
-    digits = F.lpad(F.hex(unscaled), 16, "0")
-    return F.unhex(F.substring(digits, 17 - 2 * length, 2 * length))
+    if length == 8:
+        return F.unhex(F.lpad(F.hex(unscaled), 16, "0"))
+    # a one above the kept bytes makes hex() print all their digits, leading zeros too
+    marker = 1 << (8 * length)
+    digits = F.hex(unscaled.bitwiseAND(F.lit(marker - 1)).bitwiseOR(F.lit(marker)))
+    return F.unhex(F.substring(digits, 2, 2 * length))
 
 
 def from_fixed(value: Column, precision: int, scale: int) -> Column:

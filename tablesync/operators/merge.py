@@ -91,7 +91,9 @@ def merge_latest(
     new = merge_to_old_schema(new, old.schema)
     keys = key_columns(old, key)
     if old_is_unique:
-        return merge_unique(old, _best_rows(guard_keys(new, keys), keys, tie_break, key_as_text), keys, key_as_text)
+        old, new = guard_keys(old, keys), guard_keys(new, keys)
+        kept = _without(old, _distinct_keys(new, keys), keys, key_as_text)
+        return kept.unionByName(_best_rows(new, keys, tie_break, key_as_text))
     both = guard_keys(tag_origin(old, new), keys)
     return _best_rows(both, keys, [ORIGIN, *_names(tie_break)], key_as_text).drop(ORIGIN)
 
@@ -129,6 +131,11 @@ def merge_unique(
     return _without(old, new, keys, key_as_text).unionByName(new)
 
 
+def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once: repeats of a heavy key go map-side, before any join sees them."""
+    return df.select([quoted(k) for k in keys]).distinct()
+
+
 def _without(df: DataFrame, other: DataFrame, keys: list[str], as_text: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``."""
     return _match(df, other, keys, "left_anti", as_text)
@@ -153,7 +160,11 @@ def append_rows(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def upsert_rows(
-    target: DataFrame, batch: DataFrame, key: str | Sequence[str], tie_break: str | Sequence[str] = ()
+    target: DataFrame,
+    batch: DataFrame,
+    key: str | Sequence[str],
+    tie_break: str | Sequence[str] = (),
+    small_batch: bool = False,
 ) -> DataFrame:
     """Update rows of ``target`` by its unique key, insert the rest of the batch.
 
@@ -161,10 +172,13 @@ def upsert_rows(
     updated rows and are null in inserted ones. Repeated keys in the batch are
     settled first. A row without a key never matches: it is kept, or inserted.
 
-    This is a left join for the updates and an anti-join for the inserts instead
-    of one full outer join, which would shuffle the whole target even for a tiny
-    batch. Here a batch of measured small size is broadcast, the target stays in
-    place, and its second scan reads the key column only.
+    By default this is one full outer join: each side is shuffled once. Rows
+    without a key stay out of it, as they would all meet in one task.
+
+    ``small_batch`` is for a batch that Spark can broadcast. It joins the updates
+    (left join) and the inserts (anti-join) apart, which leaves the target in
+    place - a full outer join cannot - and scans its key column a second time.
+    Spark still checks the size; a batch too large to broadcast only costs more.
     """
     keys = key_columns(target, key)
     known = {c.lower(): c for c in target.columns}
@@ -181,20 +195,21 @@ def upsert_rows(
     for k in keys:
         has_key = has_key & quoted(k).isNotNull()
     keyed = _best_rows(batch.where(has_key), keys, tie_break, key_as_text=False)
-
     changes = keyed.select([quoted(c).alias(f"__new_{c}") for c in batch.columns] + [F.lit(True).alias("__hit")])
     condition = [quoted(k) == quoted(f"__new_{k}") for k in keys]
-    updated = target.join(changes, condition, "left").select(
-        [
-            F.when(F.col("__hit"), quoted(f"__new_{c}")).otherwise(quoted(c)).alias(c)
-            if c in batch.columns and c not in keys
-            else quoted(c)
-            for c in target.columns
-        ]
-    )
-    matched = _match(target.select([quoted(k) for k in keys]), keyed, keys, "left_semi")
-    inserted = _without(keyed, matched, keys).unionByName(batch.where(~has_key))
-    return updated.unionByName(merge_to_old_schema(inserted, target.schema))
+    merged = [
+        F.when(F.col("__hit"), quoted(f"__new_{c}")).otherwise(quoted(c)).alias(c) if c in batch.columns else quoted(c)
+        for c in target.columns
+    ]
+    without_key = merge_to_old_schema(batch.where(~has_key), target.schema)
+    if not small_batch:
+        joined = target.where(has_key).join(changes, condition, "full_outer").select(merged)
+        return joined.unionByName(target.where(~has_key)).unionByName(without_key)
+
+    updated = target.join(changes, condition, "left").select(merged)
+    matched = _match(target.select([quoted(k) for k in keys]), _distinct_keys(batch, keys), keys, "left_semi")
+    inserted = _without(keyed, matched, keys)
+    return updated.unionByName(merge_to_old_schema(inserted, target.schema)).unionByName(without_key)
 
 
 __all__ = [

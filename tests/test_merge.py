@@ -183,12 +183,13 @@ def test_append(spark):
     assert rows(ts.append_rows(a, b)) == [(1, 1, "a"), (1, 1, "a")]
 
 
-def test_upsert(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_upsert(spark, small):
     target = spark.createDataFrame(
         [(1, "a", 1), (2, "b", 2), (None, "x", 9), (None, "y", 8)], "k int, name string, v int"
     )
     batch = spark.createDataFrame([(2, 20), (2, 21), (3, 30), (3, 31), (1, None), (None, 7), (None, 7)], "K int, V int")
-    out = ts.upsert_rows(target, batch, "k", "v")
+    out = ts.upsert_rows(target, batch, "k", "v", small_batch=small)
     assert out.columns == ["k", "name", "v"]
     key = lambda r: tuple((x is None, x) for x in r)
     got = sorted((tuple(r) for r in out.collect()), key=key)

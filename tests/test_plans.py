@@ -102,12 +102,19 @@ def test_bucketed_table_merges_without_its_own_shuffle(spark, sf_dir, tmp_path,
     assert sorted(merged.collect()) == sorted(ts.merge_latest(old, batch, "o_orderkey").collect())
 
 
-def test_upsert_leaves_the_target_in_place(spark, sf_dir):
+def test_upsert_shuffles_each_side_once(spark, sf_dir, no_broadcast):
+    text = plan(driver.queries()["upsert_rows"](spark, sf_dir))
+    assert "FullOuter" in text and text.count("Exchange hashpartitioning") == 2
+    assert re.search(r"PushedFilters: \[IsNotNull\(c_custkey\)\]", full_plan(driver.queries()["upsert_rows"](spark, sf_dir)))
+    assert re.search(r"PushedFilters: \[IsNull\(c_custkey\)\]", full_plan(driver.queries()["upsert_rows"](spark, sf_dir)))
+
+
+def test_small_upsert_leaves_the_target_in_place(spark, sf_dir):
     target = ts.parquet_scan(spark, f"{sf_dir}/orders.parquet")
     batch = ts.parquet_scan(spark, f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").alias("o_orderkey"), F.col("c_name").alias("o_orderstatus")
     )
-    text = plan(ts.upsert_rows(target, batch, "o_orderkey"))
+    text = plan(ts.upsert_rows(target, batch, "o_orderkey", small_batch=True))
     shuffled = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
     assert shuffled and text.count("BroadcastHashJoin") == 3
     assert "SortMergeJoin" not in text
