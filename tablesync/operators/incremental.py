@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, datetime, time, timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +29,12 @@ LAST_MODIFIED = "lastmodified"
 STATE_SCHEMA = "job string, mode string, check_column string, last_value string, run_at timestamp_ntz"
 
 
-def typed_value(value, kind: DataType):
-    """A bound as a Python value of the check column's type, so that 5 equals '5' and 5.0."""
+def typed_value(value, kind: DataType, mode: str = APPEND):
+    """A bound as a Python value of the check column's type, so that 5 equals '5' and 5.0.
+
+    A time of day against a date column: ``d <= t`` is ``d <= day of t``, but
+    ``d < t`` and ``d >= t``, the last-modified tests, hold from the next day on.
+    """
     if value is None:
         return None
     if isinstance(kind, IntegralType):
@@ -39,17 +43,19 @@ def typed_value(value, kind: DataType):
         return Decimal(str(value))
     if isinstance(kind, (FloatType, DoubleType)):
         return float(value)
-    if isinstance(kind, DateType):
-        return value if type(value) is date else datetime.fromisoformat(str(value).strip("'")).date()
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return value if isinstance(value, datetime) else datetime.fromisoformat(str(value).strip("'"))
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        moment = value if isinstance(value, datetime) else datetime.fromisoformat(str(value).strip("'"))
+        if not isinstance(kind, DateType):
+            return moment
+        partial = mode == LAST_MODIFIED and moment.time() != time()
+        return moment.date() + timedelta(days=1 if partial else 0)
     raise ValueError(f"a column of type {kind.simpleString()} cannot be a check column")
 
 
-def _bound(df: DataFrame, name: str, value) -> Column:
+def _bound(df: DataFrame, name: str, value, mode: str = APPEND) -> Column:
     kind = df.schema[name].dataType
     # text and a cast fold into one literal, which the scan can push down
-    return F.lit(str(typed_value(value, kind))).cast(kind)
+    return F.lit(str(typed_value(value, kind, mode))).cast(kind)
 
 
 def incremental_append(df: DataFrame, col: str, last=None, upper=None) -> DataFrame:
@@ -71,11 +77,13 @@ def incremental_append(df: DataFrame, col: str, last=None, upper=None) -> DataFr
 def incremental_lastmodified(df: DataFrame, col: str, last, now) -> DataFrame:
     """Rows with ``last <= col < now``, ``now`` being the source's clock."""
     name = require_check_column(df, col)
+    if not isinstance(df.schema[name].dataType, (DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"last-modified column {name!r} is no date or timestamp")
     if now is None:
         raise ValueError("the source's current time is required")
-    condition = quoted(name) < _bound(df, name, now)
+    condition = quoted(name) < _bound(df, name, now, LAST_MODIFIED)
     if last is not None:
-        condition = (quoted(name) >= _bound(df, name, last)) & condition
+        condition = (quoted(name) >= _bound(df, name, last, LAST_MODIFIED)) & condition
     return df.where(condition)
 
 
@@ -88,16 +96,17 @@ def incremental_null_bound(df: DataFrame, col: str, last=None) -> DataFrame:
     return df.where(condition)
 
 
-def is_noop(df: DataFrame, col: str, last, upper) -> bool:
+def is_noop(df: DataFrame, col: str, last, upper, mode: str = APPEND) -> bool:
     """Whether nothing can be new: the last value equals the new bound."""
-    name = require_check_column(df, col)
-    kind = df.schema[name].dataType
-    return last is not None and upper is not None and typed_value(last, kind) == typed_value(upper, kind)
+    kind = df.schema[require_check_column(df, col)].dataType
+    if last is None or upper is None:
+        return False
+    return typed_value(last, kind, mode) == typed_value(upper, kind, mode)
 
 
-def incremental_noop(df: DataFrame, col: str, last, upper) -> DataFrame | None:
+def incremental_noop(df: DataFrame, col: str, last, upper, mode: str = APPEND) -> DataFrame | None:
     """An empty frame that plans no scan if nothing can be new, else None."""
-    return df.where(F.lit(False)) if is_noop(df, col, last, upper) else None
+    return df.where(F.lit(False)) if is_noop(df, col, last, upper, mode) else None
 
 
 def bounds_sql(src: JdbcSource, col: str, mode: str, last=None, upper=None) -> str:

@@ -38,7 +38,9 @@ class ImportJob:
 
     A table comes from ``source`` (a database table, a Parquet path or a
     DataFrame), a query from ``query``, run by the database in ``source`` or by
-    Spark over ``tables``. ``now`` overrides the source's clock.
+    Spark over ``tables``. ``now`` overrides the source's clock. ``layout_options``
+    are those of the layout's writer: ``fixed_layout`` for Parquet, ``sep`` and
+    ``null_text`` for text.
     """
 
     source: Source | None = None
@@ -63,6 +65,7 @@ class ImportJob:
     catalog_table: str | None = None
     layout: str = "text"
     codec: str | None = None
+    layout_options: Mapping[str, Any] = field(default_factory=dict)
     append: bool = False
     overwrite: bool = False
     validate: bool = False
@@ -189,7 +192,7 @@ def _read(spark: SparkSession, job: ImportJob) -> tuple[DataFrame | None, Any]:
         upper = _max_value(spark, job, probe, check)
     else:
         upper = job.now if job.now is not None else _clock(spark, job)
-    if inc.is_noop(probe, check, job.last_value, upper):
+    if inc.is_noop(probe, check, job.last_value, upper, job.incremental):
         return None, upper
     in_slot = isinstance(job.source, JdbcSource) and job.query is not None and CONDITIONS in job.query
     if in_slot:
@@ -260,14 +263,14 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
         else:
             raise ValueError(f"table {job.catalog_table} exists: append or overwrite?")
     elif job.overwrite:
-        write_overwrite(rows, job.target, job.layout, job.codec)
+        write_overwrite(rows, job.target, job.layout, job.codec, **job.layout_options)
     elif job.append or (job.incremental == inc.APPEND and job.merge_key is None):
-        write_files(rows, job.target, job.layout, job.codec, mode="append")
+        write_files(rows, job.target, job.layout, job.codec, mode="append", **job.layout_options)
     elif job.merge_key is not None and exists(spark, job.target):
         # written out first: the merge reads the batch twice, the source only once
         batch_path = shared_dir(spark, "batch")
         try:
-            write_files(rows, batch_path, job.layout, job.codec)
+            write_files(rows, batch_path, job.layout, job.codec, **job.layout_options)
             merge_paths(
                 spark,
                 job.target,
@@ -276,6 +279,7 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
                 job.layout,
                 schema=rows.schema,
                 codec=job.codec,
+                layout_options=job.layout_options,
                 tie_break=job.tie_break,
                 key_as_text=job.merge_key_as_text,
                 old_is_unique=job.old_is_unique,
@@ -283,7 +287,7 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
         finally:
             delete(spark, batch_path)
     else:
-        write_files(rows, job.target, job.layout, job.codec)
+        write_files(rows, job.target, job.layout, job.codec, **job.layout_options)
 
 
 def merge_paths(
@@ -295,6 +299,7 @@ def merge_paths(
     schema=None,
     target: str | None = None,
     codec: str | None = None,
+    layout_options: Mapping[str, Any] | None = None,
     tie_break: str | Sequence[str] = (),
     key_as_text: bool = False,
     old_is_unique: bool = False,
@@ -307,8 +312,11 @@ def merge_paths(
     ``check_all_files=False`` trusts one file per side, for datasets with so many
     files that opening them all is too slow. ``schema`` is needed for text.
     """
+    write_options = dict(layout_options or {})
     options = {"merge_schema": check_all_files} if layout == "parquet" else {}
-    read_schema = schema if layout == "text" else None
+    read_schema = None
+    if layout == "text":
+        options, read_schema = write_options, schema
     if not has_data(spark, old_path):
         raise ValueError(f"no existing data at {old_path} to merge into")
     old = read_files(spark, old_path, layout, read_schema, **options)
@@ -319,15 +327,17 @@ def merge_paths(
     else:
         merged = old if old_is_unique else merge_latest(guard_keys(old, key), old.limit(0), key, tie_break, key_as_text)
     if target is None or target.rstrip("/") == old_path.rstrip("/"):
-        write_and_swap(merged, old_path, lambda frame, to: write_files(frame, to, layout, codec))
+        write_and_swap(merged, old_path, lambda frame, to: write_files(frame, to, layout, codec, **write_options))
     else:
-        write_files(merged, target, layout, codec)
+        write_files(merged, target, layout, codec, **write_options)
 
 
 def _stored(spark: SparkSession, rows: DataFrame, job: ImportJob) -> DataFrame:
     if job.catalog_table is not None:
         return spark.table(job.catalog_table)
-    return read_files(spark, job.target, job.layout, rows.schema if job.layout == "text" else None)
+    if job.layout == "text":
+        return read_files(spark, job.target, "text", rows.schema, **job.layout_options)
+    return read_files(spark, job.target, job.layout)
 
 
 def _stored_rows(spark: SparkSession, rows: DataFrame, job: ImportJob) -> int:

@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,31 @@ def test_query_import(spark, tmp_path, layout):
     assert rows(stored) == [(i, 2 * i) for i in range(5)]
 
 
+def test_layout_options(spark, tmp_path):
+    df = spark.createDataFrame([(1, Decimal("0.50")), (2, None)], "k int, price decimal(9,2)")
+    text = ts.ImportJob(
+        source=df,
+        target_dir=str(tmp_path / "text"),
+        layout_options={"sep": "|", "null_text": "-"},
+        incremental="lastmodified",
+        check_column="ts",
+        now=datetime(2024, 2, 1),
+        merge_key="k",
+    )
+    dated = df.withColumn("ts", F.lit("2024-01-01").cast("date"))
+    for _ in range(2):
+        ts.run_import(spark, replace(text, source=dated))
+    lines = "".join(p.read_text() for p in (tmp_path / "text").glob("*.csv")).split()
+    assert sorted(lines) == ["1|0.50|2024-01-01", "2|-|2024-01-01"]
+
+    fixed = ts.ImportJob(
+        source=df, target_dir=str(tmp_path / "p"), layout="parquet", layout_options={"fixed_layout": True}, overwrite=True
+    )
+    ts.run_import(spark, fixed)
+    file = next(f for f in (tmp_path / "p").glob("*.parquet") if pq.ParquetFile(f).metadata.num_rows)
+    assert pq.ParquetFile(file).schema.column(1).physical_type == "FIXED_LEN_BYTE_ARRAY"
+
+
 def test_append_runs(spark, tmp_path):
     source = str(tmp_path / "source")
     job = ts.ImportJob(

@@ -31,6 +31,19 @@ def test_lastmodified_window(spark):
         ts.incremental_lastmodified(df, "ts", None, None)
 
 
+def test_lastmodified_by_date(spark):
+    df = spark.sql("SELECT date_add(date'2024-01-01', int(id)) AS d, id FROM range(10)")
+
+    def window(last, now):
+        return [r["id"] for r in ts.incremental_lastmodified(df, "d", last, now).collect()]
+
+    first, second = window(None, datetime(2024, 1, 3, 10)), window("2024-01-03 10:00:00", datetime(2024, 1, 5))
+    assert (first, second) == ([0, 1, 2], [3])
+    assert window("2024-01-03 10:00:00", datetime(2024, 1, 3, 11)) == []
+    with pytest.raises(ValueError, match="no date"):
+        ts.incremental_lastmodified(df, "id", 1, 2)
+
+
 def test_null_bound(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "id int, c bigint")
     assert ts.incremental_append(df, "c", None, None).count() == 2
