@@ -30,6 +30,7 @@ from tablesync.operators.columns import (
 )
 from tablesync.operators.incremental import (
     bounds_sql,
+    compact_state,
     incremental_append,
     incremental_lastmodified,
     incremental_noop,

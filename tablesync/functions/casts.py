@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tablesync.functions.decimals import exact_decimal, require_ansi
+from tablesync.functions.decimals import exact_decimal, exact_or_fail
 from tablesync.operators.columns import quoted
 
 
@@ -35,18 +35,18 @@ def lossless(df: DataFrame, col: str, target: DataType) -> Column:
     if source == target:
         return value
     if isinstance(target, DecimalType) and isinstance(source, (NumericType, StringType)):
-        require_ansi(df)
         return exact_decimal(df, col, target.precision, target.scale)
+    if isinstance(source, IntegralType) and isinstance(target, IntegralType):
+        # in ANSI mode the cast itself fails; otherwise it wraps around and differs
+        return exact_or_fail(value, value.cast(target), col, target.simpleString())
     safe = [
         (NullType, DataType),
-        (IntegralType, IntegralType),
         ((ByteType, ShortType, IntegerType, FloatType), DoubleType),
         ((ByteType, ShortType), FloatType),
         (DateType, (TimestampType, TimestampNTZType)),
-        ((NumericType, DateType), StringType),
+        ((IntegralType, DateType), StringType),
     ]
     if any(isinstance(source, a) and isinstance(target, b) for a, b in safe):
-        require_ansi(df)
         return value.cast(target)
     raise ValueError(
         f"column {col!r}: {source.simpleString()} may not fit {target.simpleString()}, cast it first"

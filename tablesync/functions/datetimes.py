@@ -43,11 +43,17 @@ def millis_to_datetime(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def string_to_datetime(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """ISO text as ``date``, ``timestamp`` or ``timestamp_ntz``; bad text is an error in ANSI mode."""
+    """ISO text as ``date``, ``timestamp`` or ``timestamp_ntz``; bad text fails the job."""
     for name in types:
         if not isinstance(df.schema[resolve(df, name)].dataType, StringType):
             raise ValueError(f"column {name!r} is not text")
-    return _convert(df, types, ("date", "timestamp", "timestamp_ntz"), lambda value, kind: value.cast(kind))
+    return _convert(df, types, ("date", "timestamp", "timestamp_ntz"), _from_text)
+
+
+def _from_text(value: Column, kind: str) -> Column:
+    parsed = value.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind}: "), value))
+    return F.when(value.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
 
 
 def _convert(df, types, allowed, convert) -> DataFrame:

@@ -1,7 +1,7 @@
 """Exact decimals: typing, rescaling, texts and storage bytes.
 
-Everything here is a JVM-side column expression. Overflow and bad text must be
-errors, never nulls, so the transforms require ANSI mode (Spark's default).
+Everything here is a JVM-side column expression. Overflow and bad text are
+errors, never nulls, whether or not the session is in ANSI mode (the default).
 """
 
 from __future__ import annotations
@@ -33,11 +33,6 @@ def _check(precision: int | None, scale: int | None) -> None:
         raise ValueError(f"decimal({precision},{scale}) is wider than {MAX_PRECISION} digits")
 
 
-def require_ansi(df: DataFrame) -> None:
-    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        raise ValueError("exact decimals need spark.sql.ansi.enabled=true")
-
-
 def _decimal_columns(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
     if columns is None:
         return [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
@@ -48,11 +43,11 @@ def _decimal_columns(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
     return names
 
 
-def _exact(before: Column, after: Column, name: str, kind: str, compare_as: str | None = None) -> Column:
-    """``after``, or an error where it is not the same number as ``before``."""
+def exact_or_fail(before: Column, after: Column, name: str, kind: str, compare_as: str | None = None) -> Column:
+    """``after``, or an error where it is not the same value as ``before``."""
     same = after.cast(compare_as) if compare_as else after
     message = F.concat(F.lit(f"column {name}: "), before.cast("string"), F.lit(f" is not exact as {kind}"))
-    return F.when(before != same, F.raise_error(message)).otherwise(after)
+    return F.when(before.eqNullSafe(same), after).otherwise(F.raise_error(message))
 
 
 def decimal_typed(
@@ -64,7 +59,6 @@ def decimal_typed(
     digits, or a float that is not the nearest float of its decimal. A type wider
     than 38 digits is an error too, unless ``as_string`` keeps the column as text.
     """
-    require_ansi(df)
     typed = {}
     for name, (precision, scale) in types.items():
         col = resolve(df, name)
@@ -83,23 +77,25 @@ def exact_decimal(df: DataFrame, col: str, precision: int, scale: int) -> Column
     if isinstance(source, DecimalType):
         return _rescaled(value, source, precision, scale, col)
     if isinstance(source, (FloatType, DoubleType)):
-        return _exact(value, value.cast(target), col, target, source.simpleString())
+        return exact_or_fail(value, value.cast(target), col, target, source.simpleString())
     if isinstance(source, StringType):
         # parse with all the fraction digits there is room for, then drop only zeros
         wide = DecimalType(MAX_PRECISION, MAX_PRECISION - (precision - scale))
         fraction = F.rtrim(F.regexp_extract(value, r"\.(\d*)", 1), F.lit("0"))
         exponent = F.regexp_extract(value, r"[eE]([+-]?\d+)\s*$", 1).try_cast("int")
         too_long = F.length(fraction) - F.coalesce(exponent, F.lit(0)) > wide.scale
+        parsed = value.try_cast(wide)
         message = F.concat(F.lit(f"column {col}: "), value, F.lit(f" is not exact as {target}"))
-        parsed = F.when(too_long, F.raise_error(message)).otherwise(value.cast(wide))
-        return _rescaled(parsed, wide, precision, scale, col)
-    return value.cast(target)
+        checked = F.when(too_long | (value.isNotNull() & parsed.isNull()), F.raise_error(message)).otherwise(parsed)
+        return _rescaled(checked, wide, precision, scale, col)
+    return exact_or_fail(value, value.cast(target), col, target)
 
 
 def _rescaled(value: Column, source: DecimalType, precision: int, scale: int, name: str) -> Column:
     target = f"decimal({precision},{scale})"
     cast = value.cast(target)
-    return cast if scale >= source.scale else _exact(value, cast, name, target)
+    fits = scale >= source.scale and precision - scale >= source.precision - source.scale
+    return cast if fits else exact_or_fail(value, cast, name, target)
 
 
 def decimal_rescale_exact(df: DataFrame, types: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -107,7 +103,6 @@ def decimal_rescale_exact(df: DataFrame, types: Mapping[str, tuple[int, int]]) -
 
     A plain cast would round 1.239 to 1.24 in silence.
     """
-    require_ansi(df)
     scaled = {}
     for name, (precision, scale) in types.items():
         _check(precision, scale)
@@ -150,18 +145,23 @@ def decimal_layout(df: DataFrame) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
-def plain_string(value: Column) -> Column:
-    """Digits without an exponent (what ANSI mode's cast gives)."""
-    return value.cast("string")
+def plain_string(df: DataFrame, col: str) -> Column:
+    """Digits without an exponent. ANSI mode's cast gives that, the other mode's does not."""
+    value, kind = quoted(col), df.schema[col].dataType
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true":
+        return value.cast("string")
+    # leading nines print as spaces
+    digits = "9" * (kind.precision - kind.scale - 1) + "0" + ("." + "0" * kind.scale if kind.scale else "")
+    return F.concat(F.when(value < 0, "-").otherwise(""), F.trim(F.to_char(F.abs(value), F.lit(digits))))
 
 
-def java_string(value: Column, scale: int) -> Column:
+def java_string(df: DataFrame, col: str) -> Column:
     """Like the plain string, but with an exponent where that would be below -6.
 
     That is: numbers under 0.000001 (zero included) of a scale above 6. All their
     digits stand in the fraction.
     """
-    plain = plain_string(value)
+    value, plain, scale = quoted(col), plain_string(df, col), df.schema[col].dataType.scale
     if scale <= 6:
         return plain
     digits = F.ltrim(F.substring_index(plain, ".", -1), F.lit("0"))
@@ -179,16 +179,12 @@ def java_string(value: Column, scale: int) -> Column:
 
 def decimal_to_plain_string(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns as plain text; all of them by default."""
-    require_ansi(df)
-    return df.withColumns({c: plain_string(quoted(c)) for c in _decimal_columns(df, columns)})
+    return df.withColumns({c: plain_string(df, c) for c in _decimal_columns(df, columns)})
 
 
 def decimal_to_java_string(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns as text that is scientific for tiny values."""
-    require_ansi(df)
-    return df.withColumns(
-        {c: java_string(quoted(c), df.schema[c].dataType.scale) for c in _decimal_columns(df, columns)}
-    )
+    return df.withColumns({c: java_string(df, c) for c in _decimal_columns(df, columns)})
 
 
 def to_fixed(value: Column, precision: int, scale: int) -> Column:
@@ -221,7 +217,6 @@ def from_fixed(value: Column, precision: int, scale: int) -> Column:
 
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Decimal columns (up to 18 digits) as their storage bytes."""
-    require_ansi(df)
     out = {}
     for c in _decimal_columns(df, columns):
         kind = df.schema[c].dataType
@@ -231,7 +226,6 @@ def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
 
 def fixed_to_decimal(df: DataFrame, types: Mapping[str, tuple[int, int]]) -> DataFrame:
     """Storage bytes back to decimals; null stays null."""
-    require_ansi(df)
     out = {}
     for name, (precision, scale) in types.items():
         _check(precision, scale)

@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 
 from tablesync.operators.checks import require_check_column
 from tablesync.operators.columns import quoted
+from tablesync.sinks.files import write_overwrite
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.storage import has_data
 
@@ -151,3 +152,9 @@ def save_state(
     text = None if last_value is None else str(last_value)
     entry = spark.createDataFrame([(job, mode, check_column, text, run_at)], STATE_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(path)
+
+
+def compact_state(spark: SparkSession, path: str) -> None:
+    """Keep only the latest entry per job: a log of thousands of runs is slow to open."""
+    log = spark.read.schema(STATE_SCHEMA).parquet(path)
+    write_overwrite(latest_state(log).select(*log.columns).coalesce(1), path)

@@ -39,13 +39,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether the folder (or the partition folders in it) holds any data file."""
+    """Whether Spark would find a data file in the folder or its partition folders."""
     fs, p = _open(spark, path)
     if not fs.exists(p):
         return False
-    files = fs.listFiles(p, True)
+    base, files = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/", fs.listFiles(p, True)
     while files.hasNext():
-        if not files.next().getPath().getName().startswith(("_", ".")):
+        parts = files.next().getPath().toUri().getPath().removeprefix(base).split("/")
+        if not any(n.startswith(".") or (n.startswith("_") and "=" not in n) for n in parts):
             return True
     return False
 

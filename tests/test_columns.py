@@ -94,6 +94,8 @@ def test_string_to_datetime(spark):
     df = spark.createDataFrame([("2024-01-05", "2024-01-05 01:02:03.000004", None)], "a string, b string, c string")
     out = ts.string_to_datetime(df, {"a": "date", "b": "timestamp_ntz", "c": "date"})
     assert out.collect() == [(date(2024, 1, 5), datetime(2024, 1, 5, 1, 2, 3, 4), None)]
+    with pytest.raises(Exception, match="not a date"):
+        ts.string_to_datetime(df.select(F.lit("soon").alias("a")), {"a": "date"}).collect()
 
 
 def test_lob(spark):

@@ -23,6 +23,14 @@ def values(df):
     return [row[0] for row in df.collect()]
 
 
+@pytest.fixture(params=["true", "false"], ids=["ansi", "no-ansi"])
+def ansi(spark, request):
+    """Exactness must not depend on the session's mode."""
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_fixed_length():
     assert [fixed_length(p) for p in range(1, 19)] == LENGTHS
     assert fixed_length(38) == 16
@@ -39,7 +47,7 @@ def test_wide_type_as_string(spark):
     assert values(ts.decimal_typed(df, {"x": (65, 30)}, as_string=True)) == ["1" * 50]
 
 
-def test_typed_from_doubles_is_exact(spark):
+def test_typed_from_doubles_is_exact(spark, ansi):
     df = spark.createDataFrame([(0.1,), (-999.85,), (None,), (0.0,)], "x double")
     typed = ts.decimal_typed(df, {"X": (12, 2)})
     assert typed.schema["x"].dataType.simpleString() == "decimal(12,2)"
@@ -60,22 +68,13 @@ def test_typed_from_doubles_is_exact(spark):
         ("bigint", 10**11, (12, 2)),
     ],
 )
-def test_typed_refuses_to_lose_digits(spark, kind, value, target):
+def test_typed_refuses_to_lose_digits(spark, ansi, kind, value, target):
     df = spark.createDataFrame([(value,)], f"x {kind}")
     with pytest.raises(PySparkException):
         ts.decimal_typed(df, {"x": target}).collect()
 
 
-def test_typed_needs_ansi(spark):
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        with pytest.raises(ValueError, match="ansi"):
-            ts.decimal_typed(spark.range(1), {"id": (5, 0)})
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", "true")
-
-
-def test_rescale(spark):
+def test_rescale(spark, ansi):
     df = decimals(spark, "decimal(10,3)", ["1.230", "-5", None])
     assert values(ts.decimal_rescale_exact(df, {"x": (9, 2)})) == [Decimal("1.23"), Decimal("-5.00"), None]
     assert values(ts.decimal_rescale_exact(df, {"x": (20, 10)})) == [Decimal("1.23"), Decimal("-5"), None]
@@ -86,7 +85,7 @@ def test_rescale(spark):
         ts.decimal_rescale_exact(spark.range(1), {"id": (9, 2)})
 
 
-def test_strings(spark):
+def test_strings(spark, ansi):
     vectors = {
         "0.0000000100": "1.00E-8",
         "-0.0000000123": "-1.23E-8",
@@ -112,7 +111,7 @@ def test_java_string_agrees_with_legacy_cast(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
-def test_fixed_bytes(spark):
+def test_fixed_bytes(spark, ansi):
     vectors = {
         "0.01": "000000000001",
         "-0.01": "FFFFFFFFFFFF",
@@ -150,7 +149,7 @@ def test_fixed_bytes_limits(spark):
         ts.fixed_to_decimal(wide, {"x": (12, 2)})
 
 
-def test_string_to_decimal(spark):
+def test_string_to_decimal(spark, ansi):
     df = spark.createDataFrame([("1.50",), ("-2",), ("+3.100000",), ("1.5E1",), (None,), (" 7 ",)], "x string")
     expected = [Decimal("1.50"), Decimal("-2"), Decimal("3.1"), Decimal("15"), None, Decimal("7")]
     assert values(ts.string_to_decimal(df, {"x": (12, 2)})) == expected

@@ -99,9 +99,23 @@ def test_state(spark, tmp_path):
     assert ts.load_state(spark, path, "events")["last_value"] == "2024-01-01 00:00:00"
     assert ts.load_state(spark, path, "other") is None
     log = spark.read.parquet(path)
+    assert log.count() == 4
     assert log.where("job = 'orders'").select(F.countDistinct("run_at")).first()[0] == 3
 
 
+def test_compact_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for value in (1, 2):
+        ts.save_state(spark, path, "orders", "append", "id", value)
+    ts.save_state(spark, path, "events", "append", "id", 7)
+    before = [ts.load_state(spark, path, job) for job in ("orders", "events")]
+    ts.compact_state(spark, path)
+    assert spark.read.parquet(path).count() == 2
+    assert [ts.load_state(spark, path, job) for job in ("orders", "events")] == before
+    ts.save_state(spark, path, "orders", "append", "id", 3)
+    assert ts.load_state(spark, path, "orders")["last_value"] == "3"
+
+
 def test_latest_state_keeps_one_entry_whole(spark):
     log = spark.createDataFrame(
         [

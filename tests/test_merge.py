@@ -112,7 +112,16 @@ def test_to_old_schema(spark):
         ("int", 7, "string", True),
     ],
 )
-def test_values_fit_or_fail(spark, source, value, target, ok):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_fit_or_fail(spark, source, value, target, ok, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_fit(spark, source, value, target, ok)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def check_fit(spark, source, value, target, ok):
     new = spark.createDataFrame([(value,)], f"x {source}")
     fitted = ts.merge_to_old_schema(new, schema(spark, f"x {target}"))
     if ok:
