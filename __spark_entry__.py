@@ -604,6 +604,15 @@ def swap_into_place(spark, sf_dir):
     return ts.parquet_scan(spark, f"{base}/orders")
 
 
+@_query(MERGED_ORDERS_SQL)
+def merge_text_files(spark, sf_dir):
+    base, rows = ts.shared_dir(spark, "merge-text"), _orders(spark, sf_dir)
+    ts.write_text(rows, f"{base}/orders")
+    ts.write_text(_orders_batch(spark, sf_dir), f"{base}/batch")
+    ts.merge_paths(spark, f"{base}/orders", f"{base}/batch", "o_orderkey", "text", schema=rows.schema)
+    return ts.read_text(spark, f"{base}/orders", rows.schema)
+
+
 @_query(f"{ORDERS_SQL} UNION ALL {ORDERS_BATCH_SQL}")
 def export_table(spark, sf_dir):
     target, path = f"exported_{uuid4().hex}", ts.shared_dir(spark, "export-table")
@@ -630,6 +639,23 @@ def import_table(spark, sf_dir):
     return ts.parquet_scan(spark, target)
 
 
+@_query("""SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, c_name AS "AVRO_1st_name"
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def import_query(spark, sf_dir):
+    target = ts.shared_dir(spark, "import-query")
+    job = ts.ImportJob(
+        query="""SELECT o.o_orderkey, o.o_totalprice, c.c_name AS `1st name`
+                 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey WHERE $CONDITIONS""",
+        tables={name: _table(spark, sf_dir, name) for name in ("orders", "customer")},
+        target_dir=target,
+        layout="parquet",
+        decimals={"o_totalprice": MONEY},
+        overwrite=True,
+    )
+    ts.run_import(spark, job)
+    return ts.parquet_scan(spark, target)
+
+
 @_query(f"""{ORDERS_SQL} UNION ALL
 SELECT * FROM ({ORDERS_BATCH_SQL}) b WHERE o_orderkey > (SELECT max(o_orderkey) FROM orders)""")
 def import_append(spark, sf_dir):

@@ -21,7 +21,7 @@ from tablesync.operators.checks import (
     require_check_column,
     validate_counts,
 )
-from tablesync.operators.columns import cast_overrides, sanitize_columns, select_columns, year_as_smallint
+from tablesync.operators.columns import cast_overrides, safe_name, sanitize_columns, select_columns, year_as_smallint
 from tablesync.operators.merge import merge_latest
 from tablesync.sinks.files import LAYOUTS, read_files, write_files, write_overwrite
 from tablesync.sinks.swap import recover_swap, write_and_swap
@@ -253,6 +253,10 @@ def _convert(rows: DataFrame, job: ImportJob) -> DataFrame:
     return sanitize_columns(rows)
 
 
+def _stored_names(columns: str | Sequence[str]) -> list[str]:
+    return [safe_name(c) for c in ([columns] if isinstance(columns, str) else columns)]
+
+
 def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
     if job.catalog_table is not None:
         known = spark.catalog.tableExists(job.catalog_table)
@@ -275,12 +279,12 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
                 spark,
                 job.target,
                 batch_path,
-                job.merge_key,
+                _stored_names(job.merge_key),
                 job.layout,
                 schema=rows.schema,
                 codec=job.codec,
                 layout_options=job.layout_options,
-                tie_break=job.tie_break,
+                tie_break=_stored_names(job.tie_break),
                 key_as_text=job.merge_key_as_text,
                 old_is_unique=job.old_is_unique,
             )

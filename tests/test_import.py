@@ -177,6 +177,24 @@ def test_lastmodified_runs(spark, tmp_path, layout, unique):
         ts.run_import(spark, replace(second, merge_key=None, now=datetime(2024, 1, 6)))
 
 
+def test_merge_key_with_a_cleaned_name(spark, tmp_path):
+    job = ts.ImportJob(
+        source=spark.createDataFrame([(1, 1), (2, 1)], "`1st key` int, `row-version` int"),
+        target_dir=str(tmp_path / "t"),
+        layout="parquet",
+        incremental="append",
+        check_column="row-version",
+        merge_key="1st key",
+        tie_break="row-version",
+    )
+    ts.run_import(spark, job)
+    more = spark.createDataFrame([(2, 2), (2, 3), (3, 2)], job.source.schema)
+    ts.run_import(spark, replace(job, source=more, last_value=1))
+    stored = ts.parquet_scan(spark, job.target)
+    assert stored.columns == ["AVRO_1st_key", "row_version"]
+    assert rows(stored) == [(1, 1), (2, 3), (3, 2)]
+
+
 def test_failed_merge_saves_no_state(spark, tmp_path):
     source = spark.createDataFrame([(1, 1), (None, 2)], "k int, v int")
     ts.write_parquet(source.where("k = 1"), str(tmp_path / "t"))
