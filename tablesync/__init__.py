@@ -18,6 +18,7 @@ from tablesync.operators.checks import (
     key_profile,
     max_check_value,
     merge_schema_check,
+    single_row,
     validate_counts,
 )
 from tablesync.operators.columns import (

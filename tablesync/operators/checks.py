@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructType, TimestampType
 
 from tablesync.operators.columns import quoted, resolve, where_filter
 from tablesync.sources.jdbc import JdbcSource
@@ -44,6 +44,15 @@ def jdbc_max_check_value(
     return df
 
 
+def single_row(df: DataFrame) -> tuple:
+    """The one row of an aggregate, with timestamps as wall-clock times of the session's zone.
+
+    Collected as they are, they would come in the zone of the Python process.
+    """
+    wall = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if isinstance(f.dataType, TimestampType)}
+    return tuple(df.withColumns(wall).first())
+
+
 def validate_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row ``source_rows, target_rows, ok``."""
     counts = source.agg(F.count("*").alias("source_rows")).select(

@@ -24,6 +24,7 @@ from tablesync.sinks.files import write_overwrite
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.storage import has_data
 
+# The two incremental modes.
 APPEND = "append"
 LAST_MODIFIED = "lastmodified"
 

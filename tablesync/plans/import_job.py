@@ -19,6 +19,7 @@ from tablesync.operators.checks import (
     max_check_value,
     merge_schema_check,
     require_check_column,
+    single_row,
     validate_counts,
 )
 from tablesync.operators.columns import cast_overrides, safe_name, sanitize_columns, select_columns, year_as_smallint
@@ -230,15 +231,15 @@ def _scan(spark: SparkSession, job: ImportJob, conditions: str | None) -> DataFr
 def _max_value(spark: SparkSession, job: ImportJob, probe: DataFrame, check: str):
     if isinstance(job.source, JdbcSource):
         where = None if job.query is not None else job.where
-        return jdbc_max_check_value(spark, job.source, check, job.query, where).first()[0]
-    return max_check_value(probe, check).first()[0]
+        return single_row(jdbc_max_check_value(spark, job.source, check, job.query, where))[0]
+    return single_row(max_check_value(probe, check))[0]
 
 
 def _clock(spark: SparkSession, job: ImportJob) -> datetime:
     if isinstance(job.source, JdbcSource):
         options = job.source.options(query="SELECT CURRENT_TIMESTAMP AS now_value")
-        return spark.read.format("jdbc").options(**options).load().first()[0]
-    return spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0]
+        return single_row(spark.read.format("jdbc").options(**options).load())[0]
+    return single_row(spark.range(1).select(F.current_timestamp().alias("now_value")))[0]
 
 
 def _convert(rows: DataFrame, job: ImportJob) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 # instead of holding it whole in the task's memory.
 MYSQL_STREAMING_FETCH = -2147483648
 
+# The slot for predicates in a query, and what fills it without any.
 CONDITIONS = "$CONDITIONS"
 ALWAYS_TRUE = "(1 = 1)"
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from tablesync.operators.checks import single_row
 from tablesync.operators.columns import quoted, resolve
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.scan import Source, parquet_scan, scan_table
@@ -129,7 +130,7 @@ def split_scan(
     if n > 1 or (split_by is not None and split_limit is not None):
         if bounds is None:
             text = boundary_query or src.bounds_query(split_by, query, where)
-            bounds = tuple(spark.read.format("jdbc").options(**src.options(query=text)).load().first())
+            bounds = single_row(spark.read.format("jdbc").options(**src.options(query=text)).load())
         read.update(range_options(split_by, bounds, n, split_limit))
     return spark.read.format("jdbc").options(**src.options(**read)).load()
 
@@ -150,4 +151,4 @@ def range_options(split_by: str, bounds: Sequence, n: int, split_limit: int | No
 
 def cluster_by_range(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
     """Range layout by ``cols``; the row hash is deterministic, so a retried task repeats it."""
-    return df.repartitionByRange(n, *cols, F.xxhash64(*df.columns))
+    return df.repartitionByRange(n, *[quoted(resolve(df, c)) for c in cols], F.xxhash64(*map(quoted, df.columns)))

@@ -177,6 +177,27 @@ def test_lastmodified_runs(spark, tmp_path, layout, unique):
         ts.run_import(spark, replace(second, merge_key=None, now=datetime(2024, 1, 6)))
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_zoned_check_column_in_another_zone(spark, tmp_path, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = spark.sql("SELECT id, timestamp'2024-01-05 10:00:00' + make_dt_interval(0, id) AS ts FROM range(12)")
+        job = ts.ImportJob(
+            source=times.where("id < 10"),
+            target_dir=str(tmp_path / "t"),
+            layout="parquet",
+            incremental="append",
+            check_column="ts",
+            job="j",
+            state_path=str(tmp_path / "state"),
+        )
+        assert ts.run_import(spark, job).last_value == datetime(2024, 1, 5, 19)
+        ts.run_import(spark, replace(job, source=times))
+        assert sorted(r["id"] for r in ts.parquet_scan(spark, job.target).collect()) == list(range(12))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_merge_key_with_a_cleaned_name(spark, tmp_path):
     job = ts.ImportJob(
         source=spark.createDataFrame([(1, 1), (2, 1)], "`1st key` int, `row-version` int"),
