@@ -42,6 +42,7 @@ from tablesync.operators.incremental import (
 )
 from tablesync.operators.merge import (
     append_rows,
+    latest_per_key,
     merge_latest,
     merge_null_key,
     merge_to_old_schema,

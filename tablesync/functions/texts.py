@@ -31,8 +31,9 @@ def drop_delims(
     return df.withColumns({c: F.regexp_replace(quoted(c), pattern, literal) for c in names})
 
 
-def _reference(df: DataFrame, key: str, col: str, label: str) -> Column:
-    return F.concat(F.lit(f"lob:{label}/{col}/"), quoted(key).cast("string"))
+def _reference(key: str, col: str, label: str) -> Column:
+    missing = F.raise_error(F.lit(f"column {col}: a value moved out of its row needs a value of {key}"))
+    return F.concat(F.lit(f"lob:{label}/{col}/"), F.coalesce(quoted(key).cast("string"), missing))
 
 
 def lob_inline(
@@ -42,7 +43,8 @@ def lob_inline(
 
     Returns the main table, in which a larger value is replaced by its reference
     string (as bytes in a binary column), and the side table ``(reference,
-    payload)``. Both are narrow; only the side table's scan carries payloads on.
+    payload)``. ``key`` must identify the row, as it names the payload. Nothing is
+    shuffled; only the side table's scan carries payloads on.
     """
     key, col = resolve(df, key), resolve(df, col)
     kind = df.schema[col].dataType
@@ -50,7 +52,7 @@ def lob_inline(
         raise ValueError(f"column {col!r} holds no large values: {kind.simpleString()}")
     if limit < 0:
         raise ValueError("limit must not be negative")
-    value, reference = quoted(col), _reference(df, key, col, label)
+    value, reference = quoted(col), _reference(key, col, label)
     large = F.octet_length(value) > limit
     main = df.withColumn(col, F.when(large, reference.cast(kind)).otherwise(value))
     side = df.where(large).select(reference.alias("reference"), value.alias("payload"))

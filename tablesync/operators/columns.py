@@ -34,6 +34,12 @@ def resolve(df: DataFrame, name: str) -> str:
     return found[0]
 
 
+def refuse_column(df: DataFrame, name: str) -> None:
+    """A column about to be added must not replace one of the data's own."""
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the data already has a column named {name!r}")
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -17,10 +17,11 @@ from pyspark.sql.types import StructType
 
 from tablesync.functions.casts import lossless
 from tablesync.operators.checks import guard_keys, key_columns, merge_schema_check
-from tablesync.operators.columns import quoted, resolve
+from tablesync.operators.columns import quoted, refuse_column, resolve
 from tablesync.storage import qualified
 
 ORIGIN = "is_new"
+_FLAG = "__is_new"
 _RANK = "__rank"
 
 
@@ -45,9 +46,10 @@ def merge_to_old_schema(new: DataFrame, old_schema: StructType) -> DataFrame:
     )
 
 
-def tag_origin(old: DataFrame, new: DataFrame) -> DataFrame:
+def tag_origin(old: DataFrame, new: DataFrame, name: str = ORIGIN) -> DataFrame:
     """All rows of both sides with a flag ``is_new``."""
-    return old.withColumn(ORIGIN, F.lit(False)).unionByName(new.withColumn(ORIGIN, F.lit(True)))
+    refuse_column(old, name)
+    return old.withColumn(name, F.lit(False)).unionByName(new.withColumn(name, F.lit(True)))
 
 
 def tag_origin_by_path(df: DataFrame, old_path: str, new_path: str) -> DataFrame:
@@ -64,6 +66,7 @@ def tag_origin_by_path(df: DataFrame, old_path: str, new_path: str) -> DataFrame
 
     stray = F.raise_error(F.concat(F.lit("file is neither old nor new: "), path)).cast("boolean")
     flag = F.when(under(new_path), F.lit(True)).when(under(old_path), F.lit(False)).otherwise(stray)
+    refuse_column(df, ORIGIN)
     return df.withColumn(ORIGIN, flag)
 
 
@@ -91,11 +94,18 @@ def merge_latest(
     new = merge_to_old_schema(new, old.schema)
     keys = key_columns(old, key)
     if old_is_unique:
-        old, new = guard_keys(old, keys), guard_keys(new, keys)
-        kept = _without(old, _distinct_keys(new, keys), keys, key_as_text)
-        return kept.unionByName(_best_rows(new, keys, tie_break, key_as_text))
-    both = guard_keys(tag_origin(old, new), keys)
-    return _best_rows(both, keys, [ORIGIN, *_names(tie_break)], key_as_text).drop(ORIGIN)
+        kept = _without(guard_keys(old, keys), _distinct_keys(guard_keys(new, keys), keys), keys, key_as_text)
+        return kept.unionByName(latest_per_key(new, keys, tie_break, key_as_text))
+    both = guard_keys(tag_origin(old, new, _FLAG), keys)
+    return _best_rows(both, keys, [_FLAG, *_names(tie_break)], key_as_text).drop(_FLAG)
+
+
+def latest_per_key(
+    df: DataFrame, key: str | Sequence[str], tie_break: str | Sequence[str] = (), key_as_text: bool = False
+) -> DataFrame:
+    """One row per key of a single table, by the order a merge uses."""
+    keys = key_columns(df, key)
+    return _best_rows(guard_keys(df, keys), keys, tie_break, key_as_text)
 
 
 def _names(tie_break: str | Sequence[str]) -> list[str]:
@@ -214,6 +224,7 @@ def upsert_rows(
 
 __all__ = [
     "append_rows",
+    "latest_per_key",
     "merge_latest",
     "merge_null_key",
     "merge_schema_check",

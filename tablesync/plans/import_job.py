@@ -14,7 +14,6 @@ from tablesync.functions.decimals import decimal_typed
 from tablesync.functions.texts import drop_delims
 from tablesync.operators import incremental as inc
 from tablesync.operators.checks import (
-    guard_keys,
     jdbc_max_check_value,
     max_check_value,
     merge_schema_check,
@@ -23,7 +22,7 @@ from tablesync.operators.checks import (
     validate_counts,
 )
 from tablesync.operators.columns import cast_overrides, safe_name, sanitize_columns, select_columns, year_as_smallint
-from tablesync.operators.merge import merge_latest
+from tablesync.operators.merge import latest_per_key, merge_latest
 from tablesync.sinks.files import LAYOUTS, read_files, write_files, write_overwrite
 from tablesync.sinks.swap import recover_swap, write_and_swap
 from tablesync.sinks.tables import append_table, write_table
@@ -292,6 +291,10 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
         finally:
             delete(spark, batch_path)
     else:
+        if job.merge_key is not None and job.old_is_unique:
+            # the first batch has to keep what old_is_unique promises the next merge
+            key, tie_break = _stored_names(job.merge_key), _stored_names(job.tie_break)
+            rows = latest_per_key(rows, key, tie_break, job.merge_key_as_text)
         write_files(rows, job.target, job.layout, job.codec, **job.layout_options)
 
 
@@ -330,7 +333,7 @@ def merge_paths(
         merge_schema_check(old.schema, new.schema, strict=layout == "avro")
         merged = merge_latest(old, new, key, tie_break, key_as_text, old_is_unique)
     else:
-        merged = old if old_is_unique else merge_latest(guard_keys(old, key), old.limit(0), key, tie_break, key_as_text)
+        merged = old if old_is_unique else latest_per_key(old, key, tie_break, key_as_text)
     if target is None or target.rstrip("/") == old_path.rstrip("/"):
         write_and_swap(merged, old_path, lambda frame, to: write_files(frame, to, layout, codec, **write_options))
     else:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tablesync.operators.checks import single_row
-from tablesync.operators.columns import quoted, resolve
+from tablesync.operators.columns import quoted, refuse_column, resolve
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.scan import Source, parquet_scan, scan_table
 
@@ -51,6 +51,7 @@ def _layout(df: DataFrame, col: str, n: int, split_limit: int | None) -> Column:
 def with_split_id(df: DataFrame, col: str, n: int, split_limit: int | None = None) -> DataFrame:
     """Add ``split_id`` to every row: arithmetic on the bounds, nothing is shuffled."""
     col = resolve(df, col)
+    refuse_column(df, "split_id")
     layout = _layout(df, col, n, split_limit)
     split = F.call_function("div", quoted(col).cast("bigint") - layout["lo"], layout["width"])
     return df.withColumn("split_id", F.coalesce(split, F.lit(0)).cast("int"))

@@ -107,6 +107,10 @@ def test_lob(spark):
     assert binary.collect()[1][1] == bytearray(b"lob:t/x/2")
     with pytest.raises(ValueError):
         ts.lob_inline(df, "x", "id", 3)
+    no_key = df.withColumn("id", F.lit(None).cast("int"))
+    for part in ts.lob_inline(no_key, "id", "x", 3, "t"):
+        with pytest.raises(Exception, match="needs a value of id"):
+            part.collect()
 
 
 def test_drop_delims(spark):

@@ -198,6 +198,22 @@ def test_zoned_check_column_in_another_zone(spark, tmp_path, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_first_import_keeps_the_promise_of_unique_keys(spark, tmp_path):
+    job = ts.ImportJob(
+        source=spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, v int"),
+        target_dir=str(tmp_path / "t"),
+        layout="parquet",
+        incremental="append",
+        check_column="v",
+        merge_key="k",
+        old_is_unique=True,
+    )
+    ts.run_import(spark, job)
+    assert rows(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 1)]
+    ts.run_import(spark, replace(job, source=spark.createDataFrame([(2, 3), (2, 4)], "k int, v int"), last_value=2))
+    assert rows(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 4)]
+
+
 def test_merge_key_with_a_cleaned_name(spark, tmp_path):
     job = ts.ImportJob(
         source=spark.createDataFrame([(1, 1), (2, 1)], "`1st key` int, `row-version` int"),

@@ -58,6 +58,15 @@ def test_merge_unique_is_merge_latest(spark):
     assert rows(ts.merge_unique(old, new.limit(0), "k")) == rows(old)  # nothing new
 
 
+def test_own_columns_are_not_replaced(spark):
+    old = spark.createDataFrame([(1, "mine")], "k int, is_new string")
+    assert rows(ts.merge_latest(old, old, "k")) == [(1, "mine")]
+    with pytest.raises(ValueError, match="already has"):
+        ts.tag_origin(old, old)
+    with pytest.raises(ValueError, match="already has"):
+        ts.with_split_id(spark.range(3).withColumnRenamed("id", "Split_ID"), "split_id", 2)
+
+
 def test_multi_column_key(spark):
     old, new = frames(spark, [(1, 1, "a"), (1, 1, "b"), (1, 2, "a")], [(1, 9, "a")])
     assert rows(ts.merge_latest(old, new, ["k", "w"])) == [(1, 1, "b"), (1, 9, "a")]
