@@ -18,6 +18,8 @@ from tablesync.operators.columns import quoted, resolve
 # The widest decimal there is, and the widest stored at a fixed length.
 MAX_PRECISION = 38
 MAX_FIXED_PRECISION = 18
+# Any decimal of this many digits survives a trip through a double.
+MAX_DOUBLE_DIGITS = 15
 
 
 def fixed_length(precision: int) -> int:
@@ -76,6 +78,8 @@ def exact_decimal(df: DataFrame, col: str, precision: int, scale: int) -> Column
     value = quoted(col)
     if isinstance(source, DecimalType):
         return _rescaled(value, source, precision, scale, col)
+    if isinstance(source, DoubleType) and precision <= MAX_DOUBLE_DIGITS:
+        return _from_double(value, precision, scale, col)
     if isinstance(source, (FloatType, DoubleType)):
         return exact_or_fail(value, value.cast(target), col, target, source.simpleString())
     if isinstance(source, StringType):
@@ -91,6 +95,33 @@ def exact_decimal(df: DataFrame, col: str, precision: int, scale: int) -> Column
     return exact_or_fail(value, value.cast(target), col, target)
 
 
+def _from_double(value: Column, precision: int, scale: int, name: str) -> Column:
+    """Through a whole number of units rather than Spark's cast, which goes by way of text.
+
+    A double stands for at most one decimal of 15 digits. Scaling it up is off by
+    less than a quarter of a unit, so rounding finds that decimal's digits, and
+    dividing them again gives the same double only if nothing was lost.
+    """
+    target = f"decimal({precision},{scale})"
+    factor = F.lit(float(10**scale))
+    units = F.rint(value * factor)
+    # the range test also fails NaN, which equals itself here
+    exact = (F.abs(units) < F.lit(float(10**precision))) & (units / factor == value)
+    whole = units.cast("bigint").cast(f"decimal({precision},0)")
+    message = F.concat(F.lit(f"column {name}: "), value.cast("string"), F.lit(f" is not exact as {target}"))
+    return (
+        F.when(exact, _scaled_down(whole, scale).cast(target))
+        .when(value.isNotNull(), F.raise_error(message))
+        .otherwise(F.lit(None).cast(target))
+    )
+
+
+def _scaled_down(whole: Column, scale: int) -> Column:
+    if scale == 0:
+        return whole
+    return whole * F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale},{scale})")
+
+
 def _rescaled(value: Column, source: DecimalType, precision: int, scale: int, name: str) -> Column:
     target = f"decimal({precision},{scale})"
     cast = value.cast(target)
@@ -209,10 +240,7 @@ def from_fixed(value: Column, precision: int, scale: int) -> Column:
     sign = F.when(F.left(digits, F.lit(1)) >= "8", "F").otherwise("0")
     # base -10 reads the 16 digits as a signed number
     unscaled = F.conv(F.lpad(digits, 16, sign), 16, -10).cast("decimal(18,0)")
-    target = f"decimal({precision},{scale})"
-    if scale == 0:
-        return unscaled.cast(target)
-    return (unscaled * F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale},{scale})")).cast(target)
+    return _scaled_down(unscaled, scale).cast(f"decimal({precision},{scale})")
 
 
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -55,11 +55,30 @@ def test_typed_from_doubles_is_exact(spark, ansi):
     assert typed.schema["x"].nullable
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.data())
+def test_every_decimal_of_15_digits_survives_a_double(spark, data):
+    precision = data.draw(st.integers(1, 15))
+    scale = data.draw(st.integers(0, precision))
+    top = 10**precision - 1
+    units = data.draw(st.lists(st.integers(-top, top), min_size=1, max_size=200)) + [top, -top, 0, top - 1]
+    expected = [Decimal(u).scaleb(-scale) for u in units]
+    df = spark.createDataFrame([(float(d),) for d in expected], "x double")
+    assert values(ts.decimal_typed(df, {"x": (precision, scale)})) == expected
+
+
 @pytest.mark.parametrize(
     ("kind", "value", "target"),
     [
         ("double", 1.239, (12, 2)),
         ("double", 1e12, (12, 2)),
+        ("double", 1.239, (18, 2)),
+        ("double", 1e13, (12, 0)),
+        ("double", 0.1 + 0.2, (15, 15)),
+        ("double", float("nan"), (12, 2)),
+        ("double", float("inf"), (12, 2)),
+        ("double", float("-inf"), (18, 2)),
+        ("float", 1.239, (12, 2)),
         ("string", "1.239", (12, 2)),
         ("string", "0." + "0" * 30 + "1", (12, 2)),
         ("string", "1E-40", (12, 2)),
