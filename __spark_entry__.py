@@ -703,9 +703,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return merge_latest(spark, f"{TESTDATA}/sf0.001")
 
 
+def _llm() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    """The queries of the ``llm`` subpackage and its pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from tablesync.llm.queries import QUERIES
+    except ImportError:
+        return {}
+    return {**QUERIES, "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, (fn, _) in REGISTRY.items()}
+    return {name: fn for name, (fn, _) in {**REGISTRY, **_llm()}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}
+    return {name: sql for name, (_, sql) in {**REGISTRY, **_llm()}.items() if sql is not None}
