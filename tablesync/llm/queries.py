@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import byte_bpe, license_scan, packing, quality_ledger, sharding
+from tablesync.llm import byte_bpe, kneser_ney, license_scan, packing, quality_ledger, sharding, substring_dedup
 from tablesync.llm.words import table
 
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.op1_substring_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.op2_license_scan(spark, table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.op7_kneser_ney(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op8_shard_by_bytes(spark, table(spark, sf_dir, "documents"))
 
@@ -34,9 +42,11 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Query name: the query and its SQL, None where SQL cannot say it.
 QUERIES = {
+    "op1_substring_dedup": (op1_substring_dedup, substring_dedup.SQL),
     "op2_license_scan": (op2_license_scan, license_scan.SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_kneser_ney": (op7_kneser_ney, None),
     "op8_shard_by_bytes": (op8_shard_by_bytes, sharding.SQL),
     "op9_quality_ledger": (op9_quality_ledger, quality_ledger.SQL),
 }
