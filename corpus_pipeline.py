@@ -1,8 +1,64 @@
-"""From raw documents to packed sequences, in stages that each read what the one before wrote."""
+"""From raw documents to packed sequences, in stages that each read what the one before wrote.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs``, whatever
+they are besides doc_id and text.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablesync.llm import minhash_icws, packing, quality_ledger, substring_dedup
+from tablesync.llm.words import NULL_ID, keyed, table, written
+from tablesync.operators.columns import quoted
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that fail no rule of the policy."""
+    whole = F.struct(*[quoted(c) for c in docs.columns]).alias("document")
+    ledger = quality_ledger.apply_policy(quality_ledger.measure(docs, whole), "v1")
+    return ledger.where("kept").select("document.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the least doc_id. Rows that share it are one document."""
+    classes = minhash_icws.classes(spark, keyed(docs))
+    kept = classes.where("id = class_id").select(F.col("id").alias("kept_id")).distinct()
+    return docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == kept["kept_id"], "left_semi")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that occur earlier; ``n_chars`` follows the text."""
+    others = [c for c in docs.columns if c != "text"]
+    rows = keyed(docs, F.struct(*[quoted(c) for c in others]).alias("rest"))
+    spans = substring_dedup.repeated_spans(spark, rows.select("id", "text"))
+    cut = substring_dedup.cut(rows, spans)
+    values = {c: F.col("rest")[c] for c in others} | {"text": F.col("text")}
+    if "n_chars" in values:
+        values["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[values[c].alias(c) for c in docs.columns])
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of token sequences."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.op5_best_fit_packing(spark, docs, path, public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near copies", near_copies),
+    ("repeated passages", repeated_passages),
+    ("best-fit packing", best_fit),
+]
+#: SQL cannot express the sampled near copies and the packing: tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

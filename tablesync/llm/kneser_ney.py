@@ -380,7 +380,7 @@ def _scored_together(model: Model, group: list[np.ndarray]) -> list[tuple[int, i
         np.maximum(count - _discount(count, model.discounts), 0), total, out=np.zeros(len(tokens)), where=total > 0
     )
     score = np.log10(higher + np.where(total > 0, weight, 1.0) * lower)
-    base = np.log10((own[:, 0] + 1) / ((model.tokens + 1) * (model.vocabulary + 1)))
+    base = np.log10((own[:, 0] + 1) / (model.tokens + model.vocabulary + 1))
     known = np.add.reduceat((own[:, 0] > 0).astype(np.int64), starts)
     base, score = np.add.reduceat(base, starts), np.add.reduceat(score, starts)
     return [(len(g), k, b, s) for g, k, b, s in zip(group, known.tolist(), base.tolist(), score.tolist(), strict=True)]

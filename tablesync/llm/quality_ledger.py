@@ -60,17 +60,19 @@ def _n_repeat_words() -> Column:
     return F.when(F.size(F.array_distinct("grams")) < F.size("grams"), counted).otherwise(0).cast("long")
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements of its whole text, and ``failed``: one bit per rule.
+def measure(docs: DataFrame, *carried: str | Column) -> DataFrame:
+    """doc_id and the ``carried`` columns, the measurements of its whole text, and ``failed``: one bit per rule.
 
     All is one projection over each row: no shuffle, nothing gathered. A null text
     has no words and so fails ``few_words`` alone. Rows that repeat, and null ids,
     are each measured and returned. An empty table gives no rows; columns other
     than doc_id and text are not looked at.
     """
+    given = docs.select(*carried).columns
     text = F.coalesce("text", F.lit(""))
-    split = docs.select("doc_id", text.alias("text")).select(
+    split = docs.select("doc_id", *carried, text.alias("text")).select(
         "doc_id",
+        *given,
         F.array_remove(F.split("text", SPACE), "").alias("words"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"),
@@ -84,6 +86,7 @@ def measure(docs: DataFrame) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>"))
     counted = split.select(
         "doc_id",
+        *given,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         "n_symbols",
