@@ -18,8 +18,10 @@ from tablesync.llm.words import gram_hashes, keyed, mixed, public_id, signed, wr
 
 #: Distinct words whose counts a task holds before it hands them on.
 HELD_WORDS = 200_000
-#: Shingles that are sampled at once.
+#: Shingles that are sampled, or compared, at once.
 SAMPLED = 4_096
+#: Texts of one bucket that are compared in one task. Larger buckets take several blocks.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -78,18 +80,18 @@ class Weights:
     ceiling: float
     settings: Settings = field(default_factory=Settings)
 
-    def shingles(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def shingles(self, text: str | None, with_counts: bool = False) -> tuple[np.ndarray, ...]:
         """Distinct shingle hashes, ascending, and their weights tf * idf. A text of fewer words is one shingle."""
         words = normal_words(text)
         if not words:
-            return np.empty(0, np.uint64), np.empty(0)
+            return (np.empty(0, np.uint64), np.empty(0), np.empty(0))[: 2 + with_counts]
         k = min(self.settings.words, len(words))
         hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
         idf = np.array([self.idf.get(w, self.ceiling) for w in words])
         grams = gram_hashes(hashes, k)
         sums = np.convolve(idf, np.ones(k), "valid")
         distinct, first, tf = np.unique(grams, return_index=True, return_counts=True)
-        return distinct, sums[first] * tf
+        return (distinct, sums[first] * tf, tf)[: 2 + with_counts]
 
 
 def weigh(docs: DataFrame, settings: Settings) -> Weights:
@@ -192,15 +194,83 @@ def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, weights: W
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _same_bucket(weights: Weights):
+    """Weighted Jaccard similarity of all texts of one or two blocks of a bucket, by one matrix product.
+
+    A shingle that occurs n times is n features of its weight; the weight that two texts share is the sum
+    over the features both have. Given are links to the least id each can be reached from, one per text.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_numpy()
+        texts = [weights.shingles(t.as_py(), with_counts=True) for t in table.column("text")]
+        features, values, owner = [], [], []
+        for i, (shingles, weight, tf) in enumerate(texts):
+            for level in range(int(tf.max(initial=0))):
+                more = tf > level
+                features.append(mixed(shingles[more] + np.uint64(level)))
+                values.append((weight / tf)[more])
+                owner.append(np.full(int(more.sum()), i))
+        features, values, owner = (np.concatenate(x) for x in (features, values, owner))
+        total = np.bincount(owner, values, len(ids))
+        _, first, place, times = np.unique(features, return_index=True, return_inverse=True, return_counts=True)
+        column = np.cumsum(times > 1) - 1  # what only one text has is not shared
+        use = times[place] > 1
+        owner, place, root = owner[use], column[place[use]], np.sqrt(values[first][times > 1])
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        shared = np.zeros((len(ids), len(ids)))
+        for start in range(0, len(root), SAMPLED):
+            a, b = np.searchsorted(place, [start, start + SAMPLED])
+            part = np.zeros((len(ids), min(SAMPLED, len(root) - start)))
+            part[owner[a:b], place[a:b] - start] = root[place[a:b]]
+            shared += part @ part.T
+        linked = shared >= weights.settings.similarity * (total[:, None] + total[None, :] - shared) - 1e-9
+        least = ids.copy()
+        while True:
+            near = np.where(linked, least[None, :], np.iinfo(np.int64).max).min(axis=1)
+            if (near >= least).all():
+                break
+            least = np.minimum(near, least)
+        found = least != ids
+        return pa.table({"a": least[found], "b": ids[found]})
+
+    return run
+
+
+def _open_buckets(docs: DataFrame, buckets: DataFrame, weights: Weights) -> DataFrame:
+    """Links among the texts of each bucket, compared all with all in blocks of bounded size.
+
+    A text goes to as many tasks as its bucket has blocks; no pairs are handed on but those that link.
+    """
+    sizes = buckets.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = buckets.select("band", "hash", "id").join(sizes, ["band", "hash"])
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["band", "hash", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    met = met.select("id", *keys).join(docs.select("id", "text"), "id")
+    return met.groupBy("band", "hash", "low", "high").applyInArrow(_same_bucket(weights), "a long, b long")
+
+
+def _classed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """The buckets with the classes found so far, without those that are one class."""
+    now = buckets.select("band", "hash", "id").join(found, "id", "left")
+    now = now.select("band", "hash", "id", F.coalesce("component", "id").alias("class_id"))
+    several = now.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).where("x <> y")
+    return now.join(several.select("band", "hash"), ["band", "hash"])
+
+
 def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``id`` and ``class_id`` of every row of ``docs`` (id, text), one row per id.
-
-    Texts of the same words are one from the start. Of the others, those that share a band are
-    compared without forming all pairs of a band's bucket. In each round a bucket names a few
-    leaders; every text of the bucket is compared with them, unless their classes are already one,
-    and the leaders leave the bucket: they have met all others. A bucket is done when what is left of
-    it is one class. So a bucket of near copies takes a round or two, and every pair of a bucket has
-    been compared, or is in one class by other links.
+    """``id`` and ``class_id`` of every row of ``docs`` (id, text).
+
+    Texts of the same words are one from the start. The others, where they share a band, are compared
+    in two steps, neither of which hands on all pairs of a band's bucket:
+
+    1. Each bucket names two leaders, its least id and the text with the most company over all its bands;
+       every text of the bucket is compared with them. A bucket whose texts are one class by now is done.
+    2. In the buckets left over, all texts are compared with all inside tasks, in blocks of bounded size.
+
+    So every pair of texts that share a band is compared, or is in one class by other links.
     """
     settings = settings or Settings()
     weights = weigh(docs, settings)
@@ -211,36 +281,24 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     kinds = written(spark, kinds, "kinds")
     members = signed_rows.select("id", "copy").where("copy IS NOT NULL").join(kinds.select("copy", "rep"), "copy").select("id", "rep")
     bucketed = kinds.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "hash"))
-    crowded = bucketed.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").select("band", "hash")
-    buckets = bucketed.join(crowded, ["band", "hash"]).select("band", "hash", "id", F.col("id").alias("class_id"))
-    buckets = written(spark, buckets, "buckets")
-    links = spark.createDataFrame([], "a long, b long")
-    found, turn = None, 0
-    while not buckets.isEmpty():
-        # the least id, and as rounds go on more that no order favours
-        chosen = [F.min("id")] + [F.min_by("id", F.xxhash64("id", F.lit(turn), F.lit(i))) for i in range(min(2**turn, 32) - 1)]
-        leaders = buckets.groupBy("band", "hash").agg(F.array_distinct(F.array(*chosen)).alias("leaders"))
-        named = leaders.select("band", "hash", F.explode("leaders").alias("leader"))
-        named = named.join(buckets.select("band", "hash", F.col("id").alias("leader"), F.col("class_id").alias("leader_class")), ["band", "hash", "leader"])
-        named = written(spark, named, "leaders")
-        met = buckets.join(named, ["band", "hash"]).where("id <> leader AND class_id <> leader_class")
-        pairs = met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        pairs = written(spark, pairs, "compared")
-        links = written(spark, links.unionByName(_verified(spark, docs, pairs, weights)), "links")
+    crowded = bucketed.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = written(spark, bucketed.join(crowded, ["band", "hash"]).select("band", "hash", "id", "n"), "buckets")
+    company = buckets.groupBy("id").agg(F.sum("n").alias("company"))
+    buckets = written(spark, buckets.join(company, "id").select("band", "hash", "id", "company"), "company")
+    most = F.max_by("id", F.struct("company", (-F.col("id")).alias("id")))
+    leaders = buckets.groupBy("band", "hash").agg(F.array_distinct(F.array(F.min("id"), most)).alias("leaders"))
+    met = buckets.join(leaders, ["band", "hash"]).select("id", F.explode("leaders").alias("leader")).where("id <> leader")
+    pairs = written(spark, met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "compared")
+    links = written(spark, _verified(spark, docs, pairs, weights), "links")
+    found = written(spark, components(spark, links), "classes")
+    rest = written(spark, _classed(buckets, found), "open-buckets")
+    if not rest.isEmpty():
+        links = written(spark, links.unionByName(_open_buckets(docs, rest, weights)), "links")
         found = written(spark, components(spark, links), "classes")
-        served = named.select("band", "hash", F.col("leader").alias("id"))
-        rest = buckets.drop("class_id").join(served, ["band", "hash", "id"], "left_anti").join(found, "id", "left")
-        rest = rest.select("band", "hash", "id", F.coalesce("component", "id").alias("class_id"))
-        open_ones = rest.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).where("x <> y")
-        buckets = written(spark, rest.join(open_ones.select("band", "hash"), ["band", "hash"]), "buckets")
-        turn += 1
-    everyone = members.unionByName(empty)
-    if found is None:
-        return everyone.select("id", F.col("rep").alias("class_id"))
     named = found.select(F.col("id").alias("rep"), "component")
-    joined = everyone.join(named, "rep", "left")
     # a class is named by its least id; representatives are the least of their copies
-    return joined.select("id", F.coalesce("component", "rep").alias("class_id"))
+    everyone = members.unionByName(empty).join(named, "rep", "left")
+    return everyone.select("id", F.coalesce("component", "rep").alias("class_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
