@@ -103,7 +103,9 @@ def measure(docs: DataFrame, *carried: str | Column) -> DataFrame:
         "long_words": n("word_chars") > 30 * n("n_words"),
     }
     bits = [F.when(fails[rule], F.lit(1 << i)).otherwise(0) for i, rule in enumerate(RULES)]
-    return counted.withColumn("failed", reduce(Column.bitwiseOR, bits))
+    ledger = counted.withColumn("failed", reduce(Column.bitwiseOR, bits))
+    # Filters on the ledger stay above this: pushed below, they would repeat every measurement.
+    return ledger.select(F.inline(F.array(F.struct(*ledger.columns))))
 
 
 def apply_policy(ledger: DataFrame, policy: str) -> DataFrame:

@@ -289,7 +289,8 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     All columns stay as they are, ``id`` included. A text without spans is unchanged.
     """
-    at = docs.columns.index("text")
+    names = docs.columns  # tasks must not hold the DataFrame
+    at = names.index("text")
 
     def cut_text(text: str, own: list[dict]) -> str:
         words, keep = _kept(text, own)
@@ -308,7 +309,7 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
             texts = columns[at].to_pylist()
             own = spans_of.to_pylist()
             columns[at] = pa.array([cut_text(t, s) if s else t for t, s in zip(texts, own, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return _with_spans(docs, spans).mapInArrow(run, docs.schema)
 
