@@ -233,14 +233,26 @@ def to_fixed(value: Column, precision: int, scale: int) -> Column:
 
 
 def from_fixed(value: Column, precision: int, scale: int) -> Column:
-    """The inverse of :func:`to_fixed`, for any length up to 8 bytes."""
+    """The inverse of :func:`to_fixed`, for any length.
+
+    Bytes before the last eight may only repeat the sign. Empty bytes, and numbers that do not fit
+    the type, are errors with and without ANSI mode.
+    """
     if precision > MAX_FIXED_PRECISION:
         raise ValueError(f"only decimals up to {MAX_FIXED_PRECISION} digits have a fixed length")
     digits = F.hex(value)
     sign = F.when(F.left(digits, F.lit(1)) >= "8", "F").otherwise("0")
-    # base -10 reads the 16 digits as a signed number
-    unscaled = F.conv(F.lpad(digits, 16, sign), 16, -10).cast("decimal(18,0)")
-    return _scaled_down(unscaled, scale).cast(f"decimal({precision},{scale})")
+    padded = F.when(F.length(digits) < 16, F.lpad(digits, 16, sign)).otherwise(digits)
+    last = F.right(padded, F.lit(16))
+    surplus = F.left(padded, F.length(padded) - 16)
+    only_sign = (F.replace(surplus, sign, F.lit("")) == "") & ((F.left(last, F.lit(1)) >= "8") == (sign == "F"))
+    # base -10 reads the 16 digits as a signed number; all of them fit 19 digits
+    unscaled = F.conv(last, 16, -10).cast("decimal(19,0)")
+    limit = F.lit(Decimal(10**precision)).cast("decimal(19,0)")
+    fits = (digits != "") & only_sign & (unscaled < limit) & (unscaled > -limit)
+    text = F.concat(F.lit("bytes do not fit decimal("), F.lit(f"{precision},{scale}): "), digits)
+    whole = F.when(digits.isNull() | fits, unscaled).otherwise(F.raise_error(text).cast("decimal(19,0)"))
+    return _scaled_down(whole.cast("decimal(18,0)"), scale).cast(f"decimal({precision},{scale})")
 
 
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

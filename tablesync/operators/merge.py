@@ -21,8 +21,6 @@ from tablesync.operators.columns import quoted, refuse_column, resolve
 from tablesync.storage import qualified
 
 ORIGIN = "is_new"
-_FLAG = "__is_new"
-_RANK = "__rank"
 
 
 def merge_to_old_schema(new: DataFrame, old_schema: StructType) -> DataFrame:
@@ -96,8 +94,10 @@ def merge_latest(
     if old_is_unique:
         kept = _without(guard_keys(old, keys), _distinct_keys(guard_keys(new, keys), keys), keys, key_as_text)
         return kept.unionByName(latest_per_key(new, keys, tie_break, key_as_text))
-    both = guard_keys(tag_origin(old, new, _FLAG), keys)
-    return _best_rows(both, keys, [_FLAG, *_names(tie_break)], key_as_text).drop(_FLAG)
+    flag = free_name("__is_new", old)
+    both = guard_keys(tag_origin(old, new, flag), keys)
+    best = _best_rows(both, keys, [flag, *_names(tie_break)], key_as_text)
+    return best.select(*[quoted(c) for c in old.columns])
 
 
 def latest_per_key(
@@ -118,7 +118,16 @@ def _best_rows(df: DataFrame, keys: list[str], tie_break, key_as_text: bool) ->
     order = [quoted(c).desc() for c in first + others]
     by = [quoted(k).cast("string") if key_as_text else quoted(k) for k in keys]
     window = Window.partitionBy(*by).orderBy(*(order or by))
-    return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+    rank = free_name("__rank", df)
+    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).select(*[quoted(c) for c in df.columns])
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of the frames has it, in any spelling."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def merge_unique(
@@ -153,7 +162,7 @@ def _without(df: DataFrame, other: DataFrame, keys: list[str], as_text: bool = F
 
 def _match(df: DataFrame, other: DataFrame, keys: list[str], how: str, as_text: bool = False) -> DataFrame:
     kind = (lambda c: c.cast("string")) if as_text else (lambda c: c)
-    names = [f"__key_{i}" for i in range(len(keys))]
+    names = [free_name(f"__key_{i}", df) for i in range(len(keys))]
     right = other.select([kind(quoted(k)).alias(n) for k, n in zip(keys, names)])
     condition = [kind(quoted(k)) == F.col(n) for k, n in zip(keys, names)]
     return df.join(right, condition, how)
@@ -164,6 +173,15 @@ def merge_null_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return guard_keys(df, key)
 
 
+def to_append(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Rows for a dataset of that schema: its column order, no unknown columns, every value exact or an error."""
+    known = {f.name.lower() for f in schema.fields}
+    unknown = [c for c in rows.columns if c.lower() not in known]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    return merge_to_old_schema(rows, schema)
+
+
 def append_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     """All rows of both sides; nothing is compared."""
     return old.unionByName(new)
@@ -205,10 +223,12 @@ def upsert_rows(
     for k in keys:
         has_key = has_key & quoted(k).isNotNull()
     keyed = _best_rows(batch.where(has_key), keys, tie_break, key_as_text=False)
-    changes = keyed.select([quoted(c).alias(f"__new_{c}") for c in batch.columns] + [F.lit(True).alias("__hit")])
-    condition = [quoted(k) == quoted(f"__new_{k}") for k in keys]
+    fresh = {c: free_name(f"__new_{i}", target) for i, c in enumerate(batch.columns)}
+    hit = free_name("__hit", target)
+    changes = keyed.select([quoted(c).alias(n) for c, n in fresh.items()] + [F.lit(True).alias(hit)])
+    condition = [quoted(k) == F.col(fresh[k]) for k in keys]
     merged = [
-        F.when(F.col("__hit"), quoted(f"__new_{c}")).otherwise(quoted(c)).alias(c) if c in batch.columns else quoted(c)
+        F.when(F.col(hit), F.col(fresh[c])).otherwise(quoted(c)).alias(c) if c in fresh else quoted(c)
         for c in target.columns
     ]
     without_key = merge_to_old_schema(batch.where(~has_key), target.schema)

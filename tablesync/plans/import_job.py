@@ -22,7 +22,7 @@ from tablesync.operators.checks import (
     validate_counts,
 )
 from tablesync.operators.columns import cast_overrides, safe_name, sanitize_columns, select_columns, year_as_smallint
-from tablesync.operators.merge import latest_per_key, merge_latest
+from tablesync.operators.merge import latest_per_key, merge_latest, to_append
 from tablesync.sinks.files import LAYOUTS, read_files, write_files, write_overwrite
 from tablesync.sinks.swap import recover_swap, write_and_swap
 from tablesync.sinks.tables import append_table, write_table
@@ -125,6 +125,11 @@ def check_job(job: ImportJob) -> None:
             "a parallel query import needs split_by",
         ),
         (job.validate and job.query is not None, "counts cannot be validated for a query"),
+        (
+            job.where is not None and job.query is not None,
+            "a row filter belongs into the query: where and query exclude each other",
+        ),
+        (job.validate and job.merge_key is not None, "counts cannot be validated for a merge"),
         (job.validate and job.where is not None, "counts cannot be validated with a row filter"),
         (job.validate and job.incremental is not None, "counts cannot be validated for an incremental import"),
         (job.overwrite and job.append, "append and overwrite exclude each other"),
@@ -269,6 +274,9 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
     elif job.overwrite:
         write_overwrite(rows, job.target, job.layout, job.codec, **job.layout_options)
     elif job.append or (job.incremental == inc.APPEND and job.merge_key is None):
+        if job.layout == "parquet" and has_data(spark, job.target):
+            stored = spark.read.parquet(job.target).schema
+            rows = to_append(rows, stored)
         write_files(rows, job.target, job.layout, job.codec, mode="append", **job.layout_options)
     elif job.merge_key is not None and exists(spark, job.target):
         # written out first: the merge reads the batch twice, the source only once

@@ -7,9 +7,11 @@ from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from tablesync.functions.decimals import decimal_to_plain_string
+from tablesync.operators.columns import quoted
 from tablesync.sinks.swap import write_and_swap
 from tablesync.sources.scan import parquet_scan
 
@@ -65,9 +67,16 @@ def write_text(
     """Delimited text; decimals as plain digits.
 
     Fields holding a separator, quote or line break are quoted. Strip line breaks
-    first (``drop_delims``) where readers should be able to split the files.
+    first (``drop_delims``) where readers should be able to split the files. A text
+    equal to ``null_text`` is an error, as it would be read as null.
     """
-    writer = decimal_to_plain_string(df).write.mode(mode)
+    clash = F.raise_error(F.lit(f"a value equals the text for null, {null_text}")).cast("string")
+    guarded = {
+        f.name: F.when(quoted(f.name) == null_text, clash).otherwise(quoted(f.name))
+        for f in df.schema.fields
+        if f.dataType == StringType()
+    }
+    writer = decimal_to_plain_string(df.withColumns(guarded)).write.mode(mode)
     if codec is not None:
         writer = writer.option("compression", codec)
     writer.options(**_text_options(sep, null_text)).csv(path)
@@ -79,6 +88,8 @@ def _text_options(sep: str, null_text: str) -> dict[str, str]:
         "sep": sep,
         "nullValue": null_text,
         "escape": '"',
+        # told, not guessed from the first line break, which may stand inside a value
+        "lineSep": "\n",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",

@@ -13,21 +13,25 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.storage import delete, exists, rename
+from tablesync.storage import delete, exists, rename, touch
 
 PREVIOUS = "__previous"
+#: An empty file beside the folder that a swap put aside. Without it the folder is not the swap's.
+MARK = "__previous__swap"
 
 
 def recover_swap(spark: SparkSession, target: str) -> None:
-    """Finish or undo a swap that was cut off."""
+    """Finish or undo a swap that was cut off. Folders that no swap marked stay as they are."""
     target = target.rstrip("/")
-    previous = target + PREVIOUS
-    if not exists(spark, previous):
+    previous, mark = target + PREVIOUS, target + MARK
+    if not exists(spark, mark):
         return
-    if exists(spark, target):
-        delete(spark, previous)  # cut off after the new data was in place
-    else:
-        rename(spark, previous, target)  # cut off between the renames
+    if exists(spark, previous):
+        if exists(spark, target):
+            delete(spark, previous)  # cut off after the new data was in place
+        else:
+            rename(spark, previous, target)  # cut off between the renames
+    delete(spark, mark)
 
 
 def swap_into_place(spark: SparkSession, incoming: str, target: str) -> None:
@@ -41,14 +45,21 @@ def swap_into_place(spark: SparkSession, incoming: str, target: str) -> None:
     if not exists(spark, target):
         rename(spark, incoming, target)
     else:
-        previous = target + PREVIOUS
+        previous, mark = target + PREVIOUS, target + MARK
+        if exists(spark, previous):
+            raise FileExistsError(f"{previous} is in the way and was not made by a swap")
+        touch(spark, mark)  # before the rename: a folder put aside is always marked
         rename(spark, target, previous)
         try:
             rename(spark, incoming, target)
         except Exception:
             rename(spark, previous, target)
+            delete(spark, mark)
             raise
+        if exists(spark, incoming) or not exists(spark, target):
+            raise RuntimeError(f"another swap ran at {target}; the data before it is in {previous}")
         delete(spark, previous)
+        delete(spark, mark)
     spark.catalog.refreshByPath(target)
 
 

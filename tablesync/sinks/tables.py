@@ -7,7 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.functions.casts import lossless
 from tablesync.operators.columns import select_columns
+from tablesync.operators.merge import merge_to_old_schema
 from tablesync.sources.jdbc import JdbcSource
 
 
@@ -25,6 +27,9 @@ def write_table(
     ``bucket_by=(n, [key])`` lays it out for later merges: the table's side of a
     merge by that key then needs no shuffle.
     """
+    if bucket_by is not None and not partition_by:
+        # one task per bucket: at most as many files as buckets, instead of tasks times buckets
+        df = df.repartition(bucket_by[0], *bucket_by[1])
     writer = df.write.format("parquet").mode(mode).option("compression", codec)
     if path is not None:
         writer = writer.option("path", path)
@@ -37,9 +42,12 @@ def write_table(
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    """Add rows to an existing table, columns matched by name."""
+    """Add rows to an existing table, columns matched by name; a value its type cannot hold exactly is an error."""
     target = df.sparkSession.table(name)
-    select_columns(df, target.columns).write.insertInto(name)
+    missing = {c.lower() for c in target.columns} - {c.lower() for c in df.columns}
+    if missing:
+        raise ValueError(f"the rows lack columns {sorted(missing)}")
+    merge_to_old_schema(df, target.schema).write.insertInto(name)
 
 
 def export_table(
@@ -53,7 +61,13 @@ def export_table(
     spark = df.sparkSession
     names = list(columns or df.columns)
     listed = ", ".join("`" + c.replace("`", "``") + "`" for c in names)
-    write_table(select_columns(df, names), staging)
+    wanted = select_columns(df, names)
+    spelled = {f.name.lower(): f for f in spark.table(target).schema.fields}
+    unknown = [c for c in names if c.lower() not in spelled]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    exact = [lossless(wanted, c, spelled[c.lower()].dataType).alias(c) for c in names]
+    write_table(wanted.select(exact), staging)
     try:
         spark.sql(f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging}")
     finally:

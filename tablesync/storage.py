@@ -64,3 +64,9 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     if fs.exists(p) and not fs.delete(p, True):
         raise OSError(f"could not delete {path}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file; an error if there is one already."""
+    fs, p = _open(spark, path)
+    fs.create(p, False).close()

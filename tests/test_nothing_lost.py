@@ -1,0 +1,95 @@
+"""Values, columns and folders that must survive."""
+
+from __future__ import annotations
+
+import os
+from decimal import Decimal
+
+import pytest
+
+import tablesync as ts
+from tablesync.sinks.files import read_text
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_fixed_bytes_of_any_length(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        def value(text, kind):
+            df = spark.sql(f"SELECT X'{text}' AS c")
+            return ts.fixed_to_decimal(df, {"c": kind}).first()[0]
+
+        assert value("000000000000000001", (18, 2)) == Decimal("0.01")
+        assert value("FFFFFFFFFFFFFFFFFFFFFFFFFFFFFFFF", (18, 2)) == Decimal("-0.01")
+        assert value("FF", (2, 0)) == -1
+        for text, kind in (("010000000000000000", (18, 0)), ("00FFFFFFFFFFFFFFFF", (18, 0)), ("", (5, 2)), ("7FFF", (3, 2))):
+            with pytest.raises(Exception, match="do not fit"):
+                value(text, kind)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_merges_keep_columns_with_helper_names(spark):
+    old = spark.createDataFrame([(1, "a", "b", "c", "d")], "k int, __rank string, __is_new string, __hit string, __new_0 string")
+    new = spark.createDataFrame([(1, "e", "f", "g", "h"), (2, "i", "j", "k", "l")], old.schema)
+    for merged in (ts.merge_latest(old, new, "k"), ts.merge_latest(old, new, "k", old_is_unique=True), ts.upsert_rows(old, new, "k")):
+        assert merged.columns == old.columns
+        assert sorted(map(tuple, merged.collect())) == [(1, "e", "f", "g", "h"), (2, "i", "j", "k", "l")]
+
+
+def test_a_foreign_previous_folder_survives(spark, tmp_path):
+    target, foreign = f"{tmp_path}/data", f"{tmp_path}/data__previous"
+    spark.range(3).write.parquet(foreign)
+    spark.range(2).write.parquet(target)
+    with pytest.raises(FileExistsError):
+        ts.write_overwrite(spark.range(5), target, "parquet", "snappy")
+    assert spark.read.parquet(foreign).count() == 3
+    assert spark.read.parquet(target).count() == 2
+    ts.run_import(spark, ts.ImportJob(source=spark.range(1), target_dir=target, layout="parquet", append=True))
+    assert spark.read.parquet(foreign).count() == 3
+
+
+def test_appends_are_exact(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS exact_target")
+    spark.sql("CREATE TABLE exact_target (a DECIMAL(12,2), b STRING) USING parquet")
+    good = spark.sql("SELECT 'x' AS b, CAST(1.230 AS DECIMAL(12,3)) AS a")
+    bad = spark.sql("SELECT 'x' AS b, CAST(1.239 AS DECIMAL(12,3)) AS a")
+    ts.append_table(good, "exact_target")
+    ts.export_table(good, "exact_target", "exact_staging")
+    for write in (lambda: ts.append_table(bad, "exact_target"), lambda: ts.export_table(bad, "exact_target", "exact_staging")):
+        with pytest.raises(Exception):
+            write()
+    assert [tuple(r) for r in spark.table("exact_target").collect()] == [(Decimal("1.23"), "x")] * 2
+    spark.sql("DROP TABLE exact_target")
+    path = f"{tmp_path}/files"
+    ts.write_parquet(spark.sql("SELECT CAST(1 AS DECIMAL(12,2)) AS a, 'y' AS b"), path)
+    job = ts.ImportJob(source=good, target_dir=path, layout="parquet", append=True)
+    ts.run_import(spark, job)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(Decimal("1.00"), "y"), (Decimal("1.23"), "x")]
+
+
+def test_text_round_trip(spark, tmp_path):
+    rows = [("a\r\nb", 1), ("c\rd", 2), ('q"', 3), ("", 4), (None, 5), ("e\nf", 6)]
+    ts.write_text(spark.createDataFrame(rows, "t string, n int").coalesce(1), f"{tmp_path}/t")
+    back = [tuple(r) for r in read_text(spark, f"{tmp_path}/t", "t string, n int").collect()]
+    assert sorted(back, key=lambda r: r[1]) == rows
+    with pytest.raises(Exception):
+        ts.write_text(spark.createDataFrame([("\\N",)], "t string"), f"{tmp_path}/u")
+
+
+def test_options_that_contradict(spark):
+    table = spark.range(1)
+    for more in (
+        {"query": "SELECT 1", "where": "id > 0", "source": None},
+        {"validate": True, "merge_key": "id"},
+    ):
+        with pytest.raises(ValueError):
+            ts.check_job(ts.ImportJob(**{"source": table, "target_dir": "/tmp/x", "layout": "parquet", **more}))
+
+
+def test_buckets_have_one_file_each(spark):
+    spark.sql("DROP TABLE IF EXISTS few_files")
+    ts.write_table(spark.range(0, 1000, 1, 16), "few_files", bucket_by=(4, ["id"]))
+    assert len({os.path.basename(f) for f in spark.table("few_files").inputFiles()}) <= 4
+    spark.sql("DROP TABLE few_files")

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import tablesync as ts
-from tablesync.storage import exists
+from tablesync.sinks.swap import MARK
+from tablesync.storage import exists, touch
 
 
 def rows(df):
@@ -124,9 +125,13 @@ def test_failed_swap_puts_the_old_data_back(spark, tmp_path):
 def test_recover_swap(spark, tmp_path):
     path, previous = str(tmp_path / "t"), str(tmp_path / "t__previous")
     ts.write_parquet(spark.range(5), previous)
+    ts.recover_swap(spark, path)  # no swap made it
+    assert exists(spark, previous) and not exists(spark, path)
+    touch(spark, path + MARK)
     ts.recover_swap(spark, path)  # cut off between the renames
     assert ts.parquet_scan(spark, path).count() == 5 and not exists(spark, previous)
     ts.write_parquet(spark.range(3), previous)
+    touch(spark, path + MARK)
     ts.recover_swap(spark, path)  # cut off before the old data was deleted
     assert ts.parquet_scan(spark, path).count() == 5 and not exists(spark, previous)
     ts.recover_swap(spark, path)
