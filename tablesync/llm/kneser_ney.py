@@ -21,6 +21,8 @@ from tablesync.storage import qualified, shared_dir
 
 #: Grams that a task keeps before it sorts, adds up and hands them on.
 HELD = 1 << 20
+#: Tokens that are looked up together.
+GROUPED = 200_000
 #: Occurrences of grams in one file of the model, on average.
 PER_SHARD = 1 << 20
 END = np.uint64(xxh3_64_intdigest(b"end of document"))
@@ -38,9 +40,27 @@ def tokens_of(text: str | None) -> np.ndarray:
     return np.append(word_hashes(b" ".join(words).translate(_LOWER).split(b" ")), END)
 
 
-def gram_of(tokens: np.ndarray) -> np.ndarray:
-    """The hash of each token with the one before it; the first follows the start."""
-    return mixed(np.append(START, tokens[:-1]) * _PAIR + tokens)
+def gram_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The hash of each token with the one before it."""
+    return mixed(before * _PAIR + tokens)
+
+
+def groups_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Tokens, the tokens before them and where documents start, for some documents at a time.
+
+    What is looked up for a group is sorted, so the arrays of the model are read in long runs.
+    """
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        group.append(tokens_of(text.as_py()))
+        size += len(group[-1])
+        if size >= GROUPED or i == len(texts) - 1:
+            tokens = np.concatenate(group)
+            starts = np.cumsum([0, *[len(g) for g in group[:-1]]])
+            before = np.append(START, tokens[:-1])
+            before[starts] = START
+            yield tokens, before, starts
+            group, size = [], 0
 
 
 def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
@@ -97,9 +117,8 @@ def _summed(rows_of, names: list[str], types: list[pa.DataType]):
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            for text in batch.column(0):
-                tokens = tokens_of(text.as_py())
-                if (full := sums.add(*rows_of(tokens))) is not None:
+            for tokens, before, _ in groups_of(batch.column(0)):
+                if (full := sums.add(*rows_of(before, tokens))) is not None:
                     yield batch_of(full)
         if (last := sums.rest()) is not None:
             yield batch_of(last)
@@ -271,7 +290,7 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     folder = qualified(spark, shared_dir(spark, "kneser-ney"))
     texts = texts.select("text")
 
-    def words_once(tokens: np.ndarray):
+    def words_once(_before: np.ndarray, tokens: np.ndarray):
         return tokens, np.ones(len(tokens), np.int64)
 
     unigrams = texts.mapInArrow(_summed(words_once, ["word", "n"], [pa.int64(), pa.int64()]), "word long, n long")
@@ -280,8 +299,8 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     tokens, vocabulary = totals["n"], totals["v"]
     shards = _power_of_two(-(-tokens // PER_SHARD) or 1)
 
-    def grams_once(tokens: np.ndarray):
-        return gram_of(tokens), np.ones(len(tokens), np.int64)
+    def grams_once(before: np.ndarray, tokens: np.ndarray):
+        return gram_of(before, tokens), np.ones(len(tokens), np.int64)
 
     grams = texts.mapInArrow(_summed(grams_once, ["gram", "n"], [pa.int64(), pa.int64()]), "gram long, n long")
     grams = grams.withColumn("shard", _shard("gram", shards)).repartition(shards, "shard")
@@ -297,10 +316,9 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     arrays = tuple((r["name"], r["once"], r["more"]) if r else ("", 0, 0) for r in rows)
     counted = Model(f"{folder}/grams", arrays, (), discounts, 0.0, tokens, vocabulary, kinds)
 
-    def kinds_of(tokens: np.ndarray):
-        count = counted.counts(gram_of(tokens))
+    def kinds_of(before: np.ndarray, tokens: np.ndarray):
+        count = counted.counts(gram_of(before, tokens))
         share = 1.0 / count
-        before = np.append(START, tokens[:-1])
         zero = np.zeros(len(tokens))
         as_context = (before, zero, np.where(count == 1, share, 0), np.where(count == 2, share, 0), np.where(count > 2, share, 0), np.ones(len(tokens)))
         as_word = (tokens, share, zero, zero, zero, zero)
@@ -340,17 +358,7 @@ def op7_kneser_ney(spark: SparkSession, docs: DataFrame, folds: int = 7, held_ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            texts = batch.column(1)
-            at = 0
-            while at < len(texts):
-                # together the documents of about a megabyte: the arrays are then read in long runs
-                group, size = [], 0
-                while at < len(texts) and size < 200_000:
-                    group.append(tokens_of(texts[at].as_py()))
-                    size += len(group[-1])
-                    at += 1
-                found += _scored_together(model, group)
+            found = [row for group in groups_of(batch.column(1)) for row in _scored_together(model, *group)]
             columns = list(zip(*found, strict=True)) or [[]] * 4
             types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
@@ -364,17 +372,15 @@ def op7_kneser_ney(spark: SparkSession, docs: DataFrame, folds: int = 7, held_ou
     )
 
 
-def _scored_together(model: Model, group: list[np.ndarray]) -> list[tuple[int, int, float, float]]:
+def _scored_together(
+    model: Model, tokens: np.ndarray, before: np.ndarray, starts: np.ndarray
+) -> list[tuple[int, int, float, float]]:
     """(tokens, known ones, base score, score) of each document of a group."""
-    tokens = np.concatenate(group)
-    starts = np.cumsum([0, *[len(g) for g in group[:-1]]])
-    before = np.append(START, tokens[:-1])
-    before[starts] = START
     distinct = model.of_words(np.concatenate([tokens, before]))
     own, context = distinct[: len(tokens)], distinct[len(tokens) :]
     spare = model.unigram_discount * model.vocabulary / max(model.gram_kinds, 1) / (model.vocabulary + 1)
     lower = np.where(own[:, 0] > 0, own[:, 1], spare if model.gram_kinds else 1.0)
-    count = model.counts(mixed(before * _PAIR + tokens))
+    count = model.counts(gram_of(before, tokens))
     total, weight = context[:, 2], context[:, 3]
     higher = np.divide(
         np.maximum(count - _discount(count, model.discounts), 0), total, out=np.zeros(len(tokens)), where=total > 0
@@ -383,4 +389,5 @@ def _scored_together(model: Model, group: list[np.ndarray]) -> list[tuple[int, i
     base = np.log10((own[:, 0] + 1) / (model.tokens + model.vocabulary + 1))
     known = np.add.reduceat((own[:, 0] > 0).astype(np.int64), starts)
     base, score = np.add.reduceat(base, starts), np.add.reduceat(score, starts)
-    return [(len(g), k, b, s) for g, k, b, s in zip(group, known.tolist(), base.tolist(), score.tolist(), strict=True)]
+    sizes = np.diff(np.append(starts, len(tokens)))
+    return list(zip(sizes.tolist(), known.tolist(), base.tolist(), score.tolist(), strict=True))
