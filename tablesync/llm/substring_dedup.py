@@ -152,7 +152,8 @@ def _match_shard(window: int):
     """Stream the passages of a shard, in the order of their places, through the automaton of those before."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*[table.column(c).to_pylist() for c in ("id", "first", "words")], strict=True))
+        # a row repeated in full brings its passages again
+        rows = sorted(set(zip(*[table.column(c).to_pylist() for c in ("id", "first", "words")], strict=True)))
         automaton, found = SuffixAutomaton(), []
         for key, first, packed in rows:
             words = np.frombuffer(packed, np.int64).tolist()
@@ -232,7 +233,6 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
     wanted = written(spark, wanted, "wanted-passages")
     shards = max(1, -(-wanted.count() // SHARD))
     by_doc = wanted.groupBy("id").agg(F.collect_list("w").alias("wanted"))
-    # a row repeated in full has the same passages as its copy: one is enough
     texts = docs.select("id", "text").join(by_doc, "id").select("id", "text", "wanted")
     content = texts.mapInArrow(_content_of(window), "anchor long, id long, first int, hot boolean, words binary")
     content = written(spark, content, "passage-words")

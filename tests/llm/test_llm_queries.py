@@ -1,0 +1,27 @@
+"""The registered queries against their SQL, and the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from oracle import connect, differences
+from tablesync.llm.queries import QUERIES
+from tablesync.llm.words import table, written
+
+
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    fn, sql = QUERIES[name]
+    assert differences(fn(spark, sf_dir), connect(sf_dir), sql) == []
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, written(spark, stage(spark, docs, sf_dir), "test-stage")
+        assert docs.columns == columns
+        assert docs.join(before, "doc_id", "left_anti").count() == 0, name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.select("doc_id").distinct().count() == docs.count()
