@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from tablesync.llm.words import written
 
 
+#: Links in one file of a round, so that late rounds over few links are not spread over many tasks.
+FILE_LINKS = 100_000
+#: Tasks that write a round at least.
+LEAST_TASKS = 12
+
+
 def _marks(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -24,16 +30,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     pairs = written(spark, pairs, "component-links")
     marks = _marks(pairs)
     while True:
+        tasks = max(LEAST_TASKS, marks[0] // FILE_LINKS)
         # large star: from each id to its greater neighbours
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(spark, large, "large-star")
+        large = written(spark, large.coalesce(tasks), "large-star")
         # small star: from each id to its lesser neighbours and itself
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        pairs = written(spark, small, "small-star")
+        pairs = written(spark, small.coalesce(tasks), "small-star")
         if (now := _marks(pairs)) == marks:
             break
         marks = now

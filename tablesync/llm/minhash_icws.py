@@ -18,7 +18,9 @@ from tablesync.llm.words import gram_hashes, keyed, mixed, public_id, signed, wr
 
 #: Distinct words whose counts a task holds before it hands them on.
 HELD_WORDS = 200_000
-#: Shingles that are sampled, or compared, at once.
+#: Shingles that are sampled at once, so few that their numbers stay in a core's cache.
+DRAWN = 512
+#: Features that are compared at once.
 SAMPLED = 4_096
 #: Texts of one bucket that are compared in one task. Larger buckets take several blocks.
 BLOCK = 512
@@ -102,6 +104,14 @@ def weigh(docs: DataFrame, settings: Settings) -> Weights:
     return Weights({bytes(r["word"]): rate(r["df"]) for r in common}, rate(0), settings)
 
 
+def _uniforms(x: np.ndarray) -> np.ndarray:
+    """Two numbers between 0 and 1, both excluded, from each 64-bit hash: along the last axis, in turn."""
+    u = x.view(np.int32).astype(np.float32)
+    u *= np.float32((1 - 2.0**-20) / 2**32)
+    u += np.float32(0.5)
+    return u
+
+
 def signature(shingles: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
     """``size`` consistent weighted samples, each hashed from the shingle drawn and its level.
 
@@ -109,28 +119,28 @@ def signature(shingles: np.ndarray, weights: np.ndarray, size: int) -> np.ndarra
     the level is t = floor(ln(weight) / r + b) and the shingle with the least ln(c) - r (t - b + 1) is drawn.
     Two texts draw the same shingle and level with the probability of their weighted Jaccard similarity.
     """
-    seeds = mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    seeds = mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
     best = np.full(size, np.inf, np.float32)
     drawn = np.zeros(size, np.uint64)
-    unit = np.float32(2.0**-21)
-    low = np.uint64((1 << 21) - 1)
-    uniform = lambda x, shift: (((x >> np.uint64(shift)) & low).astype(np.int32).astype(np.float32) + np.float32(0.5)) * unit
+    rows = np.arange(size)
     logs = np.log(weights).astype(np.float32)
-    for start in range(0, len(shingles), SAMPLED):
-        part = shingles[start : start + SAMPLED]
-        x = mixed(part[:, None] ^ seeds)
-        y = mixed(x + np.uint64(0xD6E8FEB86659FD93))
-        r = -np.log(uniform(x, 0) * uniform(x, 21))
-        b = uniform(x, 42)
-        c = np.log(-np.log(uniform(y, 0) * uniform(y, 21)))
-        t = np.floor(logs[start : start + SAMPLED, None] / r + b)
+    for start in range(0, len(shingles), DRAWN):
+        part = shingles[start : start + DRAWN]
+        x = mixed(part ^ seeds)
+        y = x * np.uint64(0xD6E8FEB86659FD93)
+        y ^= y >> np.uint64(32)
+        z = y * np.uint64(0xBF58476D1CE4E5B9)
+        z ^= z >> np.uint64(32)
+        u, v, b = _uniforms(x), _uniforms(y), _uniforms(z)[:, ::2]
+        r = -np.log(u[:, ::2] * u[:, 1::2])
+        c = np.log(-np.log(v[:, ::2] * v[:, 1::2]))
+        t = np.floor(logs[start : start + DRAWN] / r + b)
         a = c - r * (t - b + 1)
-        at = a.argmin(axis=0)
-        columns = np.arange(size)
-        value = a[at, columns]
+        at = a.argmin(axis=1)
+        value = a[rows, at]
         better = value < best
         best = np.where(better, value, best)
-        level = t[at, columns].astype(np.int64).view(np.uint64)
+        level = t[rows, at].astype(np.int64).view(np.uint64)
         drawn = np.where(better, mixed(part[at] + mixed(level)), drawn)
     return drawn
 
@@ -293,7 +303,8 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     found = written(spark, components(spark, links), "classes")
     rest = written(spark, _classed(buckets, found), "open-buckets")
     if not rest.isEmpty():
-        links = written(spark, links.unionByName(_open_buckets(docs, rest, weights)), "links")
+        stars = found.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+        links = written(spark, stars.unionByName(_open_buckets(docs, rest, weights)), "links")
         found = written(spark, components(spark, links), "classes")
     named = found.select(F.col("id").alias("rep"), "component")
     # a class is named by its least id; representatives are the least of their copies
