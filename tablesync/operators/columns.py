@@ -7,7 +7,17 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    IntegralType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # The type names an override may use, and what they store.
 OVERRIDE_TYPES = {
@@ -110,15 +120,35 @@ def cast_overrides(df: DataFrame, overrides: Mapping[str, str]) -> DataFrame:
             raise ValueError(f"cannot store {name!r} as {type_name!r}: use one of {list(OVERRIDE_TYPES)}")
         col = resolve(df, name)
         if not isinstance(df.schema[col].dataType, DecimalType):
-            casts[col] = quoted(col).cast(target)
+            casts[col] = _cast(quoted(col), df.schema[col].dataType, target, col)
     return df.withColumns(casts)
 
 
+def _cast(value: Column, source: DataType, target: str, name: str) -> Column:
+    """The cast, or an error for a number it would change or a text that is none, whatever the ANSI mode.
+
+    Between float and double the nearest value is meant: that is what a float column asks for.
+    """
+    whole = target in ("smallint", "int", "bigint")
+    number = whole or target in ("float", "double")
+    out = value.try_cast(target)
+    if isinstance(source, StringType) and (number or target == "boolean"):
+        bad = value.isNotNull() & out.isNull()
+    elif isinstance(source, NumericType) and number and (whole or isinstance(source, IntegralType)):
+        bad = ~value.eqNullSafe(out.try_cast(source))
+    else:
+        return value.cast(target)
+    message = F.concat(F.lit(f"column {name}: "), value.cast("string"), F.lit(f" is not exact as {target}"))
+    return F.when(bad, F.raise_error(message)).otherwise(out)
+
+
 def year_as_smallint(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """YEAR columns, which drivers deliver as dates or numbers, as small integers."""
     years = {}
     for name in columns:
         col = resolve(df, name)
-        is_date = isinstance(df.schema[col].dataType, (DateType, TimestampType, TimestampNTZType))
-        years[col] = (F.year(quoted(col)) if is_date else quoted(col)).cast("smallint")
+        kind = df.schema[col].dataType
+        is_date = isinstance(kind, (DateType, TimestampType, TimestampNTZType))
+        year = F.year(quoted(col)) if is_date else quoted(col)
+        years[col] = _cast(year, IntegerType() if is_date else kind, "smallint", col)
     return df.withColumns(years)

@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tablesync.functions.decimals import decimal_typed
 from tablesync.functions.texts import drop_delims
@@ -193,6 +194,9 @@ def _read(spark: SparkSession, job: ImportJob) -> tuple[DataFrame | None, Any]:
         return _scan(spark, job, None), None
     probe = _scan(spark, replace(job, num_splits=1, split_by=None, split_limit=None, columns=None), None)
     check = require_check_column(probe, job.check_column)
+    if isinstance(job.last_value, str) and isinstance(probe.schema[check].dataType, NumericType):
+        # saved state is text; a number must not reach a database in quotes
+        job = replace(job, last_value=inc.typed_value(job.last_value, probe.schema[check].dataType))
     if job.incremental == inc.APPEND:
         upper = _max_value(spark, job, probe, check)
     else:
@@ -323,7 +327,7 @@ def merge_paths(
 ) -> None:
     """Merge the files at ``new_path`` into those at ``old_path``.
 
-    The result goes to ``target`` or, by default, takes the old files' place once
+    Without new rows, files whose keys are unique stay as they are. Otherwise the result goes to ``target`` or, by default, takes the old files' place once
     it is complete. Parquet schemas are checked over the footers of all files;
     ``check_all_files=False`` trusts one file per side, for datasets with so many
     files that opening them all is too slow. ``schema`` is needed for text.
@@ -336,13 +340,17 @@ def merge_paths(
     if not has_data(spark, old_path):
         raise ValueError(f"no existing data at {old_path} to merge into")
     old = read_files(spark, old_path, layout, read_schema, **options)
-    if has_data(spark, new_path):
-        new = read_files(spark, new_path, layout, read_schema, **options)
+    in_place = target is None or target.rstrip("/") == old_path.rstrip("/")
+    new = read_files(spark, new_path, layout, read_schema, **options) if has_data(spark, new_path) else None
+    if new is not None:
         merge_schema_check(old.schema, new.schema, strict=layout == "avro")
+    if in_place and old_is_unique and (new is None or new.isEmpty()):
+        return
+    if new is not None:
         merged = merge_latest(old, new, key, tie_break, key_as_text, old_is_unique)
     else:
         merged = old if old_is_unique else latest_per_key(old, key, tie_break, key_as_text)
-    if target is None or target.rstrip("/") == old_path.rstrip("/"):
+    if in_place:
         write_and_swap(merged, old_path, lambda frame, to: write_files(frame, to, layout, codec, **write_options))
     else:
         write_files(merged, target, layout, codec, **write_options)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from decimal import Decimal
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +144,8 @@ def range_options(split_by: str, bounds: Sequence, n: int, split_limit: int | No
     count = split_count(lo, hi, n, split_limit)
     if lo is None or hi is None or count == 1:
         return {}
+    if isinstance(lo, (float, Decimal)) or isinstance(hi, (float, Decimal)):
+        lo, hi = floor(lo), ceil(hi)  # bounds of number columns are read as whole numbers
     return {
         "partitionColumn": split_by,
         "lowerBound": str(lo),

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
 
 import tablesync as ts
 from tablesync.sinks.files import read_text
+from tablesync.sources.splits import range_options
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -93,3 +96,80 @@ def test_buckets_have_one_file_each(spark):
     ts.write_table(spark.range(0, 1000, 1, 16), "few_files", bucket_by=(4, ["id"]))
     assert len({os.path.basename(f) for f in spark.table("few_files").inputFiles()}) <= 4
     spark.sql("DROP TABLE few_files")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "value, target",
+    [
+        ("1099511627776L", "INTEGER"),
+        ("1.9D", "INTEGER"),
+        ("9007199254740993L", "DOUBLE"),
+        ("'1.9'", "INTEGER"),
+        ("'much'", "DOUBLE"),
+    ],
+)
+def test_overrides_do_not_change_numbers(spark, ansi, value, target):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not exact"):
+            ts.cast_overrides(spark.sql(f"SELECT {value} AS v"), {"v": target}).collect()
+        fine = spark.sql("SELECT 2.0D AS a, 7L AS b, '12' AS c, CAST(NULL AS BIGINT) AS d")
+        out = ts.cast_overrides(fine, {"a": "INTEGER", "b": "DOUBLE", "c": "LONG", "d": "INTEGER"})
+        assert tuple(out.first()) == (2, 7.0, 12, None)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_years_that_do_not_fit(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not exact"):
+            ts.year_as_smallint(spark.sql("SELECT 70000 AS y"), ["y"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_date_texts_with_more_behind(spark):
+    def read(text, kind):
+        return ts.string_to_datetime(spark.createDataFrame([(text,)], "v string"), {"v": kind}).first()[0]
+
+    for text, kind in [
+        ("2024-01-01 junk", "date"),
+        ("2024-01-01T10:00:00", "date"),
+        ("2024-01-01 10:00:00+02:00", "timestamp_ntz"),
+        ("2024-01-01 10:00:00 Z", "timestamp_ntz"),
+    ]:
+        with pytest.raises(Exception, match="not a"):
+            read(text, kind)
+    assert str(read(" 2024-1-2 ", "date")) == "2024-01-02"
+    assert str(read("2024-01-01 10:00:00.25", "timestamp_ntz")) == "2024-01-01 10:00:00.250000"
+
+
+def test_bounds_of_number_columns_are_whole():
+    options = range_options("price", (Decimal("-1.50"), Decimal("9.25")), 4)
+    assert (options["lowerBound"], options["upperBound"]) == ("-2", "10")
+    options = range_options("price", (0.5, 1e3), 4)
+    assert (options["lowerBound"], options["upperBound"]) == ("0", "1000")
+
+
+def test_merge_without_new_rows_leaves_the_files(spark, tmp_path):
+    source = spark.sql("SELECT 1 AS k, TIMESTAMP'2024-01-01 00:00:00' AS at")
+    job = ts.ImportJob(
+        source=source,
+        target_dir=str(tmp_path / "t"),
+        layout="parquet",
+        incremental="lastmodified",
+        check_column="at",
+        merge_key="k",
+        old_is_unique=True,
+        now=datetime(2024, 1, 2),
+        job="j",
+        state_path=str(tmp_path / "state"),
+    )
+    ts.run_import(spark, job)
+    before = sorted(p.name for p in (tmp_path / "t").iterdir())
+    ts.run_import(spark, replace(job, now=datetime(2024, 1, 3)))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == before
+    assert "2024-01-03" in str(ts.load_state(spark, job.state_path, "j")["last_value"])
