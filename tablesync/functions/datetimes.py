@@ -50,22 +50,20 @@ def string_to_datetime(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return _convert(df, types, ("date", "timestamp", "timestamp_ntz"), _from_text)
 
 
+#: A date, with or without a time of day, and no zone.
+PLAIN_TEXT = (
+    "^[+-]?\\d{4,7}(-\\d{1,2}(-\\d{1,2}([ T]\\d{1,2}:\\d{1,2}(:\\d{1,2}(\\.\\d{1,9})?)?)?)?)?$"
+)
+
+
 def _from_text(value: Column, kind: str) -> Column:
     parsed = value.try_cast(kind)
-    if kind in PLAIN_TEXT:  # the cast overlooks what follows a date, and a zone offset
-        parsed = F.when(F.trim(value).rlike(PLAIN_TEXT[kind]), parsed)
+    if kind != "timestamp":  # the cast overlooks what follows a date, and a zone offset
+        parsed = F.when(F.trim(value).rlike(PLAIN_TEXT), parsed)
     bad = F.raise_error(F.concat(F.lit(f"not a {kind}: "), value))
     return F.when(value.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
 
 
-_DATE = "[+-]?\\d{4,7}(-\\d{1,2}(-\\d{1,2}"
-#: What a text without a zone may look like.
-PLAIN_TEXT = {
-    "date": f"^{_DATE})?)?$",
-    "timestamp_ntz": f"^{_DATE}([ T]\\d{{1,2}}:\\d{{1,2}}(:\\d{{1,2}}(\\.\\d{{1,9}})?)?)?)?)?$",
-}
-
-
 def _convert(df, types, allowed, convert) -> DataFrame:
     out = {}
     for name, kind in types.items():

@@ -137,12 +137,13 @@ def test_date_texts_with_more_behind(spark):
 
     for text, kind in [
         ("2024-01-01 junk", "date"),
-        ("2024-01-01T10:00:00", "date"),
+        ("2024-01-01T10:00:00+02:00", "date"),
         ("2024-01-01 10:00:00+02:00", "timestamp_ntz"),
         ("2024-01-01 10:00:00 Z", "timestamp_ntz"),
     ]:
         with pytest.raises(Exception, match="not a"):
             read(text, kind)
+    assert str(read("2024-01-02T10:00:00", "date")) == "2024-01-02"
     assert str(read(" 2024-1-2 ", "date")) == "2024-01-02"
     assert str(read("2024-01-01 10:00:00.25", "timestamp_ntz")) == "2024-01-01 10:00:00.250000"
 
