@@ -5,7 +5,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+import re
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -14,8 +17,10 @@ import regex
 from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
-#: Pre-tokens remembered by a worker before it forgets them all.
-REMEMBERED = 200_000
+#: Texts that a worker remembers before it forgets those it has not met again since as many others.
+REMEMBERED = 500_000
+#: A single space between two characters that are none.
+_BETWEEN_WORDS = re.compile(r" (?<=\S )(?=\S)")
 
 
 class PerfectHash:
@@ -77,56 +82,94 @@ class ByteBpe:
         return [self.rank_of_key[found]] if found is not None else self._merge(piece)
 
     def _merge(self, piece: bytes) -> list[int]:
-        n, ranks = len(piece), self.ranks
-        parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < n and (rank := ranks.get(parts[i] + parts[j])) is not None:
-                heapq.heappush(heap, (rank, i, len(parts[i]), len(parts[j])))
-
-        for i in range(n - 1):
-            offer(i)
+        """Parts are linked by where each ends and begins; the heap holds rank * n + start of each mergeable pair."""
+        n, rank_of = len(piece), self.ranks.get
+        end, begin = list(range(1, n + 1)), list(range(-1, n))
+        pairs = [rank_of(piece[i : i + 2]) for i in range(n)]
+        pairs[-1:] = [None] * (n > 0)
+        heap = [rank * n + i for i, rank in enumerate(pairs) if rank is not None]
+        heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
-            if parts[i] is None or len(parts[i]) != left:
-                continue
-            j = after[i]
-            if j >= n or len(parts[j]) != right:
+            rank, i = divmod(heapq.heappop(heap), n)
+            if pairs[i] != rank:
                 continue  # one side has grown since
-            parts[i], parts[j] = parts[i] + parts[j], None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [ranks[part] for part in parts if part is not None]
+            j, k = end[i], end[end[i]]
+            end[i], begin[k], pairs[j] = k, i, None
+            pairs[i] = rank_of(piece[i : end[k]]) if k < n else None
+            if pairs[i] is not None:
+                heapq.heappush(heap, pairs[i] * n + i)
+            if i:
+                h = begin[i]
+                pairs[h] = rank_of(piece[h:k])
+                if pairs[h] is not None:
+                    heapq.heappush(heap, pairs[h] * n + h)
+        ids, i = [], 0
+        while i < n:
+            ids.append(self.ranks[piece[i : end[i]]])
+            i = end[i]
+        return ids
 
 
-class EncodedPieces(dict):
-    """Pre-token text to its ids as bytes; a bounded memory of what was encoded before."""
+class Remembered(dict):
+    """What a function gave for short texts; a bounded memory that forgets what is not met again."""
 
-    def __init__(self, encode):
+    def __init__(self, compute: Callable[[str], bytes]):
         super().__init__()
-        self.encode = encode
+        self.compute = compute
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, text: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        ids = np.array(self.encode(piece), "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.compute(text)
+        if len(text) <= 64:
+            self[text] = ids
         return ids
 
 
+class TextEncoder:
+    """A text to its ids as little-endian unsigned 32-bit numbers, each match of the pattern encoded separately.
+
+    A space between two other characters must start a match, as in all patterns that take one space
+    along with the word after it. So texts are cut there first, and a word met before is neither split
+    nor encoded again.
+    """
+
+    def __init__(self, pattern: str, encode: Callable[[str], list[int]]):
+        self.split = regex.compile(pattern).findall
+        self.pieces = Remembered(lambda piece: _bytes_of(encode(piece)))
+        self.words = Remembered(lambda word: self._matches(" " + word))
+
+    def _matches(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def __call__(self, text: str | None) -> bytes:
+        first, *words = _BETWEEN_WORDS.split(text or "")
+        return self._matches(first) + b"".join(map(self.words.__getitem__, words))
+
+
+def _bytes_of(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if numbers.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, "<u4").tobytes()
+    return numbers.tobytes()
+
+
 @cache
 def _bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+@cache
+def _encoder(path: str, pattern: str) -> TextEncoder:
+    """One per worker process: what one task has met helps the next."""
+    bpe = _bpe(path)
+    return TextEncoder(pattern, lambda piece: bpe.encode(piece.encode()))
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id and ``ids``, the little-endian unsigned 32-bit ids of the whole text.
 
@@ -136,11 +179,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(ranks_path)
-        split, pieces = regex.compile(pattern).findall, EncodedPieces(lambda piece: bpe.encode(piece.encode()))
+        encode_text = _encoder(ranks_path, pattern)
         for batch in batches:
-            texts = batch.column(1)
-            ids = [b"".join(map(pieces.__getitem__, split(t.as_py()))) if t.is_valid else b"" for t in texts]
+            ids = [encode_text(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
@@ -172,14 +213,12 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(ranks_path)
-        split, pieces = regex.compile(pattern).findall, EncodedPieces(lambda piece: bpe.encode(piece.encode()))
-        token = bpe.tokens.__getitem__
+        encode_text, token = _encoder(ranks_path, pattern), _bpe(ranks_path).tokens.__getitem__
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                ids = b"".join(map(pieces.__getitem__, split(text.as_py()))) if text.is_valid else b""
+                ids = encode_text(text.as_py())
                 decoded = b"".join(map(token, np.frombuffer(ids, "<u4").tolist()))
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             columns = list(zip(*rows, strict=True)) or [[], [], []]

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import binascii
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.byte_bpe import EncodedPieces
+from tablesync.llm.byte_bpe import TextEncoder
 from tablesync.llm.words import keyed, public_id, written
 
 #: Rows that one task numbers, on average, inside a length and salt.
@@ -133,12 +132,30 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacities: Capacities)
 
 
 @cache
-def _tokenizer(path: str):
+def _encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
+    """One per worker process: what one task has met helps the next."""
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    encode_piece = encode
+    if tokenizer.normalizer is None and isinstance(tokenizer.pre_tokenizer, ByteLevel):
+        # a pre-token goes to the library's model straight, in the letters that byte-level vocabularies use
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        tokenize = tokenizer.model.tokenize
+        encode_piece = lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
+    by_words = TextEncoder(pattern, encode_piece)
+
+    def run(text: str | None) -> bytes:
+        # the library looks for added tokens in the whole text before it splits it
+        whole = text and any(token in text for token in added)
+        return np.array(encode(text), "<u4").tobytes() if whole else by_words(text)
+
+    return run
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, tokens: int, end_id: int = 0) -> DataFrame:
@@ -147,19 +164,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, tokens: int
     A document is its text's ids and ``end_id``; null counts as empty. If it is longer than
     ``tokens`` it is cut so that all pieces but the first are full. The tokenizer sees each
     pre-token of the pattern alone, which it would cut out itself, so words met before need not be
-    tokenized again.
+    tokenized again. A text with an added token of the tokenizer goes to it whole.
     """
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(tokenizer_path).encode
-        split = regex.compile(pattern).findall
-        known = EncodedPieces(lambda piece: encode(piece, add_special_tokens=False).ids)
+        encode_text = _encoder(tokenizer_path, pattern)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = b"".join(map(known.__getitem__, split(text.as_py()))) + end if text.is_valid else end
+                ids = encode_text(text.as_py()) + end
                 n = len(ids) // 4
                 start, stop, piece = 0, n % tokens or tokens, 0
                 while start < n:
