@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tablesync.llm.words import keyed, mixed, public_id, signed, word_hashes, words_of, written
+from tablesync.llm.words import keyed, mixed, public_id, signed, word_hashes, written
 from tablesync.storage import qualified, shared_dir
 
 #: Grams that a task keeps before it sorts, adds up and hands them on.
@@ -33,11 +33,9 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 def tokens_of(text: str | None) -> np.ndarray:
     """Hashes of the lower-cased words and the one end. No word's hash equals those of end and start but by chance."""
-    words = words_of(text)
-    if not words:
-        return np.array([END])
-    # white space and bytes beyond ASCII do not change, so the words can be lowered together
-    return np.append(word_hashes(b" ".join(words).translate(_LOWER).split(b" ")), END)
+    # white space and bytes beyond ASCII do not change, so the text can be lowered before it is split
+    words = (text or "").encode().translate(_LOWER).split()
+    return np.append(word_hashes(words), END)
 
 
 def gram_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
