@@ -126,7 +126,7 @@ def scan_query(spark, sf_dir):
 
 @_query("""
 WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem)
-SELECT lineitem.*, CAST((l_orderkey - lo) // ((hi - lo + 8) // 8) AS INTEGER) AS split_id FROM lineitem, b""")
+SELECT lineitem.*, CAST((l_orderkey - lo) // ((hi - lo + 8) // 8) AS BIGINT) AS split_id FROM lineitem, b""")
 def split_scan(spark, sf_dir):
     rows = ts.split_scan(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey", 8)
     return ts.with_split_id(rows, "l_orderkey", 8)
@@ -147,7 +147,7 @@ WITH b AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {table}),
 w AS (SELECT lo, hi, {width} AS width FROM b),
 s AS (SELECT lo, hi, width, unnest(range(0, (hi - lo) // width + 1)) AS split_id FROM w),
 c AS (SELECT CAST(({col} - lo) // width AS BIGINT) AS split_id, count(*) AS n FROM {table}, w GROUP BY 1)
-SELECT CAST(s.split_id AS INTEGER) AS split_id, lo + s.split_id * width AS low,
+SELECT CAST(s.split_id AS BIGINT) AS split_id, lo + s.split_id * width AS low,
        least(lo + (s.split_id + 1) * width - 1, hi) AS high, coalesce(n, 0) AS rows
 FROM s LEFT JOIN c ON s.split_id = c.split_id"""
 

@@ -55,31 +55,32 @@ def with_split_id(df: DataFrame, col: str, n: int, split_limit: int | None = Non
     col = resolve(df, col)
     refuse_column(df, "split_id")
     layout = _layout(df, col, n, split_limit)
-    split = F.call_function("div", quoted(col).cast("bigint") - layout["lo"], layout["width"])
-    return df.withColumn("split_id", F.coalesce(split, F.lit(0)).cast("int"))
+    return df.withColumn("split_id", _split_id(col, layout["lo"], layout["width"]))
+
+
+def _split_id(col: str, lo: Column, width: Column) -> Column:
+    return F.coalesce(F.call_function("div", quoted(col).cast("bigint") - lo, width), F.lit(0)).cast("bigint")
 
 
 def split_plan(df: DataFrame, col: str, n: int, split_limit: int | None = None) -> DataFrame:
     """One row per split: ``split_id, low, high`` (both inclusive) and ``rows``.
 
     Rows are counted map-side per split, so one range holding most rows costs no
-    more than the others. Empty splits are listed with 0 rows.
+    more than the others. Empty splits are listed with 0 rows. The bounds are read
+    at once; the splits are then listed by as many tasks as Spark's own ranges.
     """
     col = resolve(df, col)
-    low = F.col("lo") + F.col("id") * F.col("width")
-    last_split = F.call_function("div", F.col("hi") - F.col("lo"), F.col("width"))
-    ranges = (
-        df.sparkSession.range(1)
-        .select(_layout(df, col, n, split_limit).alias("layout"))
-        .select("layout.*")
-        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_split)).alias("id"))
-        .select(
-            F.col("id").cast("int").alias("split_id"),
-            low.alias("low"),
-            F.least(low + F.col("width") - 1, F.col("hi")).alias("high"),
-        )
+    spark = df.sparkSession
+    lo, hi, width = single_row(spark.range(1).select(_layout(df, col, n, split_limit).alias("layout")).select("layout.*"))
+    splits = 0 if width is None else (hi - lo) // width + 1
+    low = F.lit(lo).cast("bigint") + F.col("id") * F.lit(width).cast("bigint")
+    # the last split may be shorter; ending it from below cannot overflow
+    left = F.lit(hi).cast("bigint") - low
+    ranges = spark.range(splits).select(
+        F.col("id").alias("split_id"), low.alias("low"), (low + F.least(F.lit(width).cast("bigint") - 1, left)).alias("high")
     )
-    counts = with_split_id(df.select(quoted(col)), col, n, split_limit).groupBy("split_id").agg(F.count("*").alias("rows"))
+    keys = df.select(_split_id(col, F.lit(lo).cast("bigint"), F.lit(width).cast("bigint")).alias("split_id"))
+    counts = keys.groupBy("split_id").agg(F.count("*").alias("rows"))
     return ranges.join(counts, "split_id", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))
 
 

@@ -145,6 +145,14 @@ def test_split_plan_covers_every_row_once(spark, n, limit):
         assert limit is None or r["high"] - r["low"] < limit
 
 
+def test_many_splits(spark):
+    ends = spark.createDataFrame([(0,), (4 * 10**9,)], "key bigint")
+    assert sorted(r["split_id"] for r in ts.with_split_id(ends, "key", 1, 1).collect()) == [0, 4 * 10**9]
+    plan = ts.split_plan(ends, "key", 1, 400)
+    row = plan.agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), F.max("high").alias("high")).first()
+    assert tuple(row) == (10**7 + 1, 2, 4 * 10**9)
+
+
 def test_split_plan_edges(spark):
     assert ts.split_plan(spark.range(0), "id", 4).collect() == []
     wide = spark.createDataFrame([(-(2**62),), (2**62 - 1,)], "key bigint")
