@@ -13,8 +13,9 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tablesync.llm import embedding_dedup, kneser_ney, license_scan, minhash_icws, packing, preference_format
+from tablesync.llm import byte_bpe, embedding_dedup, kneser_ney, license_scan, minhash_icws, packing, preference_format
 from tablesync.llm import quality_ledger, sharding, substring_dedup
 from tablesync.llm.byte_bpe import decode_ids, encode_documents, round_trip
 from tablesync.llm.packing import Capacities, plan_bins
@@ -165,6 +166,23 @@ def test_bpe_as_the_library(docs):
         assert bytes(r.bytes).decode() == text
 
 
+def test_encoders_on_odd_white_space(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)  # so that much is forgotten
+    rng = np.random.default_rng(1)
+    letters = list(" \t\n\r\x1c\x85\xa0\u2003\u3000 ab'sré1½#<|>.\u0301")
+    texts = ["".join(rng.choice(letters, rng.integers(40))) for _ in range(3000)]
+    texts += ["", " ", "x" * 5000, "a b " * 3, "one <|endoftext|> two"]
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    ranks = byte_bpe.ByteBpe(RANKS)
+    library = tiktoken.Encoding("x", pat_str=pattern, mergeable_ranks=ranks.ranks, special_tokens={})
+    own = byte_bpe.TextEncoder(pattern, lambda piece: ranks.encode(piece.encode()))
+    assert [np.frombuffer(own(t), "<u4").tolist() for t in texts] == [library.encode_ordinary(t) for t in texts]
+    tokenizer = Tokenizer.from_file(path)
+    own = packing._encoder(path, pattern)
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(own(t), "<u4").tolist() for t in texts] == expected
+
+
 def test_kneser_ney_sums_to_one(spark):
     """Over all known words and one unknown, the model's probabilities after any word make one."""
     texts = [(i, " ".join(f"w{(i * j) % 7}" for j in range(1, 30))) for i in range(60)]
