@@ -138,17 +138,50 @@ def first_graph(spark: SparkSession, units: DataFrame, settings: Settings, turn:
     return pairs.where("a <> b").dropDuplicates(["a", "b"])
 
 
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.select("a", "b", "s").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+def classed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` with class_a and class_b; what is linked with nothing yet is its own class."""
+    for end in ("a", "b"):
+        of_end = classes.select(F.col("id").alias(end), F.col("component").alias("found"))
+        pairs = pairs.join(of_end, end, "left").withColumn(f"class_{end}", F.coalesce("found", end)).drop("found")
+    return pairs
+
 
+def bridged(spark: SparkSession, classes: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """``classes`` (id, component) after further links (a, b), and whether any of these was between two classes.
 
-def best_lists(pairs: DataFrame, settings: Settings, widen: int) -> DataFrame:
-    """Directed lists (a, b, s): the best of each a; a saturated one may hold ``widen`` times as many."""
-    rank = Window.partitionBy("a").orderBy(F.desc("s"), "b")
-    ranked = _both_ways(pairs).withColumn("rank", F.row_number().over(rank))
+    What is kept of the links is what they join: pairs of classes, each once. So no
+    link is lost to the bounds of lists, and the table has one row per linked vector.
+    """
+    between = classed(links.select("a", "b"), classes).where("class_a <> class_b")
+    between = between.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"))
+    bridges = written(spark, between.distinct(), "bridges")
+    if bridges.isEmpty():
+        return classes, False
+    joined = written(spark, components(spark, bridges), "joined-classes")
+    least = joined.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    old = classes.join(least, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+    new = joined.join(classes, "id", "left_anti").select("id", "component")
+    return written(spark, old.unionByName(new), "vector-classes"), True
+
+
+def best_lists(pairs: DataFrame, classes: DataFrame, settings: Settings, widen: int) -> DataFrame:
+    """Directed lists (a, b, s): the best of each a; a saturated one may hold ``widen`` times as many.
+
+    As many further places are for the nearest of other classes, the best one of each. These are not
+    links, or the classes would be one: links inside a class, however many, leave no foreign neighbour out.
+    """
+    known = classed(pairs.select("a", "b", "s"), classes)
+    swapped = known.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b"))
+    best = [F.desc("s"), "b"]
+    line = Window.partitionBy("a").orderBy(*best)
+    ranked = known.unionByName(swapped).repartition("a")
+    of_class = F.row_number().over(Window.partitionBy("a", "class_b").orderBy(*best))
+    ranked = ranked.withColumn("foreign", (of_class == 1) & (F.col("class_a") != F.col("class_b")))
+    ranked = ranked.withColumn("rank", F.row_number().over(line)).withColumn("foreigners", F.count_if("foreign").over(line))
     limit = min(settings.neighbours * widen, settings.most_neighbours)
     # the further places are for links: they are taken only if all before them are links, too
-    return ranked.where((F.col("rank") <= settings.neighbours) | ((F.col("rank") <= limit) & (F.col("s") >= settings.similarity))).drop("rank")
+    own = (F.col("rank") <= settings.neighbours) | ((F.col("rank") <= limit) & (F.col("s") >= settings.similarity))
+    return ranked.where(own | (F.col("foreign") & (F.col("foreigners") <= settings.neighbours))).select("a", "b", "s")
 
 
 def _local_join(settings: Settings):
@@ -185,11 +218,13 @@ def _local_join(settings: Settings):
     return run
 
 
-def descend(spark: SparkSession, units: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """Refine the graph until nothing changes: the neighbours of each vector are compared with each other."""
+def descend(spark: SparkSession, units: DataFrame, pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The classes after the graph is refined until nothing changes: the neighbours of each vector are compared
+    with each other. Every link that a turn measures joins classes, also if the next lists have no place for it.
+    """
     marks = None
     for turn in range(settings.descents):
-        lists = written(spark, best_lists(pairs, settings, 2**turn), "neighbours")
+        lists = written(spark, best_lists(pairs, classes, settings, 2**turn), "neighbours")
         now = tuple(lists.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == marks:
             break
@@ -199,7 +234,8 @@ def descend(spark: SparkSession, units: DataFrame, pairs: DataFrame, settings: S
         found = ordered.mapInArrow(_local_join(settings), "a long, b long, s double")
         known = lists.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
         pairs = written(spark, known.unionByName(found).groupBy("a", "b").agg(F.max("s").alias("s")), "refined")
-    return pairs
+        classes, _ = bridged(spark, classes, pairs.where(F.col("s") >= settings.similarity))
+    return classes
 
 
 def audit(units: DataFrame, settings: Settings) -> DataFrame:
@@ -259,7 +295,8 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
     """``id``, ``n_links`` and ``component`` of each distinct id of ``vectors`` (id, embedding).
 
     1. Equal unit vectors are one node that stands for its copies.
-    2. ``first_graph`` gives similar pairs, ``descend`` refines them; what reaches the threshold is a link.
+    2. ``first_graph`` gives similar pairs, ``descend`` refines them; every pair measured on the way that
+       reaches the threshold joins two classes (``bridged``).
     3. ``audit`` measures the recall on a bounded set of vectors. Its links are added, and
        if too many are new the search goes on with other cuts of space.
     4. Links are counted anew inside each class, all with all in blocks, so the lists' bounds
@@ -274,20 +311,16 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
     bare = nodes.select("id", "vec")
     n = nodes.count()
     truth = written(spark, audit(bare, settings), "audit")
-    links = None
+    classes = spark.createDataFrame([], "id long, component long")
     for turn in range(settings.rounds):
-        pairs = descend(spark, bare, first_graph(spark, bare, settings, turn, n), settings)
-        new = pairs.where(F.col("s") >= settings.similarity).select("a", "b")
-        links = written(spark, new if links is None else links.unionByName(new).distinct(), "vector-links")
-        classes = written(spark, components(spark, links), "vector-classes")
-        ends = [classes.select(F.col("id").alias(c), F.col("component").alias(f"class_{c}")) for c in ("a", "b")]
-        judged = truth.join(ends[0], "a", "left").join(ends[1], "b", "left")
-        same = F.coalesce(F.col("class_a") == F.col("class_b"), F.lit(False))
-        found, all_links = judged.agg(F.count(F.when(same, 1)), F.count("*")).first()
+        pairs = written(spark, first_graph(spark, bare, settings, turn, n), "first-graph")
+        classes, _ = bridged(spark, classes, pairs.where(F.col("s") >= settings.similarity))
+        classes = descend(spark, bare, pairs, classes, settings)
+        same = F.col("class_a") == F.col("class_b")
+        found, all_links = classed(truth, classes).agg(F.count_if(same), F.count("*")).first()
         if found >= settings.recall * all_links:
             break
-    if found < all_links:
-        classes = written(spark, components(spark, links.unionByName(truth)), "vector-classes")
+    classes, _ = bridged(spark, classes, truth)
     counts = count_links(classes.join(nodes, "id").select("component", "id", "vec", "copies"), settings)
     of_node = stands.join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left").join(
         counts.withColumnRenamed("id", "rep"), "rep", "left"

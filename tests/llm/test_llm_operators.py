@@ -124,6 +124,45 @@ def test_nn_descent_odd_vectors(spark):
     assert got == Counter(want + [(i, 0, i, True) for i in (5, 6, 7, 8, 9, 10)])
 
 
+def brute_links(rows, similarity=0.95):
+    """(n_links, component) by id, of vectors that are all comparable."""
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    linked = x @ x.T >= similarity
+    np.fill_diagonal(linked, False)
+    component = ids.copy()
+    while True:
+        least = np.array([min(component[i], component[near].min(initial=component[i])) for i, near in enumerate(linked)])
+        if (least == component).all():
+            return {int(i): (int(n), int(c)) for i, n, c in zip(ids, linked.sum(axis=1), component, strict=True)}
+        component = least
+
+
+def near(random, center, cosine):
+    """A vector at exactly that cosine from a unit vector."""
+    away = random.standard_normal(len(center))
+    away -= (away @ center) * center
+    return cosine * center + math.sqrt(1 - cosine**2) * away / np.linalg.norm(away)
+
+
+def links_found(spark, rows, settings):
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    return {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.op3_nn_descent(spark, vectors, settings).collect()}
+
+
+def test_links_between_tight_groups(spark):
+    random = np.random.default_rng(5)
+    rows = []
+    for _ in range(6):
+        u = near(random, np.eye(32)[0], 0.0)
+        for center in (u, near(random, u, 0.956)):
+            rows += [(len(rows) + i, near(random, center, 0.99999)) for i in range(20)]
+    want = brute_links(rows)
+    assert len({c for _, c in want.values()}) == 6 and all(n > 30 for n, _ in want.values())
+    assert links_found(spark, rows, embedding_dedup.Settings(queries=1)) == want
+
+
 def test_preference_format(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (3, 0, "user", None), (None, None, None, "x")]
     found = preference_format.op4_preference_format(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
