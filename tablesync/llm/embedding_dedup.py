@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,9 @@ class Settings:
     The first graph comes from ``tables`` random cuts of space, in each of which a vector
     meets the ``reach`` next ones of its bucket. Lists hold the best ``neighbours`` of ``floor`` or more. A
     list full of links is saturated and may grow to ``most_neighbours``. ``queries`` vectors are
-    checked against all others; if less than ``recall`` of their links are found, the search goes on with other
-    cuts, ``rounds`` times at most.
+    checked against all others. The search goes on with other cuts until these bring no new link between
+    classes and ``recall`` of the audited links is found, among vectors of few links as among those of many.
+    After ``rounds`` rounds each further one has twice the ``reach``, so that in the end whole buckets are compared.
     """
 
     similarity: float = 0.95
@@ -131,8 +132,9 @@ def first_graph(spark: SparkSession, units: DataFrame, settings: Settings, turn:
     coded = written(spark, coded, "cuts")
     crowded = coded.groupBy("cut", "bucket").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED)
     salts = F.coalesce(F.ceil(F.col("n") / CROWDED), F.lit(1))
-    # other salts in every cut, so that what one separates another joins
-    salted = coded.join(crowded, ["cut", "bucket"], "left").withColumn("salt", F.pmod(F.xxhash64("id", "cut"), salts).cast("int"))
+    # other salts in every cut and turn, so that what one separates another joins
+    salt = F.pmod(F.xxhash64("id", "cut", F.lit(turn)), salts).cast("int")
+    salted = coded.join(crowded, ["cut", "bucket"], "left").withColumn("salt", salt)
     ordered = salted.repartition("cut", "bucket", "salt").sortWithinPartitions("cut", "bucket", "salt", "line", "id")
     pairs = ordered.select("cut", "bucket", "salt", "id", "vec").mapInArrow(_next_ones(settings), "a long, b long, s double")
     return pairs.where("a <> b").dropDuplicates(["a", "b"])
@@ -260,6 +262,19 @@ def audit(units: DataFrame, settings: Settings) -> DataFrame:
     return units.select("id", "vec").mapInArrow(run, "a long, b long").where("a <> b")
 
 
+def recalled(truth: DataFrame, classes: DataFrame) -> float:
+    """The least mean recall of the audited links (a, b) over strata of vectors a with about as many links.
+
+    A link is found if its ends share a class, as ``count_links`` then compares them. The recall is taken per
+    vector, and vectors are set apart by the power of two of their links, so a hot group does not outvote
+    isolated pairs. 1 if no audited vector has links.
+    """
+    met = F.avg((F.col("class_a") == F.col("class_b")).cast("double"))
+    of_vector = classed(truth, classes).groupBy("a").agg(met.alias("found"), F.length(F.bin(F.count("*"))).alias("stratum"))
+    least = of_vector.groupBy("stratum").agg(F.avg("found").alias("found")).agg(F.min("found")).first()[0]
+    return 1.0 if least is None else least
+
+
 def _count_links(settings: Settings):
     """Links of each vector of one or two blocks of a class, as sums of the copies they stand for."""
 
@@ -297,8 +312,8 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
     1. Equal unit vectors are one node that stands for its copies.
     2. ``first_graph`` gives similar pairs, ``descend`` refines them; every pair measured on the way that
        reaches the threshold joins two classes (``bridged``).
-    3. ``audit`` measures the recall on a bounded set of vectors. Its links are added, and
-       if too many are new the search goes on with other cuts of space.
+    3. The search goes on with other cuts of space until these find nothing new and ``audit``, which
+       measures the recall on a bounded set of vectors, finds it high enough. Its links are added.
     4. Links are counted anew inside each class, all with all in blocks, so the lists' bounds
        leave no link of a class out.
     """
@@ -312,14 +327,15 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
     n = nodes.count()
     truth = written(spark, audit(bare, settings), "audit")
     classes = spark.createDataFrame([], "id long, component long")
-    for turn in range(settings.rounds):
-        pairs = written(spark, first_graph(spark, bare, settings, turn, n), "first-graph")
-        classes, _ = bridged(spark, classes, pairs.where(F.col("s") >= settings.similarity))
-        classes = descend(spark, bare, pairs, classes, settings)
-        same = F.col("class_a") == F.col("class_b")
-        found, all_links = classed(truth, classes).agg(F.count_if(same), F.count("*")).first()
-        if found >= settings.recall * all_links:
+    turn = 0
+    while True:
+        wide = replace(settings, reach=settings.reach * 2 ** max(0, turn + 1 - settings.rounds))
+        pairs = written(spark, first_graph(spark, bare, wide, turn, n), "first-graph")
+        classes, more = bridged(spark, classes, pairs.where(F.col("s") >= settings.similarity))
+        if turn and not more and recalled(truth, classes) >= settings.recall:
             break
+        classes = descend(spark, bare, pairs, classes, settings)
+        turn += 1
     classes, _ = bridged(spark, classes, truth)
     counts = count_links(classes.join(nodes, "id").select("component", "id", "vec", "copies"), settings)
     of_node = stands.join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left").join(

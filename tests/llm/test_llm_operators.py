@@ -163,6 +163,24 @@ def test_links_between_tight_groups(spark):
     assert links_found(spark, rows, embedding_dedup.Settings(queries=1)) == want
 
 
+def test_isolated_pairs_beside_a_hot_group(spark):
+    random = np.random.default_rng(6)
+    hot = near(random, np.eye(24)[0], 0.0)
+    rows = [(i, near(random, hot, 0.99)) for i in range(1000)]
+    for _ in range(1500):
+        x = near(random, hot, random.uniform(-0.3, 0.3))
+        rows += [(len(rows), x), (len(rows) + 1, near(random, x, 0.951))]
+    settings = embedding_dedup.Settings(queries=20, tables=8, descents=2)
+    assert links_found(spark, rows, settings) == brute_links(rows)
+
+
+def test_recall_of_few_links_is_not_outvoted(spark):
+    links = [(1, i) for i in range(100, 1100)] + [(2, 3), (4, 5)]
+    classes = [(1, 1), *[(i, 1) for i in range(100, 1100)], (2, 2), (3, 2)]
+    truth = spark.createDataFrame(links, "a long, b long")
+    assert embedding_dedup.recalled(truth, spark.createDataFrame(classes, "id long, component long")) == 0.5
+
+
 def test_preference_format(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (3, 0, "user", None), (None, None, None, "x")]
     found = preference_format.op4_preference_format(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
