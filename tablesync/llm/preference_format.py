@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-#: Conversations with one opening are paired inside blocks of so many consecutive conv_ids.
-BLOCK = 1024
+from tablesync.llm.words import written
 
 
 def rendered(turn: Column) -> Column:
@@ -76,25 +75,39 @@ def conversations_of(turns: DataFrame) -> DataFrame:
     )
 
 
+def numbered(rows: DataFrame, *group: str) -> DataFrame:
+    """``rows`` with ``number``, from 0 within a group of the whole table in the order of ``key``.
+
+    Keys lie in ranges (``key`` >> 33). Counts per group and range, their prefix sums and a
+    numbering inside each range make the number, so a group that holds most rows is numbered by many tasks.
+    """
+    ranged = rows.withColumn("range", F.shiftright("key", 33))
+    counts = ranged.groupBy(*group, "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*group, "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy(*group, "range").orderBy("key")
+    placed = ranged.withColumn("inside", F.row_number().over(inside) - 1).join(starts, [*group, "range"])
+    return placed.withColumn("number", F.col("inside") + F.col("base")).drop("range", "inside", "base")
+
+
 def op4_preference_format(turns: DataFrame) -> DataFrame:
     """Preference pairs from a table of conversations (conv_id, turn, role, text).
 
-    Conversations that open with the same turn are answers to one prompt. In the order of conv_id,
-    inside blocks of ``BLOCK`` ids, each odd one is chosen and the next one rejected. One without a partner
-    is a chosen side alone, whose rejected id is null. So each conversation is in one row and an
-    opening that very many share is paired by many tasks. An empty table gives no rows; other columns are
+    Conversations that open with the same turn are answers to one prompt. In the order of conv_id over the
+    whole table, each odd one is chosen and the next one rejected: at most one of an opening has no partner.
+    It is a chosen side alone, whose rejected id is null. An empty table gives no rows; other columns are
     not looked at.
     """
-    talks = conversations_of(turns).withColumn("opening", F.xxhash64(F.get("turns", F.lit(0))))
-    line = Window.partitionBy("opening", F.expr(f"conv_id div {BLOCK}")).orderBy("conv_id")
-    placed = talks.select(
-        F.col("conv_id").alias("chosen_id"),
-        F.col("turns").alias("chosen"),
-        F.lead("conv_id").over(line).alias("rejected_id"),
-        F.lead("turns").over(line).alias("rejected"),
-        F.row_number().over(line).alias("place"),
-    )
-    pairs = placed.where(F.col("place") % 2 == 1).drop("place")
+    # ranges of conv_id, one after the other; a key numbers the rows in that order, null first
+    talks = conversations_of(turns.repartitionByRange("conv_id")).sortWithinPartitions("conv_id")
+    talks = talks.withColumn("key", F.monotonically_increasing_id())
+    talks = written(turns.sparkSession, talks, "conversations")
+    openings = numbered(talks.select("key", F.xxhash64(F.get("turns", F.lit(0))).alias("opening")), "opening")
+    side = lambda odd: F.max(F.when(F.col("number") % 2 == odd, F.col("key")))
+    pair = F.floor(F.col("number") / 2).alias("pair")
+    pairs = openings.groupBy("opening", pair).agg(side(0).alias("key"), side(1).alias("other"))
+    sides = [talks.select(F.col("key").alias(k), F.col("conv_id").alias(f"{c}_id"), F.col("turns").alias(c)) for k, c in (("key", "chosen"), ("other", "rejected"))]
+    pairs = pairs.join(sides[0], "key").join(sides[1], "other", "left")
     return format_pairs(pairs).select(
         "chosen_id", "rejected_id", F.col("prompt_turns").cast("long").alias("prompt_turns"), "prompt",
         "chosen_completion", "chosen_mask", "rejected_completion", "rejected_mask",

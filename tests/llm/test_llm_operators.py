@@ -192,6 +192,23 @@ def test_preference_format(spark):
     assert rows.keys() == {1, 3, None} and rows[3].rejected_id is None
 
 
+def test_openings_are_paired_over_the_whole_table(spark):
+    random = np.random.default_rng(7)
+    ids = sorted({1000, 1030, *random.integers(-(10**6), 10**6, 300).tolist()})
+    opening = {i: "far" if i in (1000, 1030) else random.choice(["hot", "a", "b", "c"]) for i in ids}
+    turns = [(i, t, *x) for i in ids for t, x in enumerate([("user", str(opening[i])), ("user", f"own {i}")])]
+    random.shuffle(turns)
+    turns = [(int(i), int(t), str(role), str(text)) for i, t, role, text in turns]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {(r.chosen_id, r.rejected_id): r for r in preference_format.op4_preference_format(rows).collect()}
+    want = set()
+    for o in set(opening.values()):
+        own = [i for i in ids if opening[i] == o]
+        want |= {(a, b) for a, b in zip(own[::2], [*own[1::2], None], strict=False)}
+    assert got.keys() == want and (1000, 1030) in want
+    assert all(r.prompt_turns == 1 and r.rejected_completion == f"<|user|>\nown {b}<|end|>\n" for (_, b), r in got.items() if b is not None)
+
+
 @pytest.mark.parametrize("choose", ["norm", "dot"])
 @pytest.mark.parametrize("pieces,attention", [(None, None), (3, None), (None, 2048**2 // 2)])
 def test_plan_respects_every_capacity(choose, pieces, attention):
