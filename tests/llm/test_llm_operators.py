@@ -209,6 +209,80 @@ def test_openings_are_paired_over_the_whole_table(spark):
     assert all(r.prompt_turns == 1 and r.rejected_completion == f"<|user|>\nown {b}<|end|>\n" for (_, b), r in got.items() if b is not None)
 
 
+def brute_preferences(turns):
+    """The rows of op4 in plain Python, from (conv_id, turn, role, text)."""
+    talks = defaultdict(list)
+    for i, _, role, text in sorted(turns):
+        talks[i].append((role, text))
+    ids, openings, answers, rings = sorted(talks), defaultdict(list), {}, defaultdict(list)
+    for i in ids:
+        openings[talks[i][0]].append(i)
+        said = [n for n, (role, _) in enumerate(talks[i]) if role == "assistant"]
+        if said:
+            text = talks[i][said[-1]][1]
+            answers[i] = said[-1], text, len(f"{len(text):b}")
+            if text not in [x for x, _ in rings[answers[i][2]]]:
+                rings[answers[i][2]].append((text, i))
+    lone = sorted(own[-1] for own in openings.values() if len(own) % 2)
+    pairs = [(a, b, talks[b]) for own in openings.values() for a, b in zip(own[::2], own[1::2], strict=False)]
+    met = Counter()
+    for i in lone:
+        if i not in answers or sum(map(len, rings.values())) == 1:
+            pairs.append((i, None, []))
+            continue
+        at, text, kind = answers[i]
+        ring, turn = rings[kind], met[text]
+        met[text] += 1
+        if len(ring) > 1:
+            here = [x for x, _ in ring].index(text)
+            other, donor = ring[(here + 1 + turn % (len(ring) - 1)) % len(ring)]
+        else:
+            ring = rings[min([k for k in rings if k > kind], default=min(rings))]
+            other, donor = ring[turn % len(ring)]
+        pairs.append((i, donor, [*talks[i][:at], ("assistant", other), *talks[i][at + 1 :]]))
+    rows = []
+    for a, b, rejected in pairs:
+        n = 0
+        while n < min(len(talks[a]), len(rejected)) and talks[a][n] == rejected[n]:
+            n += 1
+        shown = lambda ts: "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in ts)
+        trained = lambda ts: tuple(f"{text}<|end|>" for role, text in ts if role == "assistant")
+        sides = [x for ts in (talks[a][n:], rejected[n:]) for x in (shown(ts), trained(ts))]
+        rows.append((a, b, n, shown(talks[a][:n]), *sides))
+    return rows
+
+
+def preferences_found(turns):
+    masked = lambda text, spans: tuple(text[s.start : s.end] for s in spans)
+    return [
+        (r.chosen_id, r.rejected_id, r.prompt_turns, r.prompt, r.chosen_completion, masked(r.chosen_completion, r.chosen_mask),
+         r.rejected_completion, masked(r.rejected_completion, r.rejected_mask))
+        for r in preference_format.op4_preference_format(turns).collect()
+    ]
+
+
+def test_preferences_of_a_whole_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = [tuple(r) for r in table.collect()]
+    want = brute_preferences(turns)
+    assert Counter(preferences_found(table)) == Counter(want)
+    answered = {i for i, _, role, _ in turns if role == "assistant"}
+    assert answered and all(n > 0 and chosen != rejected for i, _, n, _, chosen, _, rejected, _ in want if i in answered)
+
+
+def test_preferences_with_common_answers(spark):
+    random = np.random.default_rng(8)
+    texts = ["yes", "no", "it depends", "x" * 40, "y" * 300, "z" * 301]
+    turns = []
+    for i in random.permutation(400).tolist():
+        opening = "hot" if i % 3 == 0 else f"own {i}"
+        turns.append((i, 0, "user", opening))
+        for t in range(1, int(random.integers(1, 6))):
+            turns.append((i, t, str(random.choice(["user", "assistant"])), str(random.choice(texts, p=[0.6, 0.1, 0.1, 0.05, 0.1, 0.05]))))
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    assert Counter(preferences_found(rows)) == Counter(brute_preferences(turns))
+
+
 @pytest.mark.parametrize("choose", ["norm", "dot"])
 @pytest.mark.parametrize("pieces,attention", [(None, None), (3, None), (None, 2048**2 // 2)])
 def test_plan_respects_every_capacity(choose, pieces, attention):
