@@ -172,7 +172,7 @@ class Model:
     shards: tuple[tuple[str, int, int], ...]  # file, grams met once, grams met more often
     words: tuple[tuple[str, int], ...]  # file, words; empty while only grams are counted
     discounts: tuple[float, float, float]
-    unigram_discount: float
+    unigram_spare: float  # the share of grams that discounts take from the words
     tokens: int
     vocabulary: int
     gram_kinds: int
@@ -240,7 +240,7 @@ def _discount(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.n
     return np.array([0.0, *discounts])[np.minimum(counts, 3)]
 
 
-def _write_words(folder: str, discounts, unigram_discount: float, kinds: int, vocabulary: int):
+def _write_words(folder: str, discounts, unigram_discounts, unigram_spare: float, kinds: int, vocabulary: int):
     def run(table: pa.Table) -> pa.Table:
         get = lambda c: table.column(c).to_numpy()
         keys = get("word").view(np.uint64)
@@ -248,9 +248,9 @@ def _write_words(folder: str, discounts, unigram_discount: float, kinds: int, vo
         followed = np.stack([np.rint(get(c)) for c in ("once", "twice", "more")])
         total = get("followed")
         weight = np.divide(np.array(discounts) @ followed, total, out=np.ones(len(total)), where=total > 0)
-        known = np.maximum(np.rint(get("contexts")) - unigram_discount, 0) / max(kinds, 1)
-        spare = unigram_discount * vocabulary / max(kinds, 1)
-        probability = known + spare / (vocabulary + 1)
+        contexts = np.rint(get("contexts")).astype(np.int64)
+        known = (contexts - _discount(contexts, unigram_discounts)) / max(kinds, 1)
+        probability = known + unigram_spare / (vocabulary + 1)
         values = np.stack([get("n").astype(float), probability, total.astype(float), weight], axis=1)[order]
         name = f"words-{uuid4().hex}"
         fs, path = pa.fs.FileSystem.from_uri(f"{folder}/{name}")
@@ -328,17 +328,18 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     stats = stats.groupBy("word").agg(*[F.sum(c).alias(c) for c in names[1:]])
     stats = stats.join(unigrams, "word", "left").fillna(0, ["n"])  # the start is no token
     stats = written(spark, stats, "word-statistics")
-    single = F.col("contexts").cast("decimal(20,4)")
-    few = stats.agg(F.count(F.when(F.round(single) == 1, 1)).alias("n1"), F.count(F.when(F.round(single) == 2, 1)).alias("n2")).first()
-    unigram_discount = few["n1"] / (few["n1"] + 2 * few["n2"]) if few["n1"] else 0.5
+    single = F.round(F.col("contexts").cast("decimal(20,4)"))
+    few = stats.agg(*[F.count_if(single == i) for i in (1, 2, 3, 4)], F.count_if(single > 2)).first()
+    unigram_discounts = discounts_of(list(few[:4]))
+    unigram_spare = float(np.dot(unigram_discounts, [few[0], few[1], few[4]])) / max(kinds, 1)
     word_shards = _power_of_two(-(-vocabulary // PER_SHARD) or 1)
     word_files = stats.withColumn("shard", _shard("word", word_shards)).groupBy("shard").applyInArrow(
-        _write_words(f"{folder}/grams", discounts, unigram_discount, kinds, vocabulary),
+        _write_words(f"{folder}/grams", discounts, unigram_discounts, unigram_spare, kinds, vocabulary),
         "shard int, name string, words long",
     )
     found = {r["shard"]: r for r in written(spark, word_files, "word-files").collect()}
     words = tuple((found[i]["name"], found[i]["words"]) if i in found else ("", 0) for i in range(word_shards))
-    return Model(f"{folder}/grams", arrays, words, discounts, unigram_discount, tokens, vocabulary, kinds)
+    return Model(f"{folder}/grams", arrays, words, discounts, unigram_spare, tokens, vocabulary, kinds)
 
 
 def op7_kneser_ney(spark: SparkSession, docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
@@ -376,7 +377,7 @@ def _scored_together(
     """(tokens, known ones, base score, score) of each document of a group."""
     distinct = model.of_words(np.concatenate([tokens, before]))
     own, context = distinct[: len(tokens)], distinct[len(tokens) :]
-    spare = model.unigram_discount * model.vocabulary / max(model.gram_kinds, 1) / (model.vocabulary + 1)
+    spare = model.unigram_spare / (model.vocabulary + 1)
     lower = np.where(own[:, 0] > 0, own[:, 1], spare if model.gram_kinds else 1.0)
     count = model.counts(gram_of(before, tokens))
     total, weight = context[:, 2], context[:, 3]

@@ -342,6 +342,43 @@ def test_kneser_ney_sums_to_one(spark):
         assert math.isclose(sum(10**s for *_, s in scored), 1.0, rel_tol=1e-9)
 
 
+def test_kneser_ney_as_plain_python(spark, docs):
+    random = np.random.default_rng(9)
+    texts = [(i, " ".join(f"W{x}" for x in random.zipf(1.4, random.integers(1, 80)) if x < 400)) for i in range(200)]
+    rows = [(*r[:2], None, None) for r in texts] + ROWS
+    held_out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    tokens = lambda text: ["<s>", *(w.decode() for w in (text or "").encode().lower().split()), "</s>"]
+    grams = Counter(g for i, text, *_ in rows if not held_out(i) for t in [tokens(text)] for g in zip(t, t[1:], strict=False))
+    words, contexts, followers = Counter(), Counter(), defaultdict(list)
+    for (a, b), n in grams.items():
+        words[b] += n
+        contexts[b] += 1
+        followers[a].append(n)
+    discounts = lambda counts: kneser_ney.discounts_of([sum(n == i for n in counts) for i in (1, 2, 3, 4)])
+    high, low = discounts(grams.values()), discounts(contexts.values())
+    less = lambda n, ds: ds[min(n, 3) - 1] if n else 0
+    spare = sum(less(n, low) for n in contexts.values()) / len(grams) / (len(words) + 1)
+
+    def probability(a, b):
+        lower = (contexts[b] - less(contexts[b], low)) / len(grams) + spare
+        if a not in followers:
+            return lower
+        own = followers[a]
+        return (grams[a, b] - less(grams[a, b], high) + sum(less(n, high) for n in own) * lower) / sum(own)
+
+    found = kneser_ney.op7_kneser_ney(spark, spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted((r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found)
+    total = sum(words.values())
+    want = []
+    for i, text, *_ in rows:
+        t = tokens(text)
+        base = sum(math.log10((words[b] + 1) / (total + len(words) + 1)) for b in t[1:])
+        score = sum(math.log10(probability(a, b)) for a, b in zip(t, t[1:], strict=False))
+        want.append((i or -1, held_out(i), len(t) - 1, sum(b in words for b in t[1:]), total, base, score))
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
 def test_shards(spark, docs):
     rows = sharding.op8_shard_by_bytes(spark, docs).collect()
     texts = {r[0]: r[1] or "" for r in ROWS}
