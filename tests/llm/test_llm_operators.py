@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
 import math
 import zlib
@@ -15,6 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tablesync.llm import byte_bpe, embedding_dedup, kneser_ney, license_scan, minhash_icws, packing, preference_format
 from tablesync.llm import quality_ledger, sharding, substring_dedup
 from tablesync.llm.byte_bpe import decode_ids, encode_documents, round_trip
@@ -426,3 +428,44 @@ def test_near_copies_in_a_large_bucket(spark, monkeypatch):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     assert found == {i: root(i) for i in parent}
+
+
+def test_pipeline_rows_as_plain_python(spark, tmp_path):
+    random = np.random.default_rng(10)
+    vocabulary = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), random.integers(3, 9))) for _ in range(3000)]
+    prose = lambda n: [str(w) for w in random.choice(vocabulary, n, replace=False)]
+    words = {i: prose(int(random.integers(60, 200))) for i in range(30)}
+    shared = prose(40)
+    words[3], words[9], words[17] = prose(50) + shared + prose(50), prose(60) + shared, shared + prose(70)
+    words |= {40: words[5], 41: [*words[6][:-1], "changed"], 42: prose(9), 43: [], 44: prose(2900)}
+    texts = {i: " ".join(w) for i, w in words.items()}
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, t, "en", "web", len(t)) for i, t in texts.items()]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    good = {i: t for i, t in texts.items() if len(t.split()) >= 10}  # the other rules meet nothing here
+    weights = minhash_icws.weigh(spark.createDataFrame(list(good.items()), "id long, text string"), minhash_icws.Settings())
+    vectors = {i: weights.shingles(t) for i, t in good.items()}
+    alike = lambda a, b: minhash_icws.weighted_jaccard(vectors[a], vectors[b]) >= 0.8
+    single = {i: t for i, t in good.items() if not any(a < i and alike(a, i) for a in good)}  # classes are of two
+    assert good.keys() - single.keys() == {40, 41} and texts.keys() - good.keys() == {42, 43}
+    gone = brute_spans(list(single.items()))
+    assert {i for i, places in gone.items() if places} == {9, 17}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want, total = [], 0
+    for i, t in single.items():
+        kept = " ".join(w for at, w in enumerate(t.split()) if at not in gone[i])
+        ids = [*tokenizer.encode(kept, add_special_tokens=False).ids, 0]
+        total += len(ids)
+        edges = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        want += [(i, n, a, b - a, binascii.crc32(np.array(ids[a:b], "<u4").tobytes())) for n, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == Counter(want)
+    assert len(want) > len(single)
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for own in sequences.values():
+        own.sort()
+        assert [a for a, _ in own] == [sum(n for _, n in own[:at]) for at in range(len(own))] and sum(n for _, n in own) <= 2048
+    assert sorted(sequences) == list(range(len(sequences))) and len(sequences) <= 2 * -(-total // 2048)
