@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.llm import (
+    alignment,
     byte_bpe,
     embedding_dedup,
     kneser_ney,
@@ -63,6 +64,11 @@ def op10_minhash_icws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_icws.op10_minhash_icws(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.op11_alignment(spark, table(spark, sf_dir, "documents"), *paths)
+
+
 #: Query name: the query and its SQL, None where SQL cannot say it.
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, substring_dedup.SQL),
@@ -75,4 +81,5 @@ QUERIES = {
     "op8_shard_by_bytes": (op8_shard_by_bytes, sharding.SQL),
     "op9_quality_ledger": (op9_quality_ledger, quality_ledger.SQL),
     "op10_minhash_icws": (op10_minhash_icws, None),
+    "op11_alignment": (op11_alignment, None),
 }
