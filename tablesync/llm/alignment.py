@@ -310,14 +310,14 @@ def alignment_report(spark: SparkSession, docs: DataFrame, a_path: str, b_path:
     in a block once, so neither key gathers more than that. See ``align_documents`` for odd rows.
     """
     aligned = align_documents(spark, docs, a_path, b_path)
-    wanted = aligned.where("of_block").select("block", F.explode("pairs").alias("pair"))
+    wanted = aligned.where("of_block").select(F.col("block").alias("of"), F.explode("pairs").alias("pair"))
     found = wanted.join(pair_counts(spark, aligned), "pair")
     of_docs = aligned.where("NOT of_block").drop("of_block")
     schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType)])
     for c in (*_COUNTS, "n_best", "count_sum"):
         schema = schema.add(c, LongType())
     schema = schema.add("groups_sha256", StringType())
-    return of_docs.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score, schema)
+    return of_docs.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_score, schema)
 
 
 def op11_alignment(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
