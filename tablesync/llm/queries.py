@@ -11,6 +11,7 @@ from tablesync.llm import (
     embedding_dedup,
     kneser_ney,
     license_scan,
+    merkle_manifest,
     minhash_icws,
     packing,
     preference_format,
@@ -69,6 +70,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.op11_alignment(spark, table(spark, sf_dir, "documents"), *paths)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.op13_merkle_manifest(spark, table(spark, sf_dir, "documents"))
+
+
 #: Query name: the query and its SQL, None where SQL cannot say it.
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, substring_dedup.SQL),
@@ -82,4 +87,5 @@ QUERIES = {
     "op9_quality_ledger": (op9_quality_ledger, quality_ledger.SQL),
     "op10_minhash_icws": (op10_minhash_icws, None),
     "op11_alignment": (op11_alignment, None),
+    "op13_merkle_manifest": (op13_merkle_manifest, merkle_manifest.SQL),
 }
