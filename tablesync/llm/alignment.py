@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +21,9 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from tablesync.llm.words import written
 
 #: A block holds texts of about so many bytes; all arrays of a task are of this order.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: A worker remembers words and their ids up to so many bytes of Arrow arrays, then starts anew.
+REMEMBERED_BYTES = 1 << 25
 #: A single space between two characters that are none: both tokenizers start a token there.
 _BETWEEN_WORDS = re.compile(r" (?<=\S )(?=\S)")
 #: The document a key belongs to stands above so many bits, the byte where a token ends below.
@@ -34,6 +37,7 @@ class Vocabularies:
     """Both tokenizers with the bytes behind each of their ids."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -58,6 +62,25 @@ class Vocabularies:
         self.bytes = {"a": pa.array(a_bytes, pa.binary()), "b": pa.array(b_bytes, pa.binary())}
         self.size = max(len(a_bytes), len(b_bytes))
         self.texts = pa.array([s + str(i) for s in _SEPARATORS for i in range(self.size)])
+        self.forget()
+
+    def forget(self) -> None:
+        lists = pa.array([], pa.list_(pa.int64()))
+        self.known = {"word": pa.array([], pa.large_string()), "a": lists, "b": lists, "whole": pa.array([], pa.bool_())}
+
+    def places_of(self, words: pa.Array) -> pa.Array:
+        """Where each of some distinct words stands among the known ones, to which new ones are added."""
+        at = pc.index_in(words, value_set=self.known["word"])
+        if not at.null_count:
+            return at
+        if sum(x.nbytes for x in self.known.values()) > REMEMBERED_BYTES:
+            self.forget()
+            return self.places_of(words)
+        fresh = pc.filter(words, pc.is_null(at))
+        found = {"word": fresh, **self.ids(fresh.to_pylist())}
+        found["whole"] = pc.and_(*(self.covers(side, found[side], fresh) for side in ("a", "b")))
+        self.known = {k: pa.concat_arrays([x, found[k]]) for k, x in self.known.items()}
+        return pc.index_in(words, value_set=self.known["word"])
 
     def ids(self, words: list[str]) -> dict[str, pa.ListArray]:
         """The ids of each word with a space before it."""
@@ -89,7 +112,7 @@ class Aligned:
 def align(texts: list[str], v: Vocabularies) -> Aligned:
     """Align the tokens of some non-empty texts, all of them at once in Arrow.
 
-    Each distinct word is tokenized once. Its id lists are dealt to its places in the texts,
+    A word not met before is tokenized. Its id lists are dealt to its places in the texts,
     flattened, and summed up to the byte where each token ends. Ends of both sides meet in one
     full outer join on (document, end): its rows, in order, are the links, as two tokens
     overlap in one run of bytes without an end inside. Rows that both sides have close a group.
@@ -97,18 +120,16 @@ def align(texts: list[str], v: Vocabularies) -> Aligned:
     words = [_BETWEEN_WORDS.split(t) for t in texts]
     doc_of_word = pa.array(np.repeat(np.arange(len(texts)), [len(w) for w in words]))
     places = pa.array([w for ws in words for w in ws], pa.large_string()).dictionary_encode()
-    distinct = places.dictionary
-    ids = v.ids(distinct.to_pylist())
-    whole = pc.and_(*(v.covers(side, ids[side], distinct) for side in ("a", "b")))
+    word = pc.take(v.places_of(places.dictionary), places.indices)
     # a text with a word that its tokens do not cover has no tokens
-    in_word = pc.take(whole, places.indices).to_numpy(zero_copy_only=False)
+    in_word = pc.take(v.known["whole"], word).to_numpy(zero_copy_only=False)
     broken = np.bincount(doc_of_word.to_numpy()[~in_word], minlength=len(texts)) > 0
     keep = pa.array(~broken[doc_of_word.to_numpy()])
-    doc_of_word, indices = pc.filter(doc_of_word, keep), pc.filter(places.indices, keep)
+    doc_of_word, word = pc.filter(doc_of_word, keep), pc.filter(word, keep)
 
     tokens, ends, docs = {}, {}, {}
     for side in ("a", "b"):
-        lists = pc.take(ids[side], indices)
+        lists = pc.take(v.known[side], word)
         tokens[side] = pc.list_flatten(lists)
         doc = pc.take(doc_of_word, pc.list_parent_indices(lists))
         length = pc.take(pc.binary_length(v.bytes[side]).cast(pa.int64()), tokens[side])
