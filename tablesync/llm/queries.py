@@ -18,6 +18,7 @@ from tablesync.llm import (
     quality_ledger,
     sharding,
     substring_dedup,
+    warc,
 )
 from tablesync.llm.words import table
 
@@ -70,6 +71,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.op11_alignment(spark, table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op12_warc(spark, table(spark, sf_dir, "pages"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.op13_merkle_manifest(spark, table(spark, sf_dir, "documents"))
 
@@ -87,5 +92,6 @@ QUERIES = {
     "op9_quality_ledger": (op9_quality_ledger, quality_ledger.SQL),
     "op10_minhash_icws": (op10_minhash_icws, None),
     "op11_alignment": (op11_alignment, None),
+    "op12_warc": (op12_warc, warc.SQL),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle_manifest.SQL),
 }
