@@ -349,7 +349,9 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, how: Archiv
     """
     how = how or Archives()
     captured = capture(spark, pages, how)
-    joined = captured.join(revisits(captured, how.least_revisited), "row", "left")
+    # written first: Spark then knows their size, and only where they are many are the records shuffled to them
+    repeated = written(spark, revisits(captured, how.least_revisited), "warc-revisits")
+    joined = captured.join(repeated, "row", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
