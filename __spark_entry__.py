@@ -285,6 +285,35 @@ def fixed_to_decimal(spark, sf_dir):
     return ts.fixed_to_decimal(stored, {"c_acctbal": MONEY})
 
 
+_WIDE_SQL = """SELECT l_orderkey, l_linenumber, l_partkey,
+  CAST((l_partkey % 2 * 2 - 1) * CAST(l_orderkey + 1 AS DECIMAL(20,0)) * (l_suppkey + 1) * 1000000000000 + l_partkey AS DECIMAL(38,0)) AS u
+FROM lineitem"""
+
+
+def _wide(spark, sf_dir):
+    """Numbers of about 20 digits, every other one below zero."""
+    number = F.expr(
+        """CAST((l_partkey % 2 * 2 - 1) * CAST(l_orderkey + 1 AS DECIMAL(20,0)) * (l_suppkey + 1) * 1000000000000 + l_partkey
+        AS DECIMAL(38,0))"""
+    )
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", number.alias("u"))
+
+
+@_query(f"""SELECT l_orderkey, l_linenumber, l_partkey, CAST(CASE WHEN u < 0 THEN '-' ELSE '' END || (abs(u)::HUGEINT // 10000000000)::VARCHAR || '.' ||
+  lpad((abs(u)::HUGEINT % 10000000000)::VARCHAR, 10, '0') AS DECIMAL(38,10)) AS amount, u AS unscaled FROM ({_WIDE_SQL}) w""")
+def fixed_to_decimal_wide(spark, sf_dir):
+    """9 to 16 bytes of two's complement, as long as the line number says."""
+    stored = ts.decimal_to_fixed(_wide(spark, sf_dir)).select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.expr("right(hex(u), 2 * (9 + l_linenumber % 8))").alias("digits"),
+    )
+    raw = F.unhex("digits")
+    bytes_of = stored.select("l_orderkey", "l_linenumber", "l_partkey", raw.alias("amount"), raw.alias("unscaled"))
+    return ts.fixed_to_decimal(bytes_of, {"amount": (38, 10), "unscaled": (38, 0)})
+
+
 @_query("""SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS DECIMAL(12,2)) AS o_totalprice
 FROM orders""")
 def string_to_decimal(spark, sf_dir):
@@ -351,6 +380,19 @@ def validate_counts(spark, sf_dir):
     return ts.validate_counts(source, ts.parquet_scan(spark, path))
 
 
+# the amounts are texts of up to 55 digits; their order is that of whole and fractional parts as numbers
+@_query("""SELECT max_by(amount, o_totalprice) AS max_value FROM (SELECT CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || repeat('3', 45) AS amount FROM orders WHERE o_orderstatus = 'F') t""")
+def max_check_value_wide(spark, sf_dir):
+    rows = _wide_amounts(_orders(spark, sf_dir), "o_totalprice", "o_orderkey", "o_orderstatus")
+    return ts.max_wide_value(rows, "amount", "o_orderstatus = 'F'")
+
+
+def _wide_amounts(rows, price, *others):
+    text = ts.decimal_to_plain_string(rows.select(*others, price))
+    return text.select(*others, F.concat(price, F.lit("3" * 45)).alias("amount"))
+
+
 _KEY_PROFILE_SQL = """
 WITH k AS (SELECT {key} AS k, count(*) AS n FROM {table} GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS rows, count(k) AS distinct_keys,
@@ -560,6 +602,44 @@ def upsert_rows_duplicates(spark, sf_dir):
     return ts.upsert_rows(_orders(spark, sf_dir), batch, "o_orderkey", "o_orderdate")
 
 
+# a key's rows are told apart by a number in text alone: 9.5 is less than 10.5
+@_query(f"""
+WITH w AS (SELECT l_orderkey, l_linenumber, {PRICE} AS price, CAST({PRICE} AS VARCHAR) || repeat('3', 45) AS amount FROM lineitem),
+u AS (SELECT *, 0 AS is_new FROM w UNION ALL SELECT l_orderkey * 2, l_linenumber, price, amount, 1 FROM w),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY is_new DESC, price DESC, l_linenumber DESC) AS rn FROM u)
+SELECT l_orderkey, l_linenumber, amount FROM r WHERE rn = 1""")
+def merge_latest_wide_decimal(spark, sf_dir):
+    old = _wide_amounts(_lineitem(spark, sf_dir), "l_extendedprice", "l_orderkey", "l_linenumber")
+    new = old.withColumn("l_orderkey", F.col("l_orderkey") * 2)
+    return ts.merge_latest(old, new, "l_orderkey", "amount", wide_decimals=["amount"])
+
+
+@_query(CHANGED_ORDERS_SQL)
+def merge_touched_files(spark, sf_dir):
+    """Orders laid out by date and key; a batch of two months rewrites the files that hold them."""
+    path = ts.shared_dir(spark, "touched-files")
+    ts.write_parquet(_orders(spark, sf_dir).repartitionByRange(32, "o_orderdate", "o_orderkey"), path)
+    ts.merge_touched(spark, path, _changed_orders(spark, sf_dir), "o_orderkey")
+    return ts.parquet_scan(spark, path)
+
+
+# every key doubled: half the batch replaces rows, and most of these move to the status of another order
+@_query(MERGED_ORDERS_SQL)
+def merge_partitioned(spark, sf_dir):
+    path = ts.shared_dir(spark, "merge-partitioned")
+    ts.write_parquet(_orders(spark, sf_dir).repartitionByRange(8, "o_orderkey"), path, partition_by=["o_orderstatus"])
+    ts.merge_touched(spark, path, _orders_batch(spark, sf_dir), "o_orderkey")
+    return ts.parquet_scan(spark, path)
+
+
+@_query(MERGED_ORDERS_SQL)
+def merge_catalog_bucketed(spark, sf_dir):
+    name, path = f"merged_{uuid4().hex}", ts.shared_dir(spark, "merge-catalog")
+    ts.write_table(_orders(spark, sf_dir), name, path=path, bucket_by=(8, ["o_orderkey"]))
+    ts.merge_table(spark, name, _orders_batch(spark, sf_dir), "o_orderkey")
+    return spark.table(name)
+
+
 # --- sinks ---------------------------------------------------------------------------------
 
 

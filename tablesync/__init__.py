@@ -9,6 +9,7 @@ from tablesync.functions.decimals import (
     decimal_to_plain_string,
     decimal_typed,
     fixed_to_decimal,
+    number_order,
     string_to_decimal,
 )
 from tablesync.functions.texts import drop_delims, lob_inline
@@ -17,6 +18,7 @@ from tablesync.operators.checks import (
     jdbc_max_check_value,
     key_profile,
     max_check_value,
+    max_wide_value,
     merge_schema_check,
     single_row,
     validate_counts,
@@ -52,16 +54,21 @@ from tablesync.operators.merge import (
     upsert_rows,
 )
 from tablesync.plans.import_job import ImportJob, ImportResult, check_job, merge_paths, run_import
+from tablesync.plans.merge_table import merge_table, merged_rows, stored_table
+from tablesync.plans.touched import TouchedMerge, merge_touched
 from tablesync.sinks.files import (
+    append_files,
     read_avro,
     read_files,
     read_text,
+    text_schema,
     write_avro,
     write_files,
     write_overwrite,
     write_parquet,
     write_text,
 )
+from tablesync.sinks.journal import recover_files, replace_files
 from tablesync.sinks.swap import recover_swap, swap_into_place, write_and_swap
 from tablesync.sinks.tables import append_table, export_jdbc, export_table, move_statement, write_table
 from tablesync.sources.jdbc import JdbcSource

@@ -255,12 +255,103 @@ def from_fixed(value: Column, precision: int, scale: int) -> Column:
     return _scaled_down(whole.cast("decimal(18,0)"), scale).cast(f"decimal({precision},{scale})")
 
 
+def to_wide(value: Column, precision: int, scale: int) -> Column:
+    """Unscaled value as 16 bytes of big-endian two's complement, for up to 38 digits."""
+    unscaled = _unscaled(value, precision, scale)
+    negative = unscaled < 0
+    # -v - 1 has the complement of v's bits
+    rest = F.when(negative, -unscaled - 1).otherwise(unscaled)
+    limb = F.lit(Decimal(2**32)).cast("decimal(38,0)")
+    parts = []
+    for _ in range(4):
+        parts.insert(0, F.lpad(F.hex((rest % limb).cast("bigint")), 8, "0"))
+        rest = _div(rest, limb)
+    digits = F.concat(*parts)
+    return F.unhex(F.when(negative, F.translate(digits, _HEX, _HEX[::-1])).otherwise(digits))
+
+
+def _div(value: Column, by: Column) -> Column:
+    """Whole-number division of numbers that are not negative, without leaving 38 digits."""
+    return ((value - value % by) / by).cast("decimal(38,0)")
+
+
+_HEX = "0123456789ABCDEF"
+
+
+def _unscaled(value: Column, precision: int, scale: int) -> Column:
+    """The number without its point. Moving the point in the text keeps all 38 digits, a product would not."""
+    if scale == 0:
+        return value.cast("decimal(38,0)")
+    text = value.cast(f"decimal({precision},{scale})").cast("string")
+    sign = F.when(value < 0, F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1))).cast("decimal(1,0)")
+    # zero can print with an exponent outside ANSI mode
+    digits = F.when(value == 0, "0").otherwise(F.regexp_replace(text, r"[-.]", ""))
+    return (digits.cast("decimal(38,0)") * sign).cast("decimal(38,0)")
+
+
+def from_wide(value: Column, precision: int, scale: int) -> Column:
+    """Big-endian two's complement of any length as a decimal of up to 38 digits.
+
+    The last 16 bytes are read as four limbs of 32 bits, each exact in a long, and put together in decimal
+    arithmetic; of a negative number the complement is read. Longer values may only repeat the sign before them.
+    Empty bytes, and numbers that do not fit the type, are errors with and without ANSI mode.
+    """
+    digits = F.hex(value)
+    negative = F.left(digits, F.lit(1)) >= "8"
+    sign = F.when(negative, "F").otherwise("0")
+    padded = F.when(F.length(digits) < 32, F.lpad(digits, 32, sign)).otherwise(digits)
+    last, surplus = F.right(padded, F.lit(32)), F.left(padded, F.length(padded) - 32)
+    # hex digits of equal length compare like the numbers they are
+    magnitude = F.when(negative, F.translate(last, _HEX, _HEX[::-1])).otherwise(last)
+    limit = F.when(negative, f"{10**precision - 2:032X}").otherwise(f"{10**precision - 1:032X}")
+    fits = (digits != "") & (F.replace(surplus, sign, F.lit("")) == "") & (magnitude <= limit)
+    limbs = [F.conv(F.substring(magnitude, 8 * i + 1, 8), 16, 10).cast("decimal(10,0)") for i in range(4)]
+    total = limbs[0]
+    for limb in limbs[1:]:
+        total = (total * F.lit(Decimal(2**32)).cast("decimal(10,0)") + limb).cast("decimal(38,0)")
+    whole = F.when(negative, -total - 1).otherwise(total).cast("decimal(38,0)")
+    text = F.concat(F.lit("bytes do not fit decimal("), F.lit(f"{precision},{scale}): "), digits)
+    checked = F.when(digits.isNull() | fits, whole).otherwise(F.raise_error(text).cast("decimal(38,0)"))
+    if scale == 0:
+        return checked.cast(f"decimal({precision},0)")
+    # the point is put into the text, as a product with 10**-scale would round
+    plain = F.lpad(F.regexp_replace(checked.cast("string"), "-", ""), precision, "0")
+    point = F.concat(
+        F.when(checked < 0, "-").otherwise(""), F.left(plain, F.lit(precision - scale)), F.lit("."), F.right(plain, F.lit(scale))
+    )
+    return F.when(checked.isNotNull(), point).cast(f"decimal({precision},{scale})")
+
+
+#: A number as text: sign, digits, and a fraction; an exponent is not one of them.
+_PLAIN_NUMBER = r"^\s*([+-]?)0*(\d*?)(?:\.(\d*?)0*)?\s*$"
+
+
+def number_order(value: Column, name: str = "number") -> Column:
+    """A text that sorts bytewise as the numbers in ``value`` do, of any number of digits.
+
+    The sign, the count of whole digits and the digits, without surplus zeros. Below zero every digit is
+    taken from nine and the end is marked, so that greater magnitudes come first. Numbers that are equal get equal texts. Null stays null;
+    text that is no plain number is an error.
+    """
+    whole = F.regexp_extract(value, _PLAIN_NUMBER, 2)
+    fraction = F.regexp_extract(value, _PLAIN_NUMBER, 3)
+    size = F.lpad(F.length(whole).cast("string"), 10, "0")
+    magnitude = F.concat(size, whole, F.lit("."), fraction)
+    zero = (whole == "") & (fraction == "")
+    below = (F.regexp_extract(value, _PLAIN_NUMBER, 1) == "-") & ~zero
+    opposite = F.concat(F.lit("0"), F.translate(magnitude, "0123456789", "9876543210"), F.lit("~"))
+    bad = ~value.rlike(_PLAIN_NUMBER) | ~value.rlike("[0-9]")
+    message = F.concat(F.lit(f"column {name}: "), value, F.lit(" is no plain number"))
+    return F.when(bad, F.raise_error(message)).when(below, opposite).when(value.isNotNull(), F.concat(F.lit("1"), magnitude))
+
+
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Decimal columns (up to 18 digits) as their storage bytes."""
+    """Decimal columns as their storage bytes: the precision's fixed length, above 18 digits always 16."""
     out = {}
     for c in _decimal_columns(df, columns):
         kind = df.schema[c].dataType
-        out[c] = to_fixed(quoted(c), kind.precision, kind.scale)
+        to_bytes = to_fixed if kind.precision <= MAX_FIXED_PRECISION else to_wide
+        out[c] = to_bytes(quoted(c), kind.precision, kind.scale)
     return df.withColumns(out)
 
 
@@ -272,7 +363,8 @@ def fixed_to_decimal(df: DataFrame, types: Mapping[str, tuple[int, int]]) -> Dat
         col = resolve(df, name)
         if not isinstance(df.schema[col].dataType, BinaryType):
             raise ValueError(f"column {col!r} is not binary")
-        out[col] = from_fixed(quoted(col), precision, scale)
+        from_bytes = from_fixed if precision <= MAX_FIXED_PRECISION else from_wide
+        out[col] = from_bytes(quoted(col), precision, scale)
     return df.withColumns(out)
 
 

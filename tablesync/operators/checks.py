@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
+from tablesync.functions.decimals import number_order
 from tablesync.operators.columns import quoted, resolve, where_filter
 from tablesync.sources.jdbc import JdbcSource
 
@@ -35,6 +36,15 @@ def max_check_value(df: DataFrame, col: str, where: str | None = None) -> DataFr
     return where_filter(df, where).agg(F.max(quoted(name)).alias("max_value"))
 
 
+def max_wide_value(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
+    """One row ``max_value``: the greatest of numbers in text, of any number of digits, as it is written."""
+    name = resolve(df, col)
+    if not isinstance(df.schema[name].dataType, StringType):
+        raise ValueError(f"column {name!r} is not text")
+    order = F.struct(number_order(quoted(name), name).alias("order"), quoted(name).alias("value"))
+    return where_filter(df, where).agg(F.max(order)["value"].alias("max_value"))
+
+
 def jdbc_max_check_value(
     spark: SparkSession, src: JdbcSource, col: str, query: str | None = None, where: str | None = None
 ) -> DataFrame:
@@ -89,7 +99,7 @@ def guard_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     read later, and leaves a bucketed table's partitioning by the key intact.
     """
     for k in key_columns(df, key):
-        missing = F.raise_error(NULL_KEY).cast("boolean")
+        missing = F.raise_error(F.lit(f"{NULL_KEY} (column {k})")).cast("boolean")
         df = df.where(F.when(quoted(k).isNull(), missing).otherwise(F.lit(True)))
     return df
 

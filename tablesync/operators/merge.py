@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablesync.functions.casts import lossless
+from tablesync.functions.decimals import number_order
 from tablesync.operators.checks import guard_keys, key_columns, merge_schema_check
 from tablesync.operators.columns import quoted, refuse_column, resolve
 from tablesync.storage import qualified
@@ -75,6 +76,7 @@ def merge_latest(
     tie_break: str | Sequence[str] = (),
     key_as_text: bool = False,
     old_is_unique: bool = False,
+    wide_decimals: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key where both sides may repeat keys.
 
@@ -88,34 +90,43 @@ def merge_latest(
     small batch, the shuffle.
 
     Keys compare by value. ``key_as_text`` compares their text instead.
+    ``wide_decimals`` are text columns that hold numbers, of more digits than a decimal has:
+    where they decide between rows they do so by value.
     """
     new = merge_to_old_schema(new, old.schema)
     keys = key_columns(old, key)
     if old_is_unique:
-        kept = _without(guard_keys(old, keys), _distinct_keys(guard_keys(new, keys), keys), keys, key_as_text)
-        return kept.unionByName(latest_per_key(new, keys, tie_break, key_as_text))
+        kept = without_keys(guard_keys(old, keys), _distinct_keys(guard_keys(new, keys), keys), keys, key_as_text)
+        return kept.unionByName(latest_per_key(new, keys, tie_break, key_as_text, wide_decimals))
     flag = free_name("__is_new", old)
     both = guard_keys(tag_origin(old, new, flag), keys)
-    best = _best_rows(both, keys, [flag, *_names(tie_break)], key_as_text)
+    best = _best_rows(both, keys, [flag, *_names(tie_break)], key_as_text, wide_decimals)
     return best.select(*[quoted(c) for c in old.columns])
 
 
 def latest_per_key(
-    df: DataFrame, key: str | Sequence[str], tie_break: str | Sequence[str] = (), key_as_text: bool = False
+    df: DataFrame,
+    key: str | Sequence[str],
+    tie_break: str | Sequence[str] = (),
+    key_as_text: bool = False,
+    wide_decimals: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key of a single table, by the order a merge uses."""
     keys = key_columns(df, key)
-    return _best_rows(guard_keys(df, keys), keys, tie_break, key_as_text)
+    return _best_rows(guard_keys(df, keys), keys, tie_break, key_as_text, wide_decimals)
 
 
 def _names(tie_break: str | Sequence[str]) -> list[str]:
     return [tie_break] if isinstance(tie_break, str) else list(tie_break)
 
 
-def _best_rows(df: DataFrame, keys: list[str], tie_break, key_as_text: bool) -> DataFrame:
+def _best_rows(df: DataFrame, keys: list[str], tie_break, key_as_text: bool, wide_decimals: Sequence[str] = ()) -> DataFrame:
     first = [resolve(df, c) for c in _names(tie_break)]
     others = [c for c in df.columns if c not in first and (key_as_text or c not in keys)]
-    order = [quoted(c).desc() for c in first + others]
+    wide = [resolve(df, c) for c in wide_decimals]
+    # the same number may be written in several ways; the text itself then decides, after all other columns
+    by_value = [number_order(quoted(c), c).desc() if c in wide else quoted(c).desc() for c in first + others]
+    order = by_value + [quoted(c).desc() for c in first + others if c in wide]
     by = [quoted(k).cast("string") if key_as_text else quoted(k) for k in keys]
     window = Window.partitionBy(*by).orderBy(*(order or by))
     rank = free_name("__rank", df)
@@ -147,7 +158,7 @@ def merge_unique(
     new = merge_to_old_schema(new, old.schema)
     keys = key_columns(old, key)
     old, new = guard_keys(old, keys), guard_keys(new, keys)
-    return _without(old, new, keys, key_as_text).unionByName(new)
+    return without_keys(old, new, keys, key_as_text).unionByName(new)
 
 
 def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -155,11 +166,16 @@ def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select([quoted(k) for k in keys]).distinct()
 
 
-def _without(df: DataFrame, other: DataFrame, keys: list[str], as_text: bool = False) -> DataFrame:
+def without_keys(df: DataFrame, other: DataFrame, keys: list[str], as_text: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``."""
     return _match(df, other, keys, "left_anti", as_text)
 
 
+def matching(df: DataFrame, other: DataFrame, keys: list[str], as_text: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is in ``other``."""
+    return _match(df, other, keys, "left_semi", as_text)
+
+
 def _match(df: DataFrame, other: DataFrame, keys: list[str], how: str, as_text: bool = False) -> DataFrame:
     kind = (lambda c: c.cast("string")) if as_text else (lambda c: c)
     names = [free_name(f"__key_{i}", df) for i in range(len(keys))]
@@ -237,8 +253,8 @@ def upsert_rows(
         return joined.unionByName(target.where(~has_key)).unionByName(without_key)
 
     updated = target.join(changes, condition, "left").select(merged)
-    matched = _match(target.select([quoted(k) for k in keys]), _distinct_keys(batch, keys), keys, "left_semi")
-    inserted = _without(keyed, matched, keys)
+    matched = matching(target.select([quoted(k) for k in keys]), _distinct_keys(batch, keys), keys)
+    inserted = without_keys(keyed, matched, keys)
     return updated.unionByName(merge_to_old_schema(inserted, target.schema)).unionByName(without_key)
 
 
@@ -249,8 +265,10 @@ __all__ = [
     "merge_null_key",
     "merge_schema_check",
     "merge_to_old_schema",
+    "matching",
     "merge_unique",
     "tag_origin",
     "tag_origin_by_path",
     "upsert_rows",
+    "without_keys",
 ]

@@ -9,9 +9,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
-from tablesync.functions.decimals import decimal_typed
+from tablesync.functions.datetimes import datetime_to_millis
+from tablesync.functions.decimals import MAX_PRECISION, decimal_to_java_string, decimal_to_plain_string, decimal_typed
 from tablesync.functions.texts import drop_delims
 from tablesync.operators import incremental as inc
 from tablesync.operators.checks import (
@@ -22,15 +23,29 @@ from tablesync.operators.checks import (
     single_row,
     validate_counts,
 )
-from tablesync.operators.columns import cast_overrides, safe_name, sanitize_columns, select_columns, year_as_smallint
-from tablesync.operators.merge import latest_per_key, merge_latest, to_append
-from tablesync.sinks.files import LAYOUTS, read_files, write_files, write_overwrite
+from tablesync.operators.columns import (
+    cast_overrides,
+    resolve,
+    safe_name,
+    sanitize_columns,
+    select_columns,
+    year_as_smallint,
+)
+from tablesync.operators.merge import latest_per_key, merge_latest
+from tablesync.plans.merge_table import merge_table
+from tablesync.plans.touched import merge_touched, partition_columns
+from tablesync.sinks.files import LAYOUTS, append_files, read_files, write_files, write_overwrite
+from tablesync.sinks.journal import recover_files
 from tablesync.sinks.swap import recover_swap, write_and_swap
 from tablesync.sinks.tables import append_table, write_table
 from tablesync.sources.jdbc import CONDITIONS, JdbcSource
 from tablesync.sources.scan import Source, scan_query, scan_table
 from tablesync.sources.splits import split_scan
-from tablesync.storage import delete, exists, has_data, shared_dir
+from tablesync.storage import data_files, delete, exists, has_data, shared_dir
+
+
+#: Which files of existing data a merge writes again.
+REWRITES = ("all", "touched")
 
 
 @dataclass(frozen=True)
@@ -60,6 +75,9 @@ class ImportJob:
     overrides: Mapping[str, str] = field(default_factory=dict)
     years: Sequence[str] = ()
     drop_delims: bool = False
+    decimals_as_text: str | None = None
+    dates_as_millis: bool = False
+    wide_as_text: bool = False
 
     target_dir: str | None = None
     warehouse_dir: str | None = None
@@ -67,6 +85,8 @@ class ImportJob:
     layout: str = "text"
     codec: str | None = None
     layout_options: Mapping[str, Any] = field(default_factory=dict)
+    partition_by: Sequence[str] = ()
+    bucket_by: tuple[int, Sequence[str]] | None = None
     append: bool = False
     overwrite: bool = False
     validate: bool = False
@@ -79,6 +99,7 @@ class ImportJob:
     tie_break: str | Sequence[str] = ()
     merge_key_as_text: bool = False
     old_is_unique: bool = False
+    rewrite: str = "all"
 
     job: str | None = None
     state_path: str | None = None
@@ -143,9 +164,15 @@ def check_job(job: ImportJob) -> None:
         (job.incremental is not None and job.check_column is None, "an incremental import needs a check_column"),
         (job.incremental is None and job.check_column is not None, "check_column needs an incremental mode"),
         (lastmodified and job.layout == "avro", f"{inc.LAST_MODIFIED} cannot be used with Avro files"),
+        (job.append and job.merge_key is not None, "rows are appended or merged: append and merge_key exclude each other"),
+        (job.rewrite not in REWRITES, f"rewrite is one of {list(REWRITES)}, not {job.rewrite!r}"),
+        (job.rewrite == "touched" and job.layout != "parquet", "only Parquet files can be rewritten file by file"),
+        (job.decimals_as_text not in (None, "plain", "java"), "decimals_as_text is 'plain' or 'java'"),
+        (job.partition_by and job.layout != "parquet", "only Parquet files can be partitioned"),
+        (job.bucket_by is not None and job.catalog_table is None, "bucket_by needs a catalog_table"),
         (
-            (job.incremental is not None or job.append) and job.catalog_table is not None and job.merge_key is not None,
-            "merging works on files, not on a catalog table",
+            job.split_by is not None and isinstance(job.source, (str, DataFrame)) and job.split_limit is not None,
+            "files are split by their bytes: split_limit needs a database",
         ),
         (job.layout not in LAYOUTS, f"layout is one of {list(LAYOUTS)}, not {job.layout!r}"),
         (job.target is None and job.catalog_table is None, "a target_dir, a name or a catalog_table is required"),
@@ -165,6 +192,7 @@ def run_import(spark: SparkSession, job: ImportJob) -> ImportResult:
             job = replace(job, last_value=state["last_value"])
     if job.target is not None:
         recover_swap(spark, job.target)
+        recover_files(spark, job.target)
     if (
         job.incremental == inc.LAST_MODIFIED
         and job.merge_key is None
@@ -233,6 +261,8 @@ def _scan(spark: SparkSession, job: ImportJob, conditions: str | None) -> DataFr
         rows = scan_query(spark, None, job.query, conditions, job.tables)
     else:
         rows = scan_table(spark, job.source, where=job.where)
+    if job.split_by is not None and not isinstance(job.source, JdbcSource):
+        resolve(rows, job.split_by)  # files are split by their bytes, but a column that does not exist is a mistake
     return rows if job.columns is None else select_columns(rows, job.columns)
 
 
@@ -252,37 +282,72 @@ def _clock(spark: SparkSession, job: ImportJob) -> datetime:
 
 def _convert(rows: DataFrame, job: ImportJob) -> DataFrame:
     if job.decimals:
-        rows = decimal_typed(rows, job.decimals)
+        rows = decimal_typed(rows, job.decimals, as_string=job.wide_as_text)
     if job.years:
         rows = year_as_smallint(rows, job.years)
     if job.overrides:
         rows = cast_overrides(rows, job.overrides)
     if job.drop_delims:
         rows = drop_delims(rows)
+    if job.decimals_as_text is not None:
+        to_text = decimal_to_plain_string if job.decimals_as_text == "plain" else decimal_to_java_string
+        rows = to_text(rows)
+    if job.dates_as_millis:
+        rows = datetime_to_millis(rows)
     return sanitize_columns(rows)
 
 
+def _wide_decimals(job: ImportJob, rows: DataFrame) -> list[str]:
+    """Stored columns that hold numbers as text: merges compare them by value."""
+    if job.decimals_as_text == "java":  # may have exponents, and all are narrow: their text order decides
+        return []
+    wide = [c for c, (precision, _) in job.decimals.items() if job.decimals_as_text or precision > MAX_PRECISION]
+    names = [resolve(rows, safe_name(c)) for c in wide]
+    return [c for c in names if isinstance(rows.schema[c].dataType, StringType)]
+
+
 def _stored_names(columns: str | Sequence[str]) -> list[str]:
     return [safe_name(c) for c in ([columns] if isinstance(columns, str) else columns)]
 
 
 def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
+    appends = job.append or job.incremental == inc.APPEND
+    merges = job.merge_key is not None and not appends and not job.overwrite
+    if merges:
+        how = {
+            "key": _stored_names(job.merge_key),
+            "tie_break": _stored_names(job.tie_break),
+            "key_as_text": job.merge_key_as_text,
+            "wide_decimals": _wide_decimals(job, rows),
+        }
     if job.catalog_table is not None:
         known = spark.catalog.tableExists(job.catalog_table)
-        if job.overwrite or not known:
-            write_table(rows, job.catalog_table, mode="overwrite" if job.overwrite else "error")
-        elif job.append or job.incremental is not None:
+        if known and merges and job.incremental is not None:
+            merge_table(spark, job.catalog_table, rows, codec=job.codec or "snappy", **how)
+        elif job.overwrite or not known:
+            first = latest_per_key(rows, **how) if merges else rows
+            write_table(
+                first,
+                job.catalog_table,
+                mode="overwrite" if job.overwrite else "error",
+                partition_by=job.partition_by,
+                bucket_by=job.bucket_by,
+            )
+        elif appends or job.incremental is not None:
             append_table(rows, job.catalog_table)
         else:
             raise ValueError(f"table {job.catalog_table} exists: append or overwrite?")
-    elif job.overwrite:
-        write_overwrite(rows, job.target, job.layout, job.codec, **job.layout_options)
-    elif job.append or (job.incremental == inc.APPEND and job.merge_key is None):
-        if job.layout == "parquet" and has_data(spark, job.target):
-            stored = spark.read.parquet(job.target).schema
-            rows = to_append(rows, stored)
-        write_files(rows, job.target, job.layout, job.codec, mode="append", **job.layout_options)
-    elif job.merge_key is not None and exists(spark, job.target):
+        return
+    options = dict(job.layout_options)
+    if job.partition_by:
+        options["partition_by"] = _stored_names(job.partition_by)
+    if job.overwrite:
+        write_overwrite(rows, job.target, job.layout, job.codec, **options)
+    elif appends:
+        append_files(rows, job.target, job.layout, job.codec, **options)
+    elif merges and exists(spark, job.target) and job.rewrite == "touched":
+        merge_touched(spark, job.target, rows, codec=job.codec or "snappy", **how)
+    elif merges and exists(spark, job.target):
         # written out first: the merge reads the batch twice, the source only once
         batch_path = shared_dir(spark, "batch")
         try:
@@ -291,23 +356,20 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
                 spark,
                 job.target,
                 batch_path,
-                _stored_names(job.merge_key),
-                job.layout,
+                layout=job.layout,
                 schema=rows.schema,
                 codec=job.codec,
                 layout_options=job.layout_options,
-                tie_break=_stored_names(job.tie_break),
-                key_as_text=job.merge_key_as_text,
                 old_is_unique=job.old_is_unique,
+                **how,
             )
         finally:
             delete(spark, batch_path)
     else:
-        if job.merge_key is not None and job.old_is_unique:
-            # the first batch has to keep what old_is_unique promises the next merge
-            key, tie_break = _stored_names(job.merge_key), _stored_names(job.tie_break)
-            rows = latest_per_key(rows, key, tie_break, job.merge_key_as_text)
-        write_files(rows, job.target, job.layout, job.codec, **job.layout_options)
+        if merges and (job.old_is_unique or job.rewrite == "touched"):
+            # the first batch has to keep what the next merge relies on
+            rows = latest_per_key(rows, **how)
+        write_files(rows, job.target, job.layout, job.codec, **options)
 
 
 def merge_paths(
@@ -324,10 +386,12 @@ def merge_paths(
     key_as_text: bool = False,
     old_is_unique: bool = False,
     check_all_files: bool = True,
+    wide_decimals: Sequence[str] = (),
 ) -> None:
     """Merge the files at ``new_path`` into those at ``old_path``.
 
-    Without new rows, files whose keys are unique stay as they are. Otherwise the result goes to ``target`` or, by default, takes the old files' place once
+    All files are written again, in the partition folders that the old ones had; see
+    ``merge_touched`` for a merge that leaves files alone. Without new rows, files whose keys are unique stay as they are. Otherwise the result goes to ``target`` or, by default, takes the old files' place once
     it is complete. Parquet schemas are checked over the footers of all files;
     ``check_all_files=False`` trusts one file per side, for datasets with so many
     files that opening them all is too slow. ``schema`` is needed for text.
@@ -340,6 +404,9 @@ def merge_paths(
     if not has_data(spark, old_path):
         raise ValueError(f"no existing data at {old_path} to merge into")
     old = read_files(spark, old_path, layout, read_schema, **options)
+    if layout == "parquet" and "partition_by" not in write_options:
+        parts = partition_columns(list(data_files(spark, old_path)))
+        write_options["partition_by"] = [c for c in old.columns if c in parts]
     in_place = target is None or target.rstrip("/") == old_path.rstrip("/")
     new = read_files(spark, new_path, layout, read_schema, **options) if has_data(spark, new_path) else None
     if new is not None:
@@ -347,9 +414,9 @@ def merge_paths(
     if in_place and old_is_unique and (new is None or new.isEmpty()):
         return
     if new is not None:
-        merged = merge_latest(old, new, key, tie_break, key_as_text, old_is_unique)
+        merged = merge_latest(old, new, key, tie_break, key_as_text, old_is_unique, wide_decimals)
     else:
-        merged = old if old_is_unique else latest_per_key(old, key, tie_break, key_as_text)
+        merged = old if old_is_unique else latest_per_key(old, key, tie_break, key_as_text, wide_decimals)
     if in_place:
         write_and_swap(merged, old_path, lambda frame, to: write_files(frame, to, layout, codec, **write_options))
     else:

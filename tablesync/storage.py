@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -51,6 +52,54 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The data files Spark would find under the folder: path inside it, and bytes."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return {}
+    base, files, found = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/", fs.listFiles(p, True), {}
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toUri().getPath().removeprefix(base)
+        if not any(n.startswith(".") or (n.startswith("_") and "=" not in n) for n in name.split("/")):
+            found[name] = status.getLen()
+    return found
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names directly in a folder; none if there is no folder."""
+    fs, p = _open(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_whole(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, ended by a line break; ``FileExistsError`` if somebody made it first.
+
+    A reader that finds no line break at the end met a writer that was cut off.
+    """
+    fs, p = _open(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    try:
+        out = fs.create(p, False)  # the file system refuses a second creator
+    except Py4JJavaError as error:
+        if fs.exists(p):
+            raise FileExistsError(path) from error
+        raise
+    out.write(bytearray((text + "\n").encode()))
+    out.close()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _open(spark, source)
     parent = spark._jvm.org.apache.hadoop.fs.Path(target).getParent()

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -162,12 +162,67 @@ def test_fixed_bytes_round_trip(spark, data):
 
 def test_fixed_bytes_limits(spark):
     wide = decimals(spark, "decimal(19,2)", ["1"])
-    with pytest.raises(ValueError):
-        ts.decimal_to_fixed(wide)
+    assert values(ts.decimal_to_fixed(wide)) == [(100).to_bytes(16)]
     with pytest.raises(ValueError, match="not binary"):
         ts.fixed_to_decimal(wide, {"x": (12, 2)})
 
 
+WIDE = [0, 1, -1, 255, -256, 2**31, -(2**31), 2**32, 2**63 - 1, -(2**63), 2**64, -(2**64), 2**96 + 5, -(2**96) - 5]
+WIDE += [10**37, -(10**37), 10**38 - 1, -(10**38) + 1, 12345678901234567890123456789012345678]
+
+
+@pytest.mark.parametrize("scale", [0, 1, 10, 38])
+def test_wide_bytes(spark, ansi, scale):
+    """Both signs, every length from the shortest to one more than 16, against Python's own reading."""
+    kind = f"decimal(38,{scale})"
+    for number in WIDE:
+        least = max(1, (number.bit_length() + 8) // 8) if number >= 0 else max(1, ((number + 1).bit_length() + 8) // 8)
+        lengths = {least, min(least + 1, 17), 9, 16, 17} - set(range(least))
+        data = [(n, bytearray(number.to_bytes(n, signed=True))) for n in sorted(lengths)]
+        df = spark.createDataFrame(data, "n int, x binary")
+        found = ts.fixed_to_decimal(df, {"x": (38, scale)})
+        expected = Decimal(number).scaleb(-scale, Context(prec=60))
+        assert [r["x"] for r in found.collect()] == [expected] * len(data), number
+        assert found.schema["x"].dataType.simpleString() == kind
+        back = ts.decimal_to_fixed(found).select("x").distinct().collect()
+        assert [bytes(r["x"]) for r in back] == [number.to_bytes(16, signed=True)]
+
+
+@pytest.mark.parametrize(
+    ("number", "length", "precision"),
+    [(10**38, 16, 38), (-(10**38), 16, 38), (2**127 - 1, 16, 38), (-(2**127), 16, 38), (10**20, 9, 20), (-(10**20), 9, 20), (2**130, 17, 38), (-(2**130), 18, 38)],
+)
+def test_wide_bytes_that_do_not_fit(spark, ansi, number, length, precision):
+    df = spark.createDataFrame([(bytearray(number.to_bytes(length, signed=True)),)], "x binary")
+    with pytest.raises(Exception, match="do not fit"):
+        ts.fixed_to_decimal(df, {"x": (precision, 2)}).collect()
+    with pytest.raises(Exception, match="do not fit"):
+        ts.fixed_to_decimal(spark.createDataFrame([(bytearray(b""),)], "x binary"), {"x": (30, 2)}).collect()
+    none = spark.createDataFrame([(None,)], "x binary")
+    assert values(ts.fixed_to_decimal(none, {"x": (30, 2)})) == [None]
+
+
+def test_order_of_numbers_in_text(spark):
+    texts = ["-1" + "0" * 50, "-99.5", "-99.45", "-99.4", "-10", "-9.5", "-1", "-0.001", "0", "0.0009", "0.001", "1", "1.05", "1.5", "9.5"]
+    texts += ["10.5", "99999999999999999999999999999999999999.1", "1" + "0" * 60]
+    same = {"9.5": ["+9.50", "009.5", " 9.5000 "], "0": ["-0", "-0.00", "000", ".0", "0."], "-1": ["-1.0", "-01"], "0.001": [".00100"]}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for fn, want in ((ts.max_wide_value(df, "t"), texts[-1]), (ts.max_wide_value(df, "t", "t LIKE '-%'"), "-0.001")):
+        assert fn.first()[0] == want
+    keys = [r[0] for r in df.select(ts.number_order(F.col("t"))).collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+    for text, others in same.items():
+        found = spark.createDataFrame([(t,) for t in [text, *others]], "t string").select(ts.number_order(F.col("t"))).distinct()
+        assert found.count() == 1, text
+    assert spark.createDataFrame([(None,)], "t string").select(ts.number_order(F.col("t"))).first()[0] is None
+    for bad in ("", " ", ".", "-", "1e5", "1,5", "abc"):
+        with pytest.raises(Exception, match="plain number"):
+            spark.createDataFrame([(bad,)], "t string").select(ts.number_order(F.col("t"))).collect()
+    assert ts.max_wide_value(df.limit(0), "t").first()[0] is None
+    with pytest.raises(ValueError, match="not text"):
+        ts.max_wide_value(spark.range(1), "id")
+
+
 def test_string_to_decimal(spark, ansi):
     df = spark.createDataFrame([("1.50",), ("-2",), ("+3.100000",), ("1.5E1",), (None,), (" 7 ",)], "x string")
     expected = [Decimal("1.50"), Decimal("-2"), Decimal("3.1"), Decimal("15"), None, Decimal("7")]

@@ -41,7 +41,12 @@ def rows(df):
         ({"source": TABLE, "layout": "sequence"}, "layout is one of"),
         ({"source": TABLE, "target_dir": None}, "is required"),
         ({"source": TABLE, "job": "j"}, "go together"),
-        ({"source": TABLE, "catalog_table": "c", "append": True, "merge_key": "k"}, "not on a catalog table"),
+        ({"source": TABLE, "catalog_table": "c", "append": True, "merge_key": "k"}, "appended or merged"),
+        ({"source": TABLE, "rewrite": "some"}, "rewrite is"),
+        ({"source": TABLE, "rewrite": "touched", "layout": "text"}, "only Parquet"),
+        ({"source": TABLE, "bucket_by": (2, ["k"])}, "needs a catalog_table"),
+        ({"source": TABLE, "decimals_as_text": "short"}, "plain"),
+        ({"source": "p", "split_by": "k", "split_limit": 3}, "needs a database"),
     ],
 )
 def test_options_that_do_not_go_together(options, message):
@@ -198,49 +203,65 @@ def test_zoned_check_column_in_another_zone(spark, tmp_path, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def dated(spark, *data, key="k"):
+    """Keys with the day of January 2024 on which the row was last changed."""
+    return spark.createDataFrame(data, f"`{key}` int, day int").select(
+        f"`{key}`", F.date_add(F.lit("2023-12-31").cast("date"), F.col("day")).alias("last-change")
+    )
+
+
+def days(df):
+    return sorted((k, day.day) for k, day in df.collect())
+
+
 def test_first_import_keeps_the_promise_of_unique_keys(spark, tmp_path):
     job = ts.ImportJob(
-        source=spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, v int"),
+        source=dated(spark, (1, 1), (1, 2), (2, 1)),
         target_dir=str(tmp_path / "t"),
         layout="parquet",
-        incremental="append",
-        check_column="v",
+        incremental="lastmodified",
+        check_column="last-change",
+        now=datetime(2024, 1, 3),
         merge_key="k",
+        tie_break="last-change",
         old_is_unique=True,
     )
     ts.run_import(spark, job)
-    assert rows(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 1)]
-    ts.run_import(spark, replace(job, source=spark.createDataFrame([(2, 3), (2, 4)], "k int, v int"), last_value=2))
-    assert rows(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 4)]
+    assert days(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 1)]
+    again = replace(job, source=dated(spark, (2, 3), (2, 4)), last_value="2024-01-03", now=datetime(2024, 1, 9))
+    ts.run_import(spark, again)
+    assert days(ts.parquet_scan(spark, job.target)) == [(1, 2), (2, 4)]
 
 
 def test_merge_key_with_a_cleaned_name(spark, tmp_path):
     job = ts.ImportJob(
-        source=spark.createDataFrame([(1, 1), (2, 1)], "`1st key` int, `row-version` int"),
+        source=dated(spark, (1, 1), (2, 1), key="1st key"),
         target_dir=str(tmp_path / "t"),
         layout="parquet",
-        incremental="append",
-        check_column="row-version",
+        incremental="lastmodified",
+        check_column="last-change",
+        now=datetime(2024, 1, 2),
         merge_key="1st key",
-        tie_break="row-version",
+        tie_break="last-change",
     )
     ts.run_import(spark, job)
-    more = spark.createDataFrame([(2, 2), (2, 3), (3, 2)], job.source.schema)
-    ts.run_import(spark, replace(job, source=more, last_value=1))
+    more = dated(spark, (2, 2), (2, 3), (3, 2), key="1st key")
+    ts.run_import(spark, replace(job, source=more, last_value="2024-01-02", now=datetime(2024, 1, 9)))
     stored = ts.parquet_scan(spark, job.target)
-    assert stored.columns == ["AVRO_1st_key", "row_version"]
-    assert rows(stored) == [(1, 1), (2, 3), (3, 2)]
+    assert stored.columns == ["AVRO_1st_key", "last_change"]
+    assert days(stored) == [(1, 1), (2, 3), (3, 2)]
 
 
 def test_failed_merge_saves_no_state(spark, tmp_path):
-    source = spark.createDataFrame([(1, 1), (None, 2)], "k int, v int")
-    ts.write_parquet(source.where("k = 1"), str(tmp_path / "t"))
+    source = dated(spark, (1, 1), (None, 2))
+    ts.write_parquet(source.where("k = 1").withColumnRenamed("last-change", "last_change"), str(tmp_path / "t"))
     job = ts.ImportJob(
         source=source,
         target_dir=str(tmp_path / "t"),
         layout="parquet",
-        incremental="append",
-        check_column="v",
+        incremental="lastmodified",
+        check_column="last-change",
+        now=datetime(2024, 1, 9),
         merge_key="k",
         job="j",
         state_path=str(tmp_path / "state"),
@@ -248,7 +269,85 @@ def test_failed_merge_saves_no_state(spark, tmp_path):
     with pytest.raises(Exception, match="null key"):
         ts.run_import(spark, job)
     assert ts.load_state(spark, job.state_path, "j") is None
-    assert rows(ts.parquet_scan(spark, job.target)) == [(1, 1)]
+    assert days(ts.parquet_scan(spark, job.target)) == [(1, 1)]
+
+
+def test_append_mode_appends(spark, tmp_path):
+    """With a merge key, too: new rows go beside the old ones, nothing is compared."""
+    job = ts.ImportJob(
+        source=spark.createDataFrame([(1, 1), (1, 2)], "k int, v int"),
+        target_dir=str(tmp_path / "t"),
+        layout="parquet",
+        incremental="append",
+        check_column="v",
+        merge_key="k",
+    )
+    ts.run_import(spark, job)
+    more = spark.createDataFrame([(1, 2), (1, 3), (None, 4)], "k int, v int")
+    ts.run_import(spark, replace(job, source=more, last_value=2))
+    assert sorted(map(tuple, ts.parquet_scan(spark, job.target).collect()), key=repr) == [(1, 1), (1, 2), (1, 3), (None, 4)]
+
+
+def test_stored_as_text_and_milliseconds(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS k, 0.5D AS price, '0.00000001' AS tiny, timestamp_ntz'2024-01-02 03:04:05.678901' AS at")
+    job = ts.ImportJob(
+        source=df,
+        target_dir=str(tmp_path / "plain"),
+        layout="parquet",
+        decimals={"price": (5, 2), "tiny": (20, 10)},
+        decimals_as_text="plain",
+        dates_as_millis=True,
+    )
+    ts.run_import(spark, job)
+    assert rows(ts.parquet_scan(spark, job.target)) == [(1, "0.50", "0.0000000100", 1704164645678)]
+    job = replace(job, decimals_as_text="java", dates_as_millis=False, target_dir=str(tmp_path / "java"))
+    ts.run_import(spark, job)
+    stored = rows(ts.parquet_scan(spark, job.target))
+    assert stored == [(1, "0.50", "1.00E-8", datetime(2024, 1, 2, 3, 4, 5, 678901))]
+
+
+def test_wide_numbers_merge_by_value(spark, tmp_path):
+    nines = "9" * 40
+
+    def source(*data):
+        return spark.createDataFrame(data, "k int, amount string, ts string").withColumn("ts", F.col("ts").cast("date"))
+
+    job = ts.ImportJob(
+        source=source((1, nines, "2024-01-01")),
+        target_dir=str(tmp_path / "t"),
+        layout="parquet",
+        decimals={"amount": (65, 30)},
+        wide_as_text=True,
+        incremental="lastmodified",
+        check_column="ts",
+        now=datetime(2024, 1, 2),
+        merge_key="k",
+        tie_break="amount",
+    )
+    ts.run_import(spark, job)
+    more = source((2, "9.5", "2024-01-03"), (2, "10.5", "2024-01-03"), (2, "-11", "2024-01-03"), (1, "1" + nines, "2024-01-03"))
+    ts.run_import(spark, replace(job, source=more, last_value="2024-01-02", now=datetime(2024, 1, 9)))
+    assert rows(ts.parquet_scan(spark, job.target).select("k", "amount")) == [(1, "1" + nines), (2, "10.5")]
+    with pytest.raises(ValueError, match="wider than"):
+        ts.run_import(spark, replace(job, wide_as_text=False, target_dir=str(tmp_path / "u")))
+
+
+def test_split_column_must_exist(spark, tmp_path):
+    job = ts.ImportJob(source=spark.range(3), target_dir=str(tmp_path / "t"), layout="parquet", split_by="nope", num_splits=2)
+    with pytest.raises(ValueError, match="no column named 'nope'"):
+        ts.run_import(spark, job)
+
+
+def test_text_appends_check_their_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    job = ts.ImportJob(source=spark.createDataFrame([(1, 2)], "a int, b int"), target_dir=path, append=True)
+    ts.run_import(spark, job)
+    ts.run_import(spark, replace(job, source=spark.createDataFrame([(3, 4)], "a int, b int")))
+    for other in ("b int, a int", "a int", "a int, b long"):
+        rows_of = spark.createDataFrame([(5, 6)[: other.count(" int") + other.count("long")]], other)
+        with pytest.raises(ValueError, match="cannot append"):
+            ts.run_import(spark, replace(job, source=rows_of))
+    assert rows(ts.read_text(spark, path, "a int, b int")) == [(1, 2), (3, 4)]
 
 
 def test_catalog_import(spark):

@@ -8,6 +8,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import tablesync as ts
 from tablesync.sinks.files import read_text
@@ -73,12 +74,34 @@ def test_appends_are_exact(spark, tmp_path):
 
 
 def test_text_round_trip(spark, tmp_path):
-    rows = [("a\r\nb", 1), ("c\rd", 2), ('q"', 3), ("", 4), (None, 5), ("e\nf", 6)]
-    ts.write_text(spark.createDataFrame(rows, "t string, n int").coalesce(1), f"{tmp_path}/t")
+    rows = [("a\r\nb", 1), ("c\rd", 2), ('q"', 3), ("", 4), (None, 5), ("e\nf", 6), ("\\s\\n\\\\ \\", 7), ("\\N", 8), (" x,\ty ", 9)]
+    df = spark.createDataFrame(rows, "t string, n int").coalesce(1)
+    ts.write_text(df, f"{tmp_path}/t")
     back = [tuple(r) for r in read_text(spark, f"{tmp_path}/t", "t string, n int").collect()]
     assert sorted(back, key=lambda r: r[1]) == rows
-    with pytest.raises(Exception):
-        ts.write_text(spark.createDataFrame([("\\N",)], "t string"), f"{tmp_path}/u")
+    lines = next(iter(tmp_path.glob("t/*.csv"))).read_bytes().split(b"\n")
+    assert len(lines) == len(rows) + 1 and b"\r" not in b"".join(lines)  # a row is a line
+    plain = df.where("n < 7")
+    ts.write_text(plain, f"{tmp_path}/plain", escaped=False)
+    back = [tuple(r) for r in read_text(spark, f"{tmp_path}/plain", "t string, n int", escaped=False).collect()]
+    assert sorted(back, key=lambda r: r[1]) == rows[:6]
+    for name, options in (("u", {"escaped": False}), ("v", {"null_text": "-"})):
+        with pytest.raises(Exception, match="text for null"):
+            text = options.get("null_text", "\\N")
+            ts.write_text(spark.createDataFrame([(text,)], "t string"), f"{tmp_path}/{name}", **options)
+
+
+def test_one_text_file_is_read_in_several_tasks(spark, tmp_path):
+    df = spark.range(20_000).select("id", F.concat(F.lit("line\nbreak \\ "), F.repeat(F.lit("x\r"), 20)).alias("t"))
+    ts.write_text(df.coalesce(1), f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        back = read_text(spark, f"{tmp_path}/t", df.schema)
+        assert back.rdd.getNumPartitions() > 3
+        assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_options_that_contradict(spark):

@@ -1,0 +1,275 @@
+"""Merges that leave files, folders and shuffles alone."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import tablesync as ts
+from tablesync.sinks import journal
+from tablesync.storage import data_files, write_new
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def by_key(spark, path, n=200, files=20, parts=()):
+    """A dataset laid out by key, in that many files."""
+    df = spark.range(n).select(
+        F.col("id").alias("k"), F.concat(F.lit("old"), "id").alias("v"), (F.col("id") % 3).cast("int").alias("p")
+    )
+    ts.write_parquet(df.repartitionByRange(files, "k"), str(path), partition_by=parts)
+    return df
+
+
+def expected(old, batch):
+    merged = {r[0]: tuple(r) for r in old.collect()}
+    merged.update({r[0]: tuple(r) for r in batch.collect()})
+    return sorted(merged.values(), key=repr)
+
+
+def batch_of(spark, *keys, p=None):
+    return spark.createDataFrame([(k, f"new{k}", k % 3 if p is None else p) for k in keys], "k long, v string, p int")
+
+
+def test_untouched_files_keep_their_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path)
+    before = data_files(spark, path)
+    batch = batch_of(spark, 41, 43, 44)
+    done = ts.merge_touched(spark, path, batch, "k")
+    after = data_files(spark, path)
+    assert (done.kept, done.replaced) == (19, 1)
+    assert len(before.keys() & after.keys()) == 19  # under a tenth is written again
+    assert rows(ts.parquet_scan(spark, path)) == expected(old, batch)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["t"]  # nothing is left beside it
+
+
+def test_new_keys_touch_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path)
+    before = data_files(spark, path)
+    batch = batch_of(spark, 1000, 1001, -5)
+    assert ts.merge_touched(spark, path, batch, "k").replaced == 0
+    assert before.keys() <= data_files(spark, path).keys()
+    assert rows(ts.parquet_scan(spark, path)) == expected(old, batch)
+    assert ts.merge_touched(spark, path, batch.limit(0), "k") == ts.TouchedMerge(21, 0, 0)
+
+
+def test_layout_by_key_is_kept(spark, tmp_path):
+    """After a merge over many files, a later batch still finds its keys in few."""
+    path = str(tmp_path / "t")
+    by_key(spark, path)
+    ts.merge_touched(spark, path, batch_of(spark, *range(0, 200, 7)), "k")
+    assert ts.merge_touched(spark, path, batch_of(spark, 100, 101), "k").replaced <= 2
+
+
+def test_repeated_keys_in_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path)
+    batch = spark.createDataFrame([(5, "a", 1), (5, "b", 1), (300, "c", 0), (300, "c", 0)], "k long, v string, p int")
+    ts.merge_touched(spark, path, batch, "k", "v")
+    assert rows(ts.parquet_scan(spark, path)) == expected(old, batch.orderBy("v"))
+
+
+def test_partition_folders_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path, parts=["p"])
+    before = data_files(spark, path)
+    batch = batch_of(spark, 3, 6, 300)  # all in p=0
+    ts.merge_touched(spark, path, batch, "k")
+    after = data_files(spark, path)
+    assert {f.split("/")[0] for f in after} == {"p=0", "p=1", "p=2"}
+    assert {f for f in before if not f.startswith("p=0")} <= after.keys()
+    assert rows(ts.parquet_scan(spark, path).select("k", "v", "p")) == expected(old, batch)
+
+
+def test_rows_that_change_their_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path, parts=["p"])
+    batch = batch_of(spark, 3, 4, 500, p=7)
+    batch = batch.unionByName(spark.createDataFrame([(8, "null", None)], batch.schema))
+    ts.merge_touched(spark, path, batch, "k")
+    stored = ts.parquet_scan(spark, path).select("k", "v", "p")
+    assert rows(stored) == expected(old, batch)
+    ts.merge_touched(spark, path, batch_of(spark, 8, p=1), "k")  # out of the null folder again
+    assert rows(ts.parquet_scan(spark, path).where("k = 8").select("k", "v", "p")) == [(8, "new8", 1)]
+
+
+def test_partition_in_the_key(spark, tmp_path):
+    """The same k in another partition is another key, and that partition is not scanned."""
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a", "x/y"), (1, "b", "z"), (2, "c", "z")], "k long, v string, p string")
+    ts.write_parquet(df, path, partition_by=["p"])
+    before = data_files(spark, path)
+    ts.merge_touched(spark, path, spark.createDataFrame([(1, "new", "x/y")], df.schema), ["k", "p"])
+    assert {f for f in before if f.startswith("p=z")} <= data_files(spark, path).keys()
+    assert rows(ts.parquet_scan(spark, path).select("k", "v", "p")) == [(1, "b", "z"), (1, "new", "x/y"), (2, "c", "z")]
+
+
+def test_merge_paths_keeps_partition_folders(spark, tmp_path):
+    path, new = str(tmp_path / "t"), str(tmp_path / "new")
+    old = by_key(spark, path, parts=["p"])
+    batch = batch_of(spark, 3, 4, 500)
+    ts.write_parquet(batch, new)
+    ts.merge_paths(spark, path, new, "k")
+    assert {f.split("/")[0] for f in data_files(spark, path)} == {"p=0", "p=1", "p=2"}
+    assert rows(ts.parquet_scan(spark, path).select("k", "v", "p")) == expected(old, batch)
+
+
+def test_null_keys_fail_and_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    by_key(spark, path)
+    before = data_files(spark, path)
+    with pytest.raises(Exception, match="null key"):
+        ts.merge_touched(spark, path, spark.createDataFrame([(None, "x", 1), (3, "y", 1)], "k long, v string, p int"), "k")
+    assert data_files(spark, path) == before
+
+
+@pytest.mark.parametrize("cut", ["before", "journal", "moved", "removing"])
+def test_cut_off_replacements(spark, tmp_path, monkeypatch, cut):
+    """Whatever is cut off, the dataset is as before or as after, once the next one looks."""
+    path = str(tmp_path / "t")
+    old = by_key(spark, path)
+    batch, before = batch_of(spark, 41, 120, 999), data_files(spark, path)
+    calls = {"move": 0, "delete": 0}
+    rename, delete = journal.rename, journal.delete
+
+    def broken_rename(spark, a, b):
+        calls["move"] += 1
+        if cut == "journal" or (cut == "moved" and calls["move"] > 1):
+            raise OSError("lost")
+        rename(spark, a, b)
+
+    def broken_delete(spark, p):
+        if cut == "removing" and p.startswith(path + "/"):
+            raise OSError("lost")
+        delete(spark, p)
+
+    if cut == "before":
+        monkeypatch.setattr(journal, "write_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    monkeypatch.setattr(journal, "rename", broken_rename)
+    monkeypatch.setattr(journal, "delete", broken_delete)
+    with pytest.raises(OSError, match="lost"):
+        ts.merge_touched(spark, path, batch, "k")
+    monkeypatch.undo()
+    ts.recover_files(spark, path)
+    if cut == "before":
+        assert data_files(spark, path) == before
+    else:
+        assert rows(ts.parquet_scan(spark, path)) == expected(old, batch)
+    ts.recover_files(spark, path)
+    ts.merge_touched(spark, path, batch, "k")
+    assert rows(ts.parquet_scan(spark, path)) == expected(old, batch)
+
+
+def test_a_journal_that_was_cut_off_decides_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = by_key(spark, path)
+    Path(path + journal.JOURNAL).write_text(json.dumps({"staging": "x"})[:-3])
+    ts.recover_files(spark, path)
+    assert rows(ts.parquet_scan(spark, path)) == rows(old)
+    write_new(spark, path + journal.JOURNAL, "{}")
+    with pytest.raises(FileExistsError):
+        write_new(spark, path + journal.JOURNAL, "{}")
+
+
+# --- catalog tables --------------------------------------------------------------------------
+
+
+def table_of(spark, tmp_path, name, buckets=None):
+    df = spark.range(500).select(F.col("id").alias("k"), F.concat(F.lit("old"), "id").alias("v"), F.lit(0).alias("p"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ts.write_table(df, name, path=str(tmp_path / name), bucket_by=buckets)
+    return df
+
+
+@pytest.mark.parametrize("buckets", [None, (4, ["k"])])
+def test_merge_table(spark, tmp_path, buckets):
+    old = table_of(spark, tmp_path, "merged_t", buckets)
+    batch = batch_of(spark, 1, 2, 1000)
+    first = ts.stored_table(spark, "merged_t").location
+    for turn in range(3):
+        now = batch.withColumn("v", F.concat("v", F.lit(str(turn))))
+        where = ts.merge_table(spark, "merged_t", now, "k")
+        assert rows(spark.table("merged_t")) == expected(old, now)
+        assert ts.stored_table(spark, "merged_t").location.endswith(where.rpartition("/")[2])
+        if buckets:
+            assert ts.stored_table(spark, "merged_t").buckets == 4
+            assert len(data_files(spark, where)) <= 8  # two per bucket, however often
+    assert first != where and not Path(first.removeprefix("file:")).exists()
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith("merge_")]) == 0
+    assert ts.merge_table(spark, "merged_t", batch.limit(0), "k").endswith(where.rpartition("/")[2])
+    spark.sql("DROP TABLE merged_t")
+
+
+def test_bucketed_side_is_not_shuffled(spark, tmp_path):
+    table_of(spark, tmp_path, "merged_b", (4, ["k"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = batch_of(spark, 1, 2).repartition(4, "k")
+        plan = ts.merged_rows(spark, "merged_b", new, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    above = plan.splitlines()[:scan]
+    depth = len(plan.splitlines()[scan].split("FileScan")[0])
+    parents = []
+    for line in reversed(above):  # the lines that lead from the scan up to the root
+        indent = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if indent < depth:
+            parents.append(line)
+            depth = indent
+    assert any("Join" in p for p in parents)
+    assert not any("Exchange" in p for p in parents)
+
+
+def test_a_failed_merge_leaves_the_table(spark, tmp_path):
+    old = table_of(spark, tmp_path, "merged_f")
+    bad = spark.createDataFrame([(None, "x", 1), (3, "y", 1)], "k long, v string, p int")
+    with pytest.raises(Exception, match="null key"):
+        ts.merge_table(spark, "merged_f", bad, "k")
+    assert rows(spark.table("merged_f")) == rows(old)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["merged_f"]
+    spark.sql("DROP TABLE merged_f")
+
+
+def test_partitioned_tables_are_refused(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS merged_p")
+    ts.write_table(batch_of(spark, 1, 2), "merged_p", path=str(tmp_path / "p"), partition_by=["p"])
+    with pytest.raises(ValueError, match="partitioned"):
+        ts.merge_table(spark, "merged_p", batch_of(spark, 1), "k")
+    spark.sql("DROP TABLE merged_p")
+
+
+# --- whole imports -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("way", ["touched", "catalog"])
+def test_lastmodified_imports(spark, tmp_path, way):
+    from dataclasses import replace
+    from datetime import datetime
+
+    def source(*data):
+        return spark.createDataFrame(data, "k long, v string, p int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+    spark.sql("DROP TABLE IF EXISTS imported_m")
+    where = {"target_dir": str(tmp_path / "t"), "rewrite": "touched", "partition_by": ["p"]}
+    if way == "catalog":
+        where = {"catalog_table": "imported_m", "bucket_by": (2, ["k"])}
+    job = ts.ImportJob(
+        source=source((1, "a", 0, "2024-01-01"), (2, "b", 1, "2024-01-02"), (2, "older", 1, "2024-01-01")),
+        layout="parquet", incremental="lastmodified", check_column="ts", merge_key="K", tie_break="TS",
+        now=datetime(2024, 1, 5), job="j", state_path=str(tmp_path / "state"), **where,
+    )
+    ts.run_import(spark, job)
+    later = source((2, "B", 0, "2024-01-06"), (3, "c", 1, "2024-01-07"), (1, "not again", 0, "2024-01-01"))
+    ts.run_import(spark, replace(job, source=later, now=datetime(2024, 2, 1)))
+    stored = spark.table("imported_m") if way == "catalog" else ts.parquet_scan(spark, job.target)
+    assert rows(stored.select("k", "v", "p")) == [(1, "a", 0), (2, "B", 0), (3, "c", 1)]
+    spark.sql("DROP TABLE IF EXISTS imported_m")
