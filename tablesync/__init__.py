@@ -32,6 +32,7 @@ from tablesync.operators.columns import (
     year_as_smallint,
 )
 from tablesync.operators.incremental import (
+    StateConflict,
     bounds_sql,
     compact_state,
     incremental_append,
@@ -41,6 +42,7 @@ from tablesync.operators.incremental import (
     latest_state,
     load_state,
     save_state,
+    state_log,
 )
 from tablesync.operators.merge import (
     append_rows,
@@ -69,8 +71,16 @@ from tablesync.sinks.files import (
     write_text,
 )
 from tablesync.sinks.journal import recover_files, replace_files
+from tablesync.sinks.lobs import lob_path, read_lobs, write_with_lobs
 from tablesync.sinks.swap import recover_swap, swap_into_place, write_and_swap
 from tablesync.sinks.tables import append_table, export_jdbc, export_table, move_statement, write_table
+from tablesync.sources.balanced import (
+    balanced_predicates,
+    balanced_scan,
+    balanced_split_plan,
+    typed_split_plan,
+    with_typed_split,
+)
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.scan import parquet_scan, scan_query, scan_table
 from tablesync.sources.splits import (

@@ -178,12 +178,16 @@ def decimal_layout(df: DataFrame) -> DataFrame:
 
 def plain_string(df: DataFrame, col: str) -> Column:
     """Digits without an exponent. ANSI mode's cast gives that, the other mode's does not."""
-    value, kind = quoted(col), df.schema[col].dataType
-    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true":
+    ansi = df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+    return _plain(quoted(col), df.schema[col].dataType, exponents=not ansi)
+
+
+def _plain(value: Column, kind: DecimalType, exponents: bool) -> Column:
+    """``exponents`` says that the session's cast to text may print them."""
+    if not exponents:
         return value.cast("string")
-    # leading nines print as spaces
-    digits = "9" * (kind.precision - kind.scale - 1) + "0" + ("." + "0" * kind.scale if kind.scale else "")
-    return F.concat(F.when(value < 0, "-").otherwise(""), F.trim(F.to_char(F.abs(value), F.lit(digits))))
+    pattern = "0" + ("." + "0" * kind.scale if kind.scale else "")
+    return F.call_function("format_number", value, F.lit(pattern))
 
 
 def java_string(df: DataFrame, col: str) -> Column:
@@ -259,8 +263,8 @@ def to_wide(value: Column, precision: int, scale: int) -> Column:
     """Unscaled value as 16 bytes of big-endian two's complement, for up to 38 digits."""
     unscaled = _unscaled(value, precision, scale)
     negative = unscaled < 0
-    # -v - 1 has the complement of v's bits
-    rest = F.when(negative, -unscaled - 1).otherwise(unscaled)
+    # -1 - v has the complement of v's bits; a plain minus sign would round to 34 digits
+    rest = F.when(negative, F.lit(Decimal(-1)).cast("decimal(38,0)") - unscaled).otherwise(unscaled)
     limb = F.lit(Decimal(2**32)).cast("decimal(38,0)")
     parts = []
     for _ in range(4):
@@ -282,11 +286,8 @@ def _unscaled(value: Column, precision: int, scale: int) -> Column:
     """The number without its point. Moving the point in the text keeps all 38 digits, a product would not."""
     if scale == 0:
         return value.cast("decimal(38,0)")
-    text = value.cast(f"decimal({precision},{scale})").cast("string")
-    sign = F.when(value < 0, F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1))).cast("decimal(1,0)")
-    # zero can print with an exponent outside ANSI mode
-    digits = F.when(value == 0, "0").otherwise(F.regexp_replace(text, r"[-.]", ""))
-    return (digits.cast("decimal(38,0)") * sign).cast("decimal(38,0)")
+    kind = DecimalType(precision, scale)
+    return F.regexp_replace(_plain(value, kind, exponents=True), r"[.]", "").cast("decimal(38,0)")
 
 
 def from_wide(value: Column, precision: int, scale: int) -> Column:
@@ -309,7 +310,8 @@ def from_wide(value: Column, precision: int, scale: int) -> Column:
     total = limbs[0]
     for limb in limbs[1:]:
         total = (total * F.lit(Decimal(2**32)).cast("decimal(10,0)") + limb).cast("decimal(38,0)")
-    whole = F.when(negative, -total - 1).otherwise(total).cast("decimal(38,0)")
+    # a plain minus sign would round to 34 digits
+    whole = F.when(negative, F.lit(Decimal(-1)).cast("decimal(38,0)") - total).otherwise(total).cast("decimal(38,0)")
     text = F.concat(F.lit("bytes do not fit decimal("), F.lit(f"{precision},{scale}): "), digits)
     checked = F.when(digits.isNull() | fits, whole).otherwise(F.raise_error(text).cast("decimal(38,0)"))
     if scale == 0:

@@ -31,7 +31,8 @@ def drop_delims(
     return df.withColumns({c: F.regexp_replace(quoted(c), pattern, literal) for c in names})
 
 
-def _reference(key: str, col: str, label: str) -> Column:
+def reference(key: str, col: str, label: str) -> Column:
+    """What stands in the row for a value moved out of it."""
     missing = F.raise_error(F.lit(f"column {col}: a value moved out of its row needs a value of {key}"))
     return F.concat(F.lit(f"lob:{label}/{col}/"), F.coalesce(quoted(key).cast("string"), missing))
 
@@ -52,8 +53,8 @@ def lob_inline(
         raise ValueError(f"column {col!r} holds no large values: {kind.simpleString()}")
     if limit < 0:
         raise ValueError("limit must not be negative")
-    value, reference = quoted(col), _reference(key, col, label)
+    value, moved = quoted(col), reference(key, col, label)
     large = F.octet_length(value) > limit
-    main = df.withColumn(col, F.when(large, reference.cast(kind)).otherwise(value))
-    side = df.where(large).select(reference.alias("reference"), value.alias("payload"))
+    main = df.withColumn(col, F.when(large, moved.cast(kind)).otherwise(value))
+    side = df.where(large).select(moved.alias("reference"), value.alias("payload"))
     return main, side

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from datetime import UTC, datetime, time, timedelta
 from decimal import Decimal
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,8 @@ from pyspark.sql.types import (
 
 from tablesync.operators.checks import require_check_column
 from tablesync.operators.columns import quoted
-from tablesync.sinks.files import write_overwrite
 from tablesync.sources.jdbc import JdbcSource
-from tablesync.storage import has_data
+from tablesync.storage import delete, names_in, read_whole, write_new
 
 # The two incremental modes.
 APPEND = "append"
@@ -123,8 +124,8 @@ def bounds_sql(src: JdbcSource, col: str, mode: str, last=None, upper=None) -> s
 def latest_state(log: DataFrame) -> DataFrame:
     """The latest entry per job of a run log ``(job, ..., run_at)``.
 
-    One aggregate with map-side combining; ``run_at`` grows strictly within a job
-    (``save_state`` sees to that), so all columns come from the same entry.
+    One aggregate with map-side combining; ``run_at`` should differ between a job's entries, so
+    that all columns come from the same one.
     """
     values = [c for c in log.columns if c not in ("job", "run_at")]
     return log.groupBy("job").agg(
@@ -133,29 +134,72 @@ def latest_state(log: DataFrame) -> DataFrame:
     )
 
 
+class StateConflict(RuntimeError):
+    """Another run of the job has saved its state since this one read it."""
+
+
+#: Digits of a state file's number, so that names sort as numbers do.
+_STATE_DIGITS = 12
+
+
+def _state_folder(path: str, job: str) -> str:
+    return f"{path.rstrip('/')}/job={quote(job, safe='')}"
+
+
+def _versions(spark: SparkSession, path: str, job: str) -> list[str]:
+    names = names_in(spark, _state_folder(path, job))
+    return [n for n in names if n.endswith(".json") and n[: -len(".json")].isdigit()]
+
+
 def load_state(spark: SparkSession, path: str, job: str) -> dict | None:
-    """The job's latest entry, or None before its first run."""
-    if not has_data(spark, path):
-        return None
-    log = spark.read.schema(STATE_SCHEMA).parquet(path)
-    row = latest_state(log.where(F.col("job") == job)).first()
-    return None if row is None else row.asDict()
+    """The job's latest entry, or None before its first run. ``version`` is its number."""
+    for name in reversed(_versions(spark, path, job)):
+        text = read_whole(spark, f"{_state_folder(path, job)}/{name}")
+        if text.endswith("\n"):  # else its writer was cut off
+            return {**json.loads(text), "version": int(name[: -len(".json")])}
+    return None
 
 
 def save_state(
-    spark: SparkSession, path: str, job: str, mode: str, check_column: str, last_value
-) -> None:
-    """Add an entry; call it only after the run's data is in place."""
-    previous = load_state(spark, path, job)
-    run_at = datetime.now(UTC).replace(tzinfo=None)
-    if previous is not None:
-        run_at = max(run_at, previous["run_at"] + timedelta(microseconds=1))
-    text = None if last_value is None else str(last_value)
-    entry = spark.createDataFrame([(job, mode, check_column, text, run_at)], STATE_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(path)
+    spark: SparkSession, path: str, job: str, mode: str, check_column: str, last_value, expected: int | None = None
+) -> int:
+    """Add an entry and give its number; call it only after the run's data is in place.
+
+    Entries are files numbered per job, and a file that exists is never written again. ``expected`` is the number of the entry that the
+    run started from (0 if there was none): if another run has saved since, the next number is taken and this one raises
+    ``StateConflict``, with the other's state in place. Without it the entry follows whatever is there.
+    """
+    known = _versions(spark, path, job)
+    latest = int(known[-1][: -len(".json")]) if known else 0
+    if expected is not None:
+        state = load_state(spark, path, job)
+        if (state["version"] if state else 0) != expected:
+            raise StateConflict(f"job {job!r} was saved by another run: entry {latest} follows {expected}")
+    entry = {
+        "job": job,
+        "mode": mode,
+        "check_column": check_column,
+        "last_value": None if last_value is None else str(last_value),
+        "run_at": datetime.now(UTC).replace(tzinfo=None).isoformat(),
+    }
+    version = latest + 1
+    try:
+        write_new(spark, f"{_state_folder(path, job)}/{version:0{_STATE_DIGITS}d}.json", json.dumps(entry))
+    except FileExistsError as error:
+        raise StateConflict(f"job {job!r} was saved by another run at the same time: entry {version}") from error
+    return version
+
+
+def state_log(spark: SparkSession, path: str) -> DataFrame:
+    """All entries of all jobs, as ``latest_state`` takes them."""
+    rows = spark.read.schema(STATE_SCHEMA).json(f"{path.rstrip('/')}/*/*.json")
+    return rows.where(F.col("job").isNotNull())
 
 
 def compact_state(spark: SparkSession, path: str) -> None:
-    """Keep only the latest entry per job: a log of thousands of runs is slow to open."""
-    log = spark.read.schema(STATE_SCHEMA).parquet(path)
-    write_overwrite(latest_state(log).select(*log.columns).coalesce(1), path)
+    """Remove all but the latest entry of each job. Numbers go on, so runs under way are not misled."""
+    for folder in names_in(spark, path):
+        if folder.startswith("job="):
+            job = unquote(folder.removeprefix("job="))
+            for name in _versions(spark, path, job)[:-1]:
+                delete(spark, f"{_state_folder(path, job)}/{name}")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -21,7 +21,6 @@ from tablesync.operators.checks import (
     merge_schema_check,
     require_check_column,
     single_row,
-    validate_counts,
 )
 from tablesync.operators.columns import (
     cast_overrides,
@@ -36,6 +35,7 @@ from tablesync.plans.merge_table import merge_table
 from tablesync.plans.touched import merge_touched, partition_columns
 from tablesync.sinks.files import LAYOUTS, append_files, read_files, write_files, write_overwrite
 from tablesync.sinks.journal import recover_files
+from tablesync.sinks.lobs import write_with_lobs
 from tablesync.sinks.swap import recover_swap, write_and_swap
 from tablesync.sinks.tables import append_table, write_table
 from tablesync.sources.jdbc import CONDITIONS, JdbcSource
@@ -78,6 +78,8 @@ class ImportJob:
     decimals_as_text: str | None = None
     dates_as_millis: bool = False
     wide_as_text: bool = False
+    lobs: Mapping[str, int] = field(default_factory=dict)
+    lob_key: str | None = None
 
     target_dir: str | None = None
     warehouse_dir: str | None = None
@@ -110,6 +112,11 @@ class ImportJob:
             return self.source.table is not None
         return self.source is not None
 
+    @property
+    def lob_label(self) -> str:
+        """What references to large values begin with."""
+        return self.name or (self.target or "").rstrip("/").rpartition("/")[2] or "table"
+
     @property
     def target(self) -> str | None:
         """The target directory, else the table's folder in the warehouse, else its name."""
@@ -168,6 +175,15 @@ def check_job(job: ImportJob) -> None:
         (job.rewrite not in REWRITES, f"rewrite is one of {list(REWRITES)}, not {job.rewrite!r}"),
         (job.rewrite == "touched" and job.layout != "parquet", "only Parquet files can be rewritten file by file"),
         (job.decimals_as_text not in (None, "plain", "java"), "decimals_as_text is 'plain' or 'java'"),
+        (bool(job.lobs) != (job.lob_key is not None), "lobs and lob_key go together"),
+        (
+            bool(job.lobs) and (job.layout != "parquet" or job.catalog_table is not None or bool(job.partition_by)),
+            "large values are moved out of plain Parquet files only",
+        ),
+        (
+            bool(job.lobs) and (job.append or job.incremental is not None or job.merge_key is not None),
+            "large values are named by their row's key: they need a whole import",
+        ),
         (job.partition_by and job.layout != "parquet", "only Parquet files can be partitioned"),
         (job.bucket_by is not None and job.catalog_table is None, "bucket_by needs a catalog_table"),
         (
@@ -186,10 +202,13 @@ def check_job(job: ImportJob) -> None:
 def run_import(spark: SparkSession, job: ImportJob) -> ImportResult:
     """Run the import. The state is saved only after the data is in place."""
     check_job(job)
-    if job.state_path is not None and job.last_value is None:
+    version = 0
+    if job.state_path is not None:
         state = inc.load_state(spark, job.state_path, job.job)
         if state is not None:
-            job = replace(job, last_value=state["last_value"])
+            version = state["version"]
+            if job.last_value is None:
+                job = replace(job, last_value=state["last_value"])
     if job.target is not None:
         recover_swap(spark, job.target)
         recover_files(spark, job.target)
@@ -208,11 +227,15 @@ def run_import(spark: SparkSession, job: ImportJob) -> ImportResult:
     rows = _convert(rows, job)
     result = ImportResult(True, job.target, upper if job.incremental else None)
     before = _stored_rows(spark, rows, job) if job.validate and job.append else 0
-    _store(spark, rows, job)
     if job.validate:
-        result = _validated(spark, rows, job, result, before)
+        # counted on their way to the files: the source is read once
+        counted = Observation()
+        _store(spark, rows.observe(counted, F.count(F.lit(1)).alias("rows")), job)
+        result = _validated(counted.get["rows"], _stored_rows(spark, rows, job) - before, result)
+    else:
+        _store(spark, rows, job)
     if job.state_path is not None and job.incremental is not None:
-        inc.save_state(spark, job.state_path, job.job, job.incremental, job.check_column, upper)
+        inc.save_state(spark, job.state_path, job.job, job.incremental, job.check_column, upper, expected=version)
     return result
 
 
@@ -341,7 +364,10 @@ def _store(spark: SparkSession, rows: DataFrame, job: ImportJob) -> None:
     options = dict(job.layout_options)
     if job.partition_by:
         options["partition_by"] = _stored_names(job.partition_by)
-    if job.overwrite:
+    if job.lobs:
+        limits = {safe_name(c): limit for c, limit in job.lobs.items()}
+        write_with_lobs(rows, job.target, safe_name(job.lob_key), limits, job.lob_label, job.codec or "snappy", job.overwrite)
+    elif job.overwrite:
         write_overwrite(rows, job.target, job.layout, job.codec, **options)
     elif appends:
         append_files(rows, job.target, job.layout, job.codec, **options)
@@ -432,6 +458,7 @@ def _stored(spark: SparkSession, rows: DataFrame, job: ImportJob) -> DataFrame:
 
 
 def _stored_rows(spark: SparkSession, rows: DataFrame, job: ImportJob) -> int:
+    """How many rows are stored; of Parquet files Spark reads the footers only."""
     if job.catalog_table is not None:
         known = spark.catalog.tableExists(job.catalog_table)
     else:
@@ -439,11 +466,7 @@ def _stored_rows(spark: SparkSession, rows: DataFrame, job: ImportJob) -> int:
     return _stored(spark, rows, job).count() if known else 0
 
 
-def _validated(
-    spark: SparkSession, rows: DataFrame, job: ImportJob, result: ImportResult, before: int
-) -> ImportResult:
-    counts = validate_counts(rows, _stored(spark, rows, job)).first()
-    read, stored = counts["source_rows"], counts["target_rows"] - before
+def _validated(read: int, stored: int, result: ImportResult) -> ImportResult:
     if read != stored:
         raise RuntimeError(f"{read} rows read but {stored} rows stored")
     return replace(result, source_rows=read, target_rows=stored)

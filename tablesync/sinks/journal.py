@@ -24,19 +24,31 @@ JOURNAL = "__journal"
 OPERATIONS = 16
 
 
-def _each(action: Callable[[str], None], names: Iterable[str]) -> None:
+def _each(action: Callable, items: Iterable) -> None:
     with ThreadPoolExecutor(OPERATIONS) as pool:
-        list(pool.map(action, names))
+        list(pool.map(action, items))
 
 
 def replace_files(spark: SparkSession, target: str, staging: str, added: Sequence[str], removed: Sequence[str]) -> None:
     """Move ``added`` from ``staging`` into ``target`` and remove ``removed`` there.
 
-    Both are paths inside their folder. A second writer finds the journal of the first and fails.
+    Both are paths inside their folder.
+    """
+    target = target.rstrip("/")
+    moves = [(f"{staging}/{name}", f"{target}/{name}") for name in added]
+    commit(spark, target, staging, moves, [f"{target}/{name}" for name in removed])
+
+
+def commit(
+    spark: SparkSession, target: str, staging: str, moves: Sequence[tuple[str, str]], removed: Sequence[str]
+) -> None:
+    """Move files to new places and remove others, all or none; the journal stands beside ``target``.
+
+    A second writer finds the journal of the first and fails.
     """
     target = target.rstrip("/")
     recover_files(spark, target)
-    plan = {"staging": staging, "added": list(added), "removed": list(removed)}
+    plan = {"staging": staging, "moves": list(moves), "removed": list(removed)}
     write_new(spark, target + JOURNAL, json.dumps(plan))
     recover_files(spark, target)
 
@@ -52,15 +64,15 @@ def recover_files(spark: SparkSession, target: str) -> None:
         return
     plan = json.loads(text)
 
-    def move_in(name: str) -> None:
-        source, place = f"{plan['staging']}/{name}", f"{target}/{name}"
+    def move(pair: tuple[str, str]) -> None:
+        source, place = pair
         if exists(spark, source):
             rename(spark, source, place)
         elif not exists(spark, place):
-            raise FileNotFoundError(f"{name} is neither in {plan['staging']} nor in {target}")
+            raise FileNotFoundError(f"neither {source} nor {place} exists")
 
-    _each(move_in, plan["added"])
-    _each(lambda name: delete(spark, f"{target}/{name}"), plan["removed"])
+    _each(move, plan["moves"])
+    _each(lambda path: delete(spark, path), plan["removed"])
     delete(spark, plan["staging"])
     delete(spark, target + JOURNAL)
     spark.catalog.refreshByPath(target)

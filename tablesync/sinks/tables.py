@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablesync.functions.casts import lossless
 from tablesync.operators.columns import select_columns
@@ -88,6 +89,10 @@ def move_statement(
     return f"{text} ON DUPLICATE KEY UPDATE {changes}"
 
 
+def _target_schema(spark: SparkSession, dest: JdbcSource) -> StructType:
+    return spark.read.format("jdbc").options(**dest.options(dbtable=dest.quote(dest.table))).load().schema
+
+
 def export_jdbc(
     df: DataFrame,
     dest: JdbcSource,
@@ -102,17 +107,24 @@ def export_jdbc(
     Tasks write the staging table in parallel over at most ``num_connections``
     connections. A task retried after its executor was lost may have committed
     before, so the staging rows are counted and a surplus or loss fails the
-    export. Then ``execute`` (for example a cursor of the caller's own connection,
+    export. They are counted while they are written, and take the target's types exactly or fail. Then ``execute`` (for example a cursor of the caller's own connection,
     so that the caller owns the transaction) runs the one statement that moves
     them into ``dest.table``.
     """
     spark = df.sparkSession
     names = list(columns or df.columns)
     rows = select_columns(df, names)
+    known = {f.name.lower(): f.dataType for f in _target_schema(spark, dest).fields}
+    unknown = [c for c in names if c.lower() not in known]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    rows = rows.select([lossless(rows, c, known[c.lower()]).alias(c) for c in names])
     options = dest.options(dbtable=dest.quote(staging), numPartitions=str(num_connections))
     options.pop("fetchsize", None)
-    rows.write.format("jdbc").options(**options).mode("overwrite").save()
-    expected = rows.count()
+    counted = Observation()
+    written = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    written.write.format("jdbc").options(**options).mode("overwrite").save()
+    expected = counted.get["rows"]
     counted = dest.options(query=f"SELECT COUNT(*) AS row_count FROM {dest.quote(staging)}")
     found = spark.read.format("jdbc").options(**counted).load().select(F.col("row_count").cast("bigint")).first()[0]
     if found != expected:

@@ -160,13 +160,16 @@ class Writes:
         return self
 
     def save(self):
-        self.df.union(self.df.limit(self.surplus)).createOrReplaceTempView(self.table.strip("`"))
+        rows = self.df.collect()  # a write runs its rows, which counts them
+        stored = self.df.sparkSession.createDataFrame(rows + rows[: self.surplus], self.df.schema)
+        stored.createOrReplaceTempView(self.table.strip("`"))
 
 
 @pytest.mark.parametrize("surplus", [0, 1])
 def test_export(spark, reads, monkeypatch, surplus):
     dest = replace(DATABASE, table="people")
     df = spark.range(3).select("id", F.lit("x").alias("name"))
+    df.limit(0).createOrReplaceTempView("people")
     monkeypatch.setattr(type(df), "write", property(lambda frame: Writes(frame, surplus)))
     ran = []
     if surplus:  # a retried task wrote its rows twice
@@ -179,3 +182,17 @@ def test_export(spark, reads, monkeypatch, surplus):
             "INSERT INTO `people` (`NAME`, `id`) SELECT `NAME`, `id` FROM `people_staging`",
             "DROP TABLE `people_staging`",
         ]
+
+
+def test_export_is_exact(spark, reads, monkeypatch):
+    """A value that the target's column cannot hold exactly fails before the target is touched."""
+    dest = replace(DATABASE, table="people")
+    spark.sql("SELECT CAST(1 AS DECIMAL(4,1)) AS price").createOrReplaceTempView("people")
+    df = spark.sql("SELECT CAST(1.25 AS DECIMAL(6,2)) AS price")
+    monkeypatch.setattr(type(df), "write", property(lambda frame: Writes(frame, 0)))
+    ran = []
+    with pytest.raises(Exception, match="not exact"):
+        ts.export_jdbc(df, dest, "people_staging", ran.append)
+    with pytest.raises(ValueError, match="no columns"):
+        ts.export_jdbc(df.withColumn("other", F.lit(1)), dest, "people_staging", ran.append)
+    assert ran == []

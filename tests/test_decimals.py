@@ -174,18 +174,18 @@ WIDE += [10**37, -(10**37), 10**38 - 1, -(10**38) + 1, 1234567890123456789012345
 @pytest.mark.parametrize("scale", [0, 1, 10, 38])
 def test_wide_bytes(spark, ansi, scale):
     """Both signs, every length from the shortest to one more than 16, against Python's own reading."""
-    kind = f"decimal(38,{scale})"
-    for number in WIDE:
-        least = max(1, (number.bit_length() + 8) // 8) if number >= 0 else max(1, ((number + 1).bit_length() + 8) // 8)
+    data = []
+    for i, number in enumerate(WIDE):
+        least = max(1, ((number if number >= 0 else number + 1).bit_length() + 8) // 8)
         lengths = {least, min(least + 1, 17), 9, 16, 17} - set(range(least))
-        data = [(n, bytearray(number.to_bytes(n, signed=True))) for n in sorted(lengths)]
-        df = spark.createDataFrame(data, "n int, x binary")
-        found = ts.fixed_to_decimal(df, {"x": (38, scale)})
-        expected = Decimal(number).scaleb(-scale, Context(prec=60))
-        assert [r["x"] for r in found.collect()] == [expected] * len(data), number
-        assert found.schema["x"].dataType.simpleString() == kind
-        back = ts.decimal_to_fixed(found).select("x").distinct().collect()
-        assert [bytes(r["x"]) for r in back] == [number.to_bytes(16, signed=True)]
+        data += [(i, n, bytearray(number.to_bytes(n, signed=True))) for n in sorted(lengths)]
+    df = spark.createDataFrame(data, "i int, n int, x binary").coalesce(1)
+    found = ts.fixed_to_decimal(df, {"x": (38, scale)})
+    assert found.schema["x"].dataType.simpleString() == f"decimal(38,{scale})"
+    back = ts.decimal_to_fixed(found.withColumnRenamed("x", "y")).withColumnRenamed("y", "b")
+    for (i, n, _), r, again in zip(data, found.collect(), back.collect(), strict=True):
+        assert r["x"] == Decimal(WIDE[i]).scaleb(-scale, Context(prec=60)), (i, n)
+        assert bytes(again["b"]) == WIDE[i].to_bytes(16, signed=True), (i, n)
 
 
 @pytest.mark.parametrize(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -98,8 +99,10 @@ def test_state(spark, tmp_path):
     assert ts.load_state(spark, path, "orders")["last_value"] == "3"
     assert ts.load_state(spark, path, "events")["last_value"] == "2024-01-01 00:00:00"
     assert ts.load_state(spark, path, "other") is None
-    log = spark.read.parquet(path)
+    log = ts.state_log(spark, path)
     assert log.count() == 4
+    latest = {r["job"]: r["last_value"] for r in ts.latest_state(log).collect()}
+    assert latest == {"orders": "3", "events": "2024-01-01 00:00:00"}
     assert log.where("job = 'orders'").select(F.countDistinct("run_at")).first()[0] == 3
 
 
@@ -110,12 +113,51 @@ def test_compact_state(spark, tmp_path):
     ts.save_state(spark, path, "events", "append", "id", 7)
     before = [ts.load_state(spark, path, job) for job in ("orders", "events")]
     ts.compact_state(spark, path)
-    assert spark.read.parquet(path).count() == 2
+    assert ts.state_log(spark, path).count() == 2
     assert [ts.load_state(spark, path, job) for job in ("orders", "events")] == before
     ts.save_state(spark, path, "orders", "append", "id", 3)
     assert ts.load_state(spark, path, "orders")["last_value"] == "3"
 
 
+def test_two_savers(spark, tmp_path):
+    """Both start from the same entry: one wins, the other raises and leaves the winner's state."""
+    path = str(tmp_path / "state")
+    first = ts.save_state(spark, path, "a/b c", "append", "id", 1, expected=0)
+    one, two = (ts.load_state(spark, path, "a/b c")["version"] for _ in range(2))
+    assert first == one == two == 1
+    assert ts.save_state(spark, path, "a/b c", "append", "id", 2, expected=one) == 2
+    with pytest.raises(ts.StateConflict):
+        ts.save_state(spark, path, "a/b c", "append", "id", 3, expected=two)
+    assert ts.load_state(spark, path, "a/b c")["last_value"] == "2"
+    with pytest.raises(ts.StateConflict):
+        ts.save_state(spark, path, "a/b c", "append", "id", 3, expected=0)
+
+
+def test_savers_in_threads(spark, tmp_path):
+    path = str(tmp_path / "state")
+    ts.save_state(spark, path, "j", "append", "id", 0)
+
+    def save(i):
+        try:
+            return ts.save_state(spark, path, "j", "append", "id", i, expected=1) and i
+        except ts.StateConflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(save, range(1, 9)) if i is not None]
+    assert len(won) == 1 and ts.load_state(spark, path, "j")["last_value"] == str(won[0])
+
+
+def test_an_entry_that_was_cut_off_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "state")
+    ts.save_state(spark, path, "j", "append", "id", 1)
+    (tmp_path / "state" / "job=j" / "000000000002.json").write_text('{"job": "j", "last')
+    state = ts.load_state(spark, path, "j")
+    assert (state["last_value"], state["version"]) == ("1", 1)
+    assert ts.save_state(spark, path, "j", "append", "id", 3, expected=1) == 3
+    assert ts.load_state(spark, path, "j")["last_value"] == "3"
+
+
 def test_latest_state_keeps_one_entry_whole(spark):
     log = spark.createDataFrame(
         [
