@@ -162,6 +162,61 @@ def split_plan_limited(spark, sf_dir):
     return ts.split_plan(_table(spark, sf_dir, "lineitem"), "l_partkey", 4, split_limit=150)
 
 
+# cuts are the values at the ranks ceil(i * rows / 8); a stretch and the cut that ends it are one range, if that is no heavy one
+_SKEWED_SQL = "SELECT CASE WHEN l_linenumber = 1 THEN 7 ELSE l_partkey * l_partkey END AS v FROM lineitem"
+
+
+@_query(f"""
+WITH t AS (SELECT v, row_number() OVER (ORDER BY v) AS place, count(*) OVER () AS n FROM ({_SKEWED_SQL}) x),
+cuts AS (SELECT DISTINCT v AS c FROM t WHERE place IN (SELECT (i * n + 7) // 8 FROM range(1, 8) r(i))),
+q AS (SELECT list(c ORDER BY c) AS cs FROM cuts),
+p AS (SELECT 2 * len(list_filter(cs, lambda c: c < v)) + list_contains(cs, v)::INT AS piece, v, n FROM t, q),
+s AS (SELECT piece, min(v) AS low, max(v) AS high, count(*) AS rows, any_value(n) AS n FROM p GROUP BY piece),
+m AS (SELECT *, CASE WHEN piece % 2 = 1 AND lag(piece) OVER w = piece - 1 AND lag(rows) OVER w + rows <= 2 * n / 8
+  THEN piece - 1 ELSE piece END AS run FROM s WINDOW w AS (ORDER BY piece)),
+r AS (SELECT run, min(low) AS low, max(high) AS high, sum(rows)::BIGINT AS rows FROM m GROUP BY run)
+SELECT row_number() OVER (ORDER BY run) - 1 AS split_id, low, high, rows FROM r""")
+def split_balanced(spark, sf_dir):
+    """A column of which one value holds a quarter; an accuracy above the rows makes the cuts exact."""
+    skewed = F.when(F.col("l_linenumber") == 1, 7).otherwise(F.col("l_partkey") * F.col("l_partkey")).alias("v")
+    rows = _table(spark, sf_dir, "lineitem").select(skewed)
+    return ts.balanced_split_plan(rows, "v", 8, accuracy=1_000_000)
+
+
+@_query("""
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),
+b AS (SELECT min(d) AS lo, max(d) AS hi, CAST(ceil((max(d) - min(d) + 1) / 6) AS BIGINT) AS width FROM t),
+s AS (SELECT lo, hi, width, unnest(range(0, (hi - lo) // width + 1)) AS split_id FROM b),
+c AS (SELECT (d - lo) // width AS split_id, count(*) AS n FROM t, b GROUP BY 1)
+SELECT s.split_id, CAST(lo + CAST(s.split_id * width AS INT) AS DATE) AS low,
+  least(hi, CAST(lo + CAST((s.split_id + 1) * width - 1 AS INT) AS DATE)) AS high, coalesce(n, 0) AS rows
+FROM s LEFT JOIN c ON s.split_id = c.split_id""")
+def split_plan_by_date(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    return ts.typed_split_plan(rows, "d", 6)
+
+
+# texts as numbers of base 1114113, by the code points of six characters after what all texts begin with
+@_query("""
+WITH b AS (SELECT min(p_name) AS lo, max(p_name) AS hi FROM part),
+f AS (SELECT lo, hi, coalesce(list_max(list_filter(range(0, least(length(lo), length(hi)) + 1), lambda k: left(lo, k) = left(hi, k))), 0) AS k FROM b),
+d AS (SELECT *, list_transform(range(1, 7), lambda i: CASE WHEN length(lo) >= k + i THEN unicode(substr(lo, k + i, 1)) + 1 ELSE 0 END) AS a,
+  list_transform(range(1, 7), lambda i: CASE WHEN length(hi) >= k + i THEN unicode(substr(hi, k + i, 1)) + 1 ELSE 0 END) AS z FROM f),
+n AS (SELECT *, list_reduce(list_transform(a, lambda x: x::HUGEINT), lambda x, y: x * 1114113 + y) AS first,
+  list_reduce(list_transform(z, lambda x: x::HUGEINT), lambda x, y: x * 1114113 + y) AS last FROM d),
+w AS (SELECT *, (last - first + 1 + 4) // 5 AS width FROM n),
+c AS (SELECT lo, hi, k, first + i * width AS cut, i FROM w, range(1, 5) r(i) WHERE first + i * width <= last),
+e AS (SELECT lo, hi, k, i, list_transform(range(1, 7), lambda j: (cut // (1114113::HUGEINT ** (6 - j))::HUGEINT % 1114113)::INT) AS ds FROM c),
+x AS (SELECT lo, hi, i, left(lo, k) || array_to_string(list_transform(list_slice(ds, 1, coalesce(nullif(list_position(ds, 0), 0), 7) - 1),
+  lambda p: chr(CASE WHEN p - 1 BETWEEN 55296 AND 57343 THEN 57344 ELSE p - 1 END)), '') AS low FROM e),
+u AS (SELECT DISTINCT low FROM x WHERE low > lo AND low <= hi UNION SELECT lo FROM b),
+r AS (SELECT row_number() OVER (ORDER BY low) - 1 AS split_id, low, lead(low) OVER (ORDER BY low) AS next FROM u)
+SELECT split_id, low, coalesce(next, (SELECT hi FROM b)) AS high,
+  (SELECT count(*) FROM part WHERE p_name >= low AND (next IS NULL OR p_name < next)) AS rows FROM r""")
+def split_plan_by_text(spark, sf_dir):
+    return ts.typed_split_plan(_table(spark, sf_dir, "part"), "p_name", 5)
+
+
 @_query("""SELECT c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS c_comment FROM customer""")
 def parquet_scan(spark, sf_dir):
     schema = "c_custkey bigint, c_name string, c_acctbal double, c_comment string"
@@ -775,6 +830,61 @@ def import_lastmodified(spark, sf_dir):
     return ts.parquet_scan(spark, target)
 
 
+def _import_documents(spark, sf_dir):
+    target = ts.shared_dir(spark, "import-lob")
+    job = ts.ImportJob(
+        source=f"{sf_dir}/documents.parquet",
+        name="documents",
+        target_dir=target,
+        layout="parquet",
+        lobs={"text": 1000},
+        lob_key="doc_id",
+    )
+    ts.run_import(spark, job)
+    return target
+
+
+@_query("""SELECT doc_id, CASE WHEN octet_length(encode(text)) > 1000
+THEN 'lob:documents/text/' || CAST(doc_id AS VARCHAR) ELSE text END AS text, lang, source, n_chars FROM documents""")
+def import_lob(spark, sf_dir):
+    return ts.parquet_scan(spark, _import_documents(spark, sf_dir))
+
+
+@_query("""SELECT 'lob:documents/text/' || CAST(doc_id AS VARCHAR) AS reference, text AS payload
+FROM documents WHERE octet_length(encode(text)) > 1000""")
+def import_lob_side(spark, sf_dir):
+    return ts.read_lobs(spark, _import_documents(spark, sf_dir), "doc_id", "text", "documents")
+
+
+@_query("""SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice, o_orderstatus FROM orders""")
+def import_decimal_text(spark, sf_dir):
+    target = ts.shared_dir(spark, "import-decimal-text")
+    job = ts.ImportJob(
+        source=f"{sf_dir}/orders.parquet",
+        columns="o_orderkey, o_totalprice, o_orderstatus",
+        target_dir=target,
+        layout="parquet",
+        decimals={"o_totalprice": MONEY},
+        decimals_as_text="plain",
+    )
+    ts.run_import(spark, job)
+    return ts.parquet_scan(spark, target)
+
+
+@_query("""SELECT event_id, epoch_ms(date_trunc('milliseconds', ts)) AS ts, user_id FROM events""")
+def import_millis(spark, sf_dir):
+    target = ts.shared_dir(spark, "import-millis")
+    job = ts.ImportJob(
+        source=f"{sf_dir}/events.parquet",
+        columns="event_id, ts, user_id",
+        target_dir=target,
+        layout="parquet",
+        dates_as_millis=True,
+    )
+    ts.run_import(spark, job)
+    return ts.parquet_scan(spark, target)
+
+
 # --- driver contract -----------------------------------------------------------------------
 
 
