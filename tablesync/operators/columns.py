@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,18 +81,17 @@ def where_filter(df: DataFrame, where: str | None, bounds: Column | None = None)
     return df if condition is None else df.where(condition)
 
 
+def _is_kept(char: str) -> bool:
+    kind = unicodedata.category(char)
+    return char == "_" or kind == "Nd" or kind.startswith("L")
+
+
 def safe_name(name: str) -> str:
     """A name of letters, digits and underscores that does not start with a digit."""
     if not name:
         raise ValueError("a column name must not be empty")
-    out = []
-    for ch in name:
-        kind = unicodedata.category(ch)
-        if ch == "_" or kind.startswith("L") or kind == "Nd":
-            out.append(ch)
-        elif not out or out[-1] is not None:
-            out.append(None)  # one mark for a whole run of other characters
-    text = "".join("_" if ch is None else ch for ch in out)
+    runs = groupby(name, _is_kept)
+    text = "".join("".join(run) if kept else "_" for kept, run in runs)
     starts_well = text[0] == "_" or unicodedata.category(text[0]).startswith("L")
     return text if starts_well else NAME_PREFIX + text
 
