@@ -17,8 +17,9 @@ import regex
 from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
-#: Texts that a worker remembers before it forgets those it has not met again since as many others.
-REMEMBERED = 500_000
+#: Texts that a worker remembers before it forgets those it has not met again since as many others. A short text and its ids take
+#: some 200 bytes, so that the two memories, of two generations each, stay below 60 MB.
+REMEMBERED = 75_000
 #: A single space between two characters that are none.
 _BETWEEN_WORDS = re.compile(r" (?<=\S )(?=\S)")
 

@@ -7,16 +7,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from tablesync.llm.words import written
+from tablesync.llm.words import numbered, written
 
 #: A builder takes 2**LEVELS consecutive nodes, so it holds twice as many digests of 32 bytes.
 LEVELS = 8
-#: Rows that one task numbers, on average.
-NUMBERED_TOGETHER = 1_000_000
 #: What a step of a path says: the sibling stands left, right, or there is none.
 LEFT, RIGHT, NONE = b"\x00", b"\x01", b"\x02"
 _STEP = 33
@@ -113,31 +111,6 @@ class Forest:
     roots: DataFrame  # tree, root
 
 
-def numbered(spark: SparkSession, rows: DataFrame, order: list[str]) -> DataFrame:
-    """``index`` of each row in its ``tree`` by the order, and ``n``, the tree's rows.
-
-    The order must be total; the rows must be stored, as they are read twice. Ranges of the order are
-    numbered each on their own; one total per range and tree meets the others of its tree.
-    """
-    count = rows.count()
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // NUMBERED_TOGETHER))
-    placed = rows.repartitionByRange(ranges, "tree", *order).withColumn("range", F.spark_partition_id())
-    placed = written(spark, placed, "merkle-ranges")
-    totals = placed.groupBy("tree", "range").agg(F.count("*").alias("rows"))
-    by_tree = Window.partitionBy("tree")
-    starts = totals.select(
-        "tree",
-        "range",
-        (F.sum("rows").over(by_tree.orderBy("range")) - F.col("rows")).alias("start"),
-        F.sum("rows").over(by_tree).alias("n"),
-    )
-    inside = Window.partitionBy("tree", "range").orderBy(*order)
-    ranked = placed.withColumn("place", F.row_number().over(inside) - 1)
-    return ranked.join(starts, ["tree", "range"]).withColumn("index", F.col("start") + F.col("place")).drop(
-        "range", "start", "place"
-    )
-
-
 def _builder(levels: int, carried: list[str]) -> Callable[[pa.Table], pa.Table]:
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("index").combine_chunks()
@@ -175,8 +148,6 @@ def build(spark: SparkSession, leaves: DataFrame, carried: list[str] | None = No
     while True:
         own = carried if not rounds else []
         with_lists = StructType(list(schema.fields))
-        from pyspark.sql.types import ArrayType
-
         for c in own:
             with_lists = with_lists.add(c, ArrayType(leaves.schema[c].dataType))
         kept = rows.select("tree", "index", "n", "node", *own)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh3_64_intdigest
 
 from tablesync.llm.components import components
-from tablesync.llm.words import gram_hashes, keyed, mixed, public_id, signed, written
+from tablesync.llm.words import gram_hashes, mixed, row_keyed, signed, with_doc_id, written
 
 #: Distinct words whose counts a task holds before it hands them on.
 HELD_WORDS = 200_000
@@ -295,7 +295,8 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     buckets = written(spark, bucketed.join(crowded, ["band", "hash"]).select("band", "hash", "id", "n"), "buckets")
     company = buckets.groupBy("id").agg(F.sum("n").alias("company"))
     buckets = written(spark, buckets.join(company, "id").select("band", "hash", "id", "company"), "company")
-    most = F.max_by("id", F.struct("company", (-F.col("id")).alias("id")))
+    # of equal company the least id: the complement reverses the order and, unlike a minus sign, fits every id
+    most = F.max_by("id", F.struct("company", F.bitwise_not("id").alias("id")))
     leaders = buckets.groupBy("band", "hash").agg(F.array_distinct(F.array(F.min("id"), most)).alias("leaders"))
     met = buckets.join(leaders, ["band", "hash"]).select("id", F.explode("leaders").alias("leader")).where("id <> leader")
     pairs = written(spark, met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "compared")
@@ -312,19 +313,15 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     return everyone.select("id", F.coalesce("component", "rep").alias("class_id"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The rows whose id is the least of its class; ``docs`` has ``id``, ``text`` and any others."""
-    kept = classes(spark, docs, settings).where("id = class_id").select("id").distinct()
-    return docs.join(kept, "id", "left_semi")
-
-
 def op10_minhash_icws(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """Class of near copies of each document; ``kept`` marks the least doc_id of a class.
+    """Class of near copies of each document; ``kept`` marks the first document of a class.
 
-    A null doc_id counts as the least. Texts are compared in lower case, by words between white space.
+    A class is named by its least doc_id, and a null one counts as the least. Texts are compared in lower case, by words between white space.
     Null and empty texts, and those of white space alone, are alike with nothing and stay alone. A
-    document of fewer words than a shingle is one shingle. Rows that repeat each give a row with the same
-    class. An empty table gives no rows; other columns are not looked at.
+    document of fewer words than a shingle is one shingle. Rows that share a doc_id, repeated rows and those without an id
+    among them, are documents of their own: one row of a class is kept. An empty table gives no rows; other columns are not looked at.
     """
-    found = classes(spark, keyed(docs), settings)
-    return found.select(public_id(), public_id("class_id").alias("class_id"), (F.col("id") == F.col("class_id")).alias("kept"))
+    rows, names = row_keyed(spark, docs)
+    found = classes(spark, rows, settings).withColumn("kept", F.col("id") == F.col("class_id"))
+    named = with_doc_id(with_doc_id(found, names), names, "class_id", "class_doc")
+    return named.select("doc_id", F.col("class_doc").alias("class_id"), "kept")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.words import gram_hashes, keyed, mixed, public_id, signed, word_hashes, words_of, written
+from tablesync.llm.words import gram_hashes, mixed, row_keyed, signed, with_doc_id, word_hashes, words_of, written
 
 #: Words of an anchor; each window has one, the gram of so many words with the least hash.
 ANCHOR = 8
@@ -317,13 +317,14 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 20) -> DataFrame:
     """Counts and digest of what each document keeps.
 
-    A null doc_id counts as the smallest. A null text has no words. Rows repeated in full are one
-    document for the search, so they do not remove each other, and each gives a row. If two rows share
-    a doc_id but not a text, spans found in either are taken out of both. Documents shorter than a window
+    A null doc_id counts as the smallest. A null text has no words. Rows that share a doc_id, repeated rows and
+    those without an id among them, are documents of their own, in the order of their texts' hashes: a repeated row loses what
+    the one before it has, and no row loses what only it has. Documents shorter than a window
     lose nothing. An empty table gives no rows; other columns are not looked at.
     """
-    rows = keyed(docs)
-    return digest(rows, repeated_spans(spark, rows, window)).select(public_id(), "n_words", "n_removed", "kept_sha256")
+    rows, names = row_keyed(spark, docs)
+    found = digest(rows, repeated_spans(spark, rows, window))
+    return with_doc_id(found, names).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 SQL = """

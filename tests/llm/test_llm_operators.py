@@ -21,6 +21,7 @@ from tablesync.llm import byte_bpe, embedding_dedup, kneser_ney, license_scan, m
 from tablesync.llm import quality_ledger, sharding, substring_dedup
 from tablesync.llm.byte_bpe import decode_ids, encode_documents, round_trip
 from tablesync.llm.packing import Capacities, plan_bins
+from tablesync.llm.words import keyed
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PASSAGE = " ".join(f"word{i}" for i in range(40))
@@ -66,30 +67,88 @@ def test_empty_tables(spark, empty):
 
 
 def brute_spans(rows, window=20):
+    """The words that go, by the place of each row in the order of ids; rows of one id must be equal or share nothing."""
     places = defaultdict(list)
-    for i, text in sorted({(-1 if r[0] is None else r[0], r[1] or "") for r in rows}):
-        words = text.encode().split()
+    for at, (_, text) in enumerate(rows):
+        words = (text or "").encode().split()
         for s in range(len(words) - window + 1):
-            places[tuple(words[s : s + window])].append((i, s))
+            places[tuple(words[s : s + window])].append((at, s))
     gone = defaultdict(set)
     for where in places.values():
-        for i, s in sorted(where)[1:]:
-            gone[i].update(range(s, s + window))
+        for at, s in sorted(where)[1:]:
+            gone[at].update(range(s, s + window))
     return gone
 
 
+def brute_digests(rows):
+    rows = sorted(((i, t) for i, t, *_ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    gone, out = brute_spans(rows), []
+    for at, (i, text) in enumerate(rows):
+        words = (text or "").encode().split()
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone[at])
+        out.append((i, len(words), len(gone[at]), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def digests(spark, docs):
+    return sorted(map(tuple, substring_dedup.op1_substring_dedup(spark, docs).collect()), key=repr)
+
+
 def test_substring_dedup(spark, docs):
-    gone = brute_spans(ROWS)
-    for r in substring_dedup.op1_substring_dedup(spark, docs).collect():
-        text = next(x[1] for x in ROWS if x[0] == r.doc_id) or ""
-        words = text.encode().split()
-        out = gone[-1 if r.doc_id is None else r.doc_id]
-        kept = b" ".join(w for i, w in enumerate(words) if i not in out)
-        assert (r.n_words, r.n_removed, r.kept_sha256) == (len(words), len(out), hashlib.sha256(kept).hexdigest())
+    assert digests(spark, docs) == brute_digests(ROWS)
+
+
+def prose(seed, n=120):
+    return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10**9, n))
+
+
+#: Rows that share an id, or have none: two copies of a text, and texts of their own beside them.
+SHARED_IDS = [(1, prose(1)), (5, prose(1)), (5, prose(2)), (None, prose(3)), (None, prose(4)), (None, None), (7, prose(4)), (7, prose(5)), (7, prose(5))]
+
+
+def test_rows_that_share_an_id_lose_no_words_of_their_own(spark):
+    docs = spark.createDataFrame(SHARED_IDS, "doc_id long, text string").repartition(3)
+    found = digests(spark, docs)
+    assert found == brute_digests(SHARED_IDS)
+    assert sum(n - gone for _, n, gone, _ in found) == 5 * 120  # each text is kept once, whole
+
+
+def test_near_copies_of_rows_that_share_an_id(spark):
+    """Classes are of rows: a shared id joins nothing, and null ids are like others."""
+    near = prose(2).replace(prose(2).split()[50], "changed")
+    rows = [*SHARED_IDS, (9, near), (None, near), (3, prose(6)), (3, prose(6)), (3, prose(7))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = Counter(map(tuple, minhash_icws.op10_minhash_icws(spark, docs).collect()))
+    assert found == Counter([
+        (1, 1, True), (5, 1, False),  # the same text
+        (None, None, True), (5, None, False), (9, None, False),  # near copies; that without an id is the least
+        (None, None, True), (None, None, True), (None, None, True),  # alone, but for the next
+        (7, None, False), (7, 7, True), (7, 7, False), (3, 3, True), (3, 3, False), (3, 3, True),
+    ])
+    unique = [(None, prose(1)), (1, prose(1)), (2, prose(2)), (-(2**62), near)]
+    docs = spark.createDataFrame(unique, "doc_id long, text string")
+    found = Counter(map(tuple, minhash_icws.op10_minhash_icws(spark, docs).collect()))
+    assert found == Counter([(None, None, True), (1, None, False), (2, -(2**62), False), (-(2**62), -(2**62), True)])
+
+
+def test_pipeline_stages_on_rows_that_share_an_id(spark):
+    rows = [(i, t, "en", n, {"a": 1}) for n, (i, t) in enumerate(SHARED_IDS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, id long, spans map<string,int>")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near copies"](spark, docs, "")
+    assert kept.columns == docs.columns
+    # a text once; the row without a text is like nothing
+    assert Counter(r.text for r in kept.collect()) == Counter({prose(i): 1 for i in range(1, 6)} | {None: 1})
+    cut = stages["repeated passages"](spark, docs, "")
+    assert cut.columns == docs.columns
+    assert Counter(r.text for r in cut.collect()) == Counter({prose(i): 1 for i in range(1, 6)} | {None: 1, "": 3})
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0, name
 
 
 def test_hot_anchors_give_the_same_spans(spark, docs, monkeypatch):
-    rows = substring_dedup.keyed(docs)
+    rows = keyed(docs)
     covered = lambda df: {(r["id"], i) for r in df.collect() for i in range(r["first"], r["end"])}
     cold = covered(substring_dedup.repeated_spans(spark, rows))
     monkeypatch.setattr(substring_dedup, "HOT_ANCHOR", 0)
@@ -450,7 +509,9 @@ def test_pipeline_rows_as_plain_python(spark, tmp_path):
     alike = lambda a, b: minhash_icws.weighted_jaccard(vectors[a], vectors[b]) >= 0.8
     single = {i: t for i, t in good.items() if not any(a < i and alike(a, i) for a in good)}  # classes are of two
     assert good.keys() - single.keys() == {40, 41} and texts.keys() - good.keys() == {42, 43}
-    gone = brute_spans(list(single.items()))
+    order = list(single)
+    gone = {order[at]: places for at, places in brute_spans(list(single.items())).items()}
+    gone = {i: gone.get(i, set()) for i in order}
     assert {i for i, places in gone.items() if places} == {9, 17}
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want, total = [], 0
