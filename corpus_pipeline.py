@@ -7,32 +7,39 @@ they are besides doc_id and text.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm import minhash_icws, packing, quality_ledger, substring_dedup
-from tablesync.llm.words import NULL_ID, keyed, table, written
+from tablesync.llm.words import row_keyed, table, written
 from tablesync.operators.columns import quoted
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that fail no rule of the policy."""
-    whole = F.struct(*[quoted(c) for c in docs.columns]).alias("document")
-    ledger = quality_ledger.apply_policy(quality_ledger.measure(docs, whole), "v1")
+    ledger = quality_ledger.apply_policy(quality_ledger.measure(docs, _whole(docs)), "v1")
     return ledger.where("kept").select("document.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least doc_id. Rows that share it are one document."""
-    classes = minhash_icws.classes(spark, keyed(docs))
-    kept = classes.where("id = class_id").select(F.col("id").alias("kept_id")).distinct()
-    return docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == kept["kept_id"], "left_semi")
+    """Of each class of near copies one document, that with the least doc_id.
+
+    Rows that share a doc_id, or have none, are documents of their own (see ``row_keyed``): none goes for another's text.
+    """
+    rows, _ = row_keyed(spark, docs, _whole(docs))
+    classes = minhash_icws.classes(spark, rows.select("id", "text"))
+    kept = classes.where("id = class_id").select(F.col("id").alias("kept_id"))
+    return rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").select("document.*")
+
+
+def _whole(docs: DataFrame) -> Column:
+    return F.struct(*[quoted(c) for c in docs.columns]).alias("document")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that occur earlier; ``n_chars`` follows the text."""
     others = [c for c in docs.columns if c != "text"]
-    rows = keyed(docs, F.struct(*[quoted(c) for c in others]).alias("rest"))
+    rows, _ = row_keyed(spark, docs, F.struct(*[quoted(c) for c in others]).alias("rest"))
     spans = substring_dedup.repeated_spans(spark, rows.select("id", "text"))
     cut = substring_dedup.cut(rows, spans)
     values = {c: F.col("rest")[c] for c in others} | {"text": F.col("text")}
@@ -58,6 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
