@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
 #: Texts that a worker remembers before it forgets those it has not met again since as many others. A short text and its ids take
-#: some 200 bytes, so that the two memories, of two generations each, stay below 60 MB.
-REMEMBERED = 75_000
+#: some 200 bytes, and a worker has two memories of two generations each.
+REMEMBERED = 500_000
 #: A single space between two characters that are none.
 _BETWEEN_WORDS = re.compile(r" (?<=\S )(?=\S)")
 
@@ -114,13 +114,13 @@ class ByteBpe:
 class Remembered(dict):
     """What a function gave for short texts; a bounded memory that forgets what is not met again."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
+    def __init__(self, compute: Callable[[str], bytes], size: int = REMEMBERED):
         super().__init__()
-        self.compute = compute
+        self.compute, self.size = compute, size
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         ids = self.older.get(text)
@@ -139,10 +139,10 @@ class TextEncoder:
     nor encoded again.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[str], list[int]]):
+    def __init__(self, pattern: str, encode: Callable[[str], list[int]], remembered: int = REMEMBERED):
         self.split = regex.compile(pattern).findall
-        self.pieces = Remembered(lambda piece: _bytes_of(encode(piece)))
-        self.words = Remembered(lambda word: self._matches(" " + word))
+        self.pieces = Remembered(lambda piece: _bytes_of(encode(piece)), remembered)
+        self.words = Remembered(lambda word: self._matches(" " + word), remembered)
 
     def _matches(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.byte_bpe import TextEncoder
+from tablesync.llm.byte_bpe import REMEMBERED, TextEncoder
 from tablesync.llm.words import keyed, public_id, written
 
 #: Rows that one task numbers, on average, inside a length and salt.
@@ -132,7 +132,7 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacities: Capacities)
 
 
 @cache
-def _encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
+def _encoder(path: str, pattern: str, remembered: int) -> Callable[[str | None], bytes]:
     """One per worker process: what one task has met helps the next."""
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
@@ -148,7 +148,7 @@ def _encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
         letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
         tokenize = tokenizer.model.tokenize
         encode_piece = lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
-    by_words = TextEncoder(pattern, encode_piece)
+    by_words = TextEncoder(pattern, encode_piece, remembered)
 
     def run(text: str | None) -> bytes:
         # the library looks for added tokens in the whole text before it splits it
@@ -158,18 +158,20 @@ def _encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, tokens: int, end_id: int = 0) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, pattern: str, tokens: int, end_id: int = 0, remembered: int = REMEMBERED
+) -> DataFrame:
     """One row per piece of at most ``tokens`` ids: id, piece, start, length, ids_crc32.
 
     A document is its text's ids and ``end_id``; null counts as empty. If it is longer than
     ``tokens`` it is cut so that all pieces but the first are full. The tokenizer sees each
     pre-token of the pattern alone, which it would cut out itself, so words met before need not be
-    tokenized again. A text with an added token of the tokenizer goes to it whole.
+    tokenized again; ``remembered`` bounds how many a worker keeps. A text with an added token of the tokenizer goes to it whole.
     """
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = _encoder(tokenizer_path, pattern)
+        encode_text = _encoder(tokenizer_path, pattern, remembered)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
@@ -188,7 +190,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, tokens: int
 
 
 def op5_best_fit_packing(
-    spark: SparkSession, docs: DataFrame, tokenizer_path: str, pattern: str, capacities: Capacities | None = None
+    spark: SparkSession,
+    docs: DataFrame,
+    tokenizer_path: str,
+    pattern: str,
+    capacities: Capacities | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """All documents packed into sequences; one row per piece.
 
@@ -197,6 +204,6 @@ def op5_best_fit_packing(
     not looked at.
     """
     capacities = capacities or Capacities()
-    pieces = token_pieces(keyed(docs), tokenizer_path, pattern, capacities.tokens)
+    pieces = token_pieces(keyed(docs), tokenizer_path, pattern, capacities.tokens, remembered=remembered)
     packed = pack_pieces(spark, pieces, capacities)
     return packed.select(public_id(), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
