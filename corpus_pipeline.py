@@ -51,7 +51,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces of token sequences."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.op5_best_fit_packing(spark, docs, path, public_tokenizers.PATTERN)
+    # executors still hold the heap of the stages before: workers remember fewer words, and tokenize some of them again
+    return packing.op5_best_fit_packing(spark, docs, path, public_tokenizers.PATTERN, remembered=75_000)
 
 
 STAGES = [
