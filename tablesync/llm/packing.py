@@ -132,7 +132,7 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacities: Capacities)
 
 
 @cache
-def _encoder(path: str, pattern: str, remembered: int) -> Callable[[str | None], bytes]:
+def _encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Callable[[str | None], bytes]:
     """One per worker process: what one task has met helps the next."""
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
