@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
+from importlib.util import find_spec
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -895,11 +896,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _llm() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """The queries of the ``llm`` subpackage and its pipeline, where they are installed."""
-    try:
-        import corpus_pipeline
-        from tablesync.llm.queries import QUERIES
-    except ImportError:
+    names = ("corpus_pipeline", "tablesync.llm", "tablesync.llm.queries")
+    if not all(find_spec(name) for name in names):  # in this order: a name is looked up inside the one before
         return {}
+    import corpus_pipeline
+    from tablesync.llm.queries import QUERIES
+
     return {**QUERIES, "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
 
 
