@@ -22,7 +22,7 @@ HELD_WORDS = 200_000
 DRAWN = 512
 #: Features that are compared at once.
 SAMPLED = 4_096
-#: Texts of one bucket that are compared in one task. Larger buckets take several blocks.
+#: Texts of one block; two blocks of a bucket are compared in one task.
 BLOCK = 512
 
 
@@ -180,7 +180,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return shared / whole if whole else 0.0
 
 
-def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, weights: Weights) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame, weights: Weights) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough. Texts meet by two joins, rows of b by those of a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,6 @@ def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, weights: W
                 keep.append(weighted_jaccard(vector, other) >= weights.settings.similarity)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
 
-    texts = docs.select("id", "text")
     firsts = pairs.groupBy("b").agg(F.collect_set("a").alias("firsts"))
     of_b = texts.join(firsts.withColumnRenamed("b", "id"), "id").select(
         F.explode("firsts").alias("a"), F.col("id").alias("b"), F.col("text").alias("text_b")
@@ -248,17 +247,30 @@ def _same_bucket(weights: Weights):
     return run
 
 
-def _open_buckets(docs: DataFrame, buckets: DataFrame, weights: Weights) -> DataFrame:
-    """Links among the texts of each bucket, compared all with all in blocks of bounded size.
+def _open_buckets(texts: DataFrame, buckets: DataFrame, weights: Weights) -> DataFrame:
+    """Links among the texts of each bucket that are not one class yet, compared in blocks of bounded size.
 
-    A text goes to as many tasks as its bucket has blocks; no pairs are handed on but those that link.
+    The members of a bucket's largest class need no comparison with each other. The others, mostly
+    few, are compared with every text of the bucket: blocks of others meet each other and each block of that class.
+    ``buckets`` has band, hash, id and class_id. No pairs are handed on but those that link.
     """
-    sizes = buckets.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = buckets.select("band", "hash", "id").join(sizes, ["band", "hash"])
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sides = buckets.groupBy("band", "hash", "class_id").agg(F.count("*").alias("n"))
+    main = sides.groupBy("band", "hash").agg(
+        F.max_by("class_id", F.struct("n", "class_id")).alias("main"),
+        F.ceil(F.max("n") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("other_blocks"),
+    )
+    placed = buckets.join(main, ["band", "hash"]).withColumn("outside", F.col("class_id") != F.col("main"))
+    spread = F.xxhash64("id")
+    block = F.when(F.col("outside"), F.pmod(spread, F.col("other_blocks"))).otherwise(
+        F.col("other_blocks") + F.pmod(spread, F.col("main_blocks"))
+    )
+    placed = placed.withColumn("block", block.cast("int"))
+    # the others come before the blocks of the largest class, so the lesser block of a task is always one of theirs
+    last = F.col("other_blocks") + F.when(F.col("outside"), F.col("main_blocks")).otherwise(0) - 1
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last))).where("block <> other")
     keys = ["band", "hash", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
-    met = met.select("id", *keys).join(docs.select("id", "text"), "id")
+    met = met.select("id", *keys).join(texts, "id")
     return met.groupBy("band", "hash", "low", "high").applyInArrow(_same_bucket(weights), "a long, b long")
 
 
@@ -278,7 +290,8 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
 
     1. Each bucket names two leaders, its least id and the text with the most company over all its bands;
        every text of the bucket is compared with them. A bucket whose texts are one class by now is done.
-    2. In the buckets left over, all texts are compared with all inside tasks, in blocks of bounded size.
+    2. In the buckets left over, the texts outside of the largest class are compared with all texts inside
+       tasks, in blocks of bounded size.
 
     So every pair of texts that share a band is compared, or is in one class by other links.
     """
@@ -300,12 +313,15 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     leaders = buckets.groupBy("band", "hash").agg(F.array_distinct(F.array(F.min("id"), most)).alias("leaders"))
     met = buckets.join(leaders, ["band", "hash"]).select("id", F.explode("leaders").alias("leader")).where("id <> leader")
     pairs = written(spark, met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "compared")
-    links = written(spark, _verified(spark, docs, pairs, weights), "links")
+    # the one pass that may shuffle all texts: what follows reads only those that share a band with another
+    shared = buckets.select("id").distinct()
+    texts = written(spark, docs.select("id", "text").join(shared, "id", "left_semi"), "compared-texts")
+    links = written(spark, _verified(texts, pairs, weights), "links")
     found = written(spark, components(spark, links), "classes")
     rest = written(spark, _classed(buckets, found), "open-buckets")
     if not rest.isEmpty():
         stars = found.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-        links = written(spark, stars.unionByName(_open_buckets(docs, rest, weights)), "links")
+        links = written(spark, stars.unionByName(_open_buckets(texts, rest, weights)), "links")
         found = written(spark, components(spark, links), "classes")
     named = found.select(F.col("id").alias("rep"), "component")
     # a class is named by its least id; representatives are the least of their copies

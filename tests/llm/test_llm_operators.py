@@ -489,6 +489,41 @@ def test_near_copies_in_a_large_bucket(spark, monkeypatch):
     assert found == {i: root(i) for i in parent}
 
 
+def test_open_buckets_compare_all_that_is_not_one_class_yet(spark, monkeypatch):
+    """One bucket of a class of 14 texts and 23 others, in blocks of 4: pairs within the class and only these need no link."""
+    monkeypatch.setattr(minhash_icws, "BLOCK", 4)
+    random = np.random.default_rng(3)
+    rows = []
+    for i in range(37):
+        words = [f"f{i % 5 if i >= 14 else 0}w{j}" for j in range(120)]
+        for j in random.integers(0, 120, 2):
+            words[j] = f"e{random.integers(10**6)}"
+        rows.append((i, " ".join(words)))
+    texts = spark.createDataFrame(rows, "id long, text string")
+    weights = minhash_icws.weigh(texts, minhash_icws.Settings())
+    vectors = {i: weights.shingles(t) for i, t in rows}
+    classes = {i: 0 if i < 14 else i for i, _ in rows}
+    bucket = spark.createDataFrame([(0, 7, i, c) for i, c in classes.items()], "band int, hash long, id long, class_id long")
+
+    def least_of(links):
+        least = dict(classes)
+        while True:
+            before = dict(least)
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+            for i in least:
+                least[i] = min(least[i], least[classes[i]])
+            if least == before:
+                return least
+
+    alike = [
+        (a, b) for a in vectors for b in vectors if a < b and minhash_icws.weighted_jaccard(vectors[a], vectors[b]) >= 0.8
+    ]
+    found = [tuple(r) for r in minhash_icws._open_buckets(texts, bucket, weights).collect()]
+    assert least_of(found) == least_of(alike)
+    assert len(set(least_of(alike).values())) > 1
+
+
 def test_pipeline_rows_as_plain_python(spark, tmp_path):
     random = np.random.default_rng(10)
     vocabulary = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), random.integers(3, 9))) for _ in range(3000)]
