@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.components import components
-from tablesync.llm.words import NULL_ID, written
+from tablesync.llm.words import row_keyed, with_doc_id, written
 
 #: Vectors of one class that are compared in one task. Larger classes take several blocks.
 BLOCK = 1024
@@ -307,7 +307,7 @@ def count_links(members: DataFrame, settings: Settings) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``id``, ``n_links`` and ``component`` of each distinct id of ``vectors`` (id, embedding).
+    """``id``, ``n_links`` and ``component`` of each row of ``vectors`` (id, embedding), whose ids are different.
 
     1. Equal unit vectors are one node that stands for its copies.
     2. ``first_graph`` gives similar pairs, ``descend`` refines them; every pair measured on the way that
@@ -318,8 +318,7 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
        leave no link of a class out.
     """
     settings = settings or Settings()
-    single = vectors.groupBy("id").agg(F.min("embedding").alias("embedding"))
-    units = written(spark, comparable(single.select("id", "embedding")), "unit-vectors")
+    units = written(spark, comparable(vectors.select("id", "embedding")), "unit-vectors")
     copies = units.groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     nodes = written(spark, copies.select(F.col("rep").alias("id"), "vec", "copies"), "nodes")
     stands = written(spark, units.join(copies, "vec").select("id", "rep", "copies"), "copies")
@@ -347,7 +346,7 @@ def near_copies(spark: SparkSession, vectors: DataFrame, settings: Settings | No
         (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component"),
     )
-    found_ids = single.select("id").join(linked, "id", "left")
+    found_ids = vectors.select("id").join(linked, "id", "left")
     return found_ids.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
 
 
@@ -355,16 +354,16 @@ def op3_nn_descent(spark: SparkSession, vectors: DataFrame, settings: Settings |
     """Links and class of each vector; ``kept`` marks the least vec_id of a class.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, and neither do
-    vectors of different lengths. A null vec_id counts as the least id. Rows that repeat a vec_id are one
-    vector (the least of theirs) and each give a row. An empty table gives no rows; other columns are not
-    looked at.
+    vectors of different lengths. A null vec_id counts as the least id. Rows repeated in full are one vector and each
+    give a row; different vectors that share a vec_id, or have none, are compared each on its own, and a row
+    is kept if its class bears its vec_id. An empty table gives no rows; other columns are not looked at.
     """
-    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NULL_ID)).alias("id"), "embedding")
-    found = near_copies(spark, rows, settings)
-    named = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return rows.select("id").join(found, "id").select(
-        named("id").alias("vec_id"), "n_links", named("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
-    )
+    single = vectors.groupBy(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("text")).agg(F.count("*").alias("times"))
+    rows, names = row_keyed(spark, written(spark, single, "vectors"), "times")
+    found = near_copies(spark, rows.select("id", F.col("text").alias("embedding")), settings)
+    found = found.join(rows.select("id", F.sequence(F.lit(1), "times").alias("each")), "id").withColumn("each", F.explode("each"))
+    named = with_doc_id(with_doc_id(found, names, "id", "vec_id"), names, "component", "component_id")
+    return named.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 SQL = """

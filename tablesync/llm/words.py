@@ -68,6 +68,7 @@ def row_keyed(spark: SparkSession, docs: DataFrame, *more: str | Column) -> tupl
     Where doc_ids already are different (null being one of them) they are the ids, and the second is None. Otherwise the
     rows are written once and numbered by doc_id, null first, then by their texts' hashes and where they were read; the second is then a table
     (row_id, doc_id). Rows that share a doc_id are thus documents of their own, one after the other.
+    ``text`` may be of any type that Spark can hash.
     """
     rows = keyed(docs, *more)
     if rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():

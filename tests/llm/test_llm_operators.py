@@ -185,6 +185,15 @@ def test_nn_descent_odd_vectors(spark):
     assert got == Counter(want + [(i, 0, i, True) for i in (5, 6, 7, 8, 9, 10)])
 
 
+def test_vectors_that_share_an_id_are_each_compared(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 2.0]), (4, [-1.0, 0.0]), (4, [-1.0, 0.0]),
+            (None, [0.0, -1.0]), (None, [-1.0, 0.01])]
+    found = embedding_dedup.op3_nn_descent(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = Counter(map(tuple, found.select("vec_id", "n_links", "component_id", "kept").collect()))
+    assert got == Counter([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, None, False),
+                           (4, 1, None, False), (None, 0, None, True), (None, 1, None, True)])
+
+
 def brute_links(rows, similarity=0.95):
     """(n_links, component) by id, of vectors that are all comparable."""
     ids = np.array([i for i, _ in rows])
