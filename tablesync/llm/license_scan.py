@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,7 +24,17 @@ TEMPLATES = {
     "licensed under cc by sa 4 0": "cc-by-sa-4.0",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license": "mpl",
+    "licensed under cc by nd 4 0": "cc-by-nd-4.0",
+    "licensed under cc by nc sa 4 0": "cc-by-nc-sa-4.0",
+    "licensed under cc by nc nd 4 0": "cc-by-nc-nd-4.0",
+    "under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl",
+    "under the terms of the gnu affero general public license as published by the free software foundation": "agpl",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "has waived all copyright and related or neighboring rights to this work": "cc0-1.0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
+#: Words that change the license: a place must have the same ones as its template.
+DECISIVE = ("nc", "nd", "sa", "lesser", "affero")
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Words in a gram; the shortest phrase has as many.
 K = 2
@@ -31,6 +42,8 @@ K = 2
 NEIGHBOURS = 2
 #: The least share of a template's words, in order, that a place must have.
 LEAST = 0.8
+#: A word that is a number, as in versions.
+NUMBER = "^[0-9]+$"
 
 
 def templates() -> list[tuple[int, str, str, bool]]:
@@ -39,6 +52,11 @@ def templates() -> list[tuple[int, str, str, bool]]:
     return [(i, *x) for i, x in enumerate(base + [(words, label, False) for words, label in TEMPLATES.items()])]
 
 
+def decisive(words: list[str]) -> list[str]:
+    """The words of a template that a place must have, sorted: version numbers only where the template has some."""
+    return sorted(w for w in words if w in DECISIVE or re.match(NUMBER, w))
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower case without the Kelvin sign, the one other character that would become an ASCII letter."""
     return F.lower(F.replace(text, F.lit("K"), F.lit("ĸ")))
@@ -52,18 +70,19 @@ def places(spark: SparkSession, docs: DataFrame) -> DataFrame:
     diagonal p - t. Votes are summed by document, template and diagonal; neighbouring
     diagonals that overlap are merged into one place; a place is verified on its words: a fixed
     phrase word by word, another template by the share of its grams that the place has in
-    the template's order. Only hits and one row per document are shuffled, no text.
+    the template's order, and by its decisive words: the place must hold the same ones, so BY-NC is no
+    BY with a word put in, nor version 2 a cut-off version 3. Only hits and one row per document are shuffled, no text.
     """
     grams = []
     for number, words, _label, exact in templates():
         parts = words.split()
         grams += [
-            (" ".join(parts[t : t + K]), number, t, len(parts), words if exact else None)
+            (" ".join(parts[t : t + K]), number, t, len(parts), math.ceil(len(parts) / LEAST), words if exact else None)
             for t in range(len(parts) - K + 1)
         ]
-    known = spark.createDataFrame(grams, "gram string, template int, t int, size int, exact string")
+    known = spark.createDataFrame(grams, "gram string, template int, t int, size int, reach int, exact string")
     known = known.withColumn("h", F.xxhash64(*[F.get(F.split("gram", " "), F.lit(i)) for i in range(K)]))
-    known = known.select("h", "template", "t", "size", "exact")
+    known = known.select("h", "template", "t", "size", "reach", "exact")
     words = docs.select(
         "doc_id",
         F.monotonically_increasing_id().alias("row"),
@@ -79,9 +98,15 @@ def places(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # negative positions have no words: slice() would count them from the end
     at = F.col("p") - F.col("t")
     agree = (at >= 0) & (F.array_join(F.slice("words", F.greatest(at, F.lit(0)) + 1, F.col("size")), " ") == F.col("exact"))
+    # no place that is verified goes on beyond the reach
+    telling = F.transform(
+        F.slice("words", F.col("p") + 1, F.col("reach")), lambda w, i: F.struct((F.col("p") + i).alias("at"), w.alias("word"))
+    )
+    telling = F.filter(telling, lambda x: x["word"].isin(*DECISIVE) | x["word"].rlike(NUMBER))
     hits = hits.select(
         "row", "doc_id", "n_words", "template", "t", "p", at.alias("diagonal"), "size",
         F.when(F.col("exact").isNull(), F.lit(None)).otherwise(agree).alias("exact"),
+        F.when(F.col("exact").isNull(), telling).alias("telling"),
     )
     votes = hits.groupBy("row", "template", "diagonal").agg(
         F.first("doc_id").alias("doc_id"),
@@ -91,6 +116,7 @@ def places(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.count("t").alias("votes"),
         F.min("t").alias("t_first"),
         F.max("t").alias("t_last"),
+        F.min_by("telling", "p").alias("telling"),
     )
     # a phrase of fixed words is one diagonal; others may go on in the next ones
     line = Window.partitionBy("row", "template").orderBy("diagonal")
@@ -106,13 +132,21 @@ def places(spark: SparkSession, docs: DataFrame) -> DataFrame:
             F.first("size").alias("size"),
             F.first("exact").alias("exact"),
             F.sum("votes").alias("votes"),
+            F.min_by("telling", F.col("diagonal") + F.col("t_first")).alias("telling"),
             F.min(F.col("diagonal") + F.col("t_first")).alias("first"),
             F.max(F.col("diagonal") + F.col("t_last") + K).alias("end"),
         )
     )
     # a place that stretches over more words than the template and its gaps has its votes from elsewhere
     share = F.least(F.col("votes") / (F.col("size") - K + 1), F.col("size") / (F.col("end") - F.col("first")), F.lit(1.0))
-    similarity = F.when(F.col("exact").isNotNull(), F.col("exact").cast("double")).otherwise(share)
+    own = {number: decisive(words.split()) for number, words, _, exact in templates() if not exact}
+    said = F.element_at(
+        F.create_map(*[x for n, ws in own.items() for x in (F.lit(n), F.array(*map(F.lit, ws)).cast("array<string>"))]), F.col("template")
+    )
+    versioned = F.exists(said, lambda w: w.rlike(NUMBER))
+    inside = F.filter("telling", lambda x: (x["at"] < F.col("end")) & (versioned | ~x["word"].rlike(NUMBER)))
+    same = F.array_sort(F.transform(inside, lambda x: x["word"])) == said
+    similarity = F.when(F.col("exact").isNotNull(), F.col("exact").cast("double")).when(same, share)
     verified = F.when(
         F.col("template").isNotNull() & (similarity >= LEAST), F.struct("template", "first", "end", similarity.alias("similarity"))
     )
@@ -154,6 +188,7 @@ def _sql() -> str:
     values = ", ".join(
         f"({number}, '{words}', '{label}', {str(exact).upper()})" for number, words, label, exact in templates()
     )
+    said = ", ".join(f"'{w}'" for w in DECISIVE)
     return re.sub(
         r"\n +", "\n", rf"""
 WITH t AS (SELECT * FROM (VALUES {values}) AS v(template, phrase, label, exact)),
@@ -172,8 +207,12 @@ f AS (SELECT *, CASE WHEN NOT exact AND diagonal - lag(diagonal) OVER w <= {NEIG
 n AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS place FROM f),
 m AS (SELECT doc_id, template, label, exact, size, place, bool_and(agree) AS agree, sum(votes) AS votes,
   min(first) AS first, max(stop) AS stop FROM n GROUP BY ALL),
-s AS (SELECT *, CASE WHEN exact THEN agree::INT::DOUBLE
-  ELSE least(votes / (size - 1), size / (stop - first), 1.0) END AS similarity FROM m),
+c AS (SELECT template, list_sort(list_filter(tws, lambda x: x IN ({said}) OR regexp_matches(x, '{NUMBER}'))) AS own,
+  len(list_filter(tws, lambda x: regexp_matches(x, '{NUMBER}'))) > 0 AS versioned FROM tw),
+k AS (SELECT m.*, own = list_sort(list_filter(ws[first + 1:stop], lambda x: x IN ({said})
+  OR (versioned AND regexp_matches(x, '{NUMBER}')))) AS same FROM m JOIN c USING (template) JOIN d USING (doc_id)),
+s AS (SELECT *, CASE WHEN exact THEN agree::INT::DOUBLE WHEN same
+  THEN least(votes / (size - 1), size / (stop - first), 1.0) END AS similarity FROM k),
 o AS (SELECT doc_id, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word,
   max(first) FILTER (exact) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(similarity) AS score FROM s WHERE similarity >= {LEAST} GROUP BY 1)

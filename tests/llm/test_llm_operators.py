@@ -9,6 +9,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -175,6 +176,34 @@ def test_license_scan(spark, docs):
     assert found[4].n_words == 0 and found[4].n_base == 0 and found[4].first_word is None and found[4].labels == ""
 
 
+def test_words_that_change_a_license(spark):
+    notice = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License"
+    texts = {
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-4.0",
+        "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa-4.0",
+        "Licensed under CC BY 4.0": "cc-by,cc-by-4.0",
+        "Licensed under CC BY 3.0": "cc-by",
+        "This work is licensed under the GNU General Public License, version 3": "gpl,gpl-3.0",
+        "This work is licensed under the GNU General Public License, version 2": "gpl",
+        "This work is now licensed under the GNU General Public License, version 3 of 2007": "gpl,gpl-3.0",
+        notice.format(""): "gpl",
+        notice.format("Lesser ") + " as published by the Free Software Foundation": "gpl,lgpl",
+        notice.format("Affero ") + " as published by the Free Software Foundation": "agpl,gpl",
+        "the GNU Lesser GPL, by Affero": "",
+        "Permission is hereby granted, free of charge, to any person obtaining one copy of this software": "mit",
+        " ".join(sorted("released under the mit license".split())): "",
+        "Permission is hereby granted, free of charge": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in license_scan.op2_license_scan(spark, docs).collect()}
+    assert {t: found[i] for i, t in enumerate(texts)} == texts
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    by_sql = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, labels FROM ({license_scan.SQL})").fetchall()}
+    assert by_sql == found
+
+
 def test_nn_descent_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.1]), (4, [0.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [nan, 1.0]),
