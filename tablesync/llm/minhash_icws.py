@@ -313,8 +313,9 @@ def classes(spark: SparkSession, docs: DataFrame, settings: Settings | None = No
     leaders = buckets.groupBy("band", "hash").agg(F.array_distinct(F.array(F.min("id"), most)).alias("leaders"))
     met = buckets.join(leaders, ["band", "hash"]).select("id", F.explode("leaders").alias("leader")).where("id <> leader")
     pairs = written(spark, met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "compared")
-    # the one pass that may shuffle all texts: what follows reads only those that share a band with another
-    shared = buckets.select("id").distinct()
+    # the one pass that may shuffle all texts: what follows reads only those that share a band with another.
+    # their ids are a table first, so Spark knows its size before it decides whether the texts must move at all
+    shared = written(spark, buckets.select("id").distinct(), "compared-ids")
     texts = written(spark, docs.select("id", "text").join(shared, "id", "left_semi"), "compared-texts")
     links = written(spark, _verified(texts, pairs, weights), "links")
     found = written(spark, components(spark, links), "classes")
