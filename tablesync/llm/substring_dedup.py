@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from tablesync.llm.words import gram_hashes, mixed, row_keyed, signed, with_doc_
 ANCHOR = 8
 #: Passages in one automaton, on average. This bounds what a task holds.
 SHARD = 3_000
-#: Different passages of one anchor beyond which its windows are counted instead, by any number of tasks.
+#: Different passages of one core beyond which they are dealt again, by more of the words around it.
 HOT_ANCHOR = 1_000
 _POWER = 0xD6E8FEB86659FD93
 _INVERSE = pow(_POWER, -1, 2**64)
@@ -134,7 +135,24 @@ def _passages_of(window: int):
 
 
 PASSAGE = "anchor long, content long, id long, first int, end int"
-SPAN = "id long, first int, end int"
+#: A piece of the passage (anchor, content) of document id at word ``owner``: the windows that hold the passage's anchor
+#: ``low`` to ``high`` words from their start, and therefore all words of the core. Equal pieces have one core and one shape.
+PIECE = (
+    "anchor long, content long, id long, owner int, core long, shape long, first int, pivot int, low int, high int, "
+    "twin boolean, words binary"
+)
+#: Words of a piece, from its first, that a window covers which starts earlier as well: in the piece itself or (later) in its copies.
+MATCH = "core long, shape long, id long, first int, later boolean, start int, stop int"
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
 def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -149,55 +167,117 @@ def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 
 def _match_shard(window: int):
-    """Stream the passages of a shard, in the order of their places, through the automaton of those before."""
+    """Stream the pieces of a shard, in the order of their places, through the automaton of those before.
+
+    A piece that has equal ones later on streams once more after it was added, in place of all of them.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        # a row repeated in full brings its passages again
-        rows = sorted(set(zip(*[table.column(c).to_pylist() for c in ("id", "first", "words")], strict=True)))
+        # a row repeated in full brings its pieces again
+        names = ("id", "first", "core", "shape", "twin", "words")
+        rows = sorted(set(zip(*[table.column(c).to_pylist() for c in names], strict=True)))
         automaton, found = SuffixAutomaton(), []
-        for key, first, packed in rows:
+        for key, first, core, shape, twin, packed in rows:
             words = np.frombuffer(packed, np.int64).tolist()
-            ends = [i for i, length in enumerate(automaton.matches(words)) if length >= window]
-            found += [(key, first + s, first + e) for s, e in _runs(np.array(ends, int) - window + 1, window)]
-            automaton.add(words)
-        columns = list(zip(*found, strict=True)) or [[], [], []]
-        return pa.table({"id": pa.array(list(columns[0]), pa.int64()), "first": pa.array(list(columns[1]), pa.int32()), "end": pa.array(list(columns[2]), pa.int32())})
+            for later in (False, True)[: 1 + twin]:
+                ends = [i for i, length in enumerate(automaton.matches(words)) if length >= window]
+                found += [(core, shape, key, first, later, *span) for span in _runs(np.array(ends, int) - window + 1, window)]
+                if not later:
+                    automaton.add(words)
+        return pa.Table.from_batches([_batch(found, _arrow(MATCH))])
 
     return run
 
 
 def _content_of(window: int):
-    """The word hashes of wanted passages of a document."""
+    """Wanted passages of a document with the hashes of their words, each as one piece."""
+    schema = _arrow(PIECE + ", hot boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key, text, wanted in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                hashes = signed(word_hashes(words_of(text)))
-                rows += [(w["anchor"], key, w["first"], w["hot"], hashes[w["first"] : w["end"] + window - 1].tobytes()) for w in wanted]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-            names = ["anchor", "id", "first", "hot", "words"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
+                hashes = word_hashes(words_of(text))
+                for w in wanted:
+                    own = hashes[w["first"] : w["end"] + window - 1]
+                    pivot = int(gram_hashes(own[:window], ANCHOR).argmin()) if w["hot"] else 0
+                    place = (w["anchor"], w["content"], key, w["first"])
+                    piece = (w["anchor"], w["content"], w["first"], pivot, 0, window - ANCHOR)
+                    rows.append((*place, *piece, w["twin"], own.tobytes(), w["hot"]))
+            yield _batch(rows, schema)
 
     return run
 
 
-def _windows_of(window: int):
+def _halves(window: int):
+    """Each piece as two, by where in a window the anchor stands: the nearer these places, the more words must be the same."""
+    schema = _arrow(PIECE)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for anchor, key, first, packed in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                grams = signed(gram_hashes(np.frombuffer(packed, np.int64).view(np.uint64), window))
-                n = len(grams)
-                parts.append((np.full(n, anchor), grams, np.full(n, key), first + np.arange(n, dtype=np.int64)))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "gram", "id", "first"])
+            rows = []
+            for r in batch.to_pylist():
+                words, pivot = np.frombuffer(r["words"], np.uint64), r["pivot"]
+                middle = (r["low"] + r["high"]) // 2
+                for low, high in ((r["low"], middle), (middle + 1, r["high"])):
+                    begin, end = max(0, pivot - high), min(len(words) - window, pivot - low) + 1
+                    if begin >= end:
+                        continue
+                    core, own = words[pivot - low : pivot - high + window], words[begin : end + window - 1]
+                    core = mixed(gram_hashes(core, len(core)) ^ mixed(np.array([low * 65_536 + high], np.uint64)))
+                    shape = mixed(gram_hashes(own, len(own)) ^ mixed(np.array([(pivot - begin) * 65_536 + end - begin], np.uint64)))
+                    hashes = (int(signed(core)[0]), int(signed(shape)[0]))
+                    place = (r["anchor"], r["content"], r["id"], r["owner"])
+                    rows.append((*place, *hashes, r["first"] + begin, pivot - begin, low, high, r["twin"], own.tobytes()))
+            yield _batch(rows, schema)
 
     return run
 
 
+def _matched(pieces: DataFrame, window: int) -> DataFrame:
+    """What the automata find; pieces of one core, and no others with equal windows, meet in one shard."""
+    shards = max(1, -(-pieces.count() // SHARD))
+    shard = F.pmod(F.xxhash64("core"), F.lit(shards)).alias("shard")
+    columns = pieces.select("core", "shape", "id", "first", "twin", "words")
+    return columns.groupBy(shard).applyInArrow(_match_shard(window), MATCH)
+
+
+def _dealt_again(spark: SparkSession, pieces: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The halves of crowded pieces, ``hot`` if their core is crowded still, and the earliest of equal ones that may match others."""
+    halves = written(spark, pieces.mapInArrow(_halves(window), PIECE), "halves")
+    alike = halves.groupBy("core", "shape").agg(
+        F.min(F.struct("id", "first")).alias("at"),
+        F.count("*").alias("copies"),
+        F.max("twin").alias("twin"),
+        F.first("low").alias("low"),
+        F.first("high").alias("high"),
+    )
+    alike = written(spark, alike, "half-kinds")
+    cores = alike.groupBy("core").agg(
+        (F.sum("copies") + F.max("twin").cast("long")).alias("n"),
+        ((F.count("*") > HOT_ANCHOR) & F.max(F.col("low") < F.col("high"))).alias("hot"),
+    )
+    cores = written(spark, cores.where("n > 1").select("core", "hot"), "half-cores")
+    halves = halves.join(cores, "core")
+    firsts = alike.select("core", "shape", "at", (F.col("twin") | (F.col("copies") > 1)).alias("repeats"))
+    earliest = halves.join(firsts, ["core", "shape"]).where(
+        "NOT hot AND id = at.id AND first = at.first"
+    )
+    return halves, earliest.drop("at", "twin").withColumnRenamed("repeats", "twin")
+
+
+def _of_passages(halves: DataFrame, matched: DataFrame) -> DataFrame:
+    """What was found in pieces, told of the passages they are from."""
+    found = matched.select("core", "shape", F.struct("id", "first").alias("at"), "later", "start", "stop")
+    met = halves.select("anchor", "content", "id", "owner", "core", "shape", "first", "twin").join(found, ["core", "shape"])
+    same = (F.col("id") == F.col("at.id")) & (F.col("first") == F.col("at.first"))
+    shift = F.col("first") - F.col("owner")
+    place = ["anchor", "content", "id", "owner"]
+    span = [(F.col("start") + shift).alias("start"), (F.col("stop") + shift).alias("stop")]
+    own = met.where(F.col("later") != same).select(*place, F.lit(False).alias("later"), *span)
+    return own.unionByName(met.where("later AND twin").select(*place, "later", *span))
+
+
 def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = 20) -> DataFrame:
     """Word spans (id, first, end) covered by windows whose words also start earlier; they may overlap.
 
@@ -205,47 +285,53 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
 
     1. Every document is cut into passages, runs of windows with one anchor. Passages
        whose anchor occurs once hold nothing that repeats and go no further.
-    2. Of equal passages all but the earliest are spans as a whole.
-    3. Where an anchor has several different passages, the earliest of each are sent to the
-       reference shard of the anchor. There they stream, in order of place, through the suffix automaton
-       of those before them; matching statistics of a window's length or more give the spans.
+    2. Of equal passages the earliest is sent to the reference shard of its anchor. There they stream, in
+       order of place, through the suffix automaton of those before them; matching statistics of a window's
+       length or more give the spans. A passage with equal ones later streams once more when it is
+       in the automaton, and what is found then is the spans of all of these.
        An automaton thus meets only the passages that can match it, instead of being broadcast to all
        documents, which would cost documents times shards.
-    4. An anchor with more than ``HOT_ANCHOR`` different passages would overfill its shard: its windows
-       are hashed and the earliest place of each is found by grouping, which any number of tasks share.
+    3. An anchor with more than ``HOT_ANCHOR`` different passages would overfill its shard. They are cut in two by where
+       in its windows the anchor stands, and dealt by all words that such windows must share: 14 instead of 8
+       of a window of 20, then 17, 19 and all. Pieces go through automata as passages do, as soon as
+       their core is not crowded; a whole window as the core has one piece alone.
     """
     if window <= ANCHOR:
         raise ValueError(f"the window must be longer than {ANCHOR} words")
     found = docs.select("id", "text").mapInArrow(_passages_of(window), PASSAGE)
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    candidates = written(spark, found.join(repeated, "anchor"), "passages")
-    firsts = candidates.groupBy("anchor", "content").agg(F.min(F.struct("id", "first", "end")).alias("at"))
-    firsts = written(spark, firsts, "first-passages")
-    later = candidates.join(firsts, ["anchor", "content"]).where(
-        (F.col("id") != F.col("at.id")) | (F.col("first") != F.col("at.first"))
+    repeated = written(spark, found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+    # the anchors grow with the documents: never broadcast; as both sides are plain shuffles, Spark can split a hot anchor
+    candidates = written(spark, found.join(repeated.hint("merge"), "anchor"), "passages")
+    firsts = candidates.groupBy("anchor", "content").agg(
+        F.min(F.struct("id", "first", "end")).alias("at"), (F.count("*") > 1).alias("twin")
     )
-    whole = later.select("id", "first", (F.col("end") + window - 1).alias("end"))
-
-    kinds = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = firsts.join(kinds, "anchor").select(
-        "at.id", F.struct("anchor", "at.first", "at.end", (F.col("n") > HOT_ANCHOR).alias("hot")).alias("w")
+    firsts = written(spark, firsts, "first-passages")
+    crowded = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ANCHOR)
+    crowded = written(spark, crowded.select("anchor", F.lit(True).alias("hot")), "hot-anchors")
+    wanted = firsts.join(crowded, "anchor", "left").select(
+        "at.id", F.struct("anchor", "content", "at.first", "at.end", "twin", F.coalesce("hot", F.lit(False)).alias("hot")).alias("w")
     )
-    wanted = written(spark, wanted, "wanted-passages")
-    shards = max(1, -(-wanted.count() // SHARD))
     by_doc = wanted.groupBy("id").agg(F.collect_list("w").alias("wanted"))
     texts = docs.select("id", "text").join(by_doc, "id").select("id", "text", "wanted")
-    content = texts.mapInArrow(_content_of(window), "anchor long, id long, first int, hot boolean, words binary")
-    content = written(spark, content, "passage-words")
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    matched = content.where("NOT hot").groupBy(shard).applyInArrow(_match_shard(window), SPAN)
-    windows = content.where("hot").select("anchor", "id", "first", "words")
-    windows = windows.mapInArrow(_windows_of(window), "anchor long, gram long, id long, first long")
-    earliest = windows.groupBy("anchor", "gram").agg(F.min(F.struct("id", "first")).alias("at"), F.count("*").alias("n"))
-    hot = windows.join(earliest.where("n > 1"), ["anchor", "gram"]).where(
+    pieces = written(spark, texts.mapInArrow(_content_of(window), PIECE + ", hot boolean"), "passage-words")
+    matched = _matched(pieces.where("NOT hot"), window)
+    parts = [
+        matched.select(
+            F.col("core").alias("anchor"), F.col("shape").alias("content"), "id", F.col("first").alias("owner"), "later", "start", "stop"
+        )
+    ]
+    while not (pieces := pieces.where("hot").drop("hot")).isEmpty():
+        pieces, earliest = _dealt_again(spark, pieces, window)
+        pieces = written(spark, pieces, "pieces")
+        parts.append(_of_passages(pieces, _matched(written(spark, earliest, "first-pieces"), window)))
+    matches = written(spark, reduce(DataFrame.unionByName, parts), "matches")
+    own = matches.where("NOT later").select("id", (F.col("owner") + F.col("start")).alias("first"), (F.col("owner") + F.col("stop")).alias("end"))
+    copied = matches.where("later").select("anchor", "content", F.struct("id", F.col("owner").alias("first")).alias("at"), "start", "stop")
+    copies = candidates.select("anchor", "content", "id", "first").join(copied, ["anchor", "content"]).where(
         (F.col("id") != F.col("at.id")) | (F.col("first") != F.col("at.first"))
     )
-    hot = hot.select("id", F.col("first").cast("int").alias("first"), (F.col("first") + window).cast("int").alias("end"))
-    return written(spark, whole.unionByName(matched).unionByName(hot), "spans")
+    copies = copies.select("id", (F.col("first") + F.col("start")).alias("first"), (F.col("first") + F.col("stop")).alias("end"))
+    return written(spark, own.unionByName(copies), "spans")
 
 
 def _kept(text: str | None, spans: list[dict]) -> tuple[list[bytes], np.ndarray]:

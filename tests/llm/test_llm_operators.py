@@ -148,6 +148,29 @@ def test_pipeline_stages_on_rows_that_share_an_id(spark):
         assert stage(spark, empty, "").count() == 0, name
 
 
+def phrases(seed, n=60):
+    """Texts of a few common phrases, 8 to 30 words long, between words of their own; some texts twice."""
+    random = np.random.default_rng(seed)
+    common = [prose(100 + i, int(size)).split() for i, size in enumerate(random.integers(8, 31, 4))]
+    texts = []
+    for i in range(n):
+        parts = [w for _ in range(4) for w in (*prose(1000 * seed + i, int(random.integers(1, 9))).split(), *common[random.integers(0, 4)])]
+        texts.append(" ".join(parts))
+    return list(enumerate([*texts, *texts[:5]]))
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+def test_crowded_anchors_are_dealt_by_more_words(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(substring_dedup, "SHARD", 20)
+    rows = phrases(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = substring_dedup.repeated_spans(spark, keyed(docs)).collect()
+    found = {(r["id"], i) for r in spans for i in range(r["first"], r["end"])}
+    assert found == {(at, i) for at, gone in brute_spans(rows).items() for i in gone}
+    assert len(found) > 1000
+
+
 def test_hot_anchors_give_the_same_spans(spark, docs, monkeypatch):
     rows = keyed(docs)
     covered = lambda df: {(r["id"], i) for r in df.collect() for i in range(r["first"], r["end"])}
@@ -156,6 +179,16 @@ def test_hot_anchors_give_the_same_spans(spark, docs, monkeypatch):
     assert covered(substring_dedup.repeated_spans(spark, rows)) == cold
 
 
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_all_spans_come_from_the_automata(spark, docs, monkeypatch, hot):
+    nothing = lambda window: lambda table: substring_dedup.pa.Table.from_batches(
+        [substring_dedup._batch([], substring_dedup._arrow(substring_dedup.MATCH))]
+    )
+    monkeypatch.setattr(substring_dedup, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(substring_dedup, "_match_shard", nothing)
+    assert substring_dedup.repeated_spans(spark, keyed(docs)).isEmpty()
+
+
 def test_automaton():
     random = np.random.default_rng(3)
     past, automaton = [], substring_dedup.SuffixAutomaton()
