@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,31 +50,45 @@ class SuffixAutomaton:
         return clone
 
     def add(self, words: list[int]) -> None:
+        edges, link, length = self.next, self.link, self.length
         last = 0
         for word in words:
-            if (known := self.next[last].get(word)) is not None:
-                last = self._split(last, known, word)
+            known = edges[last].get(word)
+            if known is not None:
+                last = known if length[known] == length[last] + 1 else self._split(last, known, word)
                 continue
-            state, p = self._state(self.length[last] + 1, 0, {}), last
-            while p >= 0 and word not in self.next[p]:
-                self.next[p][word] = state
-                p = self.link[p]
-            if p >= 0:
-                self.link[state] = self._split(p, self.next[p][word], word)
+            state, p = len(length), last
+            edges.append({})
+            length.append(length[last] + 1)
+            while p >= 0 and word not in (out := edges[p]):
+                out[word] = state
+                p = link[p]
+            if p < 0:
+                link.append(0)
+            else:
+                q = out[word]
+                link.append(q)
+                if length[q] != length[p] + 1:
+                    link[state] = self._split(p, q, word)
             last = state
 
-    def matches(self, words: list[int]) -> Iterator[int]:
+    def matches(self, words: list[int]) -> list[int]:
         """Matching statistics: at each word the longest match that ends there."""
+        edges, link, lengths = self.next, self.link, self.length
         state = length = 0
+        found = []
         for word in words:
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state, length = self.next[state][word], length + 1
-            else:
+            reached = edges[state].get(word)
+            while reached is None and state:
+                state = link[state]
+                length = lengths[state]
+                reached = edges[state].get(word)
+            if reached is None:
                 length = 0
-            yield length
+            else:
+                state, length = reached, length + 1
+            found.append(length)
+        return found
 
 
 @dataclass(frozen=True)
@@ -155,10 +170,10 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
-def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
+def _runs(starts: list[int], window: int) -> list[tuple[int, int]]:
     """Maximal word spans covered by windows at the ascending starts."""
     spans: list[tuple[int, int]] = []
-    for start in starts.tolist():
+    for start in starts:
         if spans and start <= spans[-1][1]:
             spans[-1] = (spans[-1][0], start + window)
         else:
@@ -177,13 +192,19 @@ def _match_shard(window: int):
         names = ("id", "first", "core", "shape", "twin", "words")
         rows = sorted(set(zip(*[table.column(c).to_pylist() for c in names], strict=True)))
         automaton, found = SuffixAutomaton(), []
-        for key, first, core, shape, twin, packed in rows:
-            words = np.frombuffer(packed, np.int64).tolist()
-            for later in (False, True)[: 1 + twin]:
-                ends = [i for i, length in enumerate(automaton.matches(words)) if length >= window]
-                found += [(core, shape, key, first, later, *span) for span in _runs(np.array(ends, int) - window + 1, window)]
-                if not later:
-                    automaton.add(words)
+        collecting = gc.isenabled()
+        gc.disable()  # an automaton is millions of objects without cycles; passes over them find nothing
+        try:
+            for key, first, core, shape, twin, packed in rows:
+                words = np.frombuffer(packed, np.int64).tolist()
+                for later in (False, True)[: 1 + twin]:
+                    starts = [i - window + 1 for i, length in enumerate(automaton.matches(words)) if length >= window]
+                    found += [(core, shape, key, first, later, *span) for span in _runs(starts, window)]
+                    if not later:
+                        automaton.add(words)
+        finally:
+            if collecting:
+                gc.enable()
         return pa.Table.from_batches([_batch(found, _arrow(MATCH))])
 
     return run
