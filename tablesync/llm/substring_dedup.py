@@ -106,25 +106,45 @@ class Powers:
         return cls(up, down)
 
 
-def passages(hashes: np.ndarray, window: int, powers: Powers) -> tuple[np.ndarray, ...]:
-    """Runs of windows that share their anchor: (anchor hash, content hash, first window, end).
-
-    A window's anchor depends on its words alone, so equal windows lie in passages of
-    equal anchor hash, and as far before or after the anchor.
-    """
+def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share their anchor: (anchor hash, its place, first window, end)."""
     n = len(hashes) - window + 1
     if n <= 0:
         none = np.empty(0, np.int64)
-        return none.view(np.uint64), none.view(np.uint64), none, none
+        return none.view(np.uint64), none, none, none
     grams = gram_hashes(hashes, ANCHOR)
     choices = np.lib.stride_tricks.sliding_window_view(grams, window - ANCHOR + 1)
     anchor = choices.argmin(axis=1) + np.arange(n)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    end = np.append(first[1:], n)
+    return grams[anchor[first]], anchor[first], first, np.append(first[1:], n)
+
+
+def passages(hashes: np.ndarray, window: int, powers: Powers) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share their anchor: (anchor hash, content hash, first window, end).
+
+    A window's anchor depends on its words alone, so equal windows lie in passages of
+    equal anchor hash, and as far before or after the anchor.
+    """
+    anchor, place, first, end = anchors(hashes, window)
+    if not len(first):
+        return anchor, anchor, first, end
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers.up[: len(hashes)], dtype=np.uint64)])
     content = (sums[end + window - 1] - sums[first]) * powers.down[first]
-    shape = ((anchor[first] - first) * 65_536 + (end - first)).astype(np.uint64)
-    return grams[anchor[first]], mixed(content ^ mixed(shape)), first, end
+    shape = ((place - first) * 65_536 + (end - first)).astype(np.uint64)
+    return anchor, mixed(content ^ mixed(shape)), first, end
+
+
+def _anchors_of(window: int):
+    """The anchors of a batch's passages and how many passages have each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [anchors(word_hashes(words_of(text.as_py())), window)[0] for text in batch.column(0)]
+            if parts:
+                found, n = np.unique(signed(np.concatenate(parts)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], ["anchor", "n"])
+
+    return run
 
 
 def _passages_of(window: int):
@@ -320,7 +340,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = 20) -> Da
     if window <= ANCHOR:
         raise ValueError(f"the window must be longer than {ANCHOR} words")
     found = docs.select("id", "text").mapInArrow(_passages_of(window), PASSAGE)
-    repeated = written(spark, found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+    counted = docs.select("text").mapInArrow(_anchors_of(window), "anchor long, n long")
+    repeated = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    repeated = written(spark, repeated, "anchors")
     # the anchors grow with the documents: never broadcast; as both sides are plain shuffles, Spark can split a hot anchor
     candidates = written(spark, found.join(repeated.hint("merge"), "anchor"), "passages")
     firsts = candidates.groupBy("anchor", "content").agg(
