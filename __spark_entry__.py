@@ -178,7 +178,7 @@ m AS (SELECT *, CASE WHEN piece % 2 = 1 AND lag(piece) OVER w = piece - 1 AND la
 r AS (SELECT run, min(low) AS low, max(high) AS high, sum(rows)::BIGINT AS rows FROM m GROUP BY run)
 SELECT row_number() OVER (ORDER BY run) - 1 AS split_id, low, high, rows FROM r""")
 def split_balanced(spark, sf_dir):
-    """A column of which one value holds a quarter; an accuracy above the rows makes the cuts exact."""
+    """A column of which one value holds a quarter; the cuts are exact, of tables with more rows than the accuracy, too."""
     skewed = F.when(F.col("l_linenumber") == 1, 7).otherwise(F.col("l_partkey") * F.col("l_partkey")).alias("v")
     rows = _table(spark, sf_dir, "lineitem").select(skewed)
     return ts.balanced_split_plan(rows, "v", 8, accuracy=1_000_000)

@@ -14,7 +14,7 @@ from decimal import Decimal
 from os.path import commonprefix
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -59,10 +59,42 @@ def merged_pieces(pieces: Sequence[Piece], most: float) -> list[tuple[int, int]]
 
 
 def _cuts(df: DataFrame, col: str, n: int, accuracy: int) -> list:
-    """The distinct quantiles that cut the column's rows into n equal shares, as values of its type."""
-    shares = [i / n for i in range(1, n)]
-    found = df.agg(F.percentile_approx(quoted(col), shares, accuracy).alias("cuts")).first()["cuts"] if n > 1 else []
-    return sorted(set(found or []))
+    """The distinct values at the ranks ceil(i * rows / n) of the column's rows in order, as values of its type.
+
+    A sketch names values at and on both sides of each rank. The counts of the pieces between them tell where the rank
+    lies: at a named value, or in a stretch of about rows / accuracy, whose values are counted one by one and added up in order.
+    """
+    if n == 1:
+        return []
+    kind, slack = df.schema[col].dataType, 2 / accuracy
+    shares = sorted({min(max(i / n + by, 0.0), 1.0) for i in range(1, n) for by in (-slack, 0.0, slack)})
+    named = sorted(set(df.agg(F.percentile_approx(quoted(col), shares, accuracy).alias("named")).first()["named"] or []))
+    placed = df.where(quoted(col).isNotNull()).select(quoted(col).alias("value"), _piece_of(quoted(col), named, kind).alias("piece"))
+    sizes = dict(placed.groupBy("piece").agg(F.count("*").alias("rows")).collect())
+    total = sum(sizes.values())
+    cuts, within, before = set(), [], 0
+    ranks = [-(-i * total // n) for i in range(1, n)]
+    for piece in sorted(sizes):
+        inside = [rank - before for rank in ranks if before < rank <= before + sizes[piece]]
+        if inside and piece % 2 == 1:
+            cuts.add(named[piece // 2])
+        elif inside:
+            within += [(piece, rank) for rank in inside]
+        before += sizes[piece]
+    return sorted(cuts | set(_at_ranks(placed, within))) if within else sorted(cuts)
+
+
+def _at_ranks(placed: DataFrame, within: list[tuple[int, int]]) -> list:
+    """The values at (piece, rank within the piece). Repeats are added up map-side; a task orders the values of a piece."""
+    few = placed.where(F.col("piece").isin(sorted({piece for piece, _ in within})))
+    counted = few.groupBy("piece", "value").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("piece").orderBy("value"))
+    wanted = F.array(*[F.struct(F.lit(piece).alias("piece"), F.lit(rank).cast("bigint").alias("rank")) for piece, rank in within])
+
+    def here(want: Column) -> Column:
+        return (want["piece"] == F.col("piece")) & (want["rank"] <= F.col("upto")) & (want["rank"] > F.col("upto") - F.col("rows"))
+
+    return [r["value"] for r in counted.withColumn("upto", upto).where(F.exists(wanted, here)).select("value").collect()]
 
 
 def _piece_of(col: Column, cuts: list, kind: DataType) -> Column:
@@ -85,12 +117,12 @@ def _piece_of(col: Column, cuts: list, kind: DataType) -> Column:
 def balanced_split_plan(df: DataFrame, col: str, n: int, accuracy: int | None = None) -> DataFrame:
     """One row per range: ``split_id, low, high`` (both values that occur) and ``rows``.
 
-    No range holds more than twice the mean unless it is a single value (plus what the quantiles are off by). Rows without
+    No range holds more than twice the mean unless it is a single value. Rows without
     a value are a range of their own, the first, with null bounds. Numbers, dates and times can be split; text needs ``typed_split_plan``.
 
-    Two passes over the column, neither with a shuffle of rows: one sketch of quantiles per task, and one count per
-    piece and task. ``accuracy`` bounds a cut's error to the table's rows over it (1,000 n by default); at the number of rows or more the
-    cuts are exact. The driver holds 2 n pieces.
+    The cuts are exact at any size. Four passes over the column at most, none with a shuffle of all rows: one sketch of quantiles per task, one
+    count per piece and task, the values next to a cut that the sketch has missed, and the rows of the ranges. ``accuracy`` is that of the
+    sketch (1,000 n by default) and leaves the result as it is: about the table's rows over it lie next to a cut. The driver holds 6 n pieces.
     """
     rows = _balanced_ranges(df, resolve(df, col), n, accuracy or 1000 * n)
     kind = df.schema[resolve(df, col)].dataType

@@ -39,6 +39,18 @@ def test_no_range_over_twice_the_mean(spark, n):
     assert len(found) <= 2 * n
 
 
+@pytest.mark.parametrize(("kind", "accuracy"), [("bigint", 2), ("bigint", 100_000), ("double", 50), ("decimal(20,2)", 50), ("date", 50)])
+def test_cuts_are_exact_however_coarse_the_sketch(spark, kind, accuracy):
+    """One value with an eighth of the rows, repeats and gaps; over more rows than the sketch keeps."""
+    number = F.when(F.col("id") % 8 == 0, 77).otherwise(F.pmod(F.hash("id"), F.lit(9000)))
+    value = F.date_add(F.lit("2000-01-01").cast("date"), number.cast("int")) if kind == "date" else number.cast(kind)
+    df = spark.range(0, 30_000, 1, 6).select(F.when(F.col("id") % 100 != 1, value).alias("v"))
+    values = sorted(r[0] for r in df.collect() if r[0] is not None)
+    for n in (2, 7):
+        exact = sorted({values[-(-i * len(values) // n) - 1] for i in range(1, n)})
+        assert b._cuts(df, "v", n, accuracy) == exact
+
+
 def test_balanced_odd_columns(spark):
     df = spark.createDataFrame([(None,), (1.5,), (float("nan"),), (2.5,), (float("inf"),), (None,)], "v double")
     found = plan(ts.balanced_split_plan(df, "v", 2))
