@@ -259,27 +259,24 @@ def from_fixed(value: Column, precision: int, scale: int) -> Column:
     return _scaled_down(whole.cast("decimal(18,0)"), scale).cast(f"decimal({precision},{scale})")
 
 
+# Half of 16 bytes is a long; above it stand multiples of this.
+_LIMB = 2**64
+
+
 def to_wide(value: Column, precision: int, scale: int) -> Column:
     """Unscaled value as 16 bytes of big-endian two's complement, for up to 38 digits."""
     unscaled = _unscaled(value, precision, scale)
     negative = unscaled < 0
     # -1 - v has the complement of v's bits; a plain minus sign would round to 34 digits
     rest = F.when(negative, F.lit(Decimal(-1)).cast("decimal(38,0)") - unscaled).otherwise(unscaled)
-    limb = F.lit(Decimal(2**32)).cast("decimal(38,0)")
-    parts = []
-    for _ in range(4):
-        parts.insert(0, F.lpad(F.hex((rest % limb).cast("bigint")), 8, "0"))
-        rest = _div(rest, limb)
-    digits = F.concat(*parts)
-    return F.unhex(F.when(negative, F.translate(digits, _HEX, _HEX[::-1])).otherwise(digits))
-
-
-def _div(value: Column, by: Column) -> Column:
-    """Whole-number division of numbers that are not negative, without leaving 38 digits."""
-    return ((value - value % by) / by).cast("decimal(38,0)")
-
-
-_HEX = "0123456789ABCDEF"
+    limb = F.lit(Decimal(_LIMB)).cast("decimal(20,0)")
+    high, low = F.call_function("div", rest, limb), (rest % limb).cast("decimal(20,0)")
+    # a long holds the upper half of its unsigned range as numbers below zero
+    above = F.when(low >= F.lit(Decimal(_LIMB // 2)).cast("decimal(20,0)"), limb).otherwise(F.lit(Decimal(0)).cast("decimal(20,0)"))
+    # exclusive or with -1 is the complement
+    mask = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("bigint")
+    halves = [F.lpad(F.hex(part.bitwiseXOR(mask)), 16, "0") for part in (high, (low - above).cast("bigint"))]
+    return F.unhex(F.concat(*halves))
 
 
 def _unscaled(value: Column, precision: int, scale: int) -> Column:
@@ -293,35 +290,29 @@ def _unscaled(value: Column, precision: int, scale: int) -> Column:
 def from_wide(value: Column, precision: int, scale: int) -> Column:
     """Big-endian two's complement of any length as a decimal of up to 38 digits.
 
-    The last 16 bytes are read as four limbs of 32 bits, each exact in a long, and put together in decimal
-    arithmetic; of a negative number the complement is read. Longer values may only repeat the sign before them.
+    The last 16 bytes are read as two longs and put together in decimal arithmetic. Longer values may only repeat the sign before them.
     Empty bytes, and numbers that do not fit the type, are errors with and without ANSI mode.
     """
     digits = F.hex(value)
-    negative = F.left(digits, F.lit(1)) >= "8"
+    negative = F.substring(digits, 1, 1) >= "8"
     sign = F.when(negative, "F").otherwise("0")
-    padded = F.when(F.length(digits) < 32, F.lpad(digits, 32, sign)).otherwise(digits)
-    last, surplus = F.right(padded, F.lit(32)), F.left(padded, F.length(padded) - 32)
-    # hex digits of equal length compare like the numbers they are
-    magnitude = F.when(negative, F.translate(last, _HEX, _HEX[::-1])).otherwise(last)
-    limit = F.when(negative, f"{10**precision - 2:032X}").otherwise(f"{10**precision - 1:032X}")
-    fits = (digits != "") & (F.replace(surplus, sign, F.lit("")) == "") & (magnitude <= limit)
-    limbs = [F.conv(F.substring(magnitude, 8 * i + 1, 8), 16, 10).cast("decimal(10,0)") for i in range(4)]
-    total = limbs[0]
-    for limb in limbs[1:]:
-        total = (total * F.lit(Decimal(2**32)).cast("decimal(10,0)") + limb).cast("decimal(38,0)")
-    # a plain minus sign would round to 34 digits
-    whole = F.when(negative, F.lit(Decimal(-1)).cast("decimal(38,0)") - total).otherwise(total).cast("decimal(38,0)")
+    last = F.substring(F.concat(F.repeat(sign, F.lit(32)), digits), -32, 32)
+    # hex digits of equal length and sign compare like the numbers they are
+    top = 10**precision - 1
+    in_range = F.when(negative, last >= f"{2**128 - top:032X}").otherwise(last <= f"{top:032X}")
+    fits = (digits != "") & (F.length(F.ltrim(digits, sign)) <= 32) & in_range
+    # base -10 reads 16 digits as a signed number. The halves of a number below zero are taken as both not above zero,
+    # so that no step leaves 38 digits
+    high = F.conv(F.substring(last, 1, 16), 16, -10).cast("bigint") + F.when(negative, F.lit(1)).otherwise(F.lit(0))
+    borrowed = F.when(negative, F.lit(Decimal(_LIMB))).otherwise(F.lit(Decimal(0))).cast("decimal(20,0)")
+    low = F.conv(F.substring(last, 17, 16), 16, 10).cast("decimal(20,0)") - borrowed
+    whole = (high.cast("decimal(19,0)") * F.lit(Decimal(_LIMB)).cast("decimal(20,0)") + low).cast("decimal(38,0)")
     text = F.concat(F.lit("bytes do not fit decimal("), F.lit(f"{precision},{scale}): "), digits)
     checked = F.when(digits.isNull() | fits, whole).otherwise(F.raise_error(text).cast("decimal(38,0)"))
     if scale == 0:
         return checked.cast(f"decimal({precision},0)")
-    # the point is put into the text, as a product with 10**-scale would round
-    plain = F.lpad(F.regexp_replace(checked.cast("string"), "-", ""), precision, "0")
-    point = F.concat(
-        F.when(checked < 0, "-").otherwise(""), F.left(plain, F.lit(precision - scale)), F.lit("."), F.right(plain, F.lit(scale))
-    )
-    return F.when(checked.isNotNull(), point).cast(f"decimal({precision},{scale})")
+    # the point is placed in the text, as a product with 10**-scale would round
+    return F.concat(checked.cast("string"), F.lit(f"E-{scale}")).cast(f"decimal({precision},{scale})")
 
 
 #: A number as text: sign, digits, and a fraction; an exponent is not one of them.
