@@ -316,7 +316,9 @@ def from_wide(value: Column, precision: int, scale: int) -> Column:
 
 
 #: A number as text: sign, digits, and a fraction; an exponent is not one of them.
-_PLAIN_NUMBER = r"^\s*([+-]?)0*(\d*?)(?:\.(\d*?)0*)?\s*$"
+_PLAIN_NUMBER = r"^\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)\s*$"
+#: What may stand around it: Java's white space, and the line ends that its ``$`` may precede.
+_AROUND = " \t\n\x0b\f\r\x85\u2028\u2029"
 
 
 def number_order(value: Column, name: str = "number") -> Column:
@@ -326,16 +328,20 @@ def number_order(value: Column, name: str = "number") -> Column:
     taken from nine and the end is marked, so that greater magnitudes come first. Numbers that are equal get equal texts. Null stays null;
     text that is no plain number is an error.
     """
-    whole = F.regexp_extract(value, _PLAIN_NUMBER, 2)
-    fraction = F.regexp_extract(value, _PLAIN_NUMBER, 3)
+    # one pattern tells what is a number; trims take it apart, as a pattern's groups would go over each digit many times
+    text = F.trim(value, F.lit(_AROUND))
+    digits = F.ltrim(text, F.lit("+-"))
+    before = F.substring_index(digits, ".", 1)
+    whole, fraction = F.ltrim(before, F.lit("0")), F.rtrim(F.substr(digits, F.length(before) + 2), F.lit("0"))
     size = F.lpad(F.length(whole).cast("string"), 10, "0")
     magnitude = F.concat(size, whole, F.lit("."), fraction)
     zero = (whole == "") & (fraction == "")
-    below = (F.regexp_extract(value, _PLAIN_NUMBER, 1) == "-") & ~zero
-    opposite = F.concat(F.lit("0"), F.translate(magnitude, "0123456789", "9876543210"), F.lit("~"))
-    bad = ~value.rlike(_PLAIN_NUMBER) | ~value.rlike("[0-9]")
+    below = text.startswith("-") & ~zero
+    opposite = F.concat(F.translate(magnitude, "0123456789", "9876543210"), F.lit("~"))
+    bad = ~value.rlike(_PLAIN_NUMBER)
     message = F.concat(F.lit(f"column {name}: "), value, F.lit(" is no plain number"))
-    return F.when(bad, F.raise_error(message)).when(below, opposite).when(value.isNotNull(), F.concat(F.lit("1"), magnitude))
+    first = F.when(bad, F.raise_error(message).cast("string")).when(below, "0").otherwise("1")
+    return F.concat(first, F.when(below, opposite).otherwise(magnitude))
 
 
 def decimal_to_fixed(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

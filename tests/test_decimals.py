@@ -243,6 +243,17 @@ def test_order_of_numbers_in_text(spark):
         ts.max_wide_value(spark.range(1), "id")
 
 
+def test_order_of_long_numbers_in_text(spark, capsys):
+    """One pattern per row, and none that goes over the digits once per digit."""
+    texts = ["0." + "0" * 50_000 + "1", "0." + "0" * 49_999 + "1", "\t00" + "1" + "0" * 50_000 + ".0\n", "1" + "0" * 49_999 + "1\u2028"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    keyed = df.select("i", ts.number_order(F.col("t")).alias("key"))
+    assert [r["i"] for r in sorted(keyed.collect(), key=lambda r: r["key"])] == [0, 1, 2, 3]
+    keyed.explain()
+    plan = capsys.readouterr().out
+    assert "regexp_extract" not in plan and plan.count("RLIKE") == 1
+
+
 def test_string_to_decimal(spark, ansi):
     df = spark.createDataFrame([("1.50",), ("-2",), ("+3.100000",), ("1.5E1",), (None,), (" 7 ",)], "x string")
     expected = [Decimal("1.50"), Decimal("-2"), Decimal("3.1"), Decimal("15"), None, Decimal("7")]
