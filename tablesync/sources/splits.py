@@ -14,13 +14,16 @@ from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, IntegralType, MapType, StringType, StructType, VariantType
 
 from tablesync.operators.checks import single_row
 from tablesync.operators.columns import quoted, refuse_column, resolve
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.scan import Source, parquet_scan, scan_table
 
+#: Bytes of rows in a range that is laid out for one task, as Spark's own file splits.
+RANGE_BYTES = 128 * 2**20
+
 
 def split_bounds(df: DataFrame, col: str) -> DataFrame:
     """One row ``(lo, hi)``: smallest and largest value of the split column."""
@@ -118,7 +121,8 @@ def split_scan(
     Files are already read in parallel by their own byte splits, so ``split_by``
     costs nothing there unless ``clustered=True`` asks for the rows to be laid
     out by range. That is one shuffle; rows of one heavy value are spread over
-    neighbouring partitions by a hash of the whole row.
+    neighbouring partitions by a hash of the whole row. There are ``n`` ranges, or
+    more where one would hold over ``RANGE_BYTES``.
     """
     if n > 1 and split_by is None:
         if not auto_reset:
@@ -155,6 +159,27 @@ def range_options(split_by: str, bounds: Sequence, n: int, split_limit: int | No
     }
 
 
+def ranges_for(df: DataFrame, n: int) -> int:
+    """``n``, or as many ranges as keep each under about ``RANGE_BYTES``, so that a task's share does not grow with the table.
+
+    Counts the rows and the bytes of their texts; every other value counts as its type's size. One pass over the columns of varying
+    length, and a count alone (of files, from their footers) where there are none.
+    """
+    fixed, varying = 0, F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        kind, value = field.dataType, quoted(field.name)
+        fixed += 8
+        if isinstance(kind, (StringType, BinaryType)):
+            varying += F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            varying += F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        elif isinstance(kind, DecimalType):
+            fixed += 16
+    rows, size = df.agg(F.count("*"), F.sum(varying)).first()
+    return max(n, -(-(rows * fixed + (size or 0)) // RANGE_BYTES))
+
+
 def cluster_by_range(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
-    """Range layout by ``cols``; the row hash is deterministic, so a retried task repeats it."""
-    return df.repartitionByRange(n, *[quoted(resolve(df, c)) for c in cols], F.xxhash64(*map(quoted, df.columns)))
+    """Range layout by ``cols`` in at least ``n`` partitions (see ``ranges_for``); the row hash is deterministic, so a retried task repeats it."""
+    keys = [quoted(resolve(df, c)) for c in cols]
+    return df.repartitionByRange(ranges_for(df, n), *keys, F.xxhash64(*map(quoted, df.columns)))

@@ -189,3 +189,19 @@ def test_spark_query(spark):
     assert [r[0] for r in out.collect()] == [2, 3]
     assert ts.scan_query(spark, None, "SELECT 1 AS one WHERE $CONDITIONS").collect() == [(1,)]
     assert [r[0] for r in ts.scan_table(spark, df, ["ID"], "id >= 3").collect()] == [3, 4]
+
+
+def test_clustered_ranges_follow_the_size_of_the_table(spark, monkeypatch):
+    """A range that one task reads stays as large as it is when the table grows; few rows keep the given number."""
+    monkeypatch.setattr(splits, "RANGE_BYTES", 20_000)
+    shares = []
+    for rows in (3000, 12_000):
+        df = spark.range(rows).select("id", F.lit("x" * 20).alias("t"), F.array("id").alias("a"), F.lit(b"y").alias("b"))
+        out = ts.split_scan(spark, df, "id", 2, clustered=True)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == rows and out.agg(F.sum("id")).first()[0] == rows * (rows - 1) // 2
+        shares.append(max(sizes))
+    assert shares[1] < 1.5 * shares[0]
+    assert splits.ranges_for(spark.range(5), 3) == 3 and splits.ranges_for(spark.range(0), 1) == 1
+    nulls = spark.sql("SELECT CAST(NULL AS STRING) AS s, CAST(NULL AS MAP<STRING, INT>) AS m, 1.5 AS d FROM range(3000)")
+    assert splits.ranges_for(nulls, 1) >= 3000 * 40 // 20_000
