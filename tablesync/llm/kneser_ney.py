@@ -11,6 +11,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,21 +22,23 @@ from tablesync.storage import qualified, shared_dir
 
 #: Grams that a task keeps before it sorts, adds up and hands them on.
 HELD = 1 << 20
-#: Tokens that are looked up together.
-GROUPED = 200_000
+#: Bytes of text whose tokens are cut and looked up together; a longer text is a group of its own.
+GROUPED = 1 << 21
 #: Occurrences of grams in one file of the model, on average.
 PER_SHARD = 1 << 20
 END = np.uint64(xxh3_64_intdigest(b"end of document"))
 START = np.uint64(xxh3_64_intdigest(b"start of document"))
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Words of more bytes are hashed one by one.
+_SHORT = 64
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def tokens_of(text: str | None) -> np.ndarray:
     """Hashes of the lower-cased words and the one end. No word's hash equals those of end and start but by chance."""
-    # white space and bytes beyond ASCII do not change, so the text can be lowered before it is split
-    words = (text or "").encode().translate(_LOWER).split()
-    return np.append(word_hashes(words), END)
+    return next(groups_of(pa.array([text], pa.string())))[0]
 
 
 def gram_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -43,22 +46,65 @@ def gram_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed(before * _PAIR + tokens)
 
 
+def _hashes(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each stretch of ``raw``, of eight bytes at a time; words of up to eight bytes and one length never share one."""
+    padded = np.frombuffer(raw + bytes(8), np.uint8)
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    size = end - begin
+    hashes = mixed(size.astype(np.uint64) * _PAIR ^ (eight[begin] & _FIRST_BYTES[np.minimum(size, 8)]))
+    at, rest = 8, np.flatnonzero((size > 8) & (size <= _SHORT))
+    while len(rest):
+        more = eight[begin[rest] + at] & _FIRST_BYTES[np.minimum(size[rest] - at, 8)]
+        hashes[rest] = mixed(hashes[rest] ^ more)
+        at += 8
+        rest = rest[size[rest] > at]
+    long = np.flatnonzero(size > _SHORT)
+    if len(long):
+        hashes[long] = word_hashes([raw[a:b] for a, b in zip(begin[long].tolist(), end[long].tolist(), strict=True)])
+    return hashes
+
+
 def groups_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Tokens, the tokens before them and where documents start, for some documents at a time.
 
     What is looked up for a group is sorted, so the arrays of the model are read in long runs.
     """
-    group, size = [], 0
-    for i, text in enumerate(texts):
-        group.append(tokens_of(text.as_py()))
-        size += len(group[-1])
-        if size >= GROUPED or i == len(texts) - 1:
-            tokens = np.concatenate(group)
-            starts = np.cumsum([0, *[len(g) for g in group[:-1]]])
-            before = np.append(START, tokens[:-1])
-            before[starts] = START
-            yield tokens, before, starts
-            group, size = [], 0
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    done = 0
+    while done < len(texts):
+        upto = max(done + 1, int(np.searchsorted(edges, edges[done] + GROUPED, "right")) - 1)
+        low, high = int(edges[done]), int(edges[upto])
+        # white space and bytes beyond ASCII do not change, so the texts can be lowered before they are split
+        raw = data[low:high].to_pybytes().translate(_LOWER) if high > low else b""
+        cuts = edges[done : upto + 1] - low
+        inside = ~_IS_SPACE[np.frombuffer(raw, np.uint8)]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        bounds = cuts[1:-1]
+        bounds = bounds[(bounds > 0) & (bounds < len(raw))]
+        first[bounds], last[bounds - 1] = inside[bounds], inside[bounds - 1]  # no word reaches into the next text
+        begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        ends = np.searchsorted(begin, cuts[1:]) + np.arange(upto - done)
+        tokens = np.empty(len(begin) + len(ends), np.uint64)
+        is_word = np.ones(len(tokens), bool)
+        is_word[ends] = False
+        tokens[is_word], tokens[ends] = _hashes(raw, begin, end), END
+        starts = np.append(0, ends[:-1] + 1)
+        before = np.append(START, tokens[:-1])
+        before[starts] = START
+        yield tokens, before, starts
+        done = upto
+
+
+def coded(tokens: np.ndarray, before: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a group of documents: its sorted distinct words, and each token and the one before it as a place among them."""
+    words, own = np.unique(np.append(tokens, START), return_inverse=True)
+    context = np.append(own[-1], own[:-2])
+    context[starts] = own[-1]
+    return words, own[:-1], context
 
 
 def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
@@ -69,7 +115,7 @@ def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
 
 def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys with the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
     return keys[starts], *[np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values]
@@ -106,20 +152,44 @@ class _Sums:
 def _summed(rows_of, names: list[str], types: list[pa.DataType]):
     """A task that adds up the rows of its documents by their first column."""
 
+    def batch_of(columns):
+        first, *rest = columns
+        arrays = [pa.array(signed(first)), *[pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(rest, types[1:], strict=True)]]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums()
+        yield from map(batch_of, _sums_of(batches, rows_of))
 
-        def batch_of(columns):
-            first, *rest = columns
-            arrays = [pa.array(signed(first)), *[pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(rest, types[1:], strict=True)]]
-            return pa.RecordBatch.from_arrays(arrays, names)
+    return run
+
+
+def _sums_of(batches: Iterator[pa.RecordBatch], rows_of) -> Iterator[tuple[np.ndarray, ...]]:
+    sums = _Sums()
+    for batch in batches:
+        for group in groups_of(batch.column(0)):
+            if (full := sums.add(*rows_of(*group))) is not None:
+                yield full
+    if (last := sums.rest()) is not None:
+        yield last
 
-        for batch in batches:
-            for tokens, before, _ in groups_of(batch.column(0)):
-                if (full := sums.add(*rows_of(before, tokens))) is not None:
-                    yield batch_of(full)
-        if (last := sums.rest()) is not None:
-            yield batch_of(last)
+
+def _grams_once(tokens: np.ndarray, before: np.ndarray, _starts: np.ndarray):
+    return gram_of(before, tokens), np.ones(len(tokens), np.int64)
+
+
+def _packed(shards: int):
+    """A task that adds up its grams and gives those of a shard as one row: grams met once here, then the others and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, counts in _sums_of(batches, _grams_once):
+            many = counts > 1
+            once, more, counts = keys[~many], keys[many], counts[many]
+            places = np.arange(shards + 1)
+            of_once, of_more = (np.searchsorted(shard_of(x, shards), places).tolist() for x in (once, more))
+            met = [i for i in range(shards) if of_once[i] < of_once[i + 1] or of_more[i] < of_more[i + 1]]
+            cut = lambda x, at: pa.array([x[at[i] : at[i + 1]].tobytes() for i in met], pa.binary())  # noqa: E731, B023
+            columns = [pa.array(met, pa.int32()), cut(once, of_once), cut(more, of_more), cut(counts, of_more)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "once", "more", "counts"])
 
     return run
 
@@ -128,8 +198,11 @@ def _write_shard(folder: str):
     """Write the grams of a shard as sorted arrays; give how many grams have each low count."""
 
     def run(table: pa.Table) -> pa.Table:
-        grams = table.column("gram").to_numpy().view(np.uint64)
-        keys, counts = _added(grams, table.column("n").to_numpy())
+        once, more, n = (
+            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)])
+            for c, kind in (("once", np.uint64), ("more", np.uint64), ("counts", np.int64))
+        )
+        keys, counts = _added(np.concatenate([once, more]), np.concatenate([np.ones(len(once), np.int64), n]))
         many = counts > 1
         # most grams occur once: for them the key says it all
         arrays = [keys[~many], keys[many], counts[many].astype(np.int64)]
@@ -177,38 +250,42 @@ class Model:
     vocabulary: int
     gram_kinds: int
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """How often training met each gram."""
-        distinct, back = np.unique(grams, return_inverse=True)
-        found = np.zeros(len(distinct), np.int64)
-        edges = np.searchsorted(shard_of(distinct, len(self.shards)), np.arange(len(self.shards) + 1))
+    def counts(self, grams: np.ndarray, trained: bool = False) -> np.ndarray:
+        """How often training met each gram; ``trained`` if it has met them all, so that those not met often were met once."""
+        order = np.argsort(grams)
+        wanted = grams[order]
+        found = np.ones(len(wanted), np.int64) if trained else np.zeros(len(wanted), np.int64)
+        edges = np.searchsorted(shard_of(wanted, len(self.shards)), np.arange(len(self.shards) + 1))
         for shard, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if a < b:
                 once, more, counts = _grams_of(self.folder, *self.shards[shard])
-                found[a:b] = _looked_up(once, None, distinct[a:b]) + _looked_up(more, counts, distinct[a:b])
-        return found[back]
-
-    def of_words(self, tokens: np.ndarray) -> np.ndarray:
-        """Per token a row (count, probability, followers' total, weight of backing off); zeros for unknown ones."""
-        distinct, back = np.unique(tokens, return_inverse=True)
-        out = np.zeros((len(distinct), 4))
-        edges = np.searchsorted(shard_of(distinct, len(self.words)), np.arange(len(self.words) + 1))
+                at, hit = _places(more, wanted[a:b])
+                found[a:b][hit] = counts[at[hit]]
+                if not trained:
+                    rest = np.flatnonzero(~hit) + a
+                    found[rest] = _places(once, wanted[rest])[1]
+        out = np.empty_like(found)
+        out[order] = found
+        return out
+
+    def of_words(self, words: np.ndarray) -> np.ndarray:
+        """Per sorted word a row (count, probability, followers' total, weight of backing off); zeros for unknown ones."""
+        out = np.zeros((len(words), 4))
+        edges = np.searchsorted(shard_of(words, len(self.words)), np.arange(len(self.words) + 1))
         for shard, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if a < b:
                 keys, values = _words_of(self.folder, *self.words[shard])
-                at = np.minimum(np.searchsorted(keys, distinct[a:b]), max(len(keys) - 1, 0))
-                if len(keys):
-                    hit = keys[at] == distinct[a:b]
-                    out[a:b][hit] = values[at[hit]]
-        return out[back]
+                at, hit = _places(keys, words[a:b])
+                out[a:b][hit] = values[at[hit]]
+        return out
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray | None, wanted: np.ndarray) -> np.ndarray:
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted key would stand among sorted keys, and whether it does."""
     if not len(keys):
-        return np.zeros(len(wanted), np.int64)
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    hit = keys[at] == wanted
-    return hit.astype(np.int64) if values is None else np.where(hit, values[at], 0)
+    return at, keys[at] == wanted
 
 
 @lru_cache(maxsize=4096)
@@ -288,8 +365,8 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     folder = qualified(spark, shared_dir(spark, "kneser-ney"))
     texts = texts.select("text")
 
-    def words_once(_before: np.ndarray, tokens: np.ndarray):
-        return tokens, np.ones(len(tokens), np.int64)
+    def words_once(tokens: np.ndarray, _before: np.ndarray, _starts: np.ndarray):
+        return np.unique(tokens, return_counts=True)
 
     unigrams = texts.mapInArrow(_summed(words_once, ["word", "n"], [pa.int64(), pa.int64()]), "word long, n long")
     unigrams = written(spark, unigrams.groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
@@ -297,11 +374,7 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     tokens, vocabulary = totals["n"], totals["v"]
     shards = _power_of_two(-(-tokens // PER_SHARD) or 1)
 
-    def grams_once(before: np.ndarray, tokens: np.ndarray):
-        return gram_of(before, tokens), np.ones(len(tokens), np.int64)
-
-    grams = texts.mapInArrow(_summed(grams_once, ["gram", "n"], [pa.int64(), pa.int64()]), "gram long, n long")
-    grams = grams.withColumn("shard", _shard("gram", shards)).repartition(shards, "shard")
+    grams = texts.mapInArrow(_packed(shards), "shard int, once binary, more binary, counts binary").repartition(shards, "shard")
     files = grams.groupBy("shard").applyInArrow(
         _write_shard(f"{folder}/grams"),
         "shard int, name string, once long, more long, n1 long, n2 long, n3 long, n4 long",
@@ -314,13 +387,13 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     arrays = tuple((r["name"], r["once"], r["more"]) if r else ("", 0, 0) for r in rows)
     counted = Model(f"{folder}/grams", arrays, (), discounts, 0.0, tokens, vocabulary, kinds)
 
-    def kinds_of(before: np.ndarray, tokens: np.ndarray):
-        count = counted.counts(gram_of(before, tokens))
+    def kinds_of(tokens: np.ndarray, before: np.ndarray, starts: np.ndarray):
+        count = counted.counts(gram_of(before, tokens), trained=True)
         share = 1.0 / count
-        zero = np.zeros(len(tokens))
-        as_context = (before, zero, np.where(count == 1, share, 0), np.where(count == 2, share, 0), np.where(count > 2, share, 0), np.ones(len(tokens)))
-        as_word = (tokens, share, zero, zero, zero, zero)
-        return tuple(np.concatenate(pair) for pair in zip(as_word, as_context, strict=True))
+        words, own, context = coded(tokens, before, starts)
+        added = lambda at, values=None: np.bincount(at, values, len(words))
+        met = [added(context[chosen], share[chosen]) for chosen in map(np.flatnonzero, (count == 1, count == 2, count > 2))]
+        return words, added(own, share), *met, added(context).astype(float)
 
     names = ["word", "contexts", "once", "twice", "more", "followed"]
     kinds_task = _summed(kinds_of, names, [pa.int64()] + [pa.float64()] * 5)
@@ -357,10 +430,10 @@ def op7_kneser_ney(spark: SparkSession, docs: DataFrame, folds: int = 7, held_ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [row for group in groups_of(batch.column(1)) for row in _scored_together(model, *group)]
-            columns = list(zip(*found, strict=True)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
+            scores = [_scores(model, tokens, before, *coded(tokens, before, starts), starts) for tokens, before, starts in groups_of(batch.column(1))]
+            if not scores:
+                continue
+            arrays = [pa.array(np.concatenate(c)) for c in zip(*scores, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], names)
 
     scored = rows.select("id", "text", "held_out").mapInArrow(
@@ -374,19 +447,26 @@ def op7_kneser_ney(spark: SparkSession, docs: DataFrame, folds: int = 7, held_ou
 def _scored_together(
     model: Model, tokens: np.ndarray, before: np.ndarray, starts: np.ndarray
 ) -> list[tuple[int, int, float, float]]:
-    """(tokens, known ones, base score, score) of each document of a group."""
-    distinct = model.of_words(np.concatenate([tokens, before]))
-    own, context = distinct[: len(tokens)], distinct[len(tokens) :]
+    """(tokens, known ones, base score, score) of each document of a group, whatever tokens come before."""
+    words, places = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+    columns = _scores(model, tokens, before, words, places[: len(tokens)], places[len(tokens) :], starts)
+    return list(zip(*[c.tolist() for c in columns], strict=True))
+
+
+def _scores(
+    model: Model, tokens: np.ndarray, before: np.ndarray, words: np.ndarray, own: np.ndarray, context: np.ndarray, starts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The columns of ``_scored_together``; ``own`` and ``context`` are the places of the tokens and of those before them among the words."""
+    of_word = model.of_words(words)
+    known = of_word[:, 0] > 0
     spare = model.unigram_spare / (model.vocabulary + 1)
-    lower = np.where(own[:, 0] > 0, own[:, 1], spare if model.gram_kinds else 1.0)
+    lower = np.where(known, of_word[:, 1], spare if model.gram_kinds else 1.0)
+    base = np.log10((of_word[:, 0] + 1) / (model.tokens + model.vocabulary + 1))
     count = model.counts(gram_of(before, tokens))
-    total, weight = context[:, 2], context[:, 3]
+    total, weight = of_word[context, 2], np.where(of_word[:, 2] > 0, of_word[:, 3], 1.0)[context]
     higher = np.divide(
         np.maximum(count - _discount(count, model.discounts), 0), total, out=np.zeros(len(tokens)), where=total > 0
     )
-    score = np.log10(higher + np.where(total > 0, weight, 1.0) * lower)
-    base = np.log10((own[:, 0] + 1) / (model.tokens + model.vocabulary + 1))
-    known = np.add.reduceat((own[:, 0] > 0).astype(np.int64), starts)
-    base, score = np.add.reduceat(base, starts), np.add.reduceat(score, starts)
+    score = np.log10(higher + weight * lower[own])
     sizes = np.diff(np.append(starts, len(tokens)))
-    return list(zip(sizes.tolist(), known.tolist(), base.tolist(), score.tolist(), strict=True))
+    return sizes, np.add.reduceat(known[own].astype(np.int64), starts), np.add.reduceat(base[own], starts), np.add.reduceat(score, starts)

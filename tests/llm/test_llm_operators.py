@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tablesync.llm import byte_bpe, embedding_dedup, kneser_ney, license_scan, m
 from tablesync.llm import quality_ledger, sharding, substring_dedup
 from tablesync.llm.byte_bpe import decode_ids, encode_documents, round_trip
 from tablesync.llm.packing import Capacities, plan_bins
-from tablesync.llm.words import keyed
+from tablesync.llm.words import keyed, word_hashes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PASSAGE = " ".join(f"word{i}" for i in range(40))
@@ -511,6 +512,57 @@ def test_kneser_ney_as_plain_python(spark, docs):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+def test_kneser_ney_hashes_words_together(monkeypatch):
+    """Tokens are words at ASCII white space, whatever lies around; only long words are hashed one by one."""
+    rng = np.random.default_rng(5)
+    letters = list(" \t\n\x0b\x0c\r\x1c\x85\xa0\u2003 aAbB\x00é")
+    texts = ["".join(rng.choice(letters, rng.integers(40))) for _ in range(2000)]
+    texts += [None, "", " ", "x" * 64 + " " + "x" * 65, "Y" * 200, "x" * 8 + " " + "x" * 9, "a\x00 a", " start", "end "]
+    singly = []
+    monkeypatch.setattr(kneser_ney, "word_hashes", lambda words: singly.extend(words) or word_hashes(words))
+    want = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    for size in (1, 50, 1 << 21):
+        monkeypatch.setattr(kneser_ney, "GROUPED", size)
+        for kind in (pa.string(), pa.large_string()):
+            singly.clear()
+            groups = list(kneser_ney.groups_of(pa.array(["cut off", *texts], kind).slice(1)))
+            tokens = np.concatenate([g[0] for g in groups]).tolist()
+            assert len(set(zip(tokens, want, strict=True))) == len(set(tokens)) == len(set(want))
+            assert sorted(singly) == [b"x" * 65, b"y" * 200]
+            assert sum(len(g[2]) for g in groups) == len(texts)
+            for own, before, starts in groups:
+                assert before[0] == kneser_ney.START and all(before[starts] == kneser_ney.START)
+                assert all((before[1:] == own[:-1]) | (own[:-1] == kneser_ney.END))
+                words, at, context = kneser_ney.coded(own, before, starts)
+                assert (words[at] == own).all() and (words[context] == before).all()
+
+
+def test_kneser_ney_packs_grams(monkeypatch):
+    """A task hands on one row per shard, not one per gram, and no gram is lost when it does so in parts."""
+    rng = np.random.default_rng(6)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.zipf(1.3, 300) if x < 5000) for _ in range(60)])
+    monkeypatch.setattr(kneser_ney, "GROUPED", 2000)
+    want = Counter(kneser_ney.gram_of(*[np.concatenate(x) for x in list(zip(*kneser_ney.groups_of(texts), strict=True))[1::-1]]).tolist())
+    for held in (1 << 20, 1000):
+        monkeypatch.setattr(kneser_ney, "HELD", held)
+        batches = list(kneser_ney._packed(8)(iter([pa.record_batch([texts], ["text"])])))
+        assert (len(batches) > 1) == (held == 1000) and all(0 < b.num_rows <= 8 for b in batches)
+        got = Counter()
+        for row in (r for b in batches for r in b.to_pylist()):
+            once, more = np.frombuffer(row["once"], np.uint64), np.frombuffer(row["more"], np.uint64)
+            assert set(kneser_ney.shard_of(np.append(once, more), 8).tolist()) == {row["shard"]}
+            got.update(once.tolist())
+            got.update(dict(zip(more.tolist(), np.frombuffer(row["counts"], np.int64).tolist(), strict=True)))
+        assert got == want
+
+
+def test_kneser_ney_in_many_shards(spark, docs, monkeypatch):
+    scored = lambda: sorted(map(str, kneser_ney.op7_kneser_ney(spark, docs).collect()))
+    one = scored()
+    monkeypatch.setattr(kneser_ney, "PER_SHARD", 32)
+    assert scored() == one
+
+
 def test_shards(spark, docs):
     rows = sharding.op8_shard_by_bytes(spark, docs).collect()
     texts = {r[0]: r[1] or "" for r in ROWS}
