@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import binascii
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -131,31 +132,45 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacities: Capacities)
     )
 
 
-@cache
-def _encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Callable[[str | None], bytes]:
-    """One per worker process: what one task has met helps the next."""
-    from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
-
-    tokenizer = Tokenizer.from_file(path)
-    encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-    encode_piece = encode
-    if tokenizer.normalizer is None and isinstance(tokenizer.pre_tokenizer, ByteLevel):
-        # a pre-token goes to the library's model straight, in the letters that byte-level vocabularies use
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in plain]
-        letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-        tokenize = tokenizer.model.tokenize
-        encode_piece = lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
-    by_words = TextEncoder(pattern, encode_piece, remembered)
-
-    def run(text: str | None) -> bytes:
+class LibraryEncoder(TextEncoder):
+    """A tokenizer of the library, pre-token by pre-token; a text with an added token goes to the library whole."""
+
+    def __init__(self, path: str, pattern: str, remembered: int):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        tokenizer = Tokenizer.from_file(path)
+        self.encode_whole = encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        encode_piece = encode
+        if tokenizer.normalizer is None and isinstance(tokenizer.pre_tokenizer, ByteLevel):
+            # a pre-token goes to the library's model straight, in the letters that byte-level vocabularies use
+            plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            others = [b for b in range(256) if b not in plain]
+            letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+            tokenize = tokenizer.model.tokenize
+            encode_piece = lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
+        super().__init__(pattern, encode_piece, remembered)
+
+    def __call__(self, text: str | None) -> bytes:
         # the library looks for added tokens in the whole text before it splits it
-        whole = text and any(token in text for token in added)
-        return np.array(encode(text), "<u4").tobytes() if whole else by_words(text)
+        whole = text and any(token in text for token in self.added)
+        return np.array(self.encode_whole(text), "<u4").tobytes() if whole else super().__call__(text)
 
-    return run
+    def of_column(self, texts: pa.Array) -> Iterator[bytes]:
+        texts, none = pc.fill_null(texts, ""), pa.scalar("", texts.type)
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        others = pc.if_else(pa.array(whole), none, texts) if whole.any() else texts
+        for i, ids in enumerate(super().of_column(others)):
+            yield self(texts[i].as_py()) if whole[i] else ids
+
+
+@cache
+def _encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> LibraryEncoder:
+    """One per worker process: what one task has met helps the next."""
+    return LibraryEncoder(path, pattern, remembered)
 
 
 def token_pieces(
@@ -171,12 +186,12 @@ def token_pieces(
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = _encoder(tokenizer_path, pattern, remembered)
+        encoder = _encoder(tokenizer_path, pattern, remembered)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode_text(text.as_py()) + end
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.of_column(batch.column(1)), strict=True):
+                ids += end
                 n = len(ids) // 4
                 start, stop, piece = 0, n % tokens or tokens, 0
                 while start < n:

@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -464,6 +465,53 @@ def test_encoders_on_odd_white_space(monkeypatch):
     assert [np.frombuffer(own(t), "<u4").tolist() for t in texts] == expected
 
 
+ODD_CHARACTERS = [*" \t\n\r\v\f", "'", "'s", "'ll", "'ve", *"sdmabBZ019(.#é½²٣ªµßſƀ×÷Āжя中ॐ😀“", *"\x00\x1c\x7f\x85\xa0\u0301\u200b\u2003\u3000"]
+
+
+def test_cuts_are_ends_of_matches():
+    """Each stretch between two cuts has by itself the matches that it has in its text."""
+    rng = np.random.default_rng(2)
+    matches = regex.compile(public_tokenizers.PATTERN).findall
+    assert byte_bpe.TextEncoder(public_tokenizers.PATTERN, lambda _: []).by_class
+    for _ in range(4000):
+        texts = ["".join(rng.choice(ODD_CHARACTERS, rng.integers(14))) for _ in range(3)]
+        raw = "".join(texts).encode()
+        edges = np.cumsum([0, *[len(t.encode()) for t in texts]])
+        for by_class in (False, True) if raw else ():
+            cuts = byte_bpe._cuts(np.frombuffer(raw, np.uint8), edges, by_class)
+            stretches = [raw[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            assert [m for x in stretches for m in matches(x)] == [m for t in texts for m in matches(t)]
+
+
+@pytest.mark.parametrize("remembered", [20, 500_000])
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, rf"(?:{public_tokenizers.PATTERN})"])
+def test_columns_as_the_library(monkeypatch, remembered, pattern):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(ODD_CHARACTERS, rng.integers(40))) for _ in range(1500)]
+    texts += ["", None, " ", "x" * 5000, "a b " * 3, "ends ", " begins", "<|endoftext|>", "one <|endoftext|> two"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (1, 300, 1 << 23):
+        monkeypatch.setattr(byte_bpe, "GROUPED", size)
+        own = packing.LibraryEncoder(path, pattern, remembered)
+        for kind in (pa.string(), pa.large_string()):
+            found = own.of_column(pa.array(["cut off ", *texts], kind).slice(1))
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
+        assert 0 < len(own.stretches.texts) == len(own.stretches.ids) <= remembered
+        assert list(own.of_column(pa.array([], pa.string()))) == []
+
+
+def test_columns_encode_each_stretch_once():
+    encoded = []
+    own = byte_bpe.TextEncoder(public_tokenizers.PATTERN, lambda piece: encoded.append(piece) or list(piece.encode()))
+    texts = ["to be, or not to be: that is", "to be or not", "(be) " + "q" * 65, None]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").astype(np.uint8).tobytes().decode() for x in own.of_column(pa.array(texts))] == [t or "" for t in texts]
+    assert encoded.pop() == " " + "q" * 65  # too long to be remembered
+    assert len(encoded) == len(set(encoded)) and " be" in encoded and "," in encoded
+
+
 def test_kneser_ney_sums_to_one(spark):
     """Over all known words and one unknown, the model's probabilities after any word make one."""
     texts = [(i, " ".join(f"w{(i * j) % 7}" for j in range(1, 30))) for i in range(60)]
